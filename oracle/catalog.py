@@ -1,0 +1,94 @@
+"""DuckDB SQL for each registered query, keyed like ``hemotab.plans.catalog``."""
+
+from __future__ import annotations
+
+from hemotab.operators.crosstab import wide_columns
+from hemotab.plans import catalog as C
+from hemotab.plans import reports as RP
+from oracle import crosstab_query, period_sql, view_query, with_ctes
+from oracle.views import RELEASES, age_sql, band_sql, coinfection_case, test_ctes, test_joins
+
+
+def _crosstab(check: C.CrosstabCheck, as_select: bool = False) -> str:
+    spec, xt = RP.CROSSTABS[check.crosstab]
+    start, end = C.PERIODS[spec.name]
+    return crosstab_query(spec.view, [g.field for g in xt.rows], [g.field for g in xt.cols], xt.measure,
+                          spec.date_field, spec.period, start, end, C.view_as_of(spec.view), check.release)
+
+
+def _wide_donation() -> str:
+    spec, xt = RP.CROSSTABS["donation_by_site"]
+    start, end = C.PERIODS[spec.name]
+    rows = [g.field for g in xt.rows]
+    cols = [g.field for g in xt.cols]
+    keys = rows + cols
+    flags = ", ".join(f"CAST(GROUPING({k}) AS INTEGER) AS g_{k}" for k in keys)
+    rollup = (f"SELECT {', '.join(keys)}, {flags}, count({xt.measure}) AS n FROM {spec.view} "
+              f"WHERE {period_sql(spec.date_field, spec.period, start, end)} "
+              f"GROUP BY ROLLUP({', '.join(rows)}), ROLLUP({', '.join(cols)})")
+    colkey = ("CASE WHEN g_gender = 1 THEN 'Total' WHEN g_ageGroup = 1 THEN coalesce(gender, '(null)') || '|Total' "
+              "ELSE coalesce(gender, '(null)') || '|' || coalesce(ageGroup, '(null)') END")
+    cells = ", ".join(f"CAST(coalesce(sum(CASE WHEN colkey = '{c}' THEN n END), 0) AS BIGINT) AS \"{c}\""
+                      for c in wide_columns(xt))
+    row_cols = ", ".join(rows + [f"g_{r}" for r in rows])
+    select = (f"SELECT {row_cols}, {cells} FROM (SELECT *, {colkey} AS colkey FROM ({rollup}) r) k "
+              f"GROUP BY {row_cols}")
+    return view_query(spec.view, C.view_as_of(spec.view), select=select)
+
+
+def _operators() -> dict[str, str]:
+    rel = RELEASES["1.4.0"]
+    age = age_sql("birthDate", C.AS_OF)
+    out = {
+        "expr_age": with_ctes(["Donor"], [], f"SELECT id, birthDate, {age} AS age FROM Donor"),
+        "expr_age_band": with_ctes(["Donor"], [], f"SELECT ageGroup, count(*) AS n FROM "
+                                   f"(SELECT {band_sql(age)} AS ageGroup FROM Donor) q GROUP BY ageGroup"),
+        "expr_blood_type": with_ctes(["Donation"], [], (
+            "SELECT id, bloodAbo || bloodRh AS bloodType, CASE "
+            + " ".join(f"WHEN bloodAbo || bloodRh = '{g}' AND bloodTypingMatchStatus IN ('MATCH','RESOLVED') "
+                       f"THEN ' {g}'" for g in ("O+", "O-", "A+", "A-", "B+", "B-", "AB+", "AB-"))
+            + " WHEN bloodTypingMatchStatus = 'NO_TYPE_DETERMINED' THEN 'No Type Determined' ELSE 'Unknown' END "
+            "AS bloodGrouping FROM Donation")),
+        "expr_expiry": with_ctes(["Component"], [], (
+            f"SELECT id, expiresOn, CASE WHEN date_sub('day', expiresOn, TIMESTAMP '{C.EXPIRY_AS_OF} 00:00:00') > 0 "
+            "THEN 'EXPIRED' ELSE 'NOT EXPIRED' END AS expiryStatus FROM Component")),
+        "test_flags": with_ctes(["BloodTestResult"], [], (
+            "SELECT donation_id, "
+            "bool_or(CASE WHEN bloodTest_id IN (0, 1) THEN result = 'POS' END) AS hiv_pos, "
+            "bool_or(CASE WHEN bloodTest_id IN (2, 3) THEN result = 'POS' END) AS hbv_pos, "
+            "bool_or(CASE WHEN bloodTest_id IN (4, 5) THEN result = 'POS' END) AS hcv_pos, "
+            "bool_or(CASE WHEN bloodTest_id IN (6, 7) THEN result = 'POS' END) AS syphilis_pos "
+            "FROM BloodTestResult WHERE NOT isDeleted AND bloodTest_id BETWEEN 0 AND 7 GROUP BY donation_id")),
+        "dedupe_counselling": with_ctes(["PostDonationCounselling"], [], (
+            "SELECT donation_id, counsellingDate, flaggedForCounselling, counsellingStatus FROM "
+            "(SELECT *, row_number() OVER (PARTITION BY donation_id ORDER BY counsellingDate DESC NULLS LAST, "
+            "id DESC) AS rn FROM PostDonationCounselling) q WHERE rn = 1")),
+    }
+    out["expr_coinfection"] = with_ctes(
+        ["Donation", "BloodTestResult"], test_ctes(rel),
+        f"SELECT d.id, {coinfection_case(rel)} AS ttiCoinfection, "
+        f"{coinfection_case(rel, strict_gate=True)} AS ttiCoinfectionStrict FROM Donation d " + test_joins("d"))
+    out["dedupe_donation"] = view_query("testingSummaryView", C.AS_OF,
+                                        select="SELECT donationIdentificationNumber, id FROM v7_one")
+    start, end = C.DONATION_PERIOD
+    out["period_closed"] = view_query(
+        "donationSummaryView", C.AS_OF,
+        select=f"SELECT donationDate, count(*) AS n FROM donationSummaryView "
+               f"WHERE {period_sql('donationDate', 'date', start, end)} GROUP BY donationDate")
+    ds, de = C.PERIODS["discard"]
+    out["period_plus_one_day"] = view_query(
+        "discardSummaryView", C.AS_OF,
+        select=f"SELECT statusChangedOn, count(*) AS n FROM discardSummaryView "
+               f"WHERE {period_sql('statusChangedOn', 'timestamp', ds, de)} GROUP BY statusChangedOn")
+    out["xt_wide_donation"] = _wide_donation()
+    return out
+
+
+def oracle_sql() -> dict[str, str]:
+    out: dict[str, str] = {}
+    for name, view in C.VIEW_QUERIES.items():
+        out[name] = view_query(view, C.view_as_of(view))
+    for name, check in C.CROSSTAB_QUERIES.items():
+        out[name] = _crosstab(check)
+    out.update(_operators())
+    return out

@@ -1,0 +1,80 @@
+"""DuckDB text of the 18 derived source tables (FIXTURES.md section 3).
+
+The oracle is written independently of the Spark code: the tables are
+plain SQL over the star-schema views the checker registers.  ``ctes``
+returns the WITH-list entries for the tables a query needs, in
+dependency order.
+"""
+
+from __future__ import annotations
+
+FIXTURE_SQL: dict[str, str] = {
+    "Location": "SELECT n_nationkey AS id, n_name AS name FROM nation",
+    "Donor": """SELECT c_custkey AS id, c_name AS donorNumber,
+ CASE WHEN c_custkey % 97 = 5 THEN NULL WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS gender,
+ CASE WHEN c_custkey % 89 = 7 THEN NULL ELSE DATE '1930-02-28' + CAST((c_custkey * 37) % 22000 AS INT) END AS birthDate,
+ c_custkey % 50 = 3 AS isDeleted,
+ CASE WHEN c_custkey % 61 = 2 THEN NULL WHEN c_custkey % 41 = 1 THEN 'MERGED' ELSE 'NORMAL' END AS donorStatus FROM customer""",
+    "DonationType": "SELECT * FROM (VALUES (0,'Voluntary'),(1,'Family'),(2,'Autologous'),(3,'Other')) t(id, donationType)",
+    "PackType": "SELECT * FROM (VALUES (0,'Single',true),(1,'Double',true),(2,'Triple',true),(3,'Did Not Bleed',false)) t(id, packType, countAsDonation)",
+    "Donation": """SELECT o_orderkey AS id,
+ 'D' || CAST(CASE WHEN o_orderkey % 101 = 50 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR(20)) AS donationIdentificationNumber,
+ o_custkey AS donor_id, CASE WHEN o_orderkey % 59 = 0 THEN NULL ELSE o_orderkey % 25 END AS venue_id, o_orderkey % 5 AS donationType_id, (o_orderkey + o_custkey) % 4 AS packType_id,
+ CAST(o_orderdate AS DATE) AS donationDate,
+ CASE o_orderkey % 9 WHEN 8 THEN NULL WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'AB' WHEN 3 THEN 'A' ELSE 'O' END AS bloodAbo,
+ CASE WHEN o_orderkey % 7 = 0 THEN '-' ELSE '+' END AS bloodRh,
+ CASE o_orderkey % 11 WHEN 0 THEN 'NO_TYPE_DETERMINED' WHEN 1 THEN 'NOT_DONE' WHEN 2 THEN 'RESOLVED' ELSE 'MATCH' END AS bloodTypingMatchStatus,
+ CASE o_orderstatus WHEN 'F' THEN 'UNSAFE' WHEN 'O' THEN 'SAFE' ELSE 'NOT_DONE' END AS ttiStatus,
+ CASE WHEN o_orderkey % 13 = 0 THEN 'PENDING' ELSE 'COMPLETE' END AS bloodTypingStatus,
+ CAST(o_orderdate AS TIMESTAMP) + INTERVAL '9' HOUR AS bleedStartTime, CAST(o_orderdate AS TIMESTAMP) + INTERVAL '10' HOUR AS bleedEndTime,
+ CAST(50 + o_orderkey % 60 AS DECIMAL(10,2)) AS donorWeight, CAST(11 + o_orderkey % 7 AS DECIMAL(10,2)) AS haemoglobinCount,
+ CASE WHEN o_orderkey % 7 < 2 THEN 'FAIL' ELSE 'PASS' END AS haemoglobinLevel, CAST(55 + o_orderkey % 50 AS INT) AS donorPulse,
+ CAST(100 + o_orderkey % 50 AS INT) AS bloodPressureSystolic, CAST(60 + o_orderkey % 30 AS INT) AS bloodPressureDiastolic,
+ CASE WHEN o_orderkey % 70 = 0 THEN o_orderkey ELSE NULL END AS adverseEvent_id, o_orderkey % 17 = 0 AS ineligibleDonor,
+ o_orderkey % 10 < 8 AS released, o_orderkey % 33 = 1 AS isDeleted FROM orders""",
+    "BloodTestResult": """SELECT l_orderkey AS donation_id, (l_linenumber + l_partkey) % 8 AS bloodTest_id,
+ CASE WHEN l_returnflag = 'R' THEN 'POS' ELSE 'NEG' END AS result, l_suppkey % 20 = 0 AS isDeleted FROM lineitem""",
+    "PostDonationCounselling": """SELECT event_id AS id, (event_id * 7) % 1500 AS donation_id,
+ CASE event_type WHEN 'click' THEN 'RECEIVED_COUNSELLING' WHEN 'view' THEN 'REFUSED_COUNSELLING' ELSE NULL END AS counsellingStatus,
+ event_id % 2 = 0 AS flaggedForCounselling, CAST(ts AS DATE) AS counsellingDate FROM events WHERE event_type IN ('click','view','error')""",
+    "ComponentType": "SELECT * FROM (VALUES (0,'Whole Blood'),(1,'Packed Red Cells'),(2,'Fresh Frozen Plasma'),(3,'Platelets'),(4,'Cryoprecipitate')) t(id, componentTypeName)",
+    "ComponentBatch": "SELECT s_suppkey AS id, CASE WHEN s_suppkey % 17 = 4 THEN NULL ELSE s_nationkey END AS location_id FROM supplier",
+    "Component": """SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS donation_id, min(l_partkey) % 6 AS componentType_id, CAST(NULL AS BIGINT) AS parentComponent_id,
+ min(l_suppkey) % 25 AS location_id, CASE WHEN min(l_partkey) % 23 = 9 THEN NULL ELSE min(l_suppkey) END AS componentBatch_id, 'C' || CAST(l_linenumber AS VARCHAR(5)) AS componentCode,
+ CAST(min(l_shipdate) AS TIMESTAMP) + INTERVAL '10' HOUR AS createdOn,
+ CASE WHEN min(l_partkey) % 29 = 0 THEN NULL ELSE CAST(min(l_shipdate) AS TIMESTAMP) + INTERVAL '35' DAY END AS expiresOn,
+ CASE min(l_partkey) % 8 WHEN 0 THEN 'EXPIRED' WHEN 1 THEN 'DISCARDED' WHEN 2 THEN 'ISSUED' WHEN 3 THEN 'TRANSFUSED' WHEN 4 THEN 'AVAILABLE' WHEN 5 THEN 'QUARANTINED' ELSE 'PROCESSED' END AS status,
+ CASE WHEN min(l_partkey) % 3 = 0 THEN 'NOT_IN_STOCK' ELSE 'IN_STOCK' END AS inventoryStatus, min(l_suppkey) % 40 = 7 AS isDeleted
+ FROM lineitem GROUP BY l_orderkey, l_linenumber""",
+    "ReturnForm": "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'CREATED' ELSE 'RETURNED' END AS status FROM orders WHERE o_orderkey % 3 = 0",
+    "ReturnForm_Component": """SELECT id AS component_id, donation_id AS returnForm_id FROM Component WHERE donation_id % 3 = 0 AND id % 7 = 0
+ UNION ALL SELECT id, donation_id - 3 FROM Component WHERE donation_id % 3 = 0 AND donation_id >= 3 AND id % 35 = 0""",
+    "DeferralReason": "SELECT * FROM (VALUES (0,'Low weight'),(1,'Low haemoglobin'),(2,'High risk behaviour'),(3,'Travel')) t(id, reason)",
+    "DonorDeferral": """SELECT event_id AS id, user_id AS deferredDonor_id, CASE WHEN event_id % 43 = 0 THEN NULL ELSE event_id % 25 END AS venue_id,
+ event_id % 5 AS deferralReason_id, ts AS deferralDate, event_id % 20 = 0 AS isVoided FROM events WHERE event_type IN ('error','purchase')""",
+    "ComponentStatusChangeReason": "SELECT * FROM (VALUES (0,'Expired'),(1,'Broken pack'),(2,'Unsafe test'),(3,'Leaking')) t(id, statusChangeReason)",
+    "ComponentStatusChange": """SELECT l_orderkey * 10 + l_linenumber AS component_id,
+ CASE l_returnflag WHEN 'R' THEN 'DISCARDED' WHEN 'A' THEN 'ISSUED' ELSE 'PROCESSED' END AS newStatus,
+ l_partkey % 5 AS statusChangeReason_id, l_shipdate AS statusChangedOn, l_suppkey % 30 = 0 AS isDeleted FROM lineitem""",
+    "OrderForm": """SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 'DISPATCHED' WHEN 'O' THEN 'CREATED' ELSE 'DISPATCHED' END AS status,
+ o_orderdate AS orderDate, CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE o_custkey % 25 END AS dispatchedTo_id,
+ CASE o_orderpriority WHEN '5-LOW' THEN 'TRANSFER' WHEN '4-NOT SPECIFIED' THEN 'PATIENT_REQUEST' ELSE 'ISSUE' END AS type,
+ o_orderkey % 45 = 2 AS isDeleted FROM orders""",
+    "OrderForm_Component": "SELECT donation_id AS orderForm_id, id AS component_id FROM Component",
+}
+
+DEPENDS = {"ReturnForm_Component": ("Component",), "OrderForm_Component": ("Component",)}
+
+
+def ctes(names) -> list[str]:
+    ordered: list[str] = []
+
+    def add(n: str) -> None:
+        for dep in DEPENDS.get(n, ()):
+            add(dep)
+        if n not in ordered:
+            ordered.append(n)
+
+    for n in names:
+        add(n)
+    return [f"{n} AS ({FIXTURE_SQL[n]})" for n in ordered]
