@@ -39,12 +39,15 @@ def as_of_midnight(as_of: DateLike) -> Column:
 
 # --- P3, P4: age ---------------------------------------------------------------
 def age_years(birth_date: str | Column, as_of: DateLike = None) -> Column:
-    """Completed years from birth to ``as_of`` (anniversary based: a
-    29 February birth completes a year on 1 March).  Both ends are taken
-    at midnight without a time zone, so the session zone cannot shift them.
+    """Completed years from birth to ``as_of``, counted on anniversaries
+    (``TIMESTAMPDIFF(YEAR, ..)`` on dates): a 29 February birth completes
+    a year on 1 March.  Written on date parts (year difference, minus one
+    before the month-and-day anniversary) so that no timestamp cast, and
+    hence no session time zone, is involved; the result is a bigint.
     """
-    return F.timestamp_diff("YEAR", _col(birth_date).cast("timestamp_ntz"),
-                            as_of_date(as_of).cast("timestamp_ntz"))
+    b, d = _col(birth_date), as_of_date(as_of)
+    before = (F.month(d) * 100 + F.dayofmonth(d)) < (F.month(b) * 100 + F.dayofmonth(b))
+    return (F.year(d) - F.year(b) - F.when(before, 1).otherwise(0)).cast("long")
 
 
 def age_band(age: str | Column) -> Column:

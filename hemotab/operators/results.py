@@ -19,7 +19,7 @@ from hemotab.functions.recodes import flag_col
 from hemotab.profile import DISEASES, Profile
 
 
-def test_flags(results: DataFrame, profile: Profile, diseases=DISEASES) -> DataFrame:
+def positive_flags(results: DataFrame, profile: Profile, diseases=DISEASES) -> DataFrame:
     """``donation_id`` plus ``<disease>_pos`` for each disease.
 
     A flag is null when the donation has no result for that disease's

@@ -18,7 +18,7 @@ from hemotab.functions import recodes as R
 from hemotab.operators import crosstab as X
 from hemotab.operators.dedupe import latest_counselling
 from hemotab.operators.period import closed_dates, timestamp_period
-from hemotab.operators.tests import test_flags
+from hemotab.operators.results import positive_flags
 from hemotab.plans import reports as RP
 from hemotab.plans import views as V
 from hemotab.profile import fixture_profile
@@ -101,14 +101,14 @@ def expr_expiry(tables) -> DataFrame:
 def expr_coinfection(tables) -> DataFrame:
     """Co-infection label of every donation row (no WHERE, no collapse)."""
     p = fixture_profile()
-    flags = test_flags(tables["BloodTestResult"], p).withColumnRenamed("donation_id", "id")
+    flags = positive_flags(tables["BloodTestResult"], p).withColumnRenamed("donation_id", "id")
     d = tables["Donation"].select("id", "ttiStatus", "released").join(flags, "id", "left")
     return d.select("id", R.coinfection(p).alias("ttiCoinfection"),
                     R.coinfection(p, strict_gate=True).alias("ttiCoinfectionStrict"))
 
 
 def q_test_flags(tables) -> DataFrame:
-    return test_flags(tables["BloodTestResult"], fixture_profile())
+    return positive_flags(tables["BloodTestResult"], fixture_profile())
 
 
 def dedupe_donation(tables) -> DataFrame:

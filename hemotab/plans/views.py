@@ -32,7 +32,7 @@ from hemotab.functions import labels as L
 from hemotab.functions import recodes as R
 from hemotab.operators.dedupe import latest_counselling, one_per_donation_number
 from hemotab.operators.joins import dim_lookup, small_side
-from hemotab.operators.tests import test_flags
+from hemotab.operators.results import positive_flags
 from hemotab.profile import DEFAULT_PROFILE, DISEASES, Profile
 from hemotab.sources.tables import Tables
 
@@ -133,7 +133,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
         c = latest_counselling(tables["PostDonationCounselling"])
         rows = rows.join(c.withColumnRenamed("donation_id", "id"), "id", "left")
     if diseases:
-        flags = test_flags(tables["BloodTestResult"], profile, diseases)
+        flags = positive_flags(tables["BloodTestResult"], profile, diseases)
         rows = rows.join(flags.withColumnRenamed("donation_id", "id"), "id", "left")
     return rows
 
