@@ -102,6 +102,11 @@ def sort_columns(spec: CrosstabSpec) -> list[Column]:
     return order
 
 
+def ordered(long: DataFrame, spec: CrosstabSpec) -> DataFrame:
+    """The long form in report order; the sort runs on the small result."""
+    return long.orderBy(*sort_columns(spec))
+
+
 def labelled(long: DataFrame, spec: CrosstabSpec) -> DataFrame:
     """Adds ``<field>_label``: the member text, or the total label."""
     out = long

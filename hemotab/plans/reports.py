@@ -154,6 +154,9 @@ def dataset(tables: Tables, report: str | ReportSpec, start: DateLike, end: Date
     cols = list(columns) if columns is not None else list(spec.fields)
     if spec.date_field not in cols:
         cols.append(spec.date_field)
+    if spec.view in ("donationSummaryView", "testingSummaryView"):
+        last = F.date_add(F.lit(str(end)).cast("date"), 1 if profile.donation_period_plus_one_day else 0)
+        options = {**options, "months": (F.lit(str(start)).cast("date"), last)}
     df = _view_frame(tables, spec, cols, as_of, profile, **options)
     if spec.period == "date":
         cond = closed_dates(spec.date_field, start, end, plus_one_day=profile.donation_period_plus_one_day)
@@ -207,3 +210,19 @@ def run_report(tables: Tables, report: str, start: DateLike, end: DateLike, as_o
     combined = parts[0].unionByName(parts[1], allowMissingColumns=True)
     out["combined"] = combined
     return out
+
+
+def dataset_sql(spark, report: str, start: DateLike, end: DateLike) -> DataFrame:
+    """The dataset in SQL form (P18): parameters are bound, not spliced.
+
+    Needs the views registered as temp views (``views.register_views``).
+    """
+    spec = REPORTS[report]
+    if spec.period == "date":
+        cond = f"{spec.date_field} BETWEEN :start AND :end"
+    else:
+        cond = (f"{spec.date_field} BETWEEN CAST(:start AS TIMESTAMP_NTZ) "
+                f"AND CAST(date_add(:end, 1) AS TIMESTAMP_NTZ)")
+    fields = ", ".join(spec.fields)
+    return spark.sql(f"SELECT {fields} FROM {spec.view} WHERE {cond}",
+                     args={"start": dt.date.fromisoformat(str(start)), "end": dt.date.fromisoformat(str(end))})

@@ -86,10 +86,23 @@ def _wanted(columns: Sequence[str] | None, all_columns: Sequence[str]) -> list[s
 
 # --- V1 and V7: one row per donation number -------------------------------------------
 def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: Sequence[str],
-                   counselling: bool) -> DataFrame:
+                   counselling: bool, months: tuple | None = None) -> DataFrame:
     """Donations after the WHERE clause, collapsed per number, with the
     labels, counselling row and test flags the requested columns need.
+
+    When ``tables`` carries a stored base (``plans.materialize``), it is
+    read instead; ``months`` (first and last month of a period) then
+    prunes its partitions.  The stored rows are already collapsed, so
+    filtering them by month cannot change which row represents a number.
     """
+    stored = getattr(tables, "donation_base", None)
+    if stored is not None:
+        if tables.donation_base_profile != profile.name:
+            raise ValueError(f"stored donation base is for {tables.donation_base_profile}, not {profile.name}")
+        if months is not None:
+            lo, hi = months
+            stored = stored.where(F.col("donationMonth").between(F.trunc(lo, "month"), F.trunc(hi, "month")))
+        return stored
     need = set(out)
     base = {"id", "donationIdentificationNumber"}
     base |= {c for c in _DONATION_PASSTHROUGH if c in need}
@@ -145,12 +158,13 @@ def donation_numbers(tables: Tables, profile: Profile = DEFAULT_PROFILE) -> Data
 
 
 def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
-                     columns: Sequence[str] | None = None) -> DataFrame:
+                     columns: Sequence[str] | None = None, months: tuple | None = None) -> DataFrame:
     """V1: donation summary, one row per donation number (29 columns)."""
     out = _wanted(columns, DONATION_COLUMNS)
     need = set(out)
     diseases = ("hiv",) if "ttiReactiveStatus" in need else ()
-    rows = _donation_base(tables, profile, out, diseases, counselling=bool(need & set(_COUNSELLING_OUT)))
+    rows = _donation_base(tables, profile, out, diseases, counselling=bool(need & set(_COUNSELLING_OUT)),
+                          months=months)
     age = R.age_years("birthDate", as_of)
     exprs = {
         "age": age,
@@ -163,7 +177,8 @@ def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
 
 
 def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
-                    columns: Sequence[str] | None = None, strict_gate: bool = False) -> DataFrame:
+                    columns: Sequence[str] | None = None, strict_gate: bool = False,
+                    months: tuple | None = None) -> DataFrame:
     """V7: testing summary with grouping, prevalence and co-infection labels (24 columns)."""
     out = _wanted(columns, TESTING_COLUMNS)
     need = set(out)
@@ -171,7 +186,7 @@ def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = D
         diseases = DISEASES
     else:
         diseases = tuple(d for col, d in _PREVALENCE.items() if col in need)
-    rows = _donation_base(tables, profile, out, diseases, counselling=False)
+    rows = _donation_base(tables, profile, out, diseases, counselling=False, months=months)
     age = R.age_years("birthDate", as_of)
     btype = R.blood_type()
     exprs = {

@@ -29,6 +29,9 @@ class Tables(Mapping[str, DataFrame]):
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
         self._bounded: dict[tuple[str, int], bool] = {}
+        # Optional stored collapse of the donation views (plans.materialize).
+        self.donation_base: DataFrame | None = None
+        self.donation_base_profile: str | None = None
 
     # Mapping protocol -------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
