@@ -1,0 +1,2 @@
+"""Plans: the seven views, the twelve reports, the stored donation base and
+the catalogue of registered queries."""

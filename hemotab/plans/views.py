@@ -75,6 +75,11 @@ _COUNSELLING_OUT = ("flaggedForCounselling", "counsellingStatus", "counsellingDa
 _PREVALENCE = {f"{d}Prevalence": d for d in DISEASES}
 
 
+def _project(rows: DataFrame, out: Sequence[str], exprs: dict) -> DataFrame:
+    """Final projection; derived columns are built only when selected."""
+    return rows.select(*[exprs[c]().alias(c) if c in exprs else F.col(c) for c in out])
+
+
 def _wanted(columns: Sequence[str] | None, all_columns: Sequence[str]) -> list[str]:
     if columns is None:
         return list(all_columns)
@@ -165,15 +170,14 @@ def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
     diseases = ("hiv",) if "ttiReactiveStatus" in need else ()
     rows = _donation_base(tables, profile, out, diseases, counselling=bool(need & set(_COUNSELLING_OUT)),
                           months=months)
-    age = R.age_years("birthDate", as_of)
     exprs = {
-        "age": age,
-        "ageGroup": R.age_band(age),
-        "bloodType": R.blood_type(),
-        "donorCounsellingStatus": R.counselling_label(),
-        "ttiReactiveStatus": R.tti_reactive_status(profile),
+        "age": lambda: R.age_years("birthDate", as_of),
+        "ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of)),
+        "bloodType": R.blood_type,
+        "donorCounsellingStatus": R.counselling_label,
+        "ttiReactiveStatus": lambda: R.tti_reactive_status(profile),
     }
-    return rows.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in out])
+    return _project(rows, out, exprs)
 
 
 def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
@@ -187,17 +191,15 @@ def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = D
     else:
         diseases = tuple(d for col, d in _PREVALENCE.items() if col in need)
     rows = _donation_base(tables, profile, out, diseases, counselling=False, months=months)
-    age = R.age_years("birthDate", as_of)
-    btype = R.blood_type()
     exprs = {
-        "age": age,
-        "ageGroup": R.age_band(age),
-        "bloodType": btype,
-        "bloodGrouping": R.blood_grouping(btype),
-        "ttiCoinfection": R.coinfection(profile, strict_gate=strict_gate),
+        "age": lambda: R.age_years("birthDate", as_of),
+        "ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of)),
+        "bloodType": R.blood_type,
+        "bloodGrouping": lambda: R.blood_grouping(R.blood_type()),
+        "ttiCoinfection": lambda: R.coinfection(profile, strict_gate=strict_gate),
     }
-    exprs.update({col: R.prevalence(d, profile) for col, d in _PREVALENCE.items()})
-    return rows.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in out])
+    exprs.update({col: (lambda d=d: R.prevalence(d, profile)) for col, d in _PREVALENCE.items()})
+    return _project(rows, out, exprs)
 
 
 # --- V2 -----------------------------------------------------------------------------------
@@ -247,11 +249,11 @@ def inventory_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
     rows = rows.join(links, rows["id"] == links["component_id"], "left")
 
     exprs = {
-        "componentStatus": F.col("status"),
-        "expiryStatus": R.expiry_status("expiresOn", as_of),
-        "finalComponentStatus": R.component_status_label("status"),
+        "componentStatus": lambda: F.col("status"),
+        "expiryStatus": lambda: R.expiry_status("expiresOn", as_of),
+        "finalComponentStatus": lambda: R.component_status_label("status"),
     }
-    return rows.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in out])
+    return _project(rows, out, exprs)
 
 
 # --- V4 -----------------------------------------------------------------------------------
@@ -269,8 +271,8 @@ def deferral_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
     donors = tables["Donor"].where(~F.col("isDeleted")).select(
         F.col("id").alias("deferredDonor_id"), "donorNumber", "gender", "birthDate")
     rows = rows.join(donors, "deferredDonor_id", "inner")
-    exprs = {"ageGroup": R.age_band(R.age_years("birthDate", as_of))}
-    return rows.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in out])
+    exprs = {"ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of))}
+    return _project(rows, out, exprs)
 
 
 # --- V5 -----------------------------------------------------------------------------------
@@ -318,8 +320,8 @@ def issued_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
         rows = dim_lookup(tables, rows, "ComponentType", "componentType_id", {"componentTypeName": "componentTypeName"})
     if "dispatchedTo" in need:
         rows = dim_lookup(tables, rows, "Location", "dispatchedTo_id", {"name": "dispatchedTo"})
-    exprs = {"orderId": F.col("orderForm_id"), "orderStatus": R.order_status_label("status")}
-    return rows.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in out])
+    exprs = {"orderId": lambda: F.col("orderForm_id"), "orderStatus": lambda: R.order_status_label("status")}
+    return _project(rows, out, exprs)
 
 
 VIEWS = {

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has no streams, watermarks, time windows or state: its
+report periods are a static date filter over stored tables (see
+``hemotab.operators.period``).  No streaming operator is built, so none
+is invented here.  Reports over new data are re-run as batch jobs,
+reading only the months they need from the stored donation base
+(``hemotab.plans.materialize``).
+"""
