@@ -152,18 +152,35 @@ OPERATOR_QUERIES: dict[str, Callable] = {
 }
 
 
-def _runner(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
+# Detail queries (views and row-level operators) are handed to the
+# cross-engine check as text: Spark and DuckDB return dates, timestamps,
+# decimals and nullable integers/booleans as different Python types, but
+# render them as the same text.  The library returns the declared types;
+# tests/test_oracle.py also compares those typed results.
+TEXT_QUERIES = frozenset(VIEW_QUERIES) | {
+    "expr_age", "expr_blood_type", "expr_expiry", "expr_coinfection", "test_flags",
+    "dedupe_donation", "dedupe_counselling", "period_closed", "period_plus_one_day",
+}
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def _runner(build: Callable, text: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(fixture_tables(spark, sf_dir))
+        df = build(fixture_tables(spark, sf_dir))
+        return as_text(df) if text else df
     return run
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def queries(text: bool = True) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """All registered queries; ``text=False`` keeps declared types throughout."""
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for name, view in VIEW_QUERIES.items():
-        out[name] = _runner(lambda t, v=view: view_frame(t, v))
+        out[name] = _runner(lambda t, v=view: view_frame(t, v), text)
     for name, check in CROSSTAB_QUERIES.items():
-        out[name] = _runner(lambda t, c=check: crosstab_frame(t, c))
+        out[name] = _runner(lambda t, c=check: crosstab_frame(t, c), False)
     for name, fn in OPERATOR_QUERIES.items():
-        out[name] = _runner(fn)
+        out[name] = _runner(fn, text and name in TEXT_QUERIES)
     return out

@@ -84,11 +84,16 @@ def _operators() -> dict[str, str]:
     return out
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql(text: bool = True) -> dict[str, str]:
+    """SQL per registered query; detail queries are rendered as text when
+    ``text`` (see ``hemotab.plans.catalog.TEXT_QUERIES``)."""
     out: dict[str, str] = {}
     for name, view in C.VIEW_QUERIES.items():
         out[name] = view_query(view, C.view_as_of(view))
     for name, check in C.CROSSTAB_QUERIES.items():
         out[name] = _crosstab(check)
     out.update(_operators())
+    if text:
+        for name in C.TEXT_QUERIES:
+            out[name] = f"SELECT COLUMNS(*)::VARCHAR FROM ({out[name]}) q"
     return out

@@ -11,8 +11,13 @@ import __spark_entry__ as E
 from conftest import SF_CHECK, SF_SMALL
 from harness import compare, duck
 
+from hemotab.plans import catalog as C
+from oracle.catalog import oracle_sql as typed_oracle
+
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+TYPED = C.queries(text=False)
+TYPED_ORACLE = typed_oracle(text=False)
 
 
 def test_every_query_has_an_oracle():
@@ -35,6 +40,20 @@ def test_query_small(spark, duck_small, name):
     assert ok, msg
 
 
+@pytest.mark.parametrize("name", sorted(C.TEXT_QUERIES))
+def test_query_small_typed(spark, duck_small, name):
+    """The same detail queries with declared types (dates, decimals, ...)."""
+    ok, msg = compare(TYPED[name](spark, SF_SMALL), TYPED_ORACLE[name], duck_small)
+    assert ok, msg
+
+
+def test_text_rendering_only_for_detail_queries(spark):
+    df = QUERIES["view_donation_summary"](spark, SF_SMALL)
+    assert {f.dataType.simpleString() for f in df.schema.fields} == {"string"}
+    xt = QUERIES["xt_donation_all"](spark, SF_SMALL)
+    assert xt.schema["n"].dataType.simpleString() == "bigint"
+
+
 @pytest.mark.parametrize("name", ["xt_donorCounselling_by_site", "xt_ttiCoinfection_by_site",
                                   "xt_component_by_site", "view_issued_summary", "profile_100_donation",
                                   "xt_wide_donation"])
