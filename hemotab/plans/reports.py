@@ -226,3 +226,37 @@ def dataset_sql(spark, report: str, start: DateLike, end: DateLike) -> DataFrame
     fields = ", ".join(spec.fields)
     return spark.sql(f"SELECT {fields} FROM {spec.view} WHERE {cond}",
                      args={"start": dt.date.fromisoformat(str(start)), "end": dt.date.fromisoformat(str(end))})
+
+
+def run_reports(tables: Tables, names: Sequence[str] | None, start: DateLike, end: DateLike, as_of=None,
+                profile: Profile = DEFAULT_PROFILE, **options) -> DataFrame:
+    """Several reports for one period as one long frame, in one job.
+
+    Reports on the same view share one dataset and one finest-grain
+    aggregate over the union of their keys, with one count per measure
+    (``n_<measure>``); each crosstab then sums its own count.  The six
+    testing-view reports thus scan and collapse the donations once, not
+    six times.  Columns: ``report``, ``crosstab``, every key with its
+    ``g_<key>`` flag (null where the crosstab does not have that key), ``n``.
+    """
+    specs = [REPORTS[n] for n in (names or REPORTS)]
+    by_view: dict[str, list[ReportSpec]] = {}
+    for spec in specs:
+        by_view.setdefault(spec.view, []).append(spec)
+    parts: list[DataFrame] = []
+    for view, group in by_view.items():
+        keys = list(dict.fromkeys(k for spec in group for k in spec.keys))
+        measures = list(dict.fromkeys(spec.measure for spec in group))
+        ds = dataset(tables, group[0], start, end, as_of, profile,
+                     columns=list(dict.fromkeys(keys + measures)), **options)
+        shared = ds.groupBy(*keys).agg(*[F.count(F.col(m)).alias(f"n_{m}") for m in measures])
+        for spec in group:
+            for xt in spec.crosstabs:
+                sub = shared.select(*xt.keys, F.col(f"n_{xt.measure}").alias(X.COUNT))
+                parts.append(X.crosstab(sub, xt)
+                             .withColumn("report", F.lit(spec.name))
+                             .withColumn("crosstab", F.lit(xt.name)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out

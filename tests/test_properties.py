@@ -71,3 +71,17 @@ def test_run_report_outputs(check_tables):
     combined = out["combined"].groupBy("crosstab").count().collect()
     assert {r["crosstab"]: r["count"] for r in combined} == {
         "donation_all": out["donation_all"].count(), "donation_by_site": out["donation_by_site"].count()}
+
+
+def test_run_reports_batch_equals_single_reports(check_tables):
+    s, e = C.DONATION_PERIOD
+    names = ["donation", "donorCounselling", "hivPrevalence", "ttiCoinfection", "bloodGrouping"]
+    batch = RP.run_reports(check_tables, names, s, e, as_of=C.AS_OF, profile=P).cache()
+    for name in names:
+        for xt in RP.REPORTS[name].crosstabs:
+            single = RP.crosstab(check_tables, xt.name, s, e, as_of=C.AS_OF, profile=P)
+            part = batch.where(F.col("crosstab") == xt.name).select(*single.columns)
+            assert sorted(map(tuple, single.collect()), key=str) == sorted(map(tuple, part.collect()), key=str)
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 1
+    batch.unpersist()
