@@ -12,6 +12,9 @@ def small_side(tables: Tables, name: str, frame: DataFrame,
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``frame`` with a broadcast hint when its row count is proven small.
 
+    ``name`` keys the cached check, so it must identify the frame (table,
+    filter and joins), not just the table it starts from.
+
     The bound is measured (``Tables.is_bounded``); above it the frame is
     returned unhinted and Spark joins it by shuffle (sort-merge, with AQE
     splitting skewed partitions).
@@ -31,6 +34,6 @@ def dim_lookup(tables: Tables, fact: DataFrame, table: str, fact_key: str,
     key = f"__{table}_id"
     dim = tables[table].select(F.col("id").alias(key),
                                *[F.col(src).alias(alias) for src, alias in columns.items()])
-    dim = small_side(tables, name or table, dim)
+    dim = small_side(tables, name or f"{table}:{','.join(sorted(columns))}", dim)
     out = fact.join(dim, fact[fact_key] == dim[key], how)
     return out.drop(key)

@@ -16,6 +16,9 @@ which also cuts the lineage: later reports start from files.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +52,20 @@ def write_donation_base(tables: Tables, profile: Profile = DEFAULT_PROFILE, path
                         partitions: int | None = None) -> str:
     """Writes the base, range-partitioned on (month, number) so that every
     task writes a similar share even when one month holds most donations.
+
+    Each build goes to a new folder (``.../donation_base/<profile>/<run>``)
+    and the folder is returned: a failed or half-written build never
+    replaces the one readers use, and a lost executor only re-runs its
+    tasks (Spark's file committer publishes a task's files once).
     """
     spark = tables.spark
-    path = path or f"{checkpoint_dir(spark).rstrip('/')}/donation_base/{profile.name}"
+    if path is None:
+        run = f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/donation_base/{profile.name}/{run}"
     n = partitions or max(spark.sparkContext.defaultParallelism, 1)
     base = donation_base(tables, profile)
     (base.repartitionByRange(n, MONTH, "donationIdentificationNumber")
-         .write.mode("overwrite").partitionBy(MONTH).parquet(path))
+         .write.mode("errorifexists").partitionBy(MONTH).parquet(path))
     return path
 
 

@@ -129,7 +129,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
 
     pack = tables["PackType"].where(F.col("countAsDonation")).select(
         F.col("id").alias("packType_id"), "packType")
-    rows = donation.join(small_side(tables, "PackType", pack), "packType_id", "inner")
+    rows = donation.join(small_side(tables, "PackType:counted", pack), "packType_id", "inner")
 
     # Only what the requested columns need crosses the collapse below:
     # Catalyst cannot prune fields inside the aggregated struct.
@@ -207,7 +207,7 @@ def batch_location(tables: Tables) -> DataFrame:
     """V2: component batches with a known location: (id, name)."""
     sites = tables["Location"].select(F.col("id").alias("location_id"), "name")
     batches = tables["ComponentBatch"].select("id", "location_id")
-    return batches.join(small_side(tables, "Location", sites), "location_id", "inner").select("id", "name")
+    return batches.join(small_side(tables, "Location:sites", sites), "location_id", "inner").select("id", "name")
 
 
 def _processed_at(tables: Tables, rows: DataFrame, batch_key: str = "componentBatch_id") -> DataFrame:
@@ -245,7 +245,9 @@ def inventory_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
     if "returnStatus" in need:
         forms = tables["ReturnForm"].select(F.col("id").alias("returnForm_id"), F.col("status").alias("returnStatus"))
         links = links.join(forms, "returnForm_id", "left")
-    links = small_side(tables, "ReturnForm_Component", links)
+    variant = ("ReturnForm_Component" + (":latest" if dedupe_returns else "")
+               + ("+ReturnForm" if "returnStatus" in need else ""))
+    links = small_side(tables, variant, links)
     rows = rows.join(links, rows["id"] == links["component_id"], "left")
 
     exprs = {

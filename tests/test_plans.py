@@ -54,3 +54,33 @@ def test_period_stays_above_donation_collapse(small_tables):
     agg = next(i for i, l in enumerate(lines) if "min(struct(" in l)
     flt = [i for i, l in enumerate(lines) if "Filter" in l and "donationDate" in l]
     assert flt and min(flt) < agg  # the period filter is a parent of the collapse
+
+
+# Hash exchanges per report (both crosstabs) when every fact join must
+# shuffle (no automatic broadcast) and code tables are broadcast after the
+# size check: the shuffle budget at scale.  A new shuffle fails this test.
+SHUFFLE_BUDGET = {
+    "bloodGrouping": 7, "component": 4, "componentsIssued": 8, "deferral": 6, "discard": 6,
+    "donation": 7, "donorCounselling": 10, "hbvPrevalence": 9, "hcvPrevalence": 9,
+    "hivPrevalence": 9, "syphilisPrevalence": 9, "ttiCoinfection": 9,
+}
+
+
+def test_shuffle_budget_at_scale(spark, small_tables, tmp_path):
+    from pyspark.sql import types as T
+    from hemotab.sources.tables import Tables
+
+    for name in small_tables:
+        small_tables[name].write.parquet(str(tmp_path / name))
+    stored = Tables.from_files(spark, str(tmp_path), test_id_type=T.LongType())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name, budget in SHUFFLE_BUDGET.items():
+            plan = _plan(_report(stored, name)["combined"])
+            assert plan.count("Exchange hashpartitioning") <= budget, name
+            assert "ReusedExchange" in plan, name  # both crosstabs share the finest aggregate
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
