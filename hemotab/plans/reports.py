@@ -155,8 +155,8 @@ def dataset(tables: Tables, report: str | ReportSpec, start: DateLike, end: Date
     if spec.date_field not in cols:
         cols.append(spec.date_field)
     if spec.view in ("donationSummaryView", "testingSummaryView"):
-        last = F.date_add(F.lit(str(end)).cast("date"), 1 if profile.donation_period_plus_one_day else 0)
-        options = {**options, "months": (F.lit(str(start)).cast("date"), last)}
+        last = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1 if profile.donation_period_plus_one_day else 0)
+        options = {**options, "period": (str(start), str(last))}
     df = _view_frame(tables, spec, cols, as_of, profile, **options)
     if spec.period == "date":
         cond = closed_dates(spec.date_field, start, end, plus_one_day=profile.donation_period_plus_one_day)

@@ -90,23 +90,51 @@ def _wanted(columns: Sequence[str] | None, all_columns: Sequence[str]) -> list[s
 
 
 # --- V1 and V7: one row per donation number -------------------------------------------
+# Periods up to this length get the numbers-in-period pre-filter.
+PREFILTER_MAX_DAYS = 366
+
+
+def _period_numbers(tables: Tables, donation: DataFrame, period: tuple[str, str]) -> DataFrame:
+    """Keeps the donations whose number has a row dated inside ``period``.
+
+    A number can only be reported for a period if its chosen row (the
+    lowest valid id) is dated inside it, so numbers without any row in
+    the period can be dropped before the collapse; the numbers kept are
+    collapsed over all their rows, so the choice is unchanged.  The set
+    of numbers is broadcast only when counted to be within the bound;
+    above it, or for periods over a year, the pre-filter is skipped (for
+    repeated reporting at scale the stored base prunes by month instead).
+    """
+    lo, hi = period
+    if (dt.date.fromisoformat(hi) - dt.date.fromisoformat(lo)).days > PREFILTER_MAX_DAYS:
+        return donation  # a long period keeps most numbers: the pre-filter would not pay
+    din = "donationIdentificationNumber"
+    numbers = (tables["Donation"].where(F.col("donationDate").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+               .select(F.col(din).alias("__din")).distinct())
+    if not tables.is_bounded(f"numbers-in-period:{lo}:{hi}", numbers):
+        return donation
+    return donation.join(F.broadcast(numbers), donation[din].eqNullSafe(F.col("__din")), "left_semi")
+
+
 def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: Sequence[str],
-                   counselling: bool, months: tuple | None = None) -> DataFrame:
+                   counselling: bool, period: tuple[str, str] | None = None) -> DataFrame:
     """Donations after the WHERE clause, collapsed per number, with the
     labels, counselling row and test flags the requested columns need.
 
+    ``period`` (first and last date, inclusive, a superset of the report
+    period) lets the plan skip numbers that cannot be in the report.
     When ``tables`` carries a stored base (``plans.materialize``), it is
-    read instead; ``months`` (first and last month of a period) then
-    prunes its partitions.  The stored rows are already collapsed, so
-    filtering them by month cannot change which row represents a number.
+    read instead and ``period`` prunes its month partitions.  The stored
+    rows are already collapsed, so filtering them by month cannot change
+    which row represents a number.
     """
     stored = getattr(tables, "donation_base", None)
     if stored is not None:
         if tables.donation_base_profile != profile.name:
             raise ValueError(f"stored donation base is for {tables.donation_base_profile}, not {profile.name}")
-        if months is not None:
-            lo, hi = months
-            stored = stored.where(F.col("donationMonth").between(F.trunc(lo, "month"), F.trunc(hi, "month")))
+        if period is not None:
+            lo, hi = (F.trunc(F.lit(d).cast("date"), "month") for d in period)
+            stored = stored.where(F.col("donationMonth").between(lo, hi))
         return stored
     need = set(out)
     base = {"id", "donationIdentificationNumber"}
@@ -126,6 +154,8 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
 
     donation = tables["Donation"].where(~F.col("isDeleted"))
     donation = donation.select(*sorted(base | {"donor_id", "packType_id"}))
+    if period is not None:
+        donation = _period_numbers(tables, donation, period)
 
     pack = tables["PackType"].where(F.col("countAsDonation")).select(
         F.col("id").alias("packType_id"), "packType")
@@ -163,13 +193,13 @@ def donation_numbers(tables: Tables, profile: Profile = DEFAULT_PROFILE) -> Data
 
 
 def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
-                     columns: Sequence[str] | None = None, months: tuple | None = None) -> DataFrame:
+                     columns: Sequence[str] | None = None, period: tuple[str, str] | None = None) -> DataFrame:
     """V1: donation summary, one row per donation number (29 columns)."""
     out = _wanted(columns, DONATION_COLUMNS)
     need = set(out)
     diseases = ("hiv",) if "ttiReactiveStatus" in need else ()
     rows = _donation_base(tables, profile, out, diseases, counselling=bool(need & set(_COUNSELLING_OUT)),
-                          months=months)
+                          period=period)
     exprs = {
         "age": lambda: R.age_years("birthDate", as_of),
         "ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of)),
@@ -182,7 +212,7 @@ def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
 
 def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
                     columns: Sequence[str] | None = None, strict_gate: bool = False,
-                    months: tuple | None = None) -> DataFrame:
+                    period: tuple[str, str] | None = None) -> DataFrame:
     """V7: testing summary with grouping, prevalence and co-infection labels (24 columns)."""
     out = _wanted(columns, TESTING_COLUMNS)
     need = set(out)
@@ -190,7 +220,7 @@ def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = D
         diseases = DISEASES
     else:
         diseases = tuple(d for col, d in _PREVALENCE.items() if col in need)
-    rows = _donation_base(tables, profile, out, diseases, counselling=False, months=months)
+    rows = _donation_base(tables, profile, out, diseases, counselling=False, period=period)
     exprs = {
         "age": lambda: R.age_years("birthDate", as_of),
         "ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of)),
