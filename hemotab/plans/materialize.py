@@ -1,4 +1,4 @@
-"""Materialised donation base for the two donation views (V1, V7).
+"""Stored view bases: the donation collapse (V1, V7) and the event views (V3-V6).
 
 Both views collapse donations per number (D1) *before* any period filter,
 so the filter cannot be pushed below the collapse: computed on the fly,
@@ -78,3 +78,61 @@ def use_donation_base(tables: Tables, path: str, profile: Profile = DEFAULT_PROF
     tables.donation_base = stored
     tables.donation_base_profile = profile.name
     return tables
+
+
+# --- event views (V3-V6) -------------------------------------------------------------
+_DECLARED = {
+    "inventorySummaryView": V.INVENTORY_COLUMNS,
+    "deferralSummaryView": V.DEFERRAL_COLUMNS,
+    "discardSummaryView": V.DISCARD_COLUMNS,
+    "issuedSummaryView": V.ISSUED_COLUMNS,
+}
+
+
+def write_view_base(tables: Tables, view: str, profile: Profile = DEFAULT_PROFILE, path: str | None = None,
+                    partitions: int | None = None) -> str:
+    """Stores an event view's rows partitioned by the month of its date.
+
+    Outputs that depend on the reporting date (expiry, age band) are
+    stored as their inputs (expiry time, birth date) and computed at read.
+    Same folder-per-build rule as :func:`write_donation_base`.
+    """
+    spark = tables.spark
+    date_field, _ = V.EVENT_BASES[view]
+    if path is None:
+        run = f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/{view}/{profile.name}/{run}"
+    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
+    cols = V.stored_columns(view, _DECLARED[view])
+    rows = V.VIEWS[view](tables, profile=profile, columns=cols)
+    rows = rows.withColumn(V.BASE_MONTH, F.trunc(F.col(date_field).cast("date"), "month"))
+    (rows.repartitionByRange(n, V.BASE_MONTH, date_field)
+         .write.mode("errorifexists").partitionBy(V.BASE_MONTH).parquet(path))
+    return path
+
+
+def use_view_base(tables: Tables, view: str, path: str, profile: Profile = DEFAULT_PROFILE) -> Tables:
+    stored = tables.spark.read.parquet(path)
+    missing = set(V.stored_columns(view, _DECLARED[view])) - set(stored.columns)
+    if missing:
+        raise ValueError(f"{path} lacks columns {sorted(missing)}")
+    tables.view_bases[view] = (stored, profile.name)
+    return tables
+
+
+def write_all_bases(tables: Tables, profile: Profile = DEFAULT_PROFILE, root: str | None = None,
+                    partitions: int | None = None) -> dict[str, str]:
+    """Stores the donation base and the four event views; returns their folders."""
+    paths = {"donation": write_donation_base(tables, profile, None if root is None else f"{root}/donation",
+                                             partitions)}
+    for view in V.EVENT_BASES:
+        paths[view] = write_view_base(tables, view, profile, None if root is None else f"{root}/{view}",
+                                      partitions)
+    return paths
+
+
+def use_all_bases(tables: Tables, paths: dict[str, str], profile: Profile = DEFAULT_PROFILE) -> Tables:
+    use_donation_base(tables, paths["donation"], profile)
+    for view in V.EVENT_BASES:
+        use_view_base(tables, view, paths[view], profile)
+    return tables

@@ -137,7 +137,7 @@ def _view_frame(tables: Tables, spec: ReportSpec, columns: Sequence[str], as_of,
                 **options) -> DataFrame:
     fn = V.VIEWS[spec.view]
     if fn in (V.discard_summary, V.issued_summary):
-        return fn(tables, profile=profile, columns=columns)
+        return fn(tables, profile=profile, columns=columns, period=options.get("period"))
     return fn(tables, as_of=as_of, profile=profile, columns=columns, **options)
 
 
@@ -154,9 +154,11 @@ def dataset(tables: Tables, report: str | ReportSpec, start: DateLike, end: Date
     cols = list(columns) if columns is not None else list(spec.fields)
     if spec.date_field not in cols:
         cols.append(spec.date_field)
-    if spec.view in ("donationSummaryView", "testingSummaryView"):
-        last = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1 if profile.donation_period_plus_one_day else 0)
-        options = {**options, "period": (str(start), str(last))}
+    # Inclusive date bounds covering the period: they prune stored months
+    # and, for the donation views, drive the numbers-in-period pre-filter.
+    plus_one = spec.period == "timestamp" or profile.donation_period_plus_one_day
+    last = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1 if plus_one else 0)
+    options = {**options, "period": (str(start), str(last))}
     df = _view_frame(tables, spec, cols, as_of, profile, **options)
     if spec.period == "date":
         cond = closed_dates(spec.date_field, start, end, plus_one_day=profile.donation_period_plus_one_day)

@@ -80,13 +80,45 @@ def _project(rows: DataFrame, out: Sequence[str], exprs: dict) -> DataFrame:
     return rows.select(*[exprs[c]().alias(c) if c in exprs else F.col(c) for c in out])
 
 
-def _wanted(columns: Sequence[str] | None, all_columns: Sequence[str]) -> list[str]:
+def _wanted(columns: Sequence[str] | None, all_columns: Sequence[str], extras: Sequence[str] = ()) -> list[str]:
+    """Requested columns in declared order; ``extras`` are raw inputs a
+    stored base keeps in place of values that depend on the reporting date."""
     if columns is None:
         return list(all_columns)
-    unknown = set(columns) - set(all_columns)
+    unknown = set(columns) - set(all_columns) - set(extras)
     if unknown:
         raise ValueError(f"unknown view columns: {sorted(unknown)}")
-    return [c for c in all_columns if c in set(columns)]
+    return [c for c in [*all_columns, *extras] if c in set(columns)]
+
+
+# --- stored event-view bases (plans.materialize) ----------------------------------------
+# View -> (date field, {output that depends on the reporting date: raw input stored}).
+EVENT_BASES = {
+    "inventorySummaryView": ("createdOn", {"expiryStatus": "expiresOn"}),
+    "deferralSummaryView": ("deferralDate", {"ageGroup": "birthDate"}),
+    "discardSummaryView": ("statusChangedOn", {}),
+    "issuedSummaryView": ("orderDate", {}),
+}
+BASE_MONTH = "month"
+
+
+def stored_columns(view: str, declared: Sequence[str]) -> list[str]:
+    _, raw = EVENT_BASES[view]
+    return [c for c in declared if c not in raw] + list(raw.values())
+
+
+def _stored_view(tables: Tables, view: str, profile: Profile, period: tuple[str, str] | None) -> DataFrame | None:
+    """The stored rows of an event view, pruned to the months of ``period``."""
+    entry = getattr(tables, "view_bases", {}).get(view)
+    if entry is None:
+        return None
+    df, name = entry
+    if name != profile.name:
+        raise ValueError(f"stored {view} is for {name}, not {profile.name}")
+    if period is not None:
+        lo, hi = (F.trunc(F.lit(d).cast("date"), "month") for d in period)
+        df = df.where(F.col(BASE_MONTH).between(lo, hi))
+    return df
 
 
 # --- V1 and V7: one row per donation number -------------------------------------------
@@ -249,12 +281,21 @@ def _processed_at(tables: Tables, rows: DataFrame, batch_key: str = "componentBa
 
 # --- V3 -----------------------------------------------------------------------------------
 def inventory_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
-                      columns: Sequence[str] | None = None, dedupe_returns: bool = False) -> DataFrame:
+                      columns: Sequence[str] | None = None, dedupe_returns: bool = False,
+                      period: tuple[str, str] | None = None) -> DataFrame:
     """V3: inventory, one row per component and return (J15: a component
     returned twice appears twice; ``dedupe_returns=True`` keeps its latest return).
     """
-    out = _wanted(columns, INVENTORY_COLUMNS)
+    out = _wanted(columns, INVENTORY_COLUMNS, extras=("expiresOn",))
     need = set(out)
+    exprs = {
+        "componentStatus": lambda: F.col("status"),
+        "expiryStatus": lambda: R.expiry_status("expiresOn", as_of),
+        "finalComponentStatus": lambda: R.component_status_label("status"),
+    }
+    stored = None if dedupe_returns else _stored_view(tables, "inventorySummaryView", profile, period)
+    if stored is not None:
+        return _project(stored, out, {"expiryStatus": exprs["expiryStatus"]})
     rows = tables["Component"].where(~F.col("isDeleted")).select(
         "id", "donation_id", "componentType_id", "location_id", "componentBatch_id",
         "componentCode", "createdOn", "expiresOn", "status", "inventoryStatus")
@@ -279,21 +320,19 @@ def inventory_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
                + ("+ReturnForm" if "returnStatus" in need else ""))
     links = small_side(tables, variant, links)
     rows = rows.join(links, rows["id"] == links["component_id"], "left")
-
-    exprs = {
-        "componentStatus": lambda: F.col("status"),
-        "expiryStatus": lambda: R.expiry_status("expiresOn", as_of),
-        "finalComponentStatus": lambda: R.component_status_label("status"),
-    }
     return _project(rows, out, exprs)
 
 
 # --- V4 -----------------------------------------------------------------------------------
 def deferral_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
-                     columns: Sequence[str] | None = None) -> DataFrame:
+                     columns: Sequence[str] | None = None, period: tuple[str, str] | None = None) -> DataFrame:
     """V4: deferrals that are not voided, of donors not deleted (merged donors kept)."""
-    out = _wanted(columns, DEFERRAL_COLUMNS)
+    out = _wanted(columns, DEFERRAL_COLUMNS, extras=("birthDate",))
     need = set(out)
+    exprs = {"ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of))}
+    stored = _stored_view(tables, "deferralSummaryView", profile, period)
+    if stored is not None:
+        return _project(stored, out, exprs)
     rows = tables["DonorDeferral"].where(~F.col("isVoided")).select(
         "deferredDonor_id", "venue_id", "deferralReason_id", "deferralDate")
     if "reason" in need:
@@ -303,16 +342,18 @@ def deferral_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
     donors = tables["Donor"].where(~F.col("isDeleted")).select(
         F.col("id").alias("deferredDonor_id"), "donorNumber", "gender", "birthDate")
     rows = rows.join(donors, "deferredDonor_id", "inner")
-    exprs = {"ageGroup": lambda: R.age_band(R.age_years("birthDate", as_of))}
     return _project(rows, out, exprs)
 
 
 # --- V5 -----------------------------------------------------------------------------------
 def discard_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
-                    columns: Sequence[str] | None = None) -> DataFrame:
+                    columns: Sequence[str] | None = None, period: tuple[str, str] | None = None) -> DataFrame:
     """V5: discard events (a component discarded twice counts twice)."""
     out = _wanted(columns, DISCARD_COLUMNS)
     need = set(out)
+    stored = _stored_view(tables, "discardSummaryView", profile, period)
+    if stored is not None:
+        return stored.select(*out)
     events = tables["ComponentStatusChange"].where(
         (F.col("newStatus") == L.DISCARDED) & ~F.col("isDeleted")).select(
         "component_id", "statusChangeReason_id", "statusChangedOn")
@@ -331,10 +372,13 @@ def discard_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
 
 # --- V6 -----------------------------------------------------------------------------------
 def issued_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
-                   columns: Sequence[str] | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None, period: tuple[str, str] | None = None) -> DataFrame:
     """V6: components on dispatched issue orders."""
     out = _wanted(columns, ISSUED_COLUMNS)
     need = set(out)
+    stored = _stored_view(tables, "issuedSummaryView", profile, period)
+    if stored is not None:
+        return stored.select(*out)
     orders = tables["OrderForm"].where(
         ~F.col("isDeleted") & (F.col("type") == L.ISSUE_ORDER_TYPE) & (F.col("status") == L.DISPATCHED)
     ).select(F.col("id").alias("orderForm_id"), "status", "orderDate", "dispatchedTo_id")

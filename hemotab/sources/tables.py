@@ -32,6 +32,8 @@ class Tables(Mapping[str, DataFrame]):
         # Optional stored collapse of the donation views (plans.materialize).
         self.donation_base: DataFrame | None = None
         self.donation_base_profile: str | None = None
+        # Optional stored event views: view name -> (frame, profile name).
+        self.view_bases: dict[str, tuple[DataFrame, str]] = {}
 
     # Mapping protocol -------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
