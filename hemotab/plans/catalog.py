@@ -132,6 +132,12 @@ def period_plus_one_day(tables) -> DataFrame:
             .groupBy("statusChangedOn").agg(F.count(F.lit(1)).alias("n")))
 
 
+def xt_labels_discard(tables) -> DataFrame:
+    """The discard-by-site crosstab with its total labels."""
+    spec, xt = RP.CROSSTABS["discard_by_site"]
+    return X.labelled(crosstab_frame(tables, CrosstabCheck("discard_by_site")), xt)
+
+
 def xt_wide_donation(tables) -> DataFrame:
     spec, xt = RP.CROSSTABS["donation_by_site"]
     return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck("donation_by_site")), xt)
@@ -149,6 +155,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "period_closed": period_closed,
     "period_plus_one_day": period_plus_one_day,
     "xt_wide_donation": xt_wide_donation,
+    "xt_labels_discard": xt_labels_discard,
 }
 
 

@@ -36,6 +36,21 @@ def _wide_donation() -> str:
     return view_query(spec.view, C.view_as_of(spec.view), select=select)
 
 
+def _labels_discard() -> str:
+    spec, xt = RP.CROSSTABS["discard_by_site"]
+    start, end = C.PERIODS[spec.name]
+    rows = [g.field for g in xt.rows]
+    cols = [g.field for g in xt.cols]
+    keys = rows + cols
+    flags = ", ".join(f"CAST(GROUPING({k}) AS INTEGER) AS g_{k}" for k in keys)
+    labels = ", ".join(f"CASE WHEN GROUPING({g.field}) = 1 THEN '{g.total_label}' ELSE {g.field} END "
+                       f"AS {g.field}_label" for g in xt.rows + xt.cols)
+    select = (f"SELECT {', '.join(keys)}, {flags}, CAST(count({xt.measure}) AS BIGINT) AS n, {labels} "
+              f"FROM {spec.view} WHERE {period_sql(spec.date_field, spec.period, start, end)} "
+              f"GROUP BY ROLLUP({', '.join(rows)}), ROLLUP({', '.join(cols)})")
+    return view_query(spec.view, C.view_as_of(spec.view), select=select)
+
+
 def _operators() -> dict[str, str]:
     rel = RELEASES["1.4.0"]
     age = age_sql("birthDate", C.AS_OF)
@@ -81,6 +96,7 @@ def _operators() -> dict[str, str]:
         select=f"SELECT statusChangedOn, count(*) AS n FROM discardSummaryView "
                f"WHERE {period_sql('statusChangedOn', 'timestamp', ds, de)} GROUP BY statusChangedOn")
     out["xt_wide_donation"] = _wide_donation()
+    out["xt_labels_discard"] = _labels_discard()
     return out
 
 

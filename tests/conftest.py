@@ -15,9 +15,13 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from hemotab.session import build_session
 
-    s = build_session("local[*]", 8, app_name="hemotab-tests")
+    warehouse = tempfile.mkdtemp(prefix="hemotab-warehouse-", dir="/tmp")
+    s = build_session("local[*]", 8, app_name="hemotab-tests",
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
