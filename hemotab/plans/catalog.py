@@ -138,6 +138,16 @@ def xt_labels_discard(tables) -> DataFrame:
     return X.labelled(crosstab_frame(tables, CrosstabCheck("discard_by_site")), xt)
 
 
+BATCH_REPORTS = tuple(n for n, r in RP.REPORTS.items()
+                      if r.view in ("donationSummaryView", "testingSummaryView"))
+
+
+def report_batch_donation_views(tables) -> DataFrame:
+    """``run_reports``: the eight donation-view reports for one period, one job."""
+    start, end = DONATION_PERIOD
+    return RP.run_reports(tables, BATCH_REPORTS, start, end, as_of=AS_OF, profile=fixture_profile())
+
+
 def xt_wide_donation(tables) -> DataFrame:
     spec, xt = RP.CROSSTABS["donation_by_site"]
     return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck("donation_by_site")), xt)
@@ -156,6 +166,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "period_plus_one_day": period_plus_one_day,
     "xt_wide_donation": xt_wide_donation,
     "xt_labels_discard": xt_labels_discard,
+    "report_batch_donation_views": report_batch_donation_views,
 }
 
 
@@ -167,6 +178,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
 TEXT_QUERIES = frozenset(VIEW_QUERIES) | {
     "expr_age", "expr_blood_type", "expr_expiry", "expr_coinfection", "test_flags",
     "dedupe_donation", "dedupe_counselling", "period_closed", "period_plus_one_day",
+    "report_batch_donation_views",
 }
 
 

@@ -6,6 +6,7 @@ from hemotab.operators.crosstab import wide_columns
 from hemotab.plans import catalog as C
 from hemotab.plans import reports as RP
 from oracle import crosstab_query, period_sql, view_query, with_ctes
+from oracle.views import view_sql
 from oracle.views import RELEASES, age_sql, band_sql, coinfection_case, test_ctes, test_joins
 
 
@@ -51,6 +52,34 @@ def _labels_discard() -> str:
     return view_query(spec.view, C.view_as_of(spec.view), select=select)
 
 
+def _batch() -> str:
+    """UNION ALL of the direct rollups of every crosstab of the batch."""
+    start, end = C.DONATION_PERIOD
+    specs = [RP.REPORTS[n] for n in C.BATCH_REPORTS]
+    keys = list(dict.fromkeys(k for spec in specs for k in spec.keys))
+    ctes: list[str] = []
+    tables: list[str] = []
+    for view in dict.fromkeys(spec.view for spec in specs):
+        v_ctes, v_tables = view_sql(view, C.AS_OF)
+        ctes += [c for c in v_ctes if c not in ctes]
+        tables += v_tables
+    parts = []
+    for spec in specs:
+        for xt in spec.crosstabs:
+            rows = [g.field for g in xt.rows]
+            cols = [g.field for g in xt.cols]
+            mine = set(rows + cols)
+            picks = ", ".join(
+                (f"{k}, CAST(GROUPING({k}) AS INTEGER) AS g_{k}" if k in mine
+                 else f"CAST(NULL AS VARCHAR) AS {k}, CAST(NULL AS INTEGER) AS g_{k}") for k in keys)
+            parts.append(
+                f"SELECT '{spec.name}' AS report, '{xt.name}' AS crosstab, {picks}, "
+                f"CAST(count({xt.measure}) AS BIGINT) AS n FROM {spec.view} "
+                f"WHERE {period_sql(spec.date_field, spec.period, start, end)} "
+                f"GROUP BY ROLLUP({', '.join(rows)}), ROLLUP({', '.join(cols)})")
+    return with_ctes(list(dict.fromkeys(tables)), ctes, "\nUNION ALL\n".join(parts))
+
+
 def _operators() -> dict[str, str]:
     rel = RELEASES["1.4.0"]
     age = age_sql("birthDate", C.AS_OF)
@@ -97,6 +126,7 @@ def _operators() -> dict[str, str]:
                f"WHERE {period_sql('statusChangedOn', 'timestamp', ds, de)} GROUP BY statusChangedOn")
     out["xt_wide_donation"] = _wide_donation()
     out["xt_labels_discard"] = _labels_discard()
+    out["report_batch_donation_views"] = _batch()
     return out
 
 
