@@ -23,11 +23,16 @@ def _tag(df: DataFrame, report: str, start, end) -> DataFrame:
               .withColumn("period_end", F.lit(str(end)).cast("date")))
 
 
-def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
+def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = ()) -> None:
+    """Writes ``df``; with partition columns, ``overwrite`` replaces only the
+    partitions present in ``df`` (dynamic overwrite), so re-running a report
+    for a period after a failure replaces that period and nothing else."""
     if fmt not in FORMATS:
         raise ValueError(f"format {fmt!r} not in {FORMATS}")
     writer = df.write.mode(mode).format(fmt)
+    if partition_by and mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", "true")
     if partition_by:
@@ -36,15 +41,17 @@ def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "app
 
 
 def write_report(outputs: Mapping[str, DataFrame], path: str, report: str, start: dt.date | str,
-                 end: dt.date | str, fmt: str = "parquet", mode: str = "append") -> None:
+                 end: dt.date | str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Writes ``run_report`` output: both crosstabs in one long table at
-    ``path/crosstabs`` and the metadata row at ``path/metadata``.
+    ``path/crosstabs`` and the metadata row at ``path/metadata``.  Runs for
+    other reports and periods in the same folders are kept; a re-run of
+    the same report and period replaces it (idempotent).
     """
     combined = _tag(outputs["combined"], report, start, end)
     write_frame(combined, f"{path.rstrip('/')}/crosstabs", fmt, mode,
                 ("report", "period_start", "period_end", "crosstab"))
     meta = _tag(outputs["metadata"], report, start, end)
-    write_frame(meta, f"{path.rstrip('/')}/metadata", fmt, mode, ("report",))
+    write_frame(meta, f"{path.rstrip('/')}/metadata", fmt, mode, ("report", "period_start", "period_end"))
 
 
 def export_view(df: DataFrame, path: str, order_by: Sequence[str] = (), fmt: str = "parquet",

@@ -24,6 +24,13 @@ def test_write_report_roundtrip(spark, small_tables):
     assert back.count() == out["deferral_by_site"].count()
     assert spark.read.option("header", "true").csv(f"{root}/csv/crosstabs").count() == out["combined"].count()
     assert spark.read.json(f"{root}/json/metadata").first().title == "Deferral Summary Report"
+    # a second period is added, a re-run of the first replaces it
+    out2 = RP.run_report(small_tables, "deferral", "2024-01-03", "2024-01-04", as_of=C.AS_OF, profile=P)
+    write_report(out2, f"{root}/parquet", "deferral", "2024-01-03", "2024-01-04")
+    write_report(out, f"{root}/parquet", "deferral", s, e)
+    all_runs = spark.read.parquet(f"{root}/parquet/crosstabs")
+    assert all_runs.count() == out["combined"].count() + out2["combined"].count()
+    assert spark.read.parquet(f"{root}/parquet/metadata").count() == 2
 
 
 def test_sql_form_with_bound_parameters(spark, small_tables):
