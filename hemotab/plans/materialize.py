@@ -48,10 +48,21 @@ def donation_base(tables: Tables, profile: Profile = DEFAULT_PROFILE) -> DataFra
     return rows.select(*STORED, F.trunc("donationDate", "month").alias(MONTH))
 
 
-def write_donation_base(tables: Tables, profile: Profile = DEFAULT_PROFILE, path: str | None = None,
-                        partitions: int | None = None) -> str:
-    """Writes the base, range-partitioned on (month, number) so that every
-    task writes a similar share even when one month holds most donations.
+def _balanced_by_month(rows: DataFrame, month: str) -> DataFrame:
+    """Rows grouped by month for a partitioned write, with balanced tasks.
+
+    The ``rebalance`` hint hashes on the month, and AQE then splits any
+    oversized partition (a month, a timestamp or a group of identical rows
+    holding a third of all rows) into advisory-size slices and merges small
+    ones. Each task writes one month's folder, and files stay near the
+    advisory size. Without AQE it degrades to a plain hash repartition.
+    """
+    return rows.hint("rebalance", month)
+
+
+def write_donation_base(tables: Tables, profile: Profile = DEFAULT_PROFILE, path: str | None = None) -> str:
+    """Writes the base partitioned by month, with balanced write tasks
+    (:func:`_balanced_by_month`) even when one month holds most donations.
 
     Each build goes to a new folder (``.../donation_base/<profile>/<run>``)
     and the folder is returned: a failed or half-written build never
@@ -62,9 +73,8 @@ def write_donation_base(tables: Tables, profile: Profile = DEFAULT_PROFILE, path
     if path is None:
         run = f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
         path = f"{checkpoint_dir(spark).rstrip('/')}/donation_base/{profile.name}/{run}"
-    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
     base = donation_base(tables, profile)
-    (base.repartitionByRange(n, MONTH, "donationIdentificationNumber")
+    (_balanced_by_month(base, MONTH)
          .write.mode("errorifexists").partitionBy(MONTH).parquet(path))
     return path
 
@@ -89,8 +99,7 @@ _DECLARED = {
 }
 
 
-def write_view_base(tables: Tables, view: str, profile: Profile = DEFAULT_PROFILE, path: str | None = None,
-                    partitions: int | None = None) -> str:
+def write_view_base(tables: Tables, view: str, profile: Profile = DEFAULT_PROFILE, path: str | None = None) -> str:
     """Stores an event view's rows partitioned by the month of its date.
 
     Outputs that depend on the reporting date (expiry, age band) are
@@ -102,11 +111,10 @@ def write_view_base(tables: Tables, view: str, profile: Profile = DEFAULT_PROFIL
     if path is None:
         run = f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
         path = f"{checkpoint_dir(spark).rstrip('/')}/{view}/{profile.name}/{run}"
-    n = partitions or max(spark.sparkContext.defaultParallelism, 1)
     cols = V.stored_columns(view, _DECLARED[view])
     rows = V.VIEWS[view](tables, profile=profile, columns=cols)
     rows = rows.withColumn(V.BASE_MONTH, F.trunc(F.col(date_field).cast("date"), "month"))
-    (rows.repartitionByRange(n, V.BASE_MONTH, date_field)
+    (_balanced_by_month(rows, V.BASE_MONTH)
          .write.mode("errorifexists").partitionBy(V.BASE_MONTH).parquet(path))
     return path
 
@@ -120,14 +128,11 @@ def use_view_base(tables: Tables, view: str, path: str, profile: Profile = DEFAU
     return tables
 
 
-def write_all_bases(tables: Tables, profile: Profile = DEFAULT_PROFILE, root: str | None = None,
-                    partitions: int | None = None) -> dict[str, str]:
+def write_all_bases(tables: Tables, profile: Profile = DEFAULT_PROFILE, root: str | None = None) -> dict[str, str]:
     """Stores the donation base and the four event views; returns their folders."""
-    paths = {"donation": write_donation_base(tables, profile, None if root is None else f"{root}/donation",
-                                             partitions)}
+    paths = {"donation": write_donation_base(tables, profile, None if root is None else f"{root}/donation")}
     for view in V.EVENT_BASES:
-        paths[view] = write_view_base(tables, view, profile, None if root is None else f"{root}/{view}",
-                                      partitions)
+        paths[view] = write_view_base(tables, view, profile, None if root is None else f"{root}/{view}")
     return paths
 
 
