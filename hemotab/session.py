@@ -19,6 +19,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcasts need a measured size: code tables are hinted after a row
+    # count (operators.joins.small_side); other joins are planned as
+    # shuffles and only AQE turns one into a broadcast, from the measured
+    # size of the shuffled side, never from a file-size estimate.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
