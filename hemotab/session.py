@@ -62,12 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` (a shared file system).  Only when it is
     unset, as in local tests, a scratch folder is created and set.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
-        current = spark.sparkContext.getCheckpointDir()
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a shared folder "
+                           "(a machine-local folder would be lost with its executor)")
     local = tempfile.mkdtemp(prefix="hemotab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
