@@ -121,13 +121,42 @@ def _stored_view(tables: Tables, view: str, profile: Profile, period: tuple[str,
     return df
 
 
+def _in_period(col: str, period: tuple[str, str], timestamp: bool) -> "F.Column":
+    """Superset filter for ``period`` (inclusive first and last dates)."""
+    lo, hi = (F.lit(d).cast("date") for d in period)
+    if timestamp:
+        return (F.col(col) >= lo.cast("timestamp_ntz")) & (F.col(col) < F.date_add(hi, 1).cast("timestamp_ntz"))
+    return F.col(col).between(lo, hi)
+
+
+def _period_side(tables: Tables, key: str, frame: DataFrame, period: tuple[str, str] | None,
+                 col: str, timestamp: bool = True) -> tuple[DataFrame, bool]:
+    """``frame`` cut to the period, broadcast if counted within the bound.
+
+    For a short period the events of the period are few while the table
+    they join (donors, components, order lines) is large: broadcasting
+    the period side streams the large table through the join without
+    shuffling it.  Above the bound (or without a period) the frame is
+    returned as it was and the join shuffles both sides.  The report's
+    exact period filter is applied later either way, so only the join
+    strategy changes.
+    """
+    if period is None:
+        return frame, False
+    cut = frame.where(_in_period(col, period, timestamp))
+    if tables.is_bounded(f"{key}:{period[0]}:{period[1]}", cut):
+        return F.broadcast(cut), True
+    return frame, False
+
+
 # --- V1 and V7: one row per donation number -------------------------------------------
 # Periods up to this length get the numbers-in-period pre-filter.
 PREFILTER_MAX_DAYS = 366
 
 
-def _period_numbers(tables: Tables, donation: DataFrame, period: tuple[str, str]) -> DataFrame:
-    """Keeps the donations whose number has a row dated inside ``period``.
+def _period_numbers(tables: Tables, donation: DataFrame, period: tuple[str, str]) -> tuple[DataFrame, bool]:
+    """Keeps the donations whose number has a row dated inside ``period``
+    (and says whether it did).
 
     A number can only be reported for a period if its chosen row (the
     lowest valid id) is dated inside it, so numbers without any row in
@@ -139,13 +168,13 @@ def _period_numbers(tables: Tables, donation: DataFrame, period: tuple[str, str]
     """
     lo, hi = period
     if (dt.date.fromisoformat(hi) - dt.date.fromisoformat(lo)).days > PREFILTER_MAX_DAYS:
-        return donation  # a long period keeps most numbers: the pre-filter would not pay
+        return donation, False  # a long period keeps most numbers: the pre-filter would not pay
     din = "donationIdentificationNumber"
-    numbers = (tables["Donation"].where(F.col("donationDate").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+    numbers = (tables["Donation"].where(_in_period("donationDate", period, timestamp=False))
                .select(F.col(din).alias("__din")).distinct())
     if not tables.is_bounded(f"numbers-in-period:{lo}:{hi}", numbers):
-        return donation
-    return donation.join(F.broadcast(numbers), donation[din].eqNullSafe(F.col("__din")), "left_semi")
+        return donation, False
+    return donation.join(F.broadcast(numbers), donation[din].eqNullSafe(F.col("__din")), "left_semi"), True
 
 
 def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: Sequence[str],
@@ -186,8 +215,19 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
 
     donation = tables["Donation"].where(~F.col("isDeleted"))
     donation = donation.select(*sorted(base | {"donor_id", "packType_id"}))
+    ids = None
+    small = False
     if period is not None:
-        donation = _period_numbers(tables, donation, period)
+        donation, cut = _period_numbers(tables, donation, period)
+        # When the donations of those numbers are counted within the bound,
+        # they are broadcast into the donor join (the donor table is
+        # streamed, not shuffled), and their ids cut the test-result and
+        # counselling tables before those are aggregated.
+        if cut:
+            candidate = donation.select(F.col("id").alias("__id"))
+            small = tables.is_bounded(f"ids-of-numbers-in-period:{period[0]}:{period[1]}", candidate)
+            if small:
+                ids = F.broadcast(candidate)
 
     pack = tables["PackType"].where(F.col("countAsDonation")).select(
         F.col("id").alias("packType_id"), "packType")
@@ -200,7 +240,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
         donor_cols.append("birthDate")
     donors = tables["Donor"].where(~F.col("isDeleted") & (F.col("donorStatus") != L.MERGED)).select(
         F.col("id").alias("donor_id"), *donor_cols)
-    rows = rows.join(donors, "donor_id", "inner")
+    rows = (F.broadcast(rows) if small else rows).join(donors, "donor_id", "inner")
 
     keep = sorted(base | ({"packType"} & need) | set(donor_cols))
     rows = one_per_donation_number(rows, keep)
@@ -209,12 +249,21 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
         rows = dim_lookup(tables, rows, "Location", "venue_id", {"name": "venue"})
     if "donationType" in need:
         rows = dim_lookup(tables, rows, "DonationType", "donationType_id", {"donationType": "donationType"})
+    def only_ids(df: DataFrame) -> DataFrame:
+        return df if ids is None else df.join(ids, df["donation_id"] == ids["__id"], "left_semi")
+
+    def per_donation(df: DataFrame) -> DataFrame:
+        # cut to the counted ids, an aggregate per donation has at most as
+        # many rows, so it is broadcast too
+        df = df.withColumnRenamed("donation_id", "id")
+        return df if ids is None else F.broadcast(df)
+
     if counselling:
-        c = latest_counselling(tables["PostDonationCounselling"])
-        rows = rows.join(c.withColumnRenamed("donation_id", "id"), "id", "left")
+        c = latest_counselling(only_ids(tables["PostDonationCounselling"]))
+        rows = rows.join(per_donation(c), "id", "left")
     if diseases:
-        flags = positive_flags(tables["BloodTestResult"], profile, diseases)
-        rows = rows.join(flags.withColumnRenamed("donation_id", "id"), "id", "left")
+        flags = positive_flags(only_ids(tables["BloodTestResult"]), profile, diseases)
+        rows = rows.join(per_donation(flags), "id", "left")
     return rows
 
 
@@ -341,6 +390,8 @@ def deferral_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
         rows = dim_lookup(tables, rows, "Location", "venue_id", {"name": "venue"})
     donors = tables["Donor"].where(~F.col("isDeleted")).select(
         F.col("id").alias("deferredDonor_id"), "donorNumber", "gender", "birthDate")
+    # (the hint must sit on the join's direct input, so after the lookups)
+    rows, _ = _period_side(tables, "deferrals", rows, period, "deferralDate")
     rows = rows.join(donors, "deferredDonor_id", "inner")
     return _project(rows, out, exprs)
 
@@ -357,6 +408,7 @@ def discard_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
     events = tables["ComponentStatusChange"].where(
         (F.col("newStatus") == L.DISCARDED) & ~F.col("isDeleted")).select(
         "component_id", "statusChangeReason_id", "statusChangedOn")
+    events, _ = _period_side(tables, "discards", events, period, "statusChangedOn")
     components = tables["Component"].where(~F.col("isDeleted")).select(
         F.col("id").alias("component_id"), "componentType_id", "componentBatch_id")
     rows = events.join(components, "component_id", "inner")
@@ -382,6 +434,7 @@ def issued_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
     orders = tables["OrderForm"].where(
         ~F.col("isDeleted") & (F.col("type") == L.ISSUE_ORDER_TYPE) & (F.col("status") == L.DISPATCHED)
     ).select(F.col("id").alias("orderForm_id"), "status", "orderDate", "dispatchedTo_id")
+    orders, cut = _period_side(tables, "issue-orders", orders, period, "orderDate")
     rows = tables["OrderForm_Component"].select("orderForm_id", "component_id").join(orders, "orderForm_id", "inner")
     components = tables["Component"]
     if profile.issued_requires_live_component:
@@ -391,6 +444,11 @@ def issued_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
         how = "left"
     if profile.issued_requires_live_component or "componentTypeName" in need:
         components = components.select(F.col("id").alias("component_id"), "componentType_id")
+        # The period's order lines, counted within the bound, are broadcast
+        # so the component table is streamed (inner join only: a left
+        # join can only broadcast its right side).
+        if cut and how == "inner" and tables.is_bounded(f"issue-lines:{period[0]}:{period[1]}", rows):
+            rows = F.broadcast(rows)
         rows = rows.join(components, "component_id", how)
     if "componentTypeName" in need:
         rows = dim_lookup(tables, rows, "ComponentType", "componentType_id", {"componentTypeName": "componentTypeName"})

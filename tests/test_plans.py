@@ -86,3 +86,35 @@ def test_shuffle_budget_at_scale(spark, small_tables, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_short_period_streams_the_large_side(spark, small_tables, tmp_path):
+    """Monthly reports with shuffles of facts disabled: the period side is
+    broadcast (after its count) and the large table is not shuffled."""
+    from pyspark.sql import types as T
+    from hemotab.sources.tables import Tables
+
+    for name in small_tables:
+        small_tables[name].write.parquet(str(tmp_path / name))
+    stored = Tables.from_files(spark, str(tmp_path), test_id_type=T.LongType())
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cases = {"deferral": ("2024-01-10", "2024-01-12"), "discard": ("1997-03-01", "1997-03-31"),
+                 "componentsIssued": ("1997-03-01", "1997-03-31"), "hivPrevalence": ("1997-03-01", "1997-03-31")}
+        for name, (s, e) in cases.items():
+            spec = RP.REPORTS[name]
+            df = RP.crosstab(stored, f"{name}_all", s, e, as_of=C.view_as_of(spec.view), profile=P)
+            plan = _plan(df)
+            if name == "hivPrevalence":
+                # numbers-in-period, donations into the donor join, the
+                # period's ids cutting the test results, and the flags:
+                # all broadcast, no sort-merge join
+                assert plan.count("LeftSemi") >= 2, name
+                assert "SortMergeJoin" not in plan, name
+                assert "Inner, BuildLeft" in plan, name
+            else:
+                assert "SortMergeJoin" not in plan, name
+                assert plan.count("Exchange hashpartitioning") == 2, name  # finest + rollup only
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
