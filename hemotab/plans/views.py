@@ -177,6 +177,25 @@ def _period_numbers(tables: Tables, donation: DataFrame, period: tuple[str, str]
     return donation.join(F.broadcast(numbers), donation[din].eqNullSafe(F.col("__din")), "left_semi"), True
 
 
+def _donation_columns(need: set[str], diseases: Sequence[str]) -> set[str]:
+    """Donation columns the requested output columns are computed from."""
+    base = {"id", "donationIdentificationNumber"}
+    base |= {c for c in _DONATION_PASSTHROUGH if c in need}
+    if "venue" in need:
+        base.add("venue_id")
+    if "donationType" in need:
+        base.add("donationType_id")
+    if need & {"bloodType", "bloodGrouping"}:
+        base |= {"bloodAbo", "bloodRh"}
+    if "bloodGrouping" in need:
+        base.add("bloodTypingMatchStatus")
+    if diseases or "ttiReactiveStatus" in need:
+        base |= {"ttiStatus", "released"}
+    if need & set(_PREVALENCE) or "ttiCoinfection" in need:
+        base.add("released")
+    return base
+
+
 def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: Sequence[str],
                    counselling: bool, period: tuple[str, str] | None = None) -> DataFrame:
     """Donations after the WHERE clause, collapsed per number, with the
@@ -198,21 +217,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
             stored = stored.where(F.col("donationMonth").between(lo, hi))
         return stored
     need = set(out)
-    base = {"id", "donationIdentificationNumber"}
-    base |= {c for c in _DONATION_PASSTHROUGH if c in need}
-    if "venue" in need:
-        base.add("venue_id")
-    if "donationType" in need:
-        base.add("donationType_id")
-    if need & {"bloodType", "bloodGrouping"}:
-        base |= {"bloodAbo", "bloodRh"}
-    if need & {"bloodGrouping"}:
-        base.add("bloodTypingMatchStatus")
-    if diseases or "ttiReactiveStatus" in need:
-        base |= {"ttiStatus", "released"}
-    if need & set(_PREVALENCE) or "ttiCoinfection" in need:
-        base.add("released")
-
+    base = _donation_columns(need, diseases)
     donation = tables["Donation"].where(~F.col("isDeleted"))
     donation = donation.select(*sorted(base | {"donor_id", "packType_id"}))
     ids = None
@@ -249,6 +254,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
         rows = dim_lookup(tables, rows, "Location", "venue_id", {"name": "venue"})
     if "donationType" in need:
         rows = dim_lookup(tables, rows, "DonationType", "donationType_id", {"donationType": "donationType"})
+
     def only_ids(df: DataFrame) -> DataFrame:
         return df if ids is None else df.join(ids, df["donation_id"] == ids["__id"], "left_semi")
 
