@@ -129,10 +129,11 @@ def column_key(spec: CrosstabSpec) -> Column:
         if len(spec.cols) > 1 else key)
 
 
-def wide_columns(spec: CrosstabSpec) -> list[str]:
-    """Fixed pivot values, so the wide schema does not depend on the data."""
+def wide_columns(spec: CrosstabSpec) -> list[str] | None:
+    """Fixed pivot values, so the wide schema does not depend on the data;
+    ``None`` when the column labels come from the data."""
     if not spec.col_values:
-        raise ValueError(f"{spec.id}: col_values needed for the wide form")
+        return None
     outer = spec.cols[0]
     outer_vals = [NULL_LABEL if v is None else v for v in spec.col_values[outer.field]]
     if len(spec.cols) == 1:
@@ -146,12 +147,16 @@ def wide_columns(spec: CrosstabSpec) -> list[str]:
 
 
 def crosstab_wide(long: DataFrame, spec: CrosstabSpec) -> DataFrame:
-    """One row per row-group cell, one column per column cell; empty cells 0."""
+    """One row per row-group cell, one column per column cell; empty cells 0.
+
+    With declared column values the schema is fixed; otherwise (labels
+    from a code table, such as discard reasons) Spark finds them on the
+    long form, which is already aggregated and so small.
+    """
     values = wide_columns(spec)
     row_keys = [g.field for g in spec.rows]
     flags = [f"g_{k}" for k in row_keys]
-    wide = (long.withColumn("__col", column_key(spec))
-            .groupBy(*row_keys, *flags)
-            .pivot("__col", values)
-            .agg(F.first(COUNT)))
-    return wide.na.fill(0, subset=values)
+    pivot = long.withColumn("__col", column_key(spec)).groupBy(*row_keys, *flags)
+    wide = (pivot.pivot("__col", values) if values else pivot.pivot("__col")).agg(F.first(COUNT))
+    cells = [c for c in wide.columns if c not in row_keys + flags]
+    return wide.na.fill(0, subset=cells)

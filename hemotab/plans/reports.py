@@ -76,30 +76,40 @@ def _donor_report(name, title, view, fields, label, measure, first_id, second_id
     )
 
 
-def _site_report(name, title, view, date_field, fields, site, col, col_total, first_id, second_id):
+def _site_report(name, title, view, date_field, fields, site, col, col_total, first_id, second_id,
+                 col_values=None):
     """Reports with rows site / component type and one column group."""
     cols = (Group(col, total_label=col_total),)
+    values = {col: tuple(col_values)} if col_values else {}
     return ReportSpec(
         name=name, title=title, view=view, date_field=date_field, period="timestamp", fields=fields,
         crosstabs=(
             CrosstabSpec(first_id, f"{name}_all",
-                         (Group("componentTypeName", total_label=L.TOTAL_ALL_SITES),), cols, "componentTypeName"),
+                         (Group("componentTypeName", total_label=L.TOTAL_ALL_SITES),), cols, "componentTypeName",
+                         col_values=values),
             CrosstabSpec(second_id, f"{name}_by_site",
                          (Group(site, total_label=L.TOTAL_ALL_SITES), Group("componentTypeName")),
-                         cols, "componentTypeName"),
+                         cols, "componentTypeName", col_values=values),
         ),
     )
 
 
+# Column labels of the site reports, in report order (ascending).
+_FINAL_STATUSES = sorted([*L.COMPONENT_STATUS.values(), L.OTHER_STATES])
+_ORDER_STATUSES = sorted([*L.ORDER_STATUS.values(), L.UNKNOWN])
+
+
 _BG_FIELDS = V.TESTING_COLUMNS[:19] + ("ttiCoinfection",)
 
 REPORTS: dict[str, ReportSpec] = {r.name: r for r in [
     _donor_report("bloodGrouping", "Blood Grouping Summary Report", "testingSummaryView", _BG_FIELDS,
                   "bloodGrouping", "bloodGrouping", "XT1", "XT2"),
     _site_report("component", "Component Summary Report", "inventorySummaryView", "createdOn",
-                 V.INVENTORY_COLUMNS, "processedAtLocation", "finalComponentStatus", L.TOTAL_UNITS, "XT3", "XT4"),
+                 V.INVENTORY_COLUMNS, "processedAtLocation", "finalComponentStatus", L.TOTAL_UNITS, "XT3", "XT4",
+                 col_values=_FINAL_STATUSES),
     _site_report("componentsIssued", "Components Issued Summary Report", "issuedSummaryView", "orderDate",
-                 V.ISSUED_COLUMNS, "dispatchedTo", "orderStatus", L.TOTAL, "XT5", "XT6"),
+                 V.ISSUED_COLUMNS, "dispatchedTo", "orderStatus", L.TOTAL, "XT5", "XT6",
+                 col_values=_ORDER_STATUSES),
     ReportSpec(
         name="deferral", title="Deferral Summary Report", view="deferralSummaryView",
         date_field="deferralDate", period="timestamp", fields=V.DEFERRAL_COLUMNS,
@@ -197,9 +207,10 @@ def metadata(spark, report: str | ReportSpec, start: DateLike, end: DateLike) ->
 
 
 def run_report(tables: Tables, report: str, start: DateLike, end: DateLike, as_of=None,
-               profile: Profile = DEFAULT_PROFILE, **options) -> dict[str, DataFrame]:
+               profile: Profile = DEFAULT_PROFILE, wide: bool = False, **options) -> dict[str, DataFrame]:
     """Both crosstabs plus metadata.  ``combined`` holds both crosstabs in
     one frame (tagged by ``crosstab``): one job, one scan of the inputs.
+    ``wide=True`` adds ``<crosstab>_wide`` (columns across, X7).
     """
     spec = REPORTS[report]
     base = finest(tables, spec, start, end, as_of, profile, **options)
@@ -208,6 +219,8 @@ def run_report(tables: Tables, report: str, start: DateLike, end: DateLike, as_o
     for xt in spec.crosstabs:
         long = X.crosstab(base, xt)
         out[xt.name] = long
+        if wide:
+            out[f"{xt.name}_wide"] = X.crosstab_wide(long, xt)
         parts.append(long.withColumn("crosstab", F.lit(xt.name)))
     combined = parts[0].unionByName(parts[1], allowMissingColumns=True)
     out["combined"] = combined

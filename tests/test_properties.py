@@ -85,3 +85,18 @@ def test_run_reports_batch_equals_single_reports(check_tables):
     plan = batch._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReusedExchange") >= 1
     batch.unpersist()
+
+
+def test_wide_form_every_report(small_tables):
+    """Wide cells equal long cells, and row totals sit in the Total column."""
+    for report, spec in RP.REPORTS.items():
+        s, e = C.PERIODS[report]
+        out = RP.run_report(small_tables, report, s, e, as_of=C.view_as_of(spec.view), profile=P, wide=True)
+        for xt in spec.crosstabs:
+            long = out[xt.name]
+            wide = out[f"{xt.name}_wide"]
+            assert wide.count() == long.where(" AND ".join(f"g_{g.field} = 1" for g in xt.cols)).count()
+            grand = wide.where(" AND ".join(f"g_{g.field} = 1" for g in xt.rows)).first()
+            total = long.where(" AND ".join(f"g_{k} = 1" for k in xt.keys)).first()
+            if total is not None:
+                assert grand["Total"] == total.n, xt.name
