@@ -120,6 +120,12 @@ def compare_designs(spark, tables, profile, scratch) -> dict[str, float]:
     assert sorted(map(tuple, joined)) == sorted(map(tuple, coinfection_by_aggregate(tables, profile).collect()))
     out["testing_view_22_joins"] = timed(lambda: coinfection_by_joins(tables, profile).collect())
     out["testing_view_one_aggregate"] = timed(lambda: coinfection_by_aggregate(tables, profile).collect())
+    # Scans of the result table (the largest) per plan: what grows with the
+    # data.  Of the 22 joins Catalyst drops the 14 whose columns are unused
+    # (right side grouped by the key), so 8 scans remain against 1.
+    for key, build in (("per_test_joins", coinfection_by_joins), ("one_aggregate", coinfection_by_aggregate)):
+        plan = build(tables, profile)._jdf.queryExecution().executedPlan().toString()
+        out[f"result_table_scans_{key}"] = plan.count("/BloodTestResult")
 
     spec, xt = RP.CROSSTABS["donorCounselling_by_site"]
     start, end = C.PERIODS[spec.name]
