@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from oracle.fixtures import ctes as fixture_ctes
-from oracle.views import RELEASES, view_sql
+from sqlcheck.fixtures import ctes as fixture_ctes
+from sqlcheck.views import RELEASES, view_sql
 
 
 def with_ctes(tables, ctes: list[str], select: str) -> str:

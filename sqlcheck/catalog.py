@@ -5,9 +5,9 @@ from __future__ import annotations
 from hemotab.operators.crosstab import wide_columns
 from hemotab.plans import catalog as C
 from hemotab.plans import reports as RP
-from oracle import crosstab_query, period_sql, view_query, with_ctes
-from oracle.views import view_sql
-from oracle.views import RELEASES, age_sql, band_sql, coinfection_case, test_ctes, test_joins
+from sqlcheck import crosstab_query, period_sql, view_query, with_ctes
+from sqlcheck.views import view_sql
+from sqlcheck.views import RELEASES, age_sql, band_sql, coinfection_case, test_ctes, test_joins
 
 
 def _crosstab(check: C.CrosstabCheck, as_select: bool = False) -> str:

@@ -12,7 +12,7 @@ from conftest import SF_CHECK, SF_SMALL
 from harness import compare, duck
 
 from hemotab.plans import catalog as C
-from oracle.catalog import oracle_sql as typed_oracle
+from sqlcheck.catalog import oracle_sql as typed_oracle
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -77,7 +77,7 @@ def test_short_periods(spark, duck_check, check_tables, crosstab, start, end):
     """Short periods: the numbers-in-period pre-filter must not change results."""
     from hemotab.plans import reports as RP
     from hemotab.profile import fixture_profile
-    from oracle import crosstab_query
+    from sqlcheck import crosstab_query
 
     spec, xt = RP.CROSSTABS[crosstab]
     df = RP.crosstab(check_tables, crosstab, start, end, as_of=C.AS_OF, profile=fixture_profile())
