@@ -153,6 +153,12 @@ def xt_wide_donation(tables) -> DataFrame:
     return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck("donation_by_site")), xt)
 
 
+def xt_wide_discard(tables) -> DataFrame:
+    """X7 with column labels from the data (discard reasons)."""
+    spec, xt = RP.CROSSTABS["discard_by_site"]
+    return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck("discard_by_site")), xt)
+
+
 OPERATOR_QUERIES: dict[str, Callable] = {
     "expr_age": expr_age,
     "expr_age_band": expr_age_band,
@@ -165,6 +171,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "period_closed": period_closed,
     "period_plus_one_day": period_plus_one_day,
     "xt_wide_donation": xt_wide_donation,
+    "xt_wide_discard": xt_wide_discard,
     "xt_labels_discard": xt_labels_discard,
     "report_batch_donation_views": report_batch_donation_views,
 }

@@ -37,6 +37,26 @@ def _wide_donation() -> str:
     return view_query(spec.view, C.view_as_of(spec.view), select=select)
 
 
+def _wide_discard() -> str:
+    """Dynamic pivot: the reason columns come from the data, as in Spark."""
+    spec, xt = RP.CROSSTABS["discard_by_site"]
+    start, end = C.PERIODS[spec.name]
+    rows = [g.field for g in xt.rows]
+    col = xt.cols[0].field
+    keys = rows + [col]
+    flags = ", ".join(f"CAST(GROUPING({k}) AS INTEGER) AS g_{k}" for k in keys)
+    rollup = (f"SELECT {', '.join(keys)}, {flags}, CAST(count({xt.measure}) AS BIGINT) AS n FROM {spec.view} "
+              f"WHERE {period_sql(spec.date_field, spec.period, start, end)} "
+              f"GROUP BY ROLLUP({', '.join(rows)}), ROLLUP({col})")
+    row_cols = rows + [f"g_{r}" for r in rows]
+    listed = ", ".join(f"'{c}'" for c in row_cols)
+    select = (f"SELECT {', '.join(row_cols)}, COALESCE(COLUMNS(lambda c: c NOT IN ({listed})), 0) FROM "
+              f"(PIVOT (SELECT {', '.join(row_cols)}, CASE WHEN g_{col} = 1 THEN 'Total' "
+              f"ELSE coalesce({col}, '(null)') END AS colkey, n FROM ({rollup}) r) "
+              f"ON colkey USING first(n) GROUP BY {', '.join(row_cols)}) p")
+    return view_query(spec.view, C.view_as_of(spec.view), select=select)
+
+
 def _labels_discard() -> str:
     spec, xt = RP.CROSSTABS["discard_by_site"]
     start, end = C.PERIODS[spec.name]
@@ -125,6 +145,7 @@ def _operators() -> dict[str, str]:
         select=f"SELECT statusChangedOn, count(*) AS n FROM discardSummaryView "
                f"WHERE {period_sql('statusChangedOn', 'timestamp', ds, de)} GROUP BY statusChangedOn")
     out["xt_wide_donation"] = _wide_donation()
+    out["xt_wide_discard"] = _wide_discard()
     out["xt_labels_discard"] = _labels_discard()
     out["report_batch_donation_views"] = _batch()
     return out
