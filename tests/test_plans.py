@@ -118,3 +118,18 @@ def test_short_period_streams_the_large_side(spark, small_tables, tmp_path):
                 assert plan.count("Exchange hashpartitioning") == 2, name  # finest + rollup only
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_batch_shares_one_collapse_per_view(small_tables):
+    """Six testing-view reports in one job: one collapse, one test-result
+    aggregate, reused by all twelve crosstabs."""
+    names = ["bloodGrouping", "hbvPrevalence", "hcvPrevalence", "hivPrevalence", "syphilisPrevalence",
+             "ttiCoinfection"]
+    s, e = C.DONATION_PERIOD
+    batch = RP.run_reports(small_tables, names, s, e, as_of=C.AS_OF, profile=P)
+    batch.collect()
+    plan = _plan(batch).split("== Initial Plan ==")[0]  # the plan that ran
+    nodes = plan.splitlines()
+    assert sum("partial_min(struct(" in n for n in nodes) == 1
+    assert sum("partial_max(CASE WHEN" in n for n in nodes) == 1
+    assert plan.count("ReusedExchange") >= 11
