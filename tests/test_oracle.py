@@ -55,7 +55,7 @@ def test_text_rendering_only_for_detail_queries(spark):
 
 
 @pytest.mark.parametrize("name", ["xt_donorCounselling_by_site", "xt_ttiCoinfection_by_site",
-                                  "xt_component_by_site", "view_issued_summary", "profile_100_donation",
+                                  "xt_component_by_site", "view_issued_summary", "profile_100_donation", "xt_wide_discard",
                                   "xt_wide_donation"])
 def test_query_check_scale(spark, duck_check, name):
     ok, msg = compare(QUERIES[name](spark, SF_CHECK), ORACLE[name], duck_check)
