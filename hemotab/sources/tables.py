@@ -66,13 +66,17 @@ class Tables(Mapping[str, DataFrame]):
     @classmethod
     def from_files(cls, spark: SparkSession, root: str, fmt: str = "parquet",
                    test_id_type: T.DataType = T.BinaryType(),
-                   names: Mapping[str, str] | None = None) -> "Tables":
-        """One folder per table under ``root`` (``root/Donation`` ...)."""
+                   names: Mapping[str, str] | None = None,
+                   options: Mapping[str, str] | None = None) -> "Tables":
+        """One folder per table under ``root`` (``root/Donation`` ...), in any
+        file format Spark reads (``options`` go to the reader, such as
+        ``{"header": "true"}`` for CSV); the schema is always given."""
         sch = schemas(test_id_type)
         paths = {n: f"{root.rstrip('/')}/{(names or {}).get(n, n)}" for n in TABLE_NAMES}
+        opts = dict(options or {})
 
         def loader(n: str) -> Loader:
-            return lambda: spark.read.schema(sch[n]).format(fmt).load(paths[n])
+            return lambda: spark.read.schema(sch[n]).format(fmt).options(**opts).load(paths[n])
 
         return cls(spark, {n: loader(n) for n in TABLE_NAMES})
 
