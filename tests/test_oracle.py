@@ -14,14 +14,16 @@ from harness import compare, duck
 from hemotab.plans import catalog as C
 from sqlcheck.catalog import oracle_sql as typed_oracle
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = C.queries()
+ORACLE = typed_oracle()
 TYPED = C.queries(text=False)
 TYPED_ORACLE = typed_oracle(text=False)
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
