@@ -7,10 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hemotab.llm import exact_dedup, secrets
+from hemotab.llm import exact_dedup, quality, secrets, toxicity
 from hemotab.llm.common import documents
 
 
+def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.train(docs, documents(spark, sf_dir, "labels"), metadata=("n_chars",))
+    return quality.score(docs, model, metadata=("n_chars",))
+
+
 def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     findings, _ = secrets.scan(documents(spark, sf_dir), ("doc_id",))
     return secrets.digest(findings, "doc_id")
@@ -20,7 +26,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_factorisation_machine": op1_factorisation_machine,
     "op2_secret_ledger": op2_secret_ledger,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_kneser_ney_toxicity": op5_kneser_ney_toxicity,
 }
