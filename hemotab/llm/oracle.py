@@ -9,4 +9,15 @@ g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP B
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id IS NOT DISTINCT FROM g.keep_id AS kept,
        sha256(t.body) AS text_sha256
 FROM t JOIN g ON t.body = g.body""",
+    "op7_voronoi_knn": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }

@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hemotab.llm import exact_dedup, quality, secrets, toxicity
+from hemotab.llm import exact_dedup, knn, packing, quality, secrets, toxicity
 from hemotab.llm.common import documents
 
 
@@ -31,9 +33,19 @@ def op5_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
 
 
+def op7_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op9_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_secret_ledger": op2_secret_ledger,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_kneser_ney_toxicity": op5_kneser_ney_toxicity,
+    "op7_voronoi_knn": op7_voronoi_knn,
+    "op9_complement_packing": op9_complement_packing,
 }
