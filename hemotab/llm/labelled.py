@@ -50,9 +50,9 @@ def score_texts(docs: DataFrame, scorer: Callable[[], Callable[[pd.DataFrame], l
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "held_out": b["held_out"], "score": score(b)})
 
-    rows = docs.select(F.col(id_col).alias("id"), (fold(id_col) == 0).alias("held_out"),
+    # The id travels as text: pandas would turn integers beside nulls into floats.
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), (fold(id_col) == 0).alias("held_out"),
                        text_bytes(text_col).alias("text"), *[F.col(c).alias(f"x_{c}") for c in extra])
-    kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInPandas(run, f"id {kind}, held_out boolean, score double")
-    return scored.select(F.col("id").alias(id_col), "held_out", "score",
+    scored = rows.mapInPandas(run, "id string, held_out boolean, score double")
+    return scored.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))

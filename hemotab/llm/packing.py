@@ -90,13 +90,13 @@ def pieces(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, id_col:
                         rows.append((key, k, start, length, zlib.crc32(raw), task, ranks[length], *([raw] * with_ids)))
                         ranks[length] += 1
                         start, k = start + length, k + 1
-                yield pd.DataFrame(rows, columns=names).astype({"id": part["id"].dtype})
+                yield pd.DataFrame(rows, columns=names)
 
     names = ["id", "piece", "start", "length", "ids_crc32", "task", "nth", *["ids"] * with_ids]
-    rows = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"),
+    # The id travels as text: pandas would turn integers beside nulls into floats.
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), text_bytes(text_col).alias("text"),
                        F.spark_partition_id().cast("long").alias("task"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(cut, f"id {kind}, piece int, start long, length long, ids_crc32 long, task long, nth long"
+    return rows.mapInPandas(cut, "id string, piece int, start long, length long, ids_crc32 long, task long, nth long"
                             + ", ids binary" * with_ids)
 
 
@@ -220,7 +220,6 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, id_col: s
     ranked = (cut.join(per_task.select("length", "task", "before"), ["length", "task"])
               .select("id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids,
                       (F.col("before") + F.col("nth")).alias("rank")))
-    kind = ranked.schema["id"].dataType.simpleString()
-    placed = ranked.mapInPandas(place, f"id {kind}, piece int, start long, length long, ids_crc32 long"
+    placed = ranked.mapInPandas(place, "id string, piece int, start long, length long, ids_crc32 long"
                                 + ", ids binary" * with_ids + ", sequence_id long, offset long")
-    return placed.withColumnRenamed("id", id_col)
+    return placed.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemotab.llm import exact_dedup, knn, packing, quality, secrets, toxicity
+from hemotab.llm import exact_dedup, jaccard, knn, packing, quality, secrets, toxicity
 from hemotab.llm.common import documents
 
 
@@ -24,6 +24,10 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(findings, "doc_id")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir), jaccard.Config(shingle=4, num=85, den=100))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ def op9_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_secret_ledger": op2_secret_ledger,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_kneser_ney_toxicity": op5_kneser_ney_toxicity,
     "op7_voronoi_knn": op7_voronoi_knn,
