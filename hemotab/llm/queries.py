@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemotab.llm import exact_dedup, jaccard, knn, packing, quality, secrets, toxicity
+from hemotab.llm import exact_dedup, jaccard, knn, mixing, packing, quality, secrets, toxicity
 from hemotab.llm.common import documents
 
 
@@ -41,6 +41,10 @@ def op7_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir), most_repeats=2.0)
+
+
 def op9_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -52,5 +56,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_kneser_ney_toxicity": op5_kneser_ney_toxicity,
     "op7_voronoi_knn": op7_voronoi_knn,
+    "op8_temperature_mixing": op8_temperature_mixing,
     "op9_complement_packing": op9_complement_packing,
 }
