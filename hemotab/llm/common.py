@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,22 @@ def words(text: bytes) -> list[bytes]:
     """Words of ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased: exactly what
     ``bytes.lower`` and ``bytes.split`` do."""
     return text.lower().split()
+
+
+def sum_arrays(partial: DataFrame, size: int, chunk: int, dtype: str) -> np.ndarray:
+    """Sum of the tasks' arrays of ``size`` numbers, dealt out in chunks: rows
+    (chunk, part, counts), part being the task's number modulo a constant.
+    Two steps, so that no group grows with the number of tasks; the result
+    has a fixed size."""
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(chunk, dtype)
+        for c in rows["counts"]:
+            total += np.frombuffer(c, dtype)
+        return pd.DataFrame({"chunk": rows["chunk"][:1], "part": rows["part"][:1], "counts": [total.tobytes()]})
+
+    kind = "chunk int, part int, counts binary"
+    some = partial.groupBy("chunk", "part").applyInPandas(add, kind)
+    out = np.zeros(size, dtype)
+    for r in some.groupBy("chunk").applyInPandas(add, kind).select("chunk", "counts").collect():
+        out[r["chunk"] * chunk:(r["chunk"] + 1) * chunk] = np.frombuffer(r["counts"], dtype)
+    return out

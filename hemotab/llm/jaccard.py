@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hemotab.llm.common import store, text_bytes, words
+from hemotab.llm.common import store, sum_arrays, text_bytes, words
 from hemotab.llm.graph import components
 
 CACHED_WORDS = 300_000
@@ -104,23 +104,6 @@ def _sets(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tuple[
     return out.where("chunk = -1").select(F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "n", "digest"), out.where("chunk >= 0").select("chunk", "part", "counts")
 
 
-def _frequencies(partial: DataFrame, config: Config) -> np.ndarray:
-    """The sketch's counters, summed in two steps: 2 ** sketch_bits numbers."""
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(1 << CHUNK_BITS, np.uint32)
-        for c in rows["counts"]:
-            total += np.frombuffer(c, np.uint32)
-        return pd.DataFrame({"chunk": rows["chunk"][:1], "part": rows["part"][:1], "counts": [total.tobytes()]})
-
-    kind = "chunk int, part int, counts binary"
-    some = partial.groupBy("chunk", "part").applyInPandas(add, kind)
-    rows = some.groupBy("chunk").applyInPandas(add, kind).select("chunk", "counts").collect()
-    out = np.zeros(1 << config.sketch_bits, np.uint32)
-    for r in rows:
-        out[r["chunk"] << CHUNK_BITS:(r["chunk"] + 1) << CHUNK_BITS] = np.frombuffer(r["counts"], np.uint32)
-    return out
-
-
 def _prefixes(docs: DataFrame, counts: np.ndarray, config: Config, id_col: str, text_col: str) -> DataFrame:
     """id, n, l, token, groups of the l-prefix of every document; equal sets
     of one task count once.  ``groups`` is how many groups the token is dealt to."""
@@ -219,7 +202,7 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
     """
     spark = docs.sparkSession
     each, partial = _sets(docs, config, id_col, text_col)
-    counts = _frequencies(partial, config)
+    counts = sum_arrays(partial, 1 << config.sketch_bits, 1 << CHUNK_BITS, "uint32")
     smallest = store(spark, each.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "jaccard-classes")
     members = store(spark, each.join(smallest, "digest", "left").select(
         "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")), "jaccard-members")

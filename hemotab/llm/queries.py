@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemotab.llm import exact_dedup, jaccard, knn, mixing, packing, quality, secrets, toxicity
-from hemotab.llm.common import documents
+from hemotab.llm import brown, exact_dedup, jaccard, knn, mixing, packing, quality, secrets, toxicity
+from hemotab.llm.common import documents, fold
 
 
 def op1_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
 
 
+def op6_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(documents(spark, sf_dir), fold("doc_id") == 1)
+
+
 def op7_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(documents(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_kneser_ney_toxicity": op5_kneser_ney_toxicity,
+    "op6_brown_classes": op6_brown_classes,
     "op7_voronoi_knn": op7_voronoi_knn,
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_complement_packing": op9_complement_packing,
