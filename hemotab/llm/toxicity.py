@@ -47,6 +47,8 @@ class Config:
 
 def _grams(vocabulary: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """n-grams of all words as integers, and the first of each word."""
+    if not vocabulary:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pad = START * (order - 1)
     whole = np.frombuffer(b"".join(pad + w + END for w in vocabulary), np.uint8).astype(np.int64)
     lengths = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary)) + 1
@@ -74,15 +76,11 @@ def _lookup(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[n
 
 
 def estimate(counts: pd.DataFrame, config: Config) -> dict:
-    """Level tables from (y, word, n)."""
+    """Level tables from (y, gram, n)."""
     own = []
     for y in (0, 1):
-        part = counts[counts["y"] == y]
-        vocabulary = [bytes(w) for w in part["word"]]
-        keys, first = _grams(vocabulary, config.order)
-        each = np.diff(np.append(first, len(keys)))
-        keys, at = np.unique(keys, return_inverse=True)
-        n = np.bincount(at, weights=np.repeat(part["n"].to_numpy(float), each), minlength=len(keys))
+        part = counts[counts["y"] == y].sort_values("gram")
+        keys, n = part["gram"].to_numpy(np.int64), part["n"].to_numpy(float)
         levels = {config.order: _level(keys, n)}
         for k in range(config.order - 1, config.shared, -1):
             keys, n = np.unique(keys & ((1 << 8 * k) - 1), return_counts=True)
@@ -172,17 +170,21 @@ def probability(fitted: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(m, -30, 30)))
 
 
-def document_counts(rows: DataFrame) -> DataFrame:
-    """y, word, n: in how many of the class's rows a word occurs."""
+def gram_counts(rows: DataFrame, config: Config) -> DataFrame:
+    """y, gram, n: n-grams of the class's words, a word counted once in a row."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for y, group in b.groupby("y"):
                 found = Counter()
                 for t in group["text"]:
                     found.update(set(words(t)))
-                yield pd.DataFrame({"y": y, "word": list(found), "n": list(found.values())})
+                grams, first = _grams(list(found), config.order)
+                keys, at = np.unique(grams, return_inverse=True)
+                each = np.diff(np.append(first, len(grams)))
+                weights = np.repeat(np.fromiter(found.values(), float, len(found)), each)
+                yield pd.DataFrame({"y": y, "gram": keys, "n": np.bincount(at, weights, len(keys)).astype(np.int64)})
 
-    return rows.mapInPandas(count, "y int, word binary, n long").groupBy("y", "word").agg(F.sum("n").alias("n"))
+    return rows.mapInPandas(count, "y int, gram long, n long").groupBy("y", "gram").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", *, config: Config = Config(),
@@ -191,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", *, config:
     rows of each class outside fold 0."""
     rows, totals = labelled.sample(docs, labels, target, config.sample_rows, id_col=id_col, text_col=text_col, per_class=True)
     aside = F.pmod(F.xxhash64("id", F.lit("curve")), F.lit(config.calibrate)) == 0
-    model = estimate(document_counts(rows.where(~aside)).toPandas(), config)
+    model = estimate(gram_counts(rows.where(~aside), config).toPandas(), config)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
