@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemotab.llm import brown, exact_dedup, jaccard, knn, mixing, packing, quality, secrets, toxicity
+from hemotab.llm import brown, exact_dedup, jaccard, knn, mixing, packing, quality, secrets, suffix_dedup, toxicity
 from hemotab.llm.common import documents, fold
 
 
@@ -53,6 +53,10 @@ def op9_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_secret_ledger": op2_secret_ledger,
@@ -63,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_voronoi_knn": op7_voronoi_knn,
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_complement_packing": op9_complement_packing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
