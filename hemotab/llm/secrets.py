@@ -76,6 +76,9 @@ def _spans(blobs: DataFrame, rules) -> DataFrame:
     nothing = F.array().cast("array<struct<rank: int, nth: int, gap: int, len: int, value: int>>")
     arrays = [F.coalesce(_matches(r, i), nothing) for i, r in enumerate(rules)]
     each = blobs.select("blob", F.explode(F.concat(*arrays)).alias("m")).select("blob", "m.*").where("len is not null")
+    # Few rows from here on, all of a blob in one partition.  Repeated rows of
+    # a path and version hold a blob more than once; each match counts once.
+    each = each.repartition("blob").dropDuplicates(["blob", "rank", "nth"])
     order = Window.partitionBy("blob", "rank").orderBy("nth")
     end = F.sum(F.col("gap") + F.col("len")).over(order)
     pick = lambda f: reduce(lambda c, x: c.when(F.col("rank") == x[0], f(x[1])), enumerate(rules), F)
@@ -120,11 +123,8 @@ def scan(versions: DataFrame, path_cols=("path", "version"), text_col: str = "te
              .select(due["blob"], due["rules"], held["body"]))
     found = _spans(texts, rules)
     none = F.array().cast(LEDGER.split("spans ")[1])
-    # Repeated rows of one path and version hold one blob more than once; their
-    # spans are equal, so array_distinct gives each span once.
     additions = store(spark, due.select("blob", "rules").join(found, "blob", "left")
-                      .select("blob", "rules", F.array_distinct(F.coalesce("spans", none)).alias("spans")),
-                      "secret-ledger")
+                      .select("blob", "rules", F.coalesce("spans", none).alias("spans")), "secret-ledger")
     known = additions if ledger is None else additions.unionByName(ledger.select(*additions.columns))
     current = F.filter("spans", lambda s: F.array_contains(wanted, F.concat_ws("@", s["kind"], s["version"])))
     if ledger is None:
