@@ -14,6 +14,7 @@ rank names the pattern, the sequence and the offset.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import Counter
@@ -28,45 +29,120 @@ from hemotab.llm.common import store, text_bytes
 
 CAPACITY = 1024
 END_ID = 2
-CACHED_PARTS = 400_000
+CACHED_PARTS = 300_000
 
-# White space just before a blank: there a cut in front of the blank could fall inside a token.
-_UNSAFE = re.compile(rb"(?:[\x09-\x0D\x1C-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
-                     rb"|\xe2\x81\x9f|\xe3\x80\x80)\x20")
+# A blank before white space or the end.  Only there can a cut in front of a blank fall inside a pre-token.
+_UNSAFE = re.compile(rb"\x20(?:[\x09-\x0D\x1C-\x20]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]"
+                     rb"|\xe2\x81\x9f|\xe3\x80\x80|\Z)")
+
+
+# The pre-tokens of byte-level BPE (fixed value).
+PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_symbols() -> dict[str, int]:
+    """Byte-level BPE writes bytes as printable characters: those that are
+    printable in Latin-1 as themselves, the others from U+0100 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def _ranks(path: str) -> tuple[dict[bytes, int] | None, list[bytes]]:
+    """(token bytes -> id, if the file is a plain byte-level BPE whose merges
+    stand in the order of their ids, else None; the added tokens)."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    added = [t["content"].encode() for t in spec.get("added_tokens", [])]
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if (model.get("type", "BPE") != "BPE" or spec.get("normalizer") or pre.get("type") != "ByteLevel"
+            or pre.get("add_prefix_space", True) or not pre.get("use_regex", True)):
+        return None, added
+    symbol = _byte_symbols()
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [model["vocab"].get(m, -1) for m in merged]
+    if ids != sorted(set(ids)) or not set(symbol) <= set(model["vocab"]):
+        return None, added
+    return {bytes(symbol[c] for c in t): i for t, i in model["vocab"].items() if t.encode() not in added}, added
 
 
 class Encoder:
-    """Token ids of texts as little-endian uint32 bytes.
+    """Token ids of texts as little-endian uint32 bytes, equal to the
+    tokenizer file's without special tokens.
 
-    The tokenizer's pre-tokens begin at a blank that follows no white space,
-    so such parts of a text can be encoded, and remembered, on their own.
+    A pre-token begins at every blank before a word, so the parts of a text
+    from blank to blank can be encoded, and remembered, on their own.  Where the file is a
+    plain byte-level BPE, new parts are encoded together by the faster library.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.fast = Tokenizer.from_file(path), {}, None
+        ranks, self.added = _ranks(path)
+        if ranks:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("parts", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+            self.size = np.zeros(max(ranks.values()) + 1, np.int64)
+            self.size[list(ranks.values())] = [len(t) for t in ranks]
 
-    def _encode(self, parts: list[bytes]) -> list[bytes]:
+    def _slow(self, parts: list[bytes]) -> list[bytes]:
         texts = [p.decode("utf-8", "replace") for p in parts]
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _alone(self, texts: list[bytes]) -> list[bytes]:
+        if not self.fast:
+            return self._slow(texts)
+        plain = [t for t in texts if not any(a in t for a in self.added)]
+        try:
+            done = {t: np.array(self.fast.encode_ordinary(t.decode("utf-8")), "<u4").tobytes() for t in plain}
+        except UnicodeDecodeError:
+            return self._slow(texts)
+        rest = [t for t in texts if t not in done]
+        done.update(zip(rest, self._slow(rest)))
+        return [done[t] for t in texts]
+
+    def _together(self, parts: list[bytes]) -> list[bytes]:
+        """Parts that each start with a blank: their tokens never reach across."""
+        ids = np.array(self.fast.encode_ordinary(b"".join(parts).decode("utf-8")), "<u4")
+        cuts = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(p) for p in parts]))
+        raw, at = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        blank = []
+        if self.fast:
+            odd = any(t in b"\0".join(parts) for t in self.added)
+            blank = [p for p in parts if p[:1] == b" " and not (odd and any(t in p for t in self.added))]
+        try:
+            out = dict(zip(blank, self._together(blank))) if blank else {}
+        except UnicodeDecodeError:
+            out = {}
+        rest = [p for p in parts if p not in out]
+        out.update(zip(rest, self._alone(rest)))
+        return out
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        parts = []
+        parts, whole = [], set()
         for t in texts:
             if _UNSAFE.search(t):
-                parts.append([t])
+                parts.append((t,))
+                whole.add(t)
             else:
                 first, *rest = t.split(b" ")
-                parts.append([first, *[b" " + r for r in rest]] if first else [b" " + r for r in rest])
+                parts.append([first, *[b" " + r for r in rest]])
         if len(self.known) > CACHED_PARTS:
             self.known.clear()
-        new = list(set().union(*parts) - self.known.keys())
-        self.known.update(zip(new, self._encode(new)))
+        # A whole text and a part that reads the same are the same to the tokenizer,
+        # but it may not be joined with parts.
+        new = set().union(*parts) - self.known.keys()
+        self.known.update(self._encode(list(new - whole)))
+        if whole:
+            self.known.update(zip(whole, self._alone(list(whole))))
         out = [b"".join(map(self.known.__getitem__, p)) for p in parts]
-        for p in parts:  # whole texts aren't worth remembering
-            if len(p) == 1:
-                self.known.pop(p[0], None)
+        for t in whole:  # not worth remembering
+            self.known.pop(t, None)
         return out
 
 
