@@ -21,11 +21,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import product
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemotab.functions import labels as L
+from hemotab.session import stored
 
 COUNT = "n"
 NULL_LABEL = "(null)"
@@ -45,7 +49,7 @@ class CrosstabSpec:
     rows: tuple[Group, ...]
     cols: tuple[Group, ...]
     measure: str
-    # Values of each column field, in display order, for the wide form.
+    # Labels each column field has in the wide form even without data.
     col_values: Mapping[str, tuple] = field(default_factory=dict, hash=False)
 
     @property
@@ -82,17 +86,6 @@ def crosstab(finest_df: DataFrame, spec: CrosstabSpec) -> DataFrame:
     )
 
 
-def crosstab_direct(df: DataFrame, spec: CrosstabSpec) -> DataFrame:
-    """The one-step form (rollup over detail rows); same result, used to compare plans."""
-    keys = spec.keys
-    sets = [[F.col(k) for k in s] for s in spec.grouping_sets()]
-    grouped = df.groupingSets(sets, *[F.col(k) for k in keys])
-    return grouped.agg(
-        *[F.grouping(k).cast("int").alias(f"g_{k}") for k in keys],
-        F.count(F.col(spec.measure)).cast("long").alias(COUNT),
-    )
-
-
 def sort_columns(spec: CrosstabSpec) -> list[Column]:
     """Presentation order (O5-O7): members first, totals after; gender descending."""
     order: list[Column] = []
@@ -117,46 +110,63 @@ def labelled(long: DataFrame, spec: CrosstabSpec) -> DataFrame:
     return out
 
 
-def column_key(spec: CrosstabSpec) -> Column:
-    """Text key of a column cell: ``male|16-25``, ``male|Total``, ``Total``."""
-    parts: list[Column] = []
-    for i, g in enumerate(spec.cols):
-        member = F.coalesce(F.col(g.field), F.lit(NULL_LABEL))
-        parts.append(F.when(F.col(f"g_{g.field}") == 1, F.lit(None)).otherwise(member))
-    key = F.concat_ws("|", *parts)
-    return F.when(key == "", F.lit(L.TOTAL)).otherwise(
-        F.when(F.col(f"g_{spec.cols[-1].field}") == 1, F.concat(key, F.lit("|" + L.TOTAL))).otherwise(key)
-        if len(spec.cols) > 1 else key)
-
-
-def wide_columns(spec: CrosstabSpec) -> list[str] | None:
-    """Fixed pivot values, so the wide schema does not depend on the data;
-    ``None`` when the column labels come from the data."""
-    if not spec.col_values:
-        return None
-    outer = spec.cols[0]
-    outer_vals = [NULL_LABEL if v is None else v for v in spec.col_values[outer.field]]
-    if len(spec.cols) == 1:
-        return outer_vals + [L.TOTAL]
-    inner = spec.cols[1]
-    inner_vals = [NULL_LABEL if v is None else v for v in spec.col_values[inner.field]]
-    cols = []
-    for o in outer_vals:
-        cols += [f"{o}|{i}" for i in inner_vals] + [f"{o}|{L.TOTAL}"]
-    return cols + [L.TOTAL]
+def member_text(label: str | None) -> str:
+    """A member's part of a wide column name.  Labels that would read like a
+    null, a total or two parts are quoted, so that no two members share a name."""
+    if label is None:
+        return NULL_LABEL
+    if label in ("", NULL_LABEL, L.TOTAL) or "|" in label or label.startswith('"'):
+        return '"' + label.replace('"', '""') + '"'
+    return label
+
+
+# One part of a wide column: (is a total, member).
+Part = tuple[bool, str | None]
+
+
+def column_name(parts: Sequence[Part]) -> str:
+    """``male|16-25``, ``male|Total``, ``Total``."""
+    if all(total for total, _ in parts):
+        return L.TOTAL
+    return "|".join(L.TOTAL if total else member_text(m) for total, m in parts)
+
+
+def wide_members(long: DataFrame, spec: CrosstabSpec) -> list[tuple[Part, ...]]:
+    """The column cells in report order: those in the data and, where the
+    spec declares labels, those as well.  Nulls follow the other members of a
+    group, and totals follow all members."""
+    fields = [g.field for g in spec.cols]
+    seen = long.select(*[F.col(f"g_{f}") for f in fields], *fields).distinct()
+    # As many rows as the crosstab has columns.
+    cells = {tuple((r[f"g_{f}"] == 1, r[f]) for f in fields) for r in seen.collect()}
+    declared = [set(spec.col_values.get(f, ())) for f in fields]
+    if all(declared):  # each member of the outer groups has all declared inner ones
+        total = (True, None)
+        members = [d | {c[i][1] for c in cells if not c[i][0]} for i, d in enumerate(declared)]
+        for i in range(len(fields) + 1):
+            named = [m if k < i - 1 else d for k, (m, d) in enumerate(zip(members[:i], declared[:i]))]
+            cells |= {(*((False, v) for v in vs), *[total] * (len(fields) - i)) for vs in product(*named)}
+
+    order = list(cells)
+    for i, g in reversed(list(enumerate(spec.cols))):  # stable sorts, the inner group first
+        members = sorted({c[i][1] for c in order if c[i][1] is not None}, reverse=g.descending)
+        rank = {(False, m): k for k, m in enumerate(members)} | {(False, None): len(members), (True, None): len(members) + 1}
+        order.sort(key=lambda c: rank[c[i]])
+    return order
 
 
 def crosstab_wide(long: DataFrame, spec: CrosstabSpec) -> DataFrame:
     """One row per row-group cell, one column per column cell; empty cells 0.
 
-    With declared column values the schema is fixed; otherwise (labels
-    from a code table, such as discard reasons) Spark finds them on the
-    long form, which is already aggregated and so small.
+    The columns come from the data, so the long form is computed once and
+    written (it holds aggregate cells only) before its labels are read.
     """
-    values = wide_columns(spec)
+    held = stored(long.sparkSession, long, f"crosstab-{spec.name}")
     row_keys = [g.field for g in spec.rows]
-    flags = [f"g_{k}" for k in row_keys]
-    pivot = long.withColumn("__col", column_key(spec)).groupBy(*row_keys, *flags)
-    wide = (pivot.pivot("__col", values) if values else pivot.pivot("__col")).agg(F.first(COUNT))
-    cells = [c for c in wide.columns if c not in row_keys + flags]
-    return wide.na.fill(0, subset=cells)
+
+    def cell(parts: tuple[Part, ...]) -> Column:
+        here = [F.col(f"g_{g.field}") == 1 if total else (F.col(f"g_{g.field}") == 0) & F.col(g.field).eqNullSafe(F.lit(m))
+                for g, (total, m) in zip(spec.cols, parts)]
+        return F.coalesce(F.sum(F.when(reduce(and_, here), F.col(COUNT))), F.lit(0)).cast("long").alias(column_name(parts))
+
+    return held.groupBy(*row_keys, *[f"g_{k}" for k in row_keys]).agg(*[cell(c) for c in wide_members(held, spec)])

@@ -1,39 +1,40 @@
-"""Join helpers with an explicit size bound for broadcasting."""
+"""Joins with code tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemotab.sources.tables import BROADCAST_MAX_ROWS, Tables
+from hemotab.sources.schema import DIMENSIONS
+from hemotab.sources.tables import Tables
 
+# A code list larger than this (by the planner's own size estimate: file sizes
+# or inline rows) is joined by shuffle.
+CODE_TABLE_BYTES = 16 << 20
 
-def small_side(tables: Tables, name: str, frame: DataFrame,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``frame`` with a broadcast hint when its row count is proven small.
 
-    ``name`` keys the cached check, so it must identify the frame (table,
-    filter and joins), not just the table it starts from.
+def code_table(frame: DataFrame) -> DataFrame:
+    """``frame`` with a broadcast hint if the planner knows it to be small.
 
-    The bound is measured (``Tables.is_bounded``); above it the frame is
-    returned unhinted and Spark joins it by shuffle (sort-merge, with AQE
-    splitting skewed partitions).
+    The planner's estimate is at hand without running a job; sources it knows
+    nothing about count as large.  Only code lists are hinted; all other joins
+    are planned as shuffles, which AQE turns into broadcasts by measured bytes.
     """
-    if tables.is_bounded(name, frame, max_rows):
-        return F.broadcast(frame)
-    return frame
+    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(frame) if int(str(size)) <= CODE_TABLE_BYTES else frame
 
 
 def dim_lookup(tables: Tables, fact: DataFrame, table: str, fact_key: str,
-               columns: dict[str, str], how: str = "left", name: str | None = None) -> DataFrame:
-    """Left-join a dimension on its ``id`` and bring in ``columns`` (source -> alias).
+               columns: dict[str, str], how: str = "left") -> DataFrame:
+    """Left-join a code list on its ``id`` and bring in ``columns`` (source -> alias).
 
-    The dimension is reduced to its key and the needed labels before the
-    join, so what is broadcast is only that.
+    The list is reduced to its key and the needed labels before the join, so
+    what is broadcast is only that.
     """
+    if table not in DIMENSIONS:
+        raise ValueError(f"{table} is no code list")
     key = f"__{table}_id"
     dim = tables[table].select(F.col("id").alias(key),
                                *[F.col(src).alias(alias) for src, alias in columns.items()])
-    dim = small_side(tables, name or f"{table}:{','.join(sorted(columns))}", dim)
-    out = fact.join(dim, fact[fact_key] == dim[key], how)
+    out = fact.join(code_table(dim), fact[fact_key] == dim[key], how)
     return out.drop(key)

@@ -8,21 +8,27 @@ reads whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hemotab.functions import recodes as R
 from hemotab.operators import crosstab as X
 from hemotab.operators.dedupe import latest_counselling
 from hemotab.operators.period import closed_dates, timestamp_period
 from hemotab.operators.results import positive_flags
+from hemotab.plans import materialize as M
 from hemotab.plans import reports as RP
 from hemotab.plans import views as V
-from hemotab.profile import fixture_profile
-from hemotab.sources.fixtures import fixture_tables
+from hemotab.profile import PROFILES, fixture_profile
+from hemotab.session import checkpoint_dir, stored
+from hemotab.sources import sinks
+from hemotab.sources.fixtures import fixture_tables, odd_labels
 
 AS_OF = "2001-12-31"          # ages
 EXPIRY_AS_OF = "1998-06-01"   # component expiry
@@ -31,6 +37,7 @@ EXPIRY_AS_OF = "1998-06-01"   # component expiry
 DONATION_PERIOD = ("1996-01-01", "2000-12-31")
 PERIODS = {name: DONATION_PERIOD for name in RP.REPORTS}
 PERIODS["deferral"] = ("2024-01-02", "2024-01-29")
+MONTH = ("1997-03-01", "1997-03-31")   # the period of a monthly report
 
 VIEW_QUERIES = {
     "view_donation_summary": "donationSummaryView",
@@ -46,22 +53,31 @@ VIEW_QUERIES = {
 @dataclass(frozen=True)
 class CrosstabCheck:
     crosstab: str
-    release: str = "1.4.0"
+    # A release's codes and test ids, on tables that hold them; None: the
+    # current release on the fixtures' own test numbers.
+    release: str | None = None
+
+    @property
+    def profile(self):
+        return PROFILES[self.release] if self.release else fixture_profile()
 
 
 CROSSTAB_QUERIES = {f"xt_{name}": CrosstabCheck(name) for name in RP.CROSSTABS}
 CROSSTAB_QUERIES["profile_100_donation"] = CrosstabCheck("donorCounselling_by_site", "1.0.0")
 CROSSTAB_QUERIES["profile_130_donation"] = CrosstabCheck("donorCounselling_by_site", "1.3.0")
+CROSSTAB_QUERIES["profile_100_hiv"] = CrosstabCheck("hivPrevalence_by_site", "1.0.0")
+CROSSTAB_QUERIES["profile_130_hiv"] = CrosstabCheck("hivPrevalence_by_site", "1.3.0")
 CROSSTAB_QUERIES["profile_100_issued"] = CrosstabCheck("componentsIssued_by_site", "1.0.0")
+CROSSTAB_QUERIES["profile_140_binary_ids"] = CrosstabCheck("ttiCoinfection_by_site", "1.4.0")
 
 
 def view_as_of(view: str) -> str:
     return EXPIRY_AS_OF if view == "inventorySummaryView" else AS_OF
 
 
-def view_frame(tables, view: str, release: str = "1.4.0") -> DataFrame:
+def view_frame(tables, view: str) -> DataFrame:
     fn = V.VIEWS[view]
-    profile = fixture_profile(release)
+    profile = fixture_profile()
     if fn is V.batch_location:
         return fn(tables)
     if fn in (V.discard_summary, V.issued_summary):
@@ -73,7 +89,7 @@ def crosstab_frame(tables, check: CrosstabCheck) -> DataFrame:
     spec, _ = RP.CROSSTABS[check.crosstab]
     start, end = PERIODS[spec.name]
     return RP.crosstab(tables, check.crosstab, start, end, as_of=view_as_of(spec.view),
-                       profile=fixture_profile(check.release))
+                       profile=check.profile)
 
 
 # --- single-operator queries ---------------------------------------------------------
@@ -148,15 +164,120 @@ def report_batch_donation_views(tables) -> DataFrame:
     return RP.run_reports(tables, BATCH_REPORTS, start, end, as_of=AS_OF, profile=fixture_profile())
 
 
+def _wide(tables, name: str) -> DataFrame:
+    return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck(name)), RP.CROSSTABS[name][1])
+
+
 def xt_wide_donation(tables) -> DataFrame:
-    spec, xt = RP.CROSSTABS["donation_by_site"]
-    return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck("donation_by_site")), xt)
+    return _wide(tables, "donation_by_site")
 
 
 def xt_wide_discard(tables) -> DataFrame:
     """X7 with column labels from the data (discard reasons)."""
-    spec, xt = RP.CROSSTABS["discard_by_site"]
-    return X.crosstab_wide(crosstab_frame(tables, CrosstabCheck("discard_by_site")), xt)
+    return _wide(tables, "discard_by_site")
+
+
+def xt_wide_donation_odd_labels(tables) -> DataFrame:
+    """X7 with a gender that no list names."""
+    return _wide(odd_labels(tables), "donation_by_site")
+
+
+def xt_wide_discard_odd_labels(tables) -> DataFrame:
+    """X7 with a reason named like the total and an empty reason."""
+    return _wide(odd_labels(tables), "discard_by_site")
+
+
+# --- the routes users take -----------------------------------------------------------
+def _month(tables) -> DataFrame:
+    """All 12 reports for one month (deferrals: their own)."""
+    p = fixture_profile()
+    rest = [n for n in RP.REPORTS if n != "deferral"]
+    batch = RP.run_reports(tables, rest, *MONTH, as_of=AS_OF, profile=p)
+    own = RP.run_reports(tables, ["deferral"], *PERIODS["deferral"], as_of=AS_OF, profile=p)
+    return batch.unionByName(own, allowMissingColumns=True)
+
+
+def report_batch_month(tables) -> DataFrame:
+    """Monthly reports from the source tables."""
+    return _month(tables)
+
+
+def report_batch_month_stored(tables) -> DataFrame:
+    """Monthly reports from stored bases, written to the shared folder first."""
+    p = fixture_profile()
+    return _month(M.use_all_bases(tables, M.write_all_bases(tables, p), p))
+
+
+def sink_round_trip(tables) -> DataFrame:
+    """K1: the monthly reports written report by report, and read back."""
+    root = f"{checkpoint_dir(tables.spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    for name in RP.REPORTS:
+        start, end = PERIODS["deferral"] if name == "deferral" else MONTH
+        out = RP.run_report(tables, name, start, end, as_of=AS_OF, profile=fixture_profile())
+        sinks.write_report(out, root, name, start, end)
+    held = tables.spark.read.option("mergeSchema", "true").parquet(f"{root}/crosstabs")
+    keys = list(dict.fromkeys(k for r in RP.REPORTS.values() for k in r.keys))
+    return held.select("report", "crosstab", *keys, *[f"g_{k}" for k in keys], X.COUNT)
+
+
+def order_donation_by_site(tables) -> DataFrame:
+    """The place of each cell in report order."""
+    xt = RP.CROSSTABS["donation_by_site"][1]
+    long = crosstab_frame(tables, CrosstabCheck(xt.name))
+    # One row per printed cell.
+    return long.withColumn("place", F.row_number().over(Window.orderBy(*X.sort_columns(xt))))
+
+
+def order_views(tables) -> DataFrame:
+    """The order of the sort keys of each ordered view."""
+    parts = []
+    for view, keys in sinks.VIEW_ORDER.items():
+        groups = view_frame(tables, view).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        key = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+        parts.append(_places(groups, keys).select(F.lit(view).alias("view"), key.alias("sort_key"), "place", "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+def _places(groups: DataFrame, keys) -> DataFrame:
+    """Rank of distinct sort keys: ranges in order, each counted, then numbered inside."""
+    spark = groups.sparkSession
+    ranged = groups.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *[F.col(k).asc_nulls_first() for k in keys])
+    held = stored(spark, ranged.withColumn("part", F.spark_partition_id()), "view-order")
+    before = F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = held.groupBy("part").agg(F.count(F.lit(1)).alias("c")).withColumn("before", F.coalesce(before, F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(*[F.col(k).asc_nulls_first() for k in keys]))
+    return held.withColumn("nth", nth).join(parts, "part").withColumn("place", (F.col("before") + F.col("nth")).cast("int"))
+
+
+def _sql_form(tables, release: str) -> DataFrame:
+    """The donation dataset of a month by SQL over registered views."""
+    V.register_views(tables, as_of=AS_OF, profile=PROFILES[release])
+    return RP.dataset_sql(tables.spark, "donation", *MONTH, profile=PROFILES[release])
+
+
+def sql_form_100(tables) -> DataFrame:
+    return _sql_form(tables, "1.0.0")
+
+
+def sql_form_140(tables) -> DataFrame:
+    return _sql_form(tables, "1.4.0")
+
+
+def sql_views(tables) -> DataFrame:
+    """Rows of every registered view, counted in SQL."""
+    V.register_views(tables, as_of=AS_OF, profile=fixture_profile())
+    return tables.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view, count(*) AS n FROM {v}" for v in V.VIEWS))
+
+
+def report_metadata(tables) -> DataFrame:
+    """X9 with a fixed clock, beside the number of donations of the source."""
+    now = dt.datetime(1998, 3, 9, 17, 5, 41)
+    frames = [RP.metadata(tables.spark, r, *MONTH, now=now) for r in ("donation", "discard")]
+    orders = tables["Donation"].agg(F.count(F.lit(1)).alias("orders")).withColumn("one", F.lit(1))
+    return frames[0].unionAll(frames[1]).withColumn("one", F.lit(1)).join(orders, "one").drop("one")
 
 
 OPERATOR_QUERIES: dict[str, Callable] = {
@@ -172,30 +293,39 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "period_plus_one_day": period_plus_one_day,
     "xt_wide_donation": xt_wide_donation,
     "xt_wide_discard": xt_wide_discard,
+    "xt_wide_donation_odd_labels": xt_wide_donation_odd_labels,
+    "xt_wide_discard_odd_labels": xt_wide_discard_odd_labels,
     "xt_labels_discard": xt_labels_discard,
     "report_batch_donation_views": report_batch_donation_views,
+    "report_batch_month": report_batch_month,
+    "report_batch_month_stored": report_batch_month_stored,
+    "sink_round_trip": sink_round_trip,
+    "order_donation_by_site": order_donation_by_site,
+    "order_views": order_views,
+    "sql_views": sql_views,
+    "report_metadata": report_metadata,
 }
 
-
-# Detail queries (views and row-level operators) are handed to the
-# cross-engine check as text: Spark and DuckDB return dates, timestamps,
-# decimals and nullable integers/booleans as different Python types, but
-# render them as the same text.  The library returns the declared types;
-# tests/test_oracle.py also compares those typed results.
-TEXT_QUERIES = frozenset(VIEW_QUERIES) | {
-    "expr_age", "expr_blood_type", "expr_expiry", "expr_coinfection", "test_flags",
-    "dedupe_donation", "dedupe_counselling", "period_closed", "period_plus_one_day",
-    "report_batch_donation_views",
+# Queries on tables that hold a release's own codes and ids.
+RELEASE_QUERIES: dict[str, tuple[Callable, str]] = {
+    "sql_form_100": (sql_form_100, "1.0.0"),
+    "sql_form_140": (sql_form_140, "1.4.0"),
 }
 
 
 def as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    """Decimals and timestamps as text: both engines print them alike, but
+    hand them over as different types.  All other columns keep their types."""
+    def shown(f):
+        printed = isinstance(f.dataType, (T.DecimalType, T.TimestampType, T.TimestampNTZType))
+        return F.col(f.name).cast("string").alias(f.name) if printed else F.col(f.name)
+
+    return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def _runner(build: Callable, text: bool) -> Callable[[SparkSession, str], DataFrame]:
+def _runner(build: Callable, text: bool, release: str | None = None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = build(fixture_tables(spark, sf_dir))
+        df = build(fixture_tables(spark, sf_dir, PROFILES[release] if release else None))
         return as_text(df) if text else df
     return run
 
@@ -206,7 +336,9 @@ def queries(text: bool = True) -> dict[str, Callable[[SparkSession, str], DataFr
     for name, view in VIEW_QUERIES.items():
         out[name] = _runner(lambda t, v=view: view_frame(t, v), text)
     for name, check in CROSSTAB_QUERIES.items():
-        out[name] = _runner(lambda t, c=check: crosstab_frame(t, c), False)
+        out[name] = _runner(lambda t, c=check: crosstab_frame(t, c), text, check.release)
     for name, fn in OPERATOR_QUERIES.items():
-        out[name] = _runner(fn, text and name in TEXT_QUERIES)
+        out[name] = _runner(fn, text)
+    for name, (fn, release) in RELEASE_QUERIES.items():
+        out[name] = _runner(fn, text, release)
     return out

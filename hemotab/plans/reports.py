@@ -143,12 +143,23 @@ CROSSTABS: dict[str, tuple[ReportSpec, CrosstabSpec]] = {
 }
 
 
+# Options of the views, by view; an option of another view has no effect.
+VIEW_OPTIONS = {
+    "testingSummaryView": ("strict_gate",),
+    "inventorySummaryView": ("dedupe_returns",),
+}
+
+
 def _view_frame(tables: Tables, spec: ReportSpec, columns: Sequence[str], as_of, profile: Profile,
-                **options) -> DataFrame:
+                period: tuple[str, str], **options) -> DataFrame:
+    unknown = set(options) - {o for names in VIEW_OPTIONS.values() for o in names}
+    if unknown:
+        raise ValueError(f"unknown options: {sorted(unknown)}")
     fn = V.VIEWS[spec.view]
-    if fn in (V.discard_summary, V.issued_summary):
-        return fn(tables, profile=profile, columns=columns, period=options.get("period"))
-    return fn(tables, as_of=as_of, profile=profile, columns=columns, **options)
+    mine = {o: options[o] for o in VIEW_OPTIONS.get(spec.view, ()) if o in options}
+    if fn not in (V.discard_summary, V.issued_summary):
+        mine["as_of"] = as_of
+    return fn(tables, profile=profile, columns=columns, period=period, **mine)
 
 
 def dataset(tables: Tables, report: str | ReportSpec, start: DateLike, end: DateLike,
@@ -156,20 +167,17 @@ def dataset(tables: Tables, report: str | ReportSpec, start: DateLike, end: Date
             half_open: bool = False, **options) -> DataFrame:
     """The report's dataset: its view, filtered by the period, declared fields only.
 
-    For the donation views the period filter sits above the per-number
-    collapse (it must not move below it); for the other views Catalyst
-    pushes it down to the scan.
+    Catalyst pushes the period to the scan.  For the donation views that is
+    the scan of the chosen donations; the choice itself reads all of them.
     """
     spec = REPORTS[report] if isinstance(report, str) else report
     cols = list(columns) if columns is not None else list(spec.fields)
     if spec.date_field not in cols:
         cols.append(spec.date_field)
-    # Inclusive date bounds covering the period: they prune stored months
-    # and, for the donation views, drive the numbers-in-period pre-filter.
+    # Inclusive date bounds covering the period: they prune stored months.
     plus_one = spec.period == "timestamp" or profile.donation_period_plus_one_day
     last = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1 if plus_one else 0)
-    options = {**options, "period": (str(start), str(last))}
-    df = _view_frame(tables, spec, cols, as_of, profile, **options)
+    df = _view_frame(tables, spec, cols, as_of, profile, period=(str(start), str(last)), **options)
     if spec.period == "date":
         cond = closed_dates(spec.date_field, start, end, plus_one_day=profile.donation_period_plus_one_day)
     else:
@@ -193,16 +201,18 @@ def crosstab(tables: Tables, name: str, start: DateLike, end: DateLike, as_of=No
     return X.crosstab(finest(tables, spec, start, end, as_of, profile, **options), xt)
 
 
-def metadata(spark, report: str | ReportSpec, start: DateLike, end: DateLike) -> DataFrame:
-    """Title, period label and run stamp as a one-row frame."""
+def metadata(spark, report: str | ReportSpec, start: DateLike, end: DateLike,
+             now: dt.datetime | None = None) -> DataFrame:
+    """Title, period label and run stamp as a one-row frame (P19, P20);
+    ``now`` fixes the clock."""
     spec = REPORTS[report] if isinstance(report, str) else report
     before, between = L.PERIOD_LABEL
-    now = F.current_timestamp()
+    clock = F.current_timestamp() if now is None else F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
     return spark.range(1).select(
         F.lit(spec.title).alias("title"),
         F.lit(f"{before}{start}{between}{end}").alias("period"),
-        F.date_format(now, "HH:mm").alias("run_time"),
-        F.date_format(now, "MMMM dd, yyyy").alias("run_date"),
+        F.date_format(clock, "HH:mm").alias("run_time"),
+        F.date_format(clock, "MMMM dd, yyyy").alias("run_date"),
     )
 
 
@@ -227,17 +237,21 @@ def run_report(tables: Tables, report: str, start: DateLike, end: DateLike, as_o
     return out
 
 
-def dataset_sql(spark, report: str, start: DateLike, end: DateLike) -> DataFrame:
+def dataset_sql(spark, report: str, start: DateLike, end: DateLike, profile: Profile = DEFAULT_PROFILE,
+                half_open: bool = False) -> DataFrame:
     """The dataset in SQL form (P18): parameters are bound, not spliced.
 
-    Needs the views registered as temp views (``views.register_views``).
+    Needs the views registered as temp views (``views.register_views``) for
+    the same release.
     """
     spec = REPORTS[report]
     if spec.period == "date":
-        cond = f"{spec.date_field} BETWEEN :start AND :end"
+        last = "date_add(:end, 1)" if profile.donation_period_plus_one_day else ":end"
+        cond = f"{spec.date_field} BETWEEN :start AND {last}"
     else:
-        cond = (f"{spec.date_field} BETWEEN CAST(:start AS TIMESTAMP_NTZ) "
-                f"AND CAST(date_add(:end, 1) AS TIMESTAMP_NTZ)")
+        upper = "<" if half_open else "<="
+        cond = (f"{spec.date_field} >= CAST(:start AS TIMESTAMP_NTZ) "
+                f"AND {spec.date_field} {upper} CAST(date_add(:end, 1) AS TIMESTAMP_NTZ)")
     fields = ", ".join(spec.fields)
     return spark.sql(f"SELECT {fields} FROM {spec.view} WHERE {cond}",
                      args={"start": dt.date.fromisoformat(str(start)), "end": dt.date.fromisoformat(str(end))})

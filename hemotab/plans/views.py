@@ -9,15 +9,17 @@ that reject nulls turn its left joins into inner joins; they are written
 as inner joins here.
 
 Scale notes
-* Code tables (types, reasons, sites) go through ``small_side``: a
-  broadcast only behind a measured row bound.
-* Fact-to-fact joins (donation-donor, status change-component, order
-  lines-orders-components) are left to the planner: broadcast when the
-  estimate is under the threshold, otherwise sort-merge with AQE skew
-  splitting.
-* The donation views collapse per donation number (D1) by a partial
-  aggregate and reduce test results and counselling to one row per
-  donation before joining them (J-T, D2), so nothing fans out.
+* Code tables (types, reasons, sites) are broadcast if the planner's own size
+  estimate is small (``operators.joins.code_table``); no job runs for it.
+* All other joins are planned as shuffles with AQE skew splitting; AQE turns
+  one into a broadcast from the measured bytes of a shuffled side.
+* The donation views pick one donation per number (D1) by a hash aggregate
+  over two narrow columns.  The wide donation columns are scanned once more for
+  the chosen ids only, so a report's period filter reaches that scan, and the
+  shuffle by id serves the counselling and test-flag joins as well.
+* Test results and counselling are reduced to one row per donation before
+  they are joined (J-T, D2), so nothing fans out.
+* Components without a batch can't match one; their null keys are spread.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from hemotab.functions import labels as L
 from hemotab.functions import recodes as R
 from hemotab.operators.dedupe import latest_counselling, one_per_donation_number
-from hemotab.operators.joins import dim_lookup, small_side
+from hemotab.operators.joins import code_table, dim_lookup
 from hemotab.operators.results import positive_flags
 from hemotab.profile import DEFAULT_PROFILE, DISEASES, Profile
 from hemotab.sources.tables import Tables
@@ -121,62 +123,7 @@ def _stored_view(tables: Tables, view: str, profile: Profile, period: tuple[str,
     return df
 
 
-def _in_period(col: str, period: tuple[str, str], timestamp: bool) -> "F.Column":
-    """Superset filter for ``period`` (inclusive first and last dates)."""
-    lo, hi = (F.lit(d).cast("date") for d in period)
-    if timestamp:
-        return (F.col(col) >= lo.cast("timestamp_ntz")) & (F.col(col) < F.date_add(hi, 1).cast("timestamp_ntz"))
-    return F.col(col).between(lo, hi)
-
-
-def _period_side(tables: Tables, key: str, frame: DataFrame, period: tuple[str, str] | None,
-                 col: str, timestamp: bool = True) -> tuple[DataFrame, bool]:
-    """``frame`` cut to the period, broadcast if counted within the bound.
-
-    For a short period the events of the period are few while the table
-    they join (donors, components, order lines) is large: broadcasting
-    the period side streams the large table through the join without
-    shuffling it.  Above the bound (or without a period) the frame is
-    returned as it was and the join shuffles both sides.  The report's
-    exact period filter is applied later either way, so only the join
-    strategy changes.
-    """
-    if period is None:
-        return frame, False
-    cut = frame.where(_in_period(col, period, timestamp))
-    if tables.is_bounded(f"{key}:{period[0]}:{period[1]}", cut):
-        return F.broadcast(cut), True
-    return frame, False
-
-
 # --- V1 and V7: one row per donation number -------------------------------------------
-# Periods up to this length get the numbers-in-period pre-filter.
-PREFILTER_MAX_DAYS = 366
-
-
-def _period_numbers(tables: Tables, donation: DataFrame, period: tuple[str, str]) -> tuple[DataFrame, bool]:
-    """Keeps the donations whose number has a row dated inside ``period``
-    (and says whether it did).
-
-    A number can only be reported for a period if its chosen row (the
-    lowest valid id) is dated inside it, so numbers without any row in
-    the period can be dropped before the collapse; the numbers kept are
-    collapsed over all their rows, so the choice is unchanged.  The set
-    of numbers is broadcast only when counted to be within the bound;
-    above it, or for periods over a year, the pre-filter is skipped (for
-    repeated reporting at scale the stored base prunes by month instead).
-    """
-    lo, hi = period
-    if (dt.date.fromisoformat(hi) - dt.date.fromisoformat(lo)).days > PREFILTER_MAX_DAYS:
-        return donation, False  # a long period keeps most numbers: the pre-filter would not pay
-    din = "donationIdentificationNumber"
-    numbers = (tables["Donation"].where(_in_period("donationDate", period, timestamp=False))
-               .select(F.col(din).alias("__din")).distinct())
-    if not tables.is_bounded(f"numbers-in-period:{lo}:{hi}", numbers):
-        return donation, False
-    return donation.join(F.broadcast(numbers), donation[din].eqNullSafe(F.col("__din")), "left_semi"), True
-
-
 def _donation_columns(need: set[str], diseases: Sequence[str]) -> set[str]:
     """Donation columns the requested output columns are computed from."""
     base = {"id", "donationIdentificationNumber"}
@@ -196,17 +143,28 @@ def _donation_columns(need: set[str], diseases: Sequence[str]) -> set[str]:
     return base
 
 
+def donation_numbers(tables: Tables, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
+    """D1 on its own: the donation id kept for each donation number, among the
+    donations that pass the views' WHERE clause."""
+    donation = tables["Donation"].where(~F.col("isDeleted")).select(
+        "id", "donationIdentificationNumber", "donor_id", "packType_id")
+    pack = tables["PackType"].where(F.col("countAsDonation")).select(F.col("id").alias("packType_id"))
+    donors = tables["Donor"].where(~F.col("isDeleted") & (F.col("donorStatus") != L.MERGED)).select(
+        F.col("id").alias("donor_id"))
+    valid = donation.join(code_table(pack), "packType_id", "left_semi").join(donors, "donor_id", "left_semi")
+    return one_per_donation_number(valid).select("donationIdentificationNumber", "id")
+
+
 def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: Sequence[str],
                    counselling: bool, period: tuple[str, str] | None = None) -> DataFrame:
-    """Donations after the WHERE clause, collapsed per number, with the
-    labels, counselling row and test flags the requested columns need.
+    """The chosen donations with the labels, counselling row and test flags
+    the requested columns need.
 
-    ``period`` (first and last date, inclusive, a superset of the report
-    period) lets the plan skip numbers that cannot be in the report.
     When ``tables`` carries a stored base (``plans.materialize``), it is
-    read instead and ``period`` prunes its month partitions.  The stored
-    rows are already collapsed, so filtering them by month cannot change
-    which row represents a number.
+    read instead and ``period`` (first and last date, inclusive, a superset of
+    the report period) prunes its month partitions.  The stored rows are
+    already collapsed, so filtering them by month cannot change which row
+    represents a number.
     """
     stored = getattr(tables, "donation_base", None)
     if stored is not None:
@@ -218,67 +176,33 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
         return stored
     need = set(out)
     base = _donation_columns(need, diseases)
-    donation = tables["Donation"].where(~F.col("isDeleted"))
-    donation = donation.select(*sorted(base | {"donor_id", "packType_id"}))
-    ids = None
-    small = False
-    if period is not None:
-        donation, cut = _period_numbers(tables, donation, period)
-        # When the donations of those numbers are counted within the bound,
-        # they are broadcast into the donor join (the donor table is
-        # streamed, not shuffled), and their ids cut the test-result and
-        # counselling tables before those are aggregated.
-        if cut:
-            candidate = donation.select(F.col("id").alias("__id"))
-            small = tables.is_bounded(f"ids-of-numbers-in-period:{period[0]}:{period[1]}", candidate)
-            if small:
-                ids = F.broadcast(candidate)
-
-    pack = tables["PackType"].where(F.col("countAsDonation")).select(
-        F.col("id").alias("packType_id"), "packType")
-    rows = donation.join(small_side(tables, "PackType:counted", pack), "packType_id", "inner")
-
-    # Only what the requested columns need crosses the collapse below:
-    # Catalyst cannot prune fields inside the aggregated struct.
     donor_cols = [c for c in ("donorNumber", "gender") if c in need]
     if need & {"age", "ageGroup"}:
         donor_cols.append("birthDate")
-    donors = tables["Donor"].where(~F.col("isDeleted") & (F.col("donorStatus") != L.MERGED)).select(
-        F.col("id").alias("donor_id"), *donor_cols)
-    rows = (F.broadcast(rows) if small else rows).join(donors, "donor_id", "inner")
-
-    keep = sorted(base | ({"packType"} & need) | set(donor_cols))
-    rows = one_per_donation_number(rows, keep)
-
+    base |= {"donor_id"} if donor_cols else set()
+    base |= {"packType_id"} if "packType" in need else set()
+    chosen = donation_numbers(tables, profile).select("id")
+    # A filter on the donation's own columns moves below this semi join, to
+    # the scan; it never reaches the choice itself.
+    rows = tables["Donation"].select(*sorted(base)).join(chosen, "id", "left_semi")
+    if counselling:
+        rows = rows.join(latest_counselling(tables["PostDonationCounselling"])
+                         .withColumnRenamed("donation_id", "id"), "id", "left")
+    if diseases:
+        flags = positive_flags(tables["BloodTestResult"], profile, diseases)
+        rows = rows.join(flags.withColumnRenamed("donation_id", "id"), "id", "left")
+    if donor_cols:
+        donors = tables["Donor"].select(F.col("id").alias("donor_id"), *donor_cols)
+        rows = rows.join(donors, "donor_id", "inner")
+    if "packType" in need:
+        rows = dim_lookup(tables, rows, "PackType", "packType_id", {"packType": "packType"})
     if "venue" in need:
         rows = dim_lookup(tables, rows, "Location", "venue_id", {"name": "venue"})
     if "donationType" in need:
         rows = dim_lookup(tables, rows, "DonationType", "donationType_id", {"donationType": "donationType"})
-
-    def only_ids(df: DataFrame) -> DataFrame:
-        return df if ids is None else df.join(ids, df["donation_id"] == ids["__id"], "left_semi")
-
-    def per_donation(df: DataFrame) -> DataFrame:
-        # cut to the counted ids, an aggregate per donation has at most as
-        # many rows, so it is broadcast too
-        df = df.withColumnRenamed("donation_id", "id")
-        return df if ids is None else F.broadcast(df)
-
-    if counselling:
-        c = latest_counselling(only_ids(tables["PostDonationCounselling"]))
-        rows = rows.join(per_donation(c), "id", "left")
-    if diseases:
-        flags = positive_flags(only_ids(tables["BloodTestResult"]), profile, diseases)
-        rows = rows.join(per_donation(flags), "id", "left")
     return rows
 
 
-def donation_numbers(tables: Tables, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
-    """D1 on its own: the donation id kept for each donation number."""
-    rows = _donation_base(tables, profile, ["donationIdentificationNumber"], (), counselling=False)
-    return rows.select("donationIdentificationNumber", "id")
-
-
 def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
                      columns: Sequence[str] | None = None, period: tuple[str, str] | None = None) -> DataFrame:
     """V1: donation summary, one row per donation number (29 columns)."""
@@ -324,14 +248,23 @@ def batch_location(tables: Tables) -> DataFrame:
     """V2: component batches with a known location: (id, name)."""
     sites = tables["Location"].select(F.col("id").alias("location_id"), "name")
     batches = tables["ComponentBatch"].select("id", "location_id")
-    return batches.join(small_side(tables, "Location:sites", sites), "location_id", "inner").select("id", "name")
+    return batches.join(code_table(sites), "location_id", "inner").select("id", "name")
+
+
+# Rows without a key are dealt to so many negative keys, which no batch has.
+NULL_KEYS = 4096
 
 
 def _processed_at(tables: Tables, rows: DataFrame, batch_key: str = "componentBatch_id") -> DataFrame:
-    """Left join of the batch-location view on the component's batch."""
+    """Left join of the batch-location view on the component's batch.
+
+    Components without a batch match nothing; their null keys would meet in
+    one shuffle partition, so they get spread keys that match nothing either.
+    """
     v2 = batch_location(tables).select(F.col("id").alias("__batch"), F.col("name").alias("processedAtLocation"))
-    v2 = small_side(tables, "componentBatchLocationView", v2)
-    return rows.join(v2, rows[batch_key] == v2["__batch"], "left").drop("__batch")
+    spread = -1 - F.pmod(F.xxhash64(*rows.columns), F.lit(NULL_KEYS))
+    keyed = rows.withColumn("__key", F.coalesce(F.col(batch_key), spread))
+    return keyed.join(v2, keyed["__key"] == v2["__batch"], "left").drop("__batch", "__key")
 
 
 # --- V3 -----------------------------------------------------------------------------------
@@ -365,15 +298,13 @@ def inventory_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
         rows = _processed_at(tables, rows)
 
     # Returns multiply rows, so they are joined whatever the columns asked.
-    links = tables["ReturnForm_Component"].select("component_id", "returnForm_id")
+    links = tables["ReturnForm_Component"].where(F.col("component_id").isNotNull()).select(
+        "component_id", "returnForm_id")
     if dedupe_returns:
         links = links.groupBy("component_id").agg(F.max("returnForm_id").alias("returnForm_id"))
     if "returnStatus" in need:
         forms = tables["ReturnForm"].select(F.col("id").alias("returnForm_id"), F.col("status").alias("returnStatus"))
         links = links.join(forms, "returnForm_id", "left")
-    variant = ("ReturnForm_Component" + (":latest" if dedupe_returns else "")
-               + ("+ReturnForm" if "returnStatus" in need else ""))
-    links = small_side(tables, variant, links)
     rows = rows.join(links, rows["id"] == links["component_id"], "left")
     return _project(rows, out, exprs)
 
@@ -396,8 +327,6 @@ def deferral_summary(tables: Tables, as_of: DateLike = None, profile: Profile =
         rows = dim_lookup(tables, rows, "Location", "venue_id", {"name": "venue"})
     donors = tables["Donor"].where(~F.col("isDeleted")).select(
         F.col("id").alias("deferredDonor_id"), "donorNumber", "gender", "birthDate")
-    # (the hint must sit on the join's direct input, so after the lookups)
-    rows, _ = _period_side(tables, "deferrals", rows, period, "deferralDate")
     rows = rows.join(donors, "deferredDonor_id", "inner")
     return _project(rows, out, exprs)
 
@@ -414,7 +343,6 @@ def discard_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
     events = tables["ComponentStatusChange"].where(
         (F.col("newStatus") == L.DISCARDED) & ~F.col("isDeleted")).select(
         "component_id", "statusChangeReason_id", "statusChangedOn")
-    events, _ = _period_side(tables, "discards", events, period, "statusChangedOn")
     components = tables["Component"].where(~F.col("isDeleted")).select(
         F.col("id").alias("component_id"), "componentType_id", "componentBatch_id")
     rows = events.join(components, "component_id", "inner")
@@ -440,7 +368,6 @@ def issued_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
     orders = tables["OrderForm"].where(
         ~F.col("isDeleted") & (F.col("type") == L.ISSUE_ORDER_TYPE) & (F.col("status") == L.DISPATCHED)
     ).select(F.col("id").alias("orderForm_id"), "status", "orderDate", "dispatchedTo_id")
-    orders, cut = _period_side(tables, "issue-orders", orders, period, "orderDate")
     rows = tables["OrderForm_Component"].select("orderForm_id", "component_id").join(orders, "orderForm_id", "inner")
     components = tables["Component"]
     if profile.issued_requires_live_component:
@@ -450,11 +377,6 @@ def issued_summary(tables: Tables, profile: Profile = DEFAULT_PROFILE,
         how = "left"
     if profile.issued_requires_live_component or "componentTypeName" in need:
         components = components.select(F.col("id").alias("component_id"), "componentType_id")
-        # The period's order lines, counted within the bound, are broadcast
-        # so the component table is streamed (inner join only: a left
-        # join can only broadcast its right side).
-        if cut and how == "inner" and tables.is_bounded(f"issue-lines:{period[0]}:{period[1]}", rows):
-            rows = F.broadcast(rows)
         rows = rows.join(components, "component_id", how)
     if "componentTypeName" in need:
         rows = dim_lookup(tables, rows, "ComponentType", "componentType_id", {"componentTypeName": "componentTypeName"})

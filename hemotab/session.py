@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are designed around.  AQE coalesces the small
 # post-aggregate shuffles and splits skewed sort-merge-join partitions;
@@ -19,10 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcasts need a measured size: code tables are hinted after a row
-    # count (operators.joins.small_side); other joins are planned as
-    # shuffles and only AQE turns one into a broadcast, from the measured
-    # size of the shuffled side, never from a file-size estimate.
+    # Code lists are hinted where the planner's size estimate is small
+    # (operators.joins.code_table); other joins are planned as shuffles and
+    # only AQE turns one into a broadcast, from the measured size of the
+    # shuffled side.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
@@ -75,3 +76,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder below the shared checkpoint folder and read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

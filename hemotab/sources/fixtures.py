@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hemotab.profile import DISEASES, Profile, fixture_profile
 from hemotab.sources.schema import schemas
 from hemotab.sources.tables import Tables
 
@@ -32,8 +33,13 @@ def _hours(n: int) -> Column:
     return F.expr(f"INTERVAL {n} HOURS")
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    sch = schemas(T.LongType())
+def fixture_tables(spark: SparkSession, sf_dir: str, profile: Profile | None = None) -> Tables:
+    """``profile``: TTI codes and test ids of a release (default: the codes of
+    1.4.0, tests numbered from 0)."""
+    test_ids = [i for d in DISEASES for i in (profile or fixture_profile()).test_ids[d]]
+    unsafe, safe = (profile.tti_unsafe, profile.tti_safe) if profile else ("UNSAFE", "SAFE")
+    binary = isinstance(test_ids[0], bytes)
+    sch = schemas(T.BinaryType() if binary else T.LongType())
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -42,7 +48,10 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in sch[name].fields])
 
     def values(name: str, rows: list[tuple]) -> DataFrame:
-        return spark.createDataFrame(rows, schema=sch[name])
+        # Inline rows, whose size the planner knows.
+        listed = ", ".join("(" + ", ".join(repr(v).lower() if isinstance(v, bool) else repr(v) for v in r) + ")" for r in rows)
+        names = ", ".join(f.name for f in sch[name].fields)
+        return typed(name, spark.sql(f"SELECT * FROM VALUES {listed} AS t({names})"))
 
     def location() -> DataFrame:
         n = read("nation")
@@ -79,7 +88,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
             F.when(k % 7 == 0, "-").otherwise("+").alias("bloodRh"),
             _case(k % 11, {0: "NO_TYPE_DETERMINED", 1: "NOT_DONE", 2: "RESOLVED"}, "MATCH")
              .alias("bloodTypingMatchStatus"),
-            _case(F.col("o_orderstatus"), {"F": "UNSAFE", "O": "SAFE"}, "NOT_DONE").alias("ttiStatus"),
+            _case(F.col("o_orderstatus"), {"F": unsafe, "O": safe}, "NOT_DONE").alias("ttiStatus"),
             F.when(k % 13 == 0, "PENDING").otherwise("COMPLETE").alias("bloodTypingStatus"),
             (F.col("o_orderdate") + _hours(9)).alias("bleedStartTime"),
             (F.col("o_orderdate") + _hours(10)).alias("bleedEndTime"),
@@ -99,7 +108,8 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         li = read("lineitem")
         return typed("BloodTestResult", li.select(
             F.col("l_orderkey").alias("donation_id"),
-            ((F.col("l_linenumber") + F.col("l_partkey")) % 8).alias("bloodTest_id"),
+            F.element_at(F.array(*[F.lit(i) for i in test_ids]),
+                         ((F.col("l_linenumber") + F.col("l_partkey")) % 8 + 1).cast("int")).alias("bloodTest_id"),
             F.when(F.col("l_returnflag") == "R", "POS").otherwise("NEG").alias("result"),
             (F.col("l_suppkey") % 20 == 0).alias("isDeleted"),
         ))
@@ -109,7 +119,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
         k = F.col("event_id")
         return typed("PostDonationCounselling", e.select(
             k.alias("id"),
-            ((k * 7) % 1500).alias("donation_id"),
+            (F.floor(k / 2) * 3).alias("donation_id"),
             F.when(F.col("event_type") == "click", "RECEIVED_COUNSELLING")
              .when(F.col("event_type") == "view", "REFUSED_COUNSELLING").alias("counsellingStatus"),
             (k % 2 == 0).alias("flaggedForCounselling"),
@@ -225,3 +235,13 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> Tables:
     }
     tables = Tables(spark, loaders)
     return tables
+
+
+def odd_labels(tables: Tables) -> Tables:
+    """A third gender, a reason named like a total and an empty one."""
+    k = F.col("id")
+    donor = tables["Donor"].withColumn("gender", F.when((k % 7 == 3) & (k % 97 != 5), "other").otherwise(F.col("gender")))
+    label = F.col("statusChangeReason")
+    reason = tables["ComponentStatusChangeReason"].withColumn(
+        "statusChangeReason", F.when(k == 1, "Total").when(k == 2, "").otherwise(label))
+    return tables.replaced(Donor=donor, ComponentStatusChangeReason=reason)

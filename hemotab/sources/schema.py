@@ -77,7 +77,7 @@ def schemas(test_id_type: T.DataType = T.BinaryType()) -> dict[str, T.StructType
 TABLE_NAMES = tuple(schemas().keys())
 
 # Tables whose size is bounded by the domain (code lists, sites), not by
-# the volume of activity; they are broadcast after a row-count check.
+# the volume of activity.
 DIMENSIONS = (
     "Location",
     "DonationType",

@@ -43,7 +43,9 @@ def write_frame(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_report(outputs: Mapping[str, DataFrame], path: str, report: str, start: dt.date | str,
                  end: dt.date | str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Writes ``run_report`` output: both crosstabs in one long table at
-    ``path/crosstabs`` and the metadata row at ``path/metadata``.  Runs for
+    ``path/crosstabs``, the metadata row at ``path/metadata`` and, if there,
+    each wide form at ``path/<crosstab>_wide`` (its columns come from the data,
+    so readers of several periods merge schemas).  Runs for
     other reports and periods in the same folders are kept; a re-run of
     the same report and period replaces it (idempotent).
     """
@@ -52,6 +54,10 @@ def write_report(outputs: Mapping[str, DataFrame], path: str, report: str, start
                 ("report", "period_start", "period_end", "crosstab"))
     meta = _tag(outputs["metadata"], report, start, end)
     write_frame(meta, f"{path.rstrip('/')}/metadata", fmt, mode, ("report", "period_start", "period_end"))
+    for name, df in outputs.items():
+        if name.endswith("_wide"):
+            write_frame(_tag(df, report, start, end), f"{path.rstrip('/')}/{name}", fmt, mode,
+                        ("report", "period_start", "period_end"))
 
 
 def export_view(df: DataFrame, path: str, order_by: Sequence[str] = (), fmt: str = "parquet",

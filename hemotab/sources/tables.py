@@ -11,24 +11,25 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hemotab.sources.schema import TABLE_NAMES, schemas
-
-# Upper bound of rows for a side that may be broadcast.  Dimension rows
-# are a key and a label (well under 100 bytes), so this keeps a broadcast
-# below ~100 MB; anything larger is joined by shuffle.
-BROADCAST_MAX_ROWS = 1_000_000
+from hemotab.sources.schema import DIMENSIONS, TABLE_NAMES, schemas
 
 Loader = Callable[[], DataFrame]
 
 
+def declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the declared columns and types: flags kept as integers or
+    as text become booleans, and so on."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 class Tables(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Loader | DataFrame]):
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame] = {}
-        self._bounded: dict[tuple[str, int], bool] = {}
         # Optional stored collapse of the donation views (plans.materialize).
         self.donation_base: DataFrame | None = None
         self.donation_base_profile: str | None = None
@@ -48,19 +49,9 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._loaders)
 
-    # Size checks -------------------------------------------------------------
-    def is_bounded(self, name: str, frame: DataFrame | None = None,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-        """True when ``frame`` (default: the table) has at most ``max_rows`` rows.
-
-        The check reads at most ``max_rows + 1`` rows and is done once per
-        mapping, so a broadcast decision is backed by a measured bound.
-        """
-        key = (name, max_rows)
-        if key not in self._bounded:
-            df = self[name] if frame is None else frame
-            self._bounded[key] = df.limit(max_rows + 1).count() <= max_rows
-        return self._bounded[key]
+    def replaced(self, **frames: DataFrame) -> "Tables":
+        """The same mapping with some tables replaced (stored bases are left out)."""
+        return Tables(self.spark, {**{n: self[n] for n in self}, **frames})
 
     # Constructors ------------------------------------------------------------
     @classmethod
@@ -81,32 +72,41 @@ class Tables(Mapping[str, DataFrame]):
         return cls(spark, {n: loader(n) for n in TABLE_NAMES})
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str) -> "Tables":
-        """Catalog tables ``database.<Name>`` (S2: database-qualified scan)."""
+    def from_catalog(cls, spark: SparkSession, database: str,
+                     test_id_type: T.DataType = T.BinaryType()) -> "Tables":
+        """Catalog tables ``database.<Name>`` (S2: database-qualified scan),
+        cast to the declared schema."""
+        sch = schemas(test_id_type)
 
         def loader(n: str) -> Loader:
-            return lambda: spark.table(f"{database}.{n}")
+            return lambda: declared(spark.table(f"{database}.{n}"), sch[n])
 
         return cls(spark, {n: loader(n) for n in TABLE_NAMES})
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str],
-                  partitioning: Mapping[str, tuple[str, int, int, int]] | None = None) -> "Tables":
-        """Operational database as the source.
+                  partitioning: Mapping[str, tuple[str, int, int, int]],
+                  test_id_type: T.DataType = T.BinaryType()) -> "Tables":
+        """Operational database as the source (S4), cast to the declared schema.
 
-        ``partitioning`` gives, per large table, (column, lower, upper,
-        partitions) so that the read is split over many tasks instead of
-        one connection.
+        ``partitioning`` gives (column, lower, upper, partitions) for every
+        table that is not a code list, so that no large table is read through
+        one connection in one task; a missing entry is an error.
         """
-        partitioning = dict(partitioning or {})
+        lacking = [n for n in TABLE_NAMES if n not in DIMENSIONS and n not in partitioning]
+        if lacking:
+            raise ValueError(f"no partitioning given for {lacking}")
+        sch = schemas(test_id_type)
 
         def loader(n: str) -> Loader:
             def load() -> DataFrame:
                 if n in partitioning:
                     col, lo, hi, parts = partitioning[n]
-                    return spark.read.jdbc(url, n, column=col, lowerBound=lo, upperBound=hi,
-                                           numPartitions=parts, properties=properties)
-                return spark.read.jdbc(url, n, properties=properties)
+                    df = spark.read.jdbc(url, n, column=col, lowerBound=lo, upperBound=hi,
+                                         numPartitions=parts, properties=properties)
+                else:
+                    df = spark.read.jdbc(url, n, properties=properties)
+                return declared(df, sch[n])
             return load
 
         return cls(spark, {n: loader(n) for n in TABLE_NAMES})

@@ -2,14 +2,17 @@
 
 Where the Spark plans collapse test results and counselling by
 aggregation and pick one donation per number with a partial aggregate,
-these use one left join per test (on results reduced to one row per
-donation and test, any positive winning), ``row_number`` windows, dead
-joins kept, and DuckDB's own date arithmetic (no ``timestampdiff``).
+these use one left join per repeat test (on results reduced to one row per
+donation and test, any positive winning), ``row_number`` windows, the
+inventory and discard views' dead joins, and DuckDB's own date arithmetic
+(no ``timestampdiff``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+
+from sqlcheck.fixtures import BINARY_IDS, INTEGER_IDS
 
 FIXTURE_TESTS = {"hiv": (0, 1), "hbv": (2, 3), "hcv": (4, 5), "syphilis": (6, 7)}
 DISEASES = ("hiv", "hbv", "hcv", "syphilis")
@@ -23,13 +26,19 @@ class Release:
     tests_skip_deleted: bool = True
     issued_live_component: bool = True
     donation_end_plus_one: bool = False
+    tests: dict = field(default_factory=lambda: FIXTURE_TESTS)
+
+
+def _pairs(ids) -> dict:
+    return {d: (ids[2 * k], ids[2 * k + 1]) for k, d in enumerate(DISEASES)}
 
 
 RELEASES = {
     "1.4.0": Release(),
-    "1.3.0": Release(unsafe="TTI_UNSAFE", safe="TTI_SAFE"),
+    "1.4.0-binary": Release(tests=_pairs(BINARY_IDS)),
+    "1.3.0": Release(unsafe="TTI_UNSAFE", safe="TTI_SAFE", tests=_pairs(INTEGER_IDS)),
     "1.0.0": Release(unsafe="TTI_UNSAFE", safe="TTI_SAFE", tests_skip_deleted=False,
-                     issued_live_component=False, donation_end_plus_one=True),
+                     issued_live_component=False, donation_end_plus_one=True, tests=_pairs(INTEGER_IDS)),
 }
 
 
@@ -48,7 +57,8 @@ def band_sql(age: str) -> str:
 def test_ctes(rel: Release, diseases=DISEASES) -> list[str]:
     out = []
     for d in diseases:
-        for k, tid in enumerate(FIXTURE_TESTS[d], start=1):
+        for k, tid in enumerate(rel.tests[d], start=1):
+            tid = f"'{tid}'" if isinstance(tid, str) else tid
             deleted = " AND NOT isDeleted" if rel.tests_skip_deleted else ""
             out.append(
                 f"t_{d}{k} AS (SELECT donation_id, CASE WHEN max(CASE WHEN result = 'POS' THEN 1 ELSE 0 END) = 1 "

@@ -57,3 +57,13 @@ def compare(spark_df, sql: str, con) -> tuple[bool, str]:
         only_d = list((d_rows - s_rows).items())[:5]
         return False, f"rows spark={n_s} duckdb={n_d}; only spark: {only_s}; only duckdb: {only_d}"
     return True, f"{n_s} rows"
+
+
+def crosstab_direct(df, spec):
+    """The one-step rollup over detail rows, to compare with the two-step form."""
+    from pyspark.sql import functions as F
+
+    sets = [[F.col(k) for k in s] for s in spec.grouping_sets()]
+    return df.groupingSets(sets, *[F.col(k) for k in spec.keys]).agg(
+        *[F.grouping(k).cast("int").alias(f"g_{k}") for k in spec.keys],
+        F.count(F.col(spec.measure)).cast("long").alias("n"))

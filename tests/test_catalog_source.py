@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+import pytest
+
 from hemotab.plans import catalog as C
 from hemotab.plans import reports as RP
 from hemotab.profile import fixture_profile
@@ -14,7 +18,7 @@ def test_reports_from_catalog_database(spark, small_tables):
     spark.sql("CREATE DATABASE IF NOT EXISTS blood_service")
     for name in small_tables:
         small_tables[name].write.mode("overwrite").saveAsTable(f"blood_service.{name}")
-    tables = Tables.from_catalog(spark, "blood_service")
+    tables = Tables.from_catalog(spark, "blood_service", T.LongType())
     for report in ("deferral", "donation"):
         s, e = C.PERIODS[report]
         as_of = C.view_as_of(RP.REPORTS[report].view)
@@ -37,3 +41,24 @@ def test_reports_from_csv_files(spark, small_tables, tmp_path):
         a = RP.run_report(small_tables, report, s, e, as_of=as_of, profile=P)["combined"]
         b = RP.run_report(tables, report, s, e, as_of=as_of, profile=P)["combined"]
         assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_flags_kept_as_numbers_or_text_are_cast(spark, small_tables):
+    """Integer and text flags become booleans, whatever the source's types."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS blood_flags")
+    for name in small_tables:
+        df = small_tables[name]
+        kinds = dict(df.dtypes)
+        flags = [c for c, k in kinds.items() if k == "boolean"]
+        df = df.withColumns({c: F.col(c).cast("int").cast("string" if name == "Donor" else "int") for c in flags})
+        df.write.mode("overwrite").saveAsTable(f"blood_flags.{name}")
+    tables = Tables.from_catalog(spark, "blood_flags", T.LongType())
+    s, e = C.PERIODS["donation"]
+    a = RP.run_report(small_tables, "donation", s, e, as_of=C.AS_OF, profile=P)["combined"]
+    b = RP.run_report(tables, "donation", s, e, as_of=C.AS_OF, profile=P)["combined"]
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_unpartitioned_facts_are_refused(spark):
+    with pytest.raises(ValueError, match="Donation"):
+        Tables.from_jdbc(spark, "jdbc:x:y", {}, {"Donor": ("id", 0, 10, 2)})

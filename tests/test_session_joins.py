@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from hemotab.operators.joins import dim_lookup
 from hemotab.session import checkpoint_dir
 
@@ -12,23 +14,24 @@ def test_checkpoint_dir_is_read_from_session(spark):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_dimension_over_the_bound_is_not_broadcast(spark, small_tables):
-    from hemotab.sources.tables import Tables
+def test_code_list_is_broadcast_only_if_known_to_be_small(spark, small_tables, monkeypatch):
+    from hemotab.operators import joins
 
-    tables = Tables(spark, {n: small_tables[n] for n in small_tables})
-    fact = tables["Donation"].select("id", "venue_id")
+    fact = small_tables["Donation"].select("id", "venue_id")
     old = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        hinted = dim_lookup(tables, fact, "Location", "venue_id", {"name": "venue"})
+        hinted = dim_lookup(small_tables, fact, "Location", "venue_id", {"name": "venue"})
         assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        # a bound below the table's 25 rows: joined by shuffle instead
-        tables._bounded.clear()
-        original = tables.is_bounded
-        tables.is_bounded = lambda name, frame=None, max_rows=0: original(name, frame, 10)
-        shuffled = dim_lookup(tables, fact, "Location", "venue_id", {"name": "venue"})
+        monkeypatch.setattr(joins, "CODE_TABLE_BYTES", 10)   # below the list's size: joined by shuffle
+        shuffled = dim_lookup(small_tables, fact, "Location", "venue_id", {"name": "venue"})
         plan = shuffled._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         assert shuffled.count() == hinted.count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_only_code_lists_are_looked_up(small_tables):
+    with pytest.raises(ValueError):
+        dim_lookup(small_tables, small_tables["Donation"], "Donor", "donor_id", {"gender": "gender"})

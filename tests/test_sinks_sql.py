@@ -62,3 +62,60 @@ def test_export_view_sorted(spark, small_tables):
     path = tempfile.mkdtemp(prefix="hemotab-export-", dir="/tmp") + "/v"
     export_view(deferral_summary(small_tables, as_of=C.AS_OF, profile=P), path, ["deferralDate"])
     assert spark.read.parquet(path).count() > 0
+
+
+def test_wide_form_is_written(spark, small_tables):
+    s, e = C.PERIODS["discard"]
+    out = RP.run_report(small_tables, "discard", s, e, profile=P, wide=True)
+    root = tempfile.mkdtemp(prefix="hemotab-sink-", dir="/tmp")
+    write_report(out, root, "discard", s, e)
+    back = spark.read.parquet(f"{root}/discard_by_site_wide")
+    wide = out["discard_by_site_wide"]
+    assert back.count() == wide.count()
+    assert back.columns[:len(wide.columns)] == wide.columns and wide.columns[-1] == "Total"
+
+
+def test_sql_form_follows_the_release(spark):
+    from conftest import SF_SMALL
+    from hemotab.profile import PROFILES
+    from hemotab.sources.fixtures import fixture_tables
+
+    for release in ("1.0.0", "1.4.0"):
+        p = PROFILES[release]
+        tables = fixture_tables(spark, SF_SMALL, p)
+        register_views(tables, as_of=C.AS_OF, profile=p)
+        via_sql = RP.dataset_sql(spark, "donation", *C.MONTH, profile=p).count()
+        assert via_sql == RP.dataset(tables, "donation", *C.MONTH, as_of=C.AS_OF, profile=p).count()
+
+
+def test_options_are_routed_by_view(small_tables):
+    import pytest
+
+    s, e = C.MONTH
+    RP.run_reports(small_tables, None, s, e, as_of=C.AS_OF, profile=P, strict_gate=True, dedupe_returns=True)
+    RP.run_report(small_tables, "donation", s, e, as_of=C.AS_OF, profile=P, strict_gate=True)
+    for name in ("discard", "ttiCoinfection"):
+        with pytest.raises(ValueError, match="nonsense"):
+            RP.run_report(small_tables, name, s, e, profile=P, nonsense=1)
+
+
+def test_release_rows_can_fail(spark):
+    """All four TTI labels occur, and each release flag changes a result."""
+    from dataclasses import replace
+
+    from conftest import SF_CHECK
+    from hemotab.profile import PROFILES
+    from hemotab.sources.fixtures import fixture_tables
+
+    old = PROFILES["1.0.0"]
+    tables = fixture_tables(spark, SF_CHECK, old)
+
+    def counts(profile, name="hivPrevalence_all"):
+        return sorted(map(tuple, RP.crosstab(tables, name, *C.DONATION_PERIOD, as_of=C.AS_OF, profile=profile).collect()), key=str)
+
+    labels = {r[0] for r in counts(old, "donorCounselling_all")}
+    assert {"Reactive for HIV", "Reactive for Other TTIs", "TTI Unreactive", "Unknown"} <= labels
+    right = counts(old)
+    assert right != counts(replace(old, tti_unsafe="UNSAFE"))
+    assert right != counts(replace(old, tests_exclude_deleted=True))
+    assert right != counts(replace(old, test_ids=PROFILES["1.3.0"].test_ids | {"hiv": (21, 22)}))

@@ -59,7 +59,7 @@ def test_hot_number_report_totals(spark):
     assert n == _brute_force(tables).shape[0]
     plan = v._jdf.queryExecution().executedPlan().toString()
     # the collapse is computed partially before its shuffle
-    assert "partial_min(struct(" in plan
+    assert "partial_min(id" in plan
 
 
 def test_aggregates_are_partial_before_shuffle(small_tables):
@@ -67,5 +67,24 @@ def test_aggregates_are_partial_before_shuffle(small_tables):
     s, e = C.PERIODS["ttiCoinfection"]
     df = RP.crosstab(small_tables, "ttiCoinfection_by_site", s, e, as_of=C.AS_OF, profile=P)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    for partial in ("partial_min(struct(", "partial_max(", "partial_count(", "partial_sum("):
+    for partial in ("partial_min(id", "partial_max(", "partial_count(", "partial_sum("):
         assert partial in plan, partial
+
+
+def test_components_without_a_batch_are_spread(spark):
+    """A third of the components have no batch: they match nothing, stay, and
+    don't meet in one shuffle partition."""
+    base = fixture_tables(spark, SF_SMALL)
+    batch = F.when(F.col("id") % 3 == 0, None).otherwise(F.col("componentBatch_id"))
+    tables = base.replaced(Component=base["Component"].withColumn("componentBatch_id", batch))
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = V._processed_at(tables, tables["Component"].select("id", "componentBatch_id"))
+        got = {r["id"]: r["processedAtLocation"] for r in rows.collect()}
+        sites = {r["id"]: r["name"] for r in V.batch_location(tables).collect()}
+        want = {r["id"]: sites.get(r["componentBatch_id"]) for r in tables["Component"].collect()}
+        assert got == want
+        assert "pmod(xxhash64(" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
