@@ -3,7 +3,9 @@
 The 18 source tables are derived once from the star-schema test data and
 written as Parquet (setup, not timed), so that the timed runs read stored
 source tables as a deployment would.  Timed: each report (both crosstabs
-in one job, collected) and each view (count), warm, median of N runs.
+in one job, collected) and each view (all rows and columns, not kept), built
+afresh each time, median of N rounds in rotated order.  Monthly reports and
+design comparisons are listed beside the total.
 
 Prints one JSON line.
 """
@@ -46,6 +48,22 @@ def timed(fn) -> float:
     return statistics.median(times)
 
 
+def rotated(jobs: dict) -> dict[str, float]:
+    """Median seconds of each job; every round starts at another job, after an
+    untimed round for all, so that none pays for the others' warm-up."""
+    names = list(jobs)
+    for n in names:
+        jobs[n]()
+    times: dict[str, list[float]] = {n: [] for n in names}
+    for r in range(RUNS):
+        shift = r * len(names) // RUNS
+        for n in names[shift:] + names[:shift]:
+            t0 = time.perf_counter()
+            jobs[n]()
+            times[n].append(time.perf_counter() - t0)
+    return {n: statistics.median(t) for n, t in times.items()}
+
+
 def coinfection_by_joins(tables, profile):
     """The testing view's co-infection labels with one left join per test,
     as the reference writes it: 8 live repeat tests plus 14 joins whose
@@ -75,6 +93,16 @@ def coinfection_by_aggregate(tables, profile):
             .groupBy("ttiCoinfection").count())
 
 
+def crosstab_direct(df, spec):
+    """The one-step rollup over detail rows.  Bench comparison only."""
+    from pyspark.sql import functions as F
+
+    sets = [[F.col(k) for k in s] for s in spec.grouping_sets()]
+    return df.groupingSets(sets, *[F.col(k) for k in spec.keys]).agg(
+        *[F.grouping(k).cast("int").alias(f"g_{k}") for k in spec.keys],
+        F.count(F.col(spec.measure)).cast("long").alias(X.COUNT))
+
+
 def compare_designs(spark, tables, profile, scratch) -> dict[str, float]:
     """Design comparisons (not in the total):
 
@@ -138,7 +166,7 @@ def compare_designs(spark, tables, profile, scratch) -> dict[str, float]:
         return X.crosstab(X.finest(dataset(), spec.keys, spec.measure), xt).collect()
 
     def direct():
-        return X.crosstab_direct(dataset(), xt).collect()
+        return crosstab_direct(dataset(), xt).collect()
 
     assert sorted(map(tuple, two_step()), key=str) == sorted(map(tuple, direct()), key=str)
     out["rollup_two_step_counselling_by_site"] = timed(two_step)
@@ -158,25 +186,25 @@ def main() -> None:
     tables = Tables.from_files(spark, scratch, test_id_type=T.LongType())
     profile = fixture_profile()
 
-    results: dict[str, float] = {}
-    for name, spec in RP.REPORTS.items():
-        start, end = C.PERIODS[name]
-        as_of = C.view_as_of(spec.view)
+    def fresh() -> Tables:
+        return Tables.from_files(spark, scratch, test_id_type=T.LongType())
 
-        def run(name=name, start=start, end=end, as_of=as_of):
-            RP.run_report(tables, name, start, end, as_of=as_of, profile=profile)["combined"].collect()
+    def report(name: str, period: tuple[str, str] | None = None) -> None:
+        spec = RP.REPORTS[name]
+        start, end = period or C.PERIODS[name]
+        RP.run_report(fresh(), name, start, end, as_of=C.view_as_of(spec.view), profile=profile)["combined"].collect()
 
-        run()  # warm-up (also settles the broadcast size checks)
-        results[f"report_{name}"] = timed(run)
-    for qname, view in C.VIEW_QUERIES.items():
-        def count(view=view):
-            C.view_frame(tables, view).count()
-        count()
-        results[qname] = timed(count)
+    def view(name: str) -> None:
+        # Every column of every row is computed; a count would prune them.
+        C.view_frame(fresh(), C.VIEW_QUERIES[name]).write.format("noop").mode("overwrite").save()
 
+    jobs = {f"report_{n}": (lambda n=n: report(n)) for n in RP.REPORTS}
+    jobs |= {n: (lambda n=n: view(n)) for n in C.VIEW_QUERIES}
+    months = {f"report_{n}_month": (lambda n=n: report(n, C.PERIODS[n] if n == "deferral" else C.MONTH)) for n in RP.REPORTS}
+    results = rotated(jobs)
     total = sum(results.values())
     RESULTS.update(results)
-    compare = compare_designs(spark, tables, profile, scratch)
+    compare = rotated(months) | compare_designs(spark, tables, profile, scratch)
     print(json.dumps({
         "metric": "reports_and_views_total",
         "value": round(total, 3),
