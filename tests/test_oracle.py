@@ -53,7 +53,7 @@ def test_query_small_typed(spark, duck_small, name):
 def test_only_decimals_and_timestamps_are_rendered(spark):
     df = QUERIES["view_donation_summary"](spark, SF_SMALL)
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    assert kinds["donationDate"] == "date" and kinds["age"] == "int" and kinds["released"] == "boolean"
+    assert kinds["donationDate"] == "date" and kinds["age"] in ("int", "bigint") and kinds["released"] == "boolean"
     assert kinds["donorWeight"] == "string"
 
 
