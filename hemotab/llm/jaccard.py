@@ -7,12 +7,13 @@ Shingles are ordered by their estimated frequency, the rarest first (a count
 sketch of all shingles, of fixed size).  Two linked sets r and s share at
 least l shingles of their l-prefixes, the first |r| - ceil(t |r|) + l.  Each
 document chooses its own l by what its prefix is estimated to cost in
-candidates, so a pair is verified only if it shares min(l of r, l of s) prefix
-shingles.
+candidates, so a pair is verified only if it shares l = min(l of r, l of s)
+prefix shingles.  A pair's own sizes ask for an overlap of o = ceil(t (|r| + |s|)
+/ (1 + t)), so only matches at places up to |r| - o + l and |s| - o + l count.
 
-Equal sets count once.  First each document is verified against one partner,
-the smallest id that most of its prefix shingles lead to, which joins groups
-of copies by as many pairs as they have members.  Then all pairs that share
+Equal sets count once.  First, in rounds, each document is verified against one
+partner of another component, which joins groups of copies by as many pairs as
+they have members.  Then all pairs that share
 enough prefix shingles and are not yet in one component are verified, so no
 link between components is missed.  Shingles are compared by 64-bit hashes.
 """
@@ -31,9 +32,10 @@ from pyspark.sql import functions as F
 from hemotab.llm.common import store, sum_arrays, text_bytes, words
 from hemotab.llm.graph import components
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_BITS = 12
+STAR_ROUNDS = 1
 
 
 @dataclass(frozen=True)
@@ -82,16 +84,20 @@ def _sets(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tuple[
         shingles, counts, seen, task = Shingles(config.shingle), np.zeros(size, np.uint32), set(), 0
         shift = np.uint64(64 - config.sketch_bits)
         for b in batches:
-            rows, new = [], []
+            rows, new, held = [], [], 0
             for key, text, task in zip(b["id"], b["text"], b["task"]):
                 s = shingles(text)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 rows.append((key, len(s), digest))
                 if digest not in seen:
                     seen.add(digest)
-                    new.append(s)
+                    new.append((s >> shift).astype(np.int32))
+                    held += len(s)
+                if held > 1 << 20:
+                    counts += np.bincount(np.concatenate(new), minlength=size).astype(np.uint32)
+                    new, held = [], 0
             if new:
-                counts += np.bincount((np.concatenate(new) >> shift).astype(np.int64), minlength=size).astype(np.uint32)
+                counts += np.bincount(np.concatenate(new), minlength=size).astype(np.uint32)
             yield pd.DataFrame(rows, columns=["id", "n", "digest"]).assign(chunk=-1, counts=None, part=0)
         if seen:
             yield pd.DataFrame({"id": None, "n": 0, "digest": None, "chunk": range(size // chunk),
@@ -105,7 +111,7 @@ def _sets(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tuple[
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray, config: Config, id_col: str, text_col: str) -> DataFrame:
-    """id, n, l, token, groups of the l-prefix of every document; equal sets
+    """id, n, l, token, place, groups of the l-prefix of every document; equal sets
     of one task count once.  ``groups`` is how many groups the token is dealt to."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # 4 bytes * 2 ** sketch_bits
     mean = float(counts.mean())
@@ -139,11 +145,12 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, config: Config, id_col: str,
                     yield pd.DataFrame({
                         "id": np.repeat(np.array(ids, dtype=part["id"].dtype), sizes), "n": np.repeat(ns, sizes),
                         "l": np.repeat(ls, sizes), "token": np.concatenate([x for x, _ in out]).view(np.int64),
+                        "place": np.concatenate([np.arange(1, k + 1, dtype=np.int32) for k in sizes]),
                         "groups": np.where(f - noise > config.salted_from, np.ceil(f / config.salted_from), 1).astype(np.int32)})
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, n int, l int, token long, groups int")
+    return rows.mapInPandas(run, f"id {kind}, n int, l int, token long, place int, groups int")
 
 
 def _filter_words(spark: SparkSession, ids: DataFrame, config: Config) -> np.ndarray:
@@ -189,6 +196,14 @@ def verify(docs: DataFrame, pairs: DataFrame, config: Config, id_col: str, text_
     return with_both.select("a", "b", "x", "y").mapInPandas(similar, f"a {kind}, b {kind}")
 
 
+def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Rows with the component found for their id so far."""
+    if found is None:
+        return rows.withColumn("component", F.col("id"))
+    return (rows.join(found.withColumnsRenamed({"node": "id"}), "id", "left")
+            .withColumn("component", F.coalesce("component", "id")))
+
+
 def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """``id_col``, n_shingles, component_id of every row.
@@ -213,33 +228,41 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
     group = Window.partitionBy("token", "salt")
     met = (prefixes.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups")))
            .withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1 OR groups > 1")
-           .select("token", "id", "n", "l", "groups"))
+           .select("token", "id", "n", "l", "place", "groups"))
     met = store(spark, met, "jaccard-met")
-    by_rep = met.join(of, "id").groupBy("token", F.col("rep").alias("id"), "n", "groups").agg(F.min("l").alias("l"))
+    by_rep = (met.join(of, "id").groupBy("token", F.col("rep").alias("id"), "n", "groups")
+              .agg(F.min("l").alias("l"), F.min("place").alias("place")))
     shared = store(spark, by_rep, "jaccard-shared")
 
-    # Stars: each document with the smallest one that most of its shingles lead to.
-    salt = F.pmod(F.xxhash64("id"), F.col("groups"))
-    heads = (shared.withColumn("salt", salt).withColumn("head", F.min(F.struct("id", "n")).over(group)))
-    across = heads.select("token", "head").where("groups > 1").distinct() \
-        .withColumn("top", F.min("head").over(Window.partitionBy("token"))) \
-        .select(F.col("head.id").alias("a"), F.col("head.n").alias("n"), F.col("top.id").alias("b"), F.col("top.n").alias("m"))
-    led = heads.select(F.col("id").alias("a"), "n", F.col("head.id").alias("b"), F.col("head.n").alias("m")).unionAll(across)
-    near = F.expr(f"a <> b AND {config.den} * least(n, m) >= {config.num} * greatest(n, m)")
-    tallied = led.where(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
-    best = tallied.groupBy("a").agg(F.max(F.struct(F.col("hits"), F.col("b"))).alias("best")).select("a", F.col("best.b").alias("b"))
-    stars = store(spark, best, "jaccard-stars")
-    links = store(spark, verify(docs, stars, config, id_col, text_col), "jaccard-links")
-    found = store(spark, components(spark, links), "jaccard-components")
+    # Stars: each document with the one of another component that most of its
+    # shingles lead to, among the first of each shingle's documents.
+    overlap = f"ceil({config.num} * (n + m) / {float(config.num + config.den)} - 1e-9)"
+    near = F.expr(f"a <> b AND ca <> cb AND {config.den} * least(n, m) >= {config.num} * greatest(n, m) "
+                  f"AND pa <= n - {overlap} + least(la, lb) AND pb <= m - {overlap} + least(la, lb)")
+    parts = ("component", "id", "n", "l", "place")
+    links, found = None, None
+    for _ in range(STAR_ROUNDS):
+        lone = _labelled(shared, found).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups"))).withColumn("mine", F.struct(*parts))
+        heads = lone.withColumn("head", F.min("mine").over(group))
+        across = (heads.where("groups > 1").select("token", F.col("head").alias("mine")).distinct()
+                  .withColumn("head", F.min("mine").over(Window.partitionBy("token"))))
+        led = (heads.select("mine", "head").unionAll(across.select("mine", "head"))
+               .select(*[F.col(f"mine.{x}").alias(y) for x, y in zip(parts, ("ca", "a", "n", "la", "pa"))],
+                       *[F.col(f"head.{x}").alias(y) for x, y in zip(parts, ("cb", "b", "m", "lb", "pb"))]))
+        tallied = led.where(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
+        best = tallied.groupBy("a").agg(F.max(F.struct(F.col("hits"), F.col("b"))).alias("best")).select("a", F.col("best.b").alias("b"))
+        stars = store(spark, best, "jaccard-stars")
+        new = store(spark, verify(docs, stars, config, id_col, text_col), "jaccard-links")
+        links = new if links is None else links.unionAll(new)
+        found = store(spark, components(spark, links), "jaccard-components")
 
     # All other pairs: different components, enough shared prefix shingles.
-    lone = (shared.join(found.withColumnsRenamed({"node": "id"}), "id", "left")
-            .withColumn("component", F.coalesce("component", "id")))
+    lone = _labelled(shared, found)
     spread = lone.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    open_ = store(spark, lone.join(spread, "token").select("token", "id", "n", "l", "component"), "jaccard-open")
-    x = open_.toDF("token", "a", "n", "la", "ca")
-    y = open_.toDF("token", "b", "m", "lb", "cb")
-    pairs = (x.join(y, "token").where("a < b AND ca <> cb").where(near)
+    open_ = store(spark, lone.join(spread, "token").select("token", "id", "n", "l", "place", "component"), "jaccard-open")
+    x = open_.toDF("token", "a", "n", "la", "pa", "ca")
+    y = open_.toDF("token", "b", "m", "lb", "pb", "cb")
+    pairs = (x.join(y, "token").where("a < b").where(near)
              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.min(F.least("la", "lb")).alias("least"))
              .where("hits >= least").select("a", "b"))
     pairs = store(spark, pairs, "jaccard-pairs")
