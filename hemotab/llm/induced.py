@@ -44,18 +44,22 @@ class Queues:
                 self.held -= len(a)
 
     def take(self, symbol: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """All there is for ``symbol``, in order of arrival."""
-        out, file = [], self.files.pop(symbol, None)
+        """All there is for ``symbol``, in order of arrival, in few pieces."""
+        out, size, file = [[]], 0, self.files.pop(symbol, None)
         if file:
             end = file.tell()
             file.seek(0)
             while file.tell() < end:
-                out.append((np.load(file), np.load(file)))
+                out[-1].append((np.load(file), np.load(file)))
+                size += len(out[-1][-1][0])
+                if size > self.most:
+                    out.append([])
+                    size = 0
             file.close()
-        for a, l in self.memory.pop(symbol, []):
-            self.held -= len(a)
-            out.append((a, l))
-        return out
+        held = self.memory.pop(symbol, [])
+        self.held -= sum(len(a) for a, _ in held)
+        out[-1] += held
+        return [p[0] if len(p) == 1 else tuple(np.concatenate(c) for c in zip(*p)) for p in out if p]
 
 
 def rising(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +73,18 @@ def rising(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(up, sizes), (ends - np.arange(n)).astype(np.int32)
 
 
+def _by_symbol(symbols: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The values of each symbol, in order."""
+    if not len(symbols):
+        return
+    order = np.argsort(symbols, kind="stable")
+    sorted_ = symbols[order]
+    heads = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+    values = values[order]
+    for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)]):
+        yield int(sorted_[a]), values[a:b]
+
+
 class _Carry:
     """Least common prefix since each symbol's queue last received a tuple."""
 
@@ -82,13 +98,12 @@ class _Carry:
         scanned last); ``chosen`` are the indexes that hand on, ``to`` the
         symbols they hand to.
         """
-        order = np.argsort(to, kind="stable")
-        symbols, first = np.unique(to[order], return_index=True)
-        groups = np.split(order, first[1:]) if len(order) else []
-        total = lcp.min() if len(lcp) else WIDE
+        total = lcp.min() if cap else 0
         received = {}
-        for symbol, group in zip(symbols.tolist(), groups):
-            at = chosen[group]
+        for symbol, at in _by_symbol(to, chosen):
+            if not cap:  # the order alone is wanted
+                yield symbol, at, np.zeros(len(at), np.int32)
+                continue
             starts = np.append(0, at[:-1] + 1)
             least = np.minimum.reduceat(lcp[:at[-1] + 1], starts)
             least[0] = min(least[0], self.least[symbol])
@@ -171,10 +186,8 @@ def _descend(t, up, runs, falling: Queues, symbols: int, cap: int, most: int) ->
 def _seeds(t: np.ndarray, lms: np.ndarray, lcp: np.ndarray, most: int) -> Queues:
     """LMS suffixes in the given order as queues by their first symbol."""
     out = Queues(most)
-    order = np.argsort(t[lms], kind="stable")
-    symbols, first = np.unique(t[lms][order], return_index=True)
-    for symbol, group in zip(symbols.tolist(), np.split(order, first[1:]) if len(order) else []):
-        out.put(symbol, lms[group], lcp[group])
+    for symbol, k in _by_symbol(t[lms], np.arange(len(lms))):
+        out.put(symbol, lms[k], lcp[k])
     return out
 
 
@@ -215,7 +228,7 @@ def _order(names: np.ndarray, most: int) -> np.ndarray:
         return np.argsort(names, kind="stable")
     if symbols * 64 > len(names):
         return _doubling(names)
-    return np.concatenate([at for at, _ in descending(names, symbols, 1, most)])[::-1]
+    return np.concatenate([at for at, _ in descending(names, symbols, 0, most)])[::-1]
 
 
 def _names(t: np.ndarray, up: np.ndarray, lms: np.ndarray, order: np.ndarray) -> np.ndarray:

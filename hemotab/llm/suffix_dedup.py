@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hemotab.llm import induced
-from hemotab.llm.common import store, text_bytes
+from hemotab.llm.common import text_bytes
 
 LENGTH = 100
 GRAM = 32
 FILTER_BITS = 26
-HELD_STRETCHES = 100_000
-BATCH_BYTES = 1 << 20
+HELD_STRETCHES = 150_000
+BATCH_BYTES = 1 << 19
 TUPLES = 1 << 23           # suffix tuples that a shard's queues keep in memory
 
 
@@ -143,9 +143,12 @@ def _stretches(rows: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
                         held[known] = here
                         here = best
                     if here and here != held[known]:
-                        covered.append((None, None, *here, here[2] + size))
+                        covered.append((0, None, *here, here[2] + size))
+                if len(covered) > HELD_STRETCHES:
+                    yield _merged(pd.DataFrame(covered, columns=names))
+                    covered = []
             if covered:
-                yield pd.DataFrame(covered, columns=names)
+                yield _merged(pd.DataFrame(covered, columns=names))
             if len(held) > HELD_STRETCHES:
                 yield _rows(held)
                 held.clear()
@@ -158,6 +161,19 @@ def _stretches(rows: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
     return rows.mapInPandas(run, f"h long, body binary, id {rows.schema['id'].dataType.simpleString()}, dg long, at int, until int")
 
 
+def _merged(ranges: pd.DataFrame) -> pd.DataFrame:
+    """Overlapping or touching ranges of a document as one."""
+    r = ranges.sort_values(["id", "dg", "at"], ignore_index=True)
+    key = r.groupby(["id", "dg"], sort=False).ngroup().to_numpy()
+    at, until = r["at"].to_numpy(np.int64), r["until"].to_numpy(np.int64)
+    step = int(until.max()) + 1     # documents side by side, so that one running maximum serves all
+    reach = np.maximum.accumulate(until + key * step)
+    first = np.append(True, at[1:] + key[1:] * step > reach[:-1])
+    heads = np.flatnonzero(first)
+    tails = np.append(heads[1:], len(r)) - 1
+    return r.iloc[heads].assign(until=reach[tails] - key[heads] * step)
+
+
 def equal_strings(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """(group, position in the joined bodies) of every string of ``length``
     bytes in the bodies, by suffix sorting."""
@@ -213,20 +229,27 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, f
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, dg, at, until): covered byte ranges, possibly overlapping; dg is a
     hash of the text, which tells rows that share an id apart."""
-    spark = docs.sparkSession
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"),
                                                         F.xxhash64(text_bytes(text_col)).alias("dg"))
-    found = store(spark, _stretches(rows, length, gram, filter_bits), "suffix-stretches")
+    found = _stretches(rows, length, gram, filter_bits)
     kind = rows.schema["id"].dataType.simpleString()
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
+        parts = []
+        for b in batches:
+            done = b["body"].isna()
+            if done.any():
+                yield b.loc[done, ["id", "dg", "at", "until"]]
+            if not done.all():
+                parts.append(b.loc[~done, ["h", "body", "id", "dg", "at"]])
         if parts:
-            yield solve(pd.concat(parts, ignore_index=True), length)
+            spans = solve(pd.concat(parts, ignore_index=True), length)
+            if len(spans):
+                yield _merged(spans)
 
-    shards = found.where("h IS NOT NULL").select("h", "body", "id", "dg", "at").repartition("h")
-    sorted_ = shards.mapInPandas(sort, f"id {kind}, dg long, at int, until int")
-    return found.where("h IS NULL").select("id", "dg", "at", "until").unionAll(sorted_)
+    # Ranges that are done go along, dealt by their document.
+    dealt = found.repartition(F.when(F.col("body").isNull(), F.xxhash64("id", "at")).otherwise(F.col("h")))
+    return dealt.mapInPandas(sort, f"id {kind}, dg long, at int, until int")
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, filter_bits: int = FILTER_BITS,
