@@ -197,6 +197,8 @@ def equal_strings(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndar
 
 def solve(shard: pd.DataFrame, length: int) -> pd.DataFrame:
     """Covered places (id, dg, at, until) of one shard's stretches."""
+    # Tasks that hold the same row each give its stretches: one place, not a copy.
+    shard = shard.drop_duplicates(["h", "body", "id", "dg", "at"])
     shard = shard.sort_values(["id", "dg", "at"], ignore_index=True)  # earlier rows start earlier
     size = shard["body"].map(len).to_numpy()
     repeats = shard.duplicated(["h", "body"]).to_numpy()

@@ -222,6 +222,31 @@ def test_suffix_dedup_edges(edge, none):
     assert by[10]["n_removed"] == 400 and by[9]["n_removed"] == 390   # the first "same text " stays
 
 
+@pytest.mark.parametrize("tasks,held", [(4, suffix_dedup.HELD_STRETCHES), (1, 0)])
+def test_suffix_dedup_repeated_rows_apart(spark, monkeypatch, tasks, held):
+    """Rows with the same id and text count as one document, also if they lie
+    in different tasks or a task has emptied what it remembers between them."""
+    import random
+
+    monkeypatch.setattr(suffix_dedup, "HELD_STRETCHES", held)
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    docs = [(1, text), (2, "x" + text[200:500]), (3, text[:150] + "".join(rng.choice("ij") for _ in range(300)))]
+    rows = spark.createDataFrame(spark.sparkContext.parallelize(docs * 4, tasks), "doc_id long, text string")
+    assert rows.select("doc_id", F.spark_partition_id()).distinct().count() == 3 * tasks
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 1)
+    try:
+        got = suffix_dedup.remove_repeats(rows).collect()
+    finally:
+        spark.conf.set(batch, before)
+    want = brute_repeats(docs, 100)
+    assert len(got) == 12 and want[1][1] == 0 and want[2][1] == 300
+    assert [(r["doc_id"], r["n_removed"]) for r in got] == [(r["doc_id"], want[r["doc_id"]][1]) for r in got]
+    assert all((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]] for r in got)
+
+
 # --- Brown classes ------------------------------------------------------------------------
 def test_brown_brute_force(spark):
     got = rows_of(QUERIES["op6_brown_classes"](spark, SMALL))
