@@ -1,15 +1,19 @@
 """Language-model scoring by Brown class-based bigrams.
 
-Exchange clustering puts the most frequent words into classes so that class
-bigrams keep as much mutual information as they can; all other words fall into
-classes by their shape, which any task can tell without a look-up.  A text's
-probability is the product of smoothed class transitions and, within the
-classes, of word emissions from counts over the whole training corpus, with
-half a count more for every word and for unseen ones in a shape class.
-
-The vocabulary is a table, counted and joined by Spark.  Only bounded parts
-reach the driver: ``Config.known`` frequent words, which tasks look up
-themselves, and the bigram counts of ``Config.clustered`` words.
+Exchange clustering puts words into classes so that class bigrams keep as much
+mutual information as they can: the most frequent words until no move helps,
+then, in one distributed round, every other training word by its counts of
+(word, neighbouring class); in that round the neighbours that are not among the
+most frequent count by their shape, which any task can tell without a look-up.
+Transitions are then counted anew over the classes of all words.  Only words
+unseen in training stay in classes by shape, whose transitions are those of
+words seen once.  A text's probability is the product of smoothed class
+transitions and, within the classes, of word emissions.
+
+The vocabulary, its neighbours and classes are tables, counted and joined by
+Spark.  Only bounded parts reach the driver: ``Config.known`` frequent words,
+which tasks look up themselves, and the bigram counts of ``Config.clustered``
+words.
 """
 
 from __future__ import annotations
@@ -30,11 +34,14 @@ END = b" "           # no word holds a space
 SHAPES = 16
 CACHED_WORDS = 300_000
 CHUNK = 1 << 12
+HELD_SLOTS = 4_000_000     # neighbours that a task holds before it gives them out
+ENTRIES = 1 << 15          # (word, neighbouring class) counts weighed at once
+NONE = (1 << 16) - 1
 
 
 @dataclass(frozen=True)
 class Config:
-    clustered: int = 512       # words that exchange clustering assigns
+    clustered: int = 512       # words that the driver exchanges until none moves; the others follow in one round
     classes: int = 48
     known: int = 1 << 17       # words whose counts tasks look up themselves
     rounds: int = 6
@@ -149,11 +156,135 @@ def exchange(b: np.ndarray, config: Config) -> np.ndarray:
     return own
 
 
-def _transitions(b: np.ndarray, own: np.ndarray, pull: float) -> np.ndarray:
-    """log10 P(next class | class)."""
+def contexts(training: DataFrame, own: np.ndarray, clustered: list[bytes]) -> DataFrame:
+    """word, slots, counts: how often each word outside ``clustered`` stands
+    before (slot = class) and after (slot = classes + class) each class."""
+    m, g = len(clustered), int(own[-1]) + 1
+    shared = training.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(clustered)})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        numbers, found, held = _Numbers(shared.value, m), {}, 0
+
+        def out() -> pd.DataFrame:
+            pairs = [np.unique(np.array(x, np.uint16), return_counts=True) for x in found.values()]
+            return pd.DataFrame({"word": list(found), "slots": [x.tobytes() for x, _ in pairs],
+                                 "counts": [n.astype(np.int32).tobytes() for _, n in pairs]})
+
+        for b in batches:
+            for t in b["text"]:
+                tokens = words(t)
+                i = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+                s = np.full(len(tokens) + 2, own[-1], np.int64)
+                s[1:-1] = own[i]
+                at = np.flatnonzero(i >= m)
+                for j, after, before in zip(at.tolist(), s[at + 2].tolist(), (s[at] + g).tolist()):
+                    slots = found.get(tokens[j])
+                    if slots is None:
+                        found[tokens[j]] = [after, before]
+                    else:
+                        slots.append(after)
+                        slots.append(before)
+                held += 2 * len(at)
+                if held > HELD_SLOTS:
+                    yield out()
+                    found.clear()
+                    held = 0
+        if found:
+            yield out()
+
+    return training.select("text").mapInPandas(count, "word binary, slots binary, counts binary")
+
+
+def best_classes(word: np.ndarray, slot: np.ndarray, count: np.ndarray, n: np.ndarray, classes: int) -> np.ndarray:
+    """The class, below ``classes``, that keeps the most mutual information for
+    each word, given the class bigrams ``n``: (word, slot) are distinct and in order."""
+    g = len(n)
+    table = np.concatenate([n[:classes].T, n[:, :classes]])     # slot x class
+    kept = _f(table)
+    heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    left, right = n[:classes].sum(1), n[:, :classes].sum(0)
+    after = np.add.reduceat(np.where(slot < g, count, 0), heads)[:, None]
+    before = np.add.reduceat(np.where(slot < g, 0, count), heads)[:, None]
+    gain = np.add.reduceat(_f(table[slot] + count[:, None]) - kept[slot], heads, axis=0)
+    gain -= _f(left + after) - _f(left) + _f(right + before) - _f(right)
+    nth = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(word))))
+    out, into = np.zeros((len(heads), classes)), np.zeros((len(heads), classes))
+    ours, theirs = slot < classes, (slot >= g) & (slot < g + classes)
+    out[nth[ours], slot[ours]] = count[ours]
+    into[nth[theirs], slot[theirs] - g] = count[theirs]
+    w, c = np.nonzero((out > 0) & (into > 0))   # both go to one corner
+    o, i, corner = out[w, c], into[w, c], n[c, c]
+    gain[w, c] += _f(corner + o + i) + _f(corner) - _f(corner + o) - _f(corner + i)
+    return gain.argmax(1)
+
+
+def assign(found: DataFrame, n: np.ndarray, classes: int) -> DataFrame:
+    """word, class, c of every word of ``contexts``, given the class bigrams."""
+    shared = found.sparkSession.sparkContext.broadcast(n)
+    g = len(n)
+
+    def weigh(rows: list[tuple[bytes, bytes, bytes]]) -> pd.DataFrame:
+        n = shared.value
+        nth, names = np.zeros(len(rows), np.int64), [rows[0][0]]
+        for k, (word, _, _) in enumerate(rows):
+            if word != names[-1]:
+                names.append(word)
+            nth[k] = len(names) - 1
+        slots = np.frombuffer(b"".join(r[1] for r in rows), np.uint16).astype(np.int64)
+        counts = np.frombuffer(b"".join(r[2] for r in rows), np.int32).astype(float)
+        key, where = np.unique(np.repeat(nth, [len(r[1]) // 2 for r in rows]) * 2 * g + slots, return_inverse=True)
+        count = np.bincount(where, counts, len(key))
+        word, slot = key // (2 * g), key % (2 * g)
+        c = np.bincount(word, np.where(slot < g, count, 0), len(names)).astype(np.int64)
+        return pd.DataFrame({"word": names, "class": best_classes(word, slot, count, n, classes), "c": c})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0
+        for b in batches:   # sorted by word
+            for row in zip(map(bytes, b["word"]), b["slots"], b["counts"]):
+                if size > ENTRIES and row[0] != rows[-1][0]:
+                    yield weigh(rows)
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row[1]) // 2
+        if rows:
+            yield weigh(rows)
+
+    return (found.repartition("word").sortWithinPartitions("word")
+            .mapInPandas(run, "word binary, class int, c long"))
+
+
+def class_bigrams(sequences: DataFrame, g: int) -> np.ndarray:
+    """Class bigrams of the training texts; words seen once also count as
+    unseen ones, in their shape's class (``other``)."""
+    size = -(-g * g // CHUNK) * CHUNK
+    rows = sequences.where("not held_out").select("s", "other", F.spark_partition_id().alias("task"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, task = np.zeros(size, np.int64), None
+        for b in batches:
+            for s, other, task in zip(b["s"], b["other"], b["task"]):
+                s, other = np.frombuffer(s, np.uint16).astype(np.int64), np.frombuffer(other, np.uint16).astype(np.int64)
+                np.add.at(total, s[:-1] * g + s[1:], 1)
+                at = np.flatnonzero(other != NONE)
+                np.add.at(total, s[at] * g + other[at], 1)
+                np.add.at(total, other[at] * g + s[at + 2], 1)
+        if task is not None:
+            yield pd.DataFrame({"chunk": range(size // CHUNK), "part": task % 256, "counts": [c.tobytes() for c in total.reshape(-1, CHUNK)]})
+
+    return sum_arrays(rows.mapInPandas(count, "chunk int, part int, counts binary"), size, CHUNK, "int64")[:g * g].reshape(g, g)
+
+
+def _by_class(b: np.ndarray, own: np.ndarray) -> np.ndarray:
     g = int(own.max()) + 1
     n = np.zeros((g, g))
     np.add.at(n, (own[:, None], own[None]), b.astype(float))
+    return n
+
+
+def _transitions(n: np.ndarray, pull: float) -> np.ndarray:
+    """log10 P(next class | class)."""
+    g = len(n)
     unigram = (n.sum(0) + 1) / (n.sum() + g)
     return np.log10((n + pull * unigram[None]) / (n.sum(1)[:, None] + pull))
 
@@ -196,26 +327,27 @@ def score(docs: DataFrame, held_out, *, config: Config = Config(), id_col: str =
     m, k = len(clustered), len(top)
     b = bigrams(training, clustered)
     own = exchange(b, config)
-    step = _transitions(b, own, config.pull)
-    first_shape = int(own[m])
+    first_shape, g = int(own[m]), int(own[-1]) + 1
+    rest = store(spark, assign(contexts(training, own, clustered), _by_class(b, own), first_shape), "brown-classes")
 
+    # Words that tasks look up themselves: at least as frequent as the least of ``top``.
+    place = {w: i for i, w in enumerate(top["word"])}
+    classes = np.concatenate([own[:m], np.zeros(k - m, np.int64), first_shape + np.arange(SHAPES)]).astype(np.int64)
+    fine = F.floor(F.log2("c") * 16).cast("int")
+    found = rest.where(fine >= least).select("word", "class").toPandas()     # config.known words at most
+    classes[[place[bytes(w)] for w in found["word"]]] = found["class"]
     # Emissions: all classes' totals over the whole vocabulary.
-    by_shape = {r["shape"]: (r["n"], r["v"]) for r in vocab.where(F.col("word") != F.lit(END)).groupBy("shape")
-                .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     counts = top["c"].to_numpy(float)
-    shapes = top["shape"].to_numpy(np.int64) if k else np.zeros(0, np.int64)
-    classes = np.concatenate([own[:m], first_shape + shapes[m:], first_shape + np.arange(SHAPES)]).astype(np.int64)
-    mass = np.zeros(SHAPES)
-    for s in range(SHAPES):
-        sn, sv = by_shape.get(s, (0, 0))
-        inside = shapes[:m] == s
-        mass[s] = (sn - counts[:m][inside].sum()) + 0.5 * (sv - inside.sum() + 1)
-    within = np.bincount(own[:m], counts[:m], first_shape) if m else np.zeros(0)
-    emit = np.concatenate([np.log10(counts[:m] / within[own[:m]]), np.log10((counts[m:] + 0.5) / mass[shapes[m:]]), -np.log10(mass)])
+    within = np.bincount(own[:m], counts[:m], first_shape) if m else np.zeros(first_shape)
+    for r in rest.groupBy("class").agg(F.sum("c").alias("n")).collect():
+        within[r["class"]] += r["n"]
     whole = math.log10(n + 0.5 * (v + 1))
+    emit = np.concatenate([np.log10(counts / within[classes[:k]]), np.zeros(SHAPES)])
     base = np.concatenate([np.log10(counts + 0.5) - whole, np.full(SHAPES, -whole)])
-    shared = spark.sparkContext.broadcast({  # config.known words and three numbers each
-        "numbers": {w: i for i, w in enumerate(top["word"])}, "classes": classes, "emit": emit, "base": base, "step": step})
+    shapes = top["shape"].to_numpy(np.int64) if k else np.zeros(0, np.int64)
+    other = np.concatenate([np.where(counts == 1, first_shape + shapes, NONE), np.full(SHAPES, NONE)]).astype(np.int64)
+    shared = spark.sparkContext.broadcast({  # config.known words and four numbers each
+        "numbers": place, "classes": classes, "emit": emit, "base": base, "other": other})
     end_class, end_base, end_known = int(own[-1]), math.log10(end_count + 0.5) - whole, int(end_count > 0)
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,30 +359,63 @@ def score(docs: DataFrame, held_out, *, config: Config = Config(), id_col: str =
                 for key, fold, text, task in zip(part["id"], part["held_out"], part["text"], part["task"]):
                     tokens = words(text)
                     i = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                    s = np.full(len(tokens) + 2, end_class, np.int64)
+                    s = np.full(len(tokens) + 2, end_class, np.uint16)
                     s[1:-1] = held["classes"][i]
-                    rare = Counter([tokens[j] for j in np.flatnonzero(i >= k).tolist()])
+                    rare, which = {}, []
+                    for j in np.flatnonzero(i >= k).tolist():
+                        which.append(rare.setdefault(tokens[j], len(rare)))
                     out.append(((int(task) << 33) + nth, key, fold, len(tokens) + 1, int((i < k).sum()) + end_known,
-                                float(held["base"][i].sum()) + end_base,
-                                float(held["step"][s[:-1], s[1:]].sum() + held["emit"][i].sum()), list(rare), list(rare.values())))
+                                float(held["base"][i].sum()) + end_base, float(held["emit"][i].sum()), s.tobytes(),
+                                held["other"][i].astype(np.uint16).tobytes(), np.array(which, np.int32).tobytes(), list(rare)))
                     nth += 1
-                yield pd.DataFrame(out, columns=["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times"])
+                yield pd.DataFrame(out, columns=["row", "id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other", "which", "words"])
 
     rows = docs.select(F.col(id_col).cast("string").alias("id"), held_out.alias("held_out"), text_bytes(text_col).alias("text"),
                        F.spark_partition_id().alias("task"))
     mine = store(spark, rows.mapInPandas(local, "row long, id string, held_out boolean, n_tokens long, n_known long, base double, "
-                                         "score double, words array<binary>, times array<int>"), "brown-local")
-    # The words that tasks can't look up: their counts come by a join.
-    others = vocab.where(F.floor(F.log2("c") * 16).cast("int") < least).select("word", "c")
-    each = (mine.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
-            .select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times")))
-    joined = each.join(others, "word", "left").select(
-        "row", (F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("x"),
-        F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("k"))
-    rest = joined.groupBy("row").agg(F.sum("x").alias("x"), F.sum("k").alias("k"))
-    zero = F.coalesce("x", F.lit(0.0))
-    result = mine.drop("words", "times").join(rest, "row", "left").select(
-        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + zero).alias("base_score"), (F.col("score") + zero).alias("score"))
+                                         "emit double, s binary, other binary, which binary, words array<binary>"), "brown-local")
+    # The words that tasks can't look up: their classes and counts come by a join.
+    others = rest.where(fine < least)
+    each = mine.select("row", F.posexplode("words").alias("nth", "word"))
+    known = (each.join(others, "word").groupBy("row")
+             .agg(F.collect_list(F.struct("nth", "class", "c")).alias("x"))
+             .select("row", F.col("x.nth").alias("nth"), F.col("x.class").alias("class"), F.col("x.c").alias("c")))
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                s, other, which = (np.frombuffer(x, kind).copy() for x, kind in ((r.s, np.uint16), (r.other, np.uint16), (r.which, np.int32)))
+                n_known, base, emit = r.n_known, r.base, r.emit
+                if len(which):
+                    c, own = np.zeros(len(r.words), np.int64), np.zeros(len(r.words), np.int64)
+                    if r.nth is not None:
+                        c[r.nth], own[r.nth] = r.c, r[-2]
+                    c, own = c[which], own[which]
+                    at = np.flatnonzero(s[1:-1] >= first_shape)      # the tokens of ``which``, in order
+                    seen = c > 0
+                    n_known += int(seen.sum())
+                    base += float(np.log10(c[seen] + 0.5).sum() + np.log10(0.5) * (~seen).sum())
+                    emit += float(np.log10(c[seen] / within[own[seen]]).sum())
+                    once = np.flatnonzero(c == 1)
+                    other[at[once]] = s[at[once] + 1]                # so far their shape's class
+                    s[at[seen] + 1] = own[seen]
+                out.append((r.id, r.held_out, r.n_tokens, n_known, base, emit, s.tobytes(), other.tobytes()))
+            yield pd.DataFrame(out, columns=["id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other"])
+
+    wide = mine.join(known, "row", "left").select("id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other", "which", "words",
+                                                  "nth", "class", "c")
+    sequences = store(spark, wide.mapInPandas(fill, "id string, held_out boolean, n_tokens long, n_known long, base double, emit double, "
+                                              "s binary, other binary"), "brown-sequences")
+    step = spark.sparkContext.broadcast(_transitions(class_bigrams(sequences, g), config.pull))
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            seq = [np.frombuffer(s, np.uint16) for s in b["s"]]
+            yield b.drop(columns="s").assign(emit=b["emit"] + np.array([float(step.value[s[:-1], s[1:]].sum()) for s in seq], float))
+
+    scored = (sequences.drop("other").mapInPandas(total, "id string, held_out boolean, n_tokens long, n_known long, base double, emit double"))
+    result = scored.select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "n_tokens", "n_known",
+        F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("emit").alias("score"))
     return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -290,6 +290,44 @@ def test_brown_edges(edge, none):
     assert all(math.isfinite(r["score"]) for r in brown.score(edge, F.lit(True)).collect())   # no training row
 
 
+@pytest.mark.parametrize("known", [8, 1 << 17])
+def test_brown_classes_of_rare_words(spark, known):
+    """Words far beyond the most frequent ones, all of one shape, get classes
+    by their neighbours, also where tasks can't look them up."""
+    rows = [(i * 100 + k, f"aa n{chr(97 + i)}n bb v{chr(97 + i)}v aa xx bb yy") for i in range(20) for k in range(2)]
+    probe = [(5000 + i, f"aa n{chr(97 + i)}n bb") for i in range(20)] + [(6000 + i, f"aa v{chr(97 + i)}v bb") for i in range(20)]
+    df = spark.createDataFrame(rows + probe, "doc_id long, text string").repartition(3)
+    got = rows_of(brown.score(df, F.col("doc_id") >= 5000, config=brown.Config(clustered=4, classes=4, known=known)))
+    # Nouns stand between "aa" and "bb", verbs do not: a class by shape alone can't tell.
+    gaps = [(got[5000 + i]["score"] - got[5000 + i]["base_score"]) - (got[6000 + i]["score"] - got[6000 + i]["base_score"]) for i in range(20)]
+    assert min(gaps) > 0.5
+
+
+def test_best_classes_brute_force():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        classes, g = 4, 7
+        n = rng.integers(0, 30, (g, g)).astype(float)
+        counts = rng.integers(0, 6, (5, 2 * g)) * rng.integers(0, 2, (5, 2 * g))
+        counts[:, 0] += 1
+        word, slot = np.nonzero(counts)
+        got = brown.best_classes(word, slot, counts[word, slot].astype(float), n, classes)
+        for w in range(5):
+            kept = []
+            for c in range(classes):
+                m = n.copy()
+                m[c] += counts[w, :g]
+                m[:, c] += counts[w, g:]
+                # What is moved to this class; the neighbours' own margins are the same for all classes.
+                margins = n[:classes].sum(1), n[:, :classes].sum(0)
+                margins[0][c] += counts[w, :g].sum()
+                margins[1][c] += counts[w, g:].sum()
+                kept.append(brown._f(m).sum() - sum(brown._f(x).sum() for x in margins))
+            assert kept[got[w]] == pytest.approx(max(kept))
+
+
 def test_exchange_finds_classes():
     import numpy as np
 
