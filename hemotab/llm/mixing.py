@@ -20,9 +20,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hemotab.llm.common import text_or_empty
+from hemotab.llm.common import store, text_or_empty
 
-MOST_SOURCES = 100_000
+BROADCAST_SOURCES = 100_000     # one row each; with more sources, plans are joined by a shuffle
 BUCKET_ROWS = 4096
 
 
@@ -31,13 +31,14 @@ def words_and_end(text_col: str) -> Column:
     return F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + 1
 
 
-def weights_of(shares: list[float], exponent: float) -> list[float]:
+def weights_of(shares: list[float], exponent: float, alike: list[int]) -> list[float]:
     raw = [s ** exponent if s > 0 else 0.0 for s in shares]
-    return [r / sum(raw) for r in raw]
+    whole = sum(r * n for r, n in zip(raw, alike))
+    return [r / whole for r in raw]
 
 
-def entropy(weights: list[float]) -> float:
-    return -sum(w * math.log(w) for w in weights if w > 0)
+def entropy(weights: list[float], alike: list[int] | None = None) -> float:
+    return -sum(n * w * math.log(w) for w, n in zip(weights, alike or [1] * len(weights)) if w > 0)
 
 
 def repeats_of(tokens: list[int], weights: list[float], budget: float | None) -> list[float]:
@@ -57,18 +58,21 @@ def _bisect(high_ok, low: float = 0.0, high: float = 1.0) -> float:
 
 
 def solve(tokens: list[int], *, target_entropy: float | None = None, most_repeats: float | None = None,
-          budget: float | None = None) -> tuple[float, list[float], list[float]]:
-    """(exponent, weights, repeats).  Of a target entropy (nats) and a limit
+          budget: float | None = None, alike: list[int] | None = None) -> tuple[float, list[float], list[float]]:
+    """(exponent, weights, repeats), of one source each; ``alike`` sources
+    (default 1) have the same tokens.  Of a target entropy (nats) and a limit
     on repeats, the one that asks for the larger exponent rules."""
     if not any(tokens):
         return 1.0, [0.0] * len(tokens), [0.0] * len(tokens)
-    shares = [t / sum(tokens) for t in tokens]
+    alike = alike or [1] * len(tokens)
+    whole = sum(t * n for t, n in zip(tokens, alike))
+    shares = [t / whole for t in tokens]
     exponent = 0.0 if target_entropy is not None or most_repeats is not None else 1.0
     if target_entropy is not None:
-        exponent = max(exponent, _bisect(lambda a: entropy(weights_of(shares, a)) <= target_entropy))
+        exponent = max(exponent, _bisect(lambda a: entropy(weights_of(shares, a, alike), alike) <= target_entropy))
     if most_repeats is not None:
-        exponent = max(exponent, _bisect(lambda a: max(repeats_of(tokens, weights_of(shares, a), budget)) <= most_repeats))
-    weights = weights_of(shares, exponent)
+        exponent = max(exponent, _bisect(lambda a: max(repeats_of(tokens, weights_of(shares, a, alike), budget)) <= most_repeats))
+    weights = weights_of(shares, exponent, alike)
     return exponent, weights, repeats_of(tokens, weights, budget)
 
 
@@ -83,22 +87,28 @@ class Mix:
         self.key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
         self.tokens = tokens if tokens is not None else words_and_end(text_col)
         self.body = text_or_empty(text_col)
-        totals = (docs.select(self.key.alias("key"), self.tokens.alias("t")).groupBy("key")
-                  .agg(F.sum("t").alias("tokens"), F.count(F.lit(1)).alias("n")).orderBy("key").limit(MOST_SOURCES + 1).collect())
-        if len(totals) > MOST_SOURCES:
-            raise ValueError(f"more than {MOST_SOURCES} sources")
-        self.exponent, self.weights, repeats = solve([r["tokens"] or 0 for r in totals], target_entropy=target_entropy,
-                                                     most_repeats=most_repeats, budget=budget)
+        spark = docs.sparkSession
+        totals = store(spark, docs.select(self.key.alias("key"), self.tokens.alias("t")).groupBy("key")
+                       .agg(F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("tokens"), F.count(F.lit(1)).alias("n")), "mixing-totals")
+        # Sources of equal totals have equal weights: the driver sees the
+        # distinct totals, fewer than the root of twice all tokens.
+        same = totals.groupBy("tokens").agg(F.count(F.lit(1)).alias("alike")).orderBy("tokens").collect()
+        self.few = sum(r["alike"] for r in same) <= BROADCAST_SOURCES
+        self.exponent, self.weights, repeats = solve([r["tokens"] for r in same], target_entropy=target_entropy, most_repeats=most_repeats,
+                                                     budget=budget, alike=[r["alike"] for r in same])
         rows = []
-        for r, weight, times in zip(totals, self.weights, repeats):
+        for r, weight, times in zip(same, self.weights, repeats):
             near = round(times)
             times = float(near) if abs(times - near) < 1e-9 * max(near, 1) else times
             whole = int(times)
-            rows.append((r["key"], weight, times, whole, int((times - whole) * (r["tokens"] or 0)),
-                         max(1, -(-r["n"] // BUCKET_ROWS))))
-        # One row per source, MOST_SOURCES at most.
-        self.plan = F.broadcast(docs.sparkSession.createDataFrame(
-            rows, "key string, weight double, times double, whole int, rest long, buckets long"))
+            rows.append((r["tokens"], weight, times, whole, int((times - whole) * r["tokens"])))
+        each = spark.createDataFrame(rows, "tokens long, weight double, times double, whole int, rest long")
+        # One row per source.
+        self.plan = self._narrow_side(totals.join(F.broadcast(each), "tokens").select(
+            "key", "weight", "times", "whole", "rest", F.greatest(F.lit(1), F.ceil(F.col("n") / BUCKET_ROWS)).cast("long").alias("buckets")))
+
+    def _narrow_side(self, per_source: DataFrame) -> DataFrame:
+        return F.broadcast(per_source) if self.few else per_source
 
     def _order(self, block: Column) -> Column:
         """A non-negative number that orders a block."""
@@ -120,17 +130,17 @@ class Mix:
         sums = sums.select("key", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
         # Only the bucket in which the budget ends has to be ordered.
         edge = sums.join(self.plan, "key").where("before < rest").groupBy("key").agg(F.max(F.struct("bucket", "before")).alias("edge"))
-        within = part.join(F.broadcast(edge.select("key", "edge.bucket", "edge.before")), ["key", "bucket"])
+        within = part.join(self._narrow_side(edge.select("key", "edge.bucket", "edge.before")), ["key", "bucket"])
         so_far = F.sum("t").over(Window.partitionBy("key").orderBy("o").rangeBetween(Window.unboundedPreceding, Window.currentRow))
         last = (within.withColumn("c", F.col("before") + so_far).where("c <= rest").groupBy("key").agg(F.max("o").alias("last")))
-        first = part.join(F.broadcast(edge.select("key", F.col("edge.bucket").alias("stop"))), "key").where("bucket < stop") \
+        first = part.join(self._narrow_side(edge.select("key", F.col("edge.bucket").alias("stop"))), "key").where("bucket < stop") \
             .groupBy("key").agg(F.max("o").alias("full"))
         return (edge.select("key").join(last, "key", "left").join(first, "key", "left")
                 .select("key", F.coalesce("last", "full", F.lit(-1).cast("long")).alias("cut")))
 
     def _copies(self, df: DataFrame) -> DataFrame:
         """``df`` (with key, id, h) once per block that holds the row: block, o."""
-        cut = df.join(F.broadcast(self.cuts()), "key", "left")
+        cut = df.join(self._narrow_side(self.cuts()), "key", "left")
         taken = F.col("whole") + F.when(self._order(F.col("whole")) <= F.col("cut"), 1).otherwise(0)
         blocks = F.when(taken > 0, F.sequence(F.lit(0), taken - 1)).otherwise(F.array().cast("array<int>"))
         return cut.withColumn("block", F.explode(blocks)).withColumn("o", self._order(F.col("block")))

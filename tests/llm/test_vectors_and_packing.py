@@ -117,6 +117,21 @@ def test_mix_brute_force(spark, monkeypatch, rows_per_bucket):
     assert again == Counter(r["doc_id"] for r in rows)
 
 
+def test_mix_more_sources_than_are_broadcast(spark, monkeypatch):
+    """Many sources, many of them with equal totals: no cap, the same rows."""
+    rows = [(i, f"s{i % 300}", "w " * (1 + i % 300 % 7 + i % 11)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    want = sorted(map(tuple, mixing.mix(docs, most_repeats=1.7).collect()))
+    for name in ("BROADCAST_SOURCES", "MOST_SOURCES"):      # MOST_SOURCES: the cap that was
+        monkeypatch.setattr(mixing, name, 20, raising=False)
+    assert sorted(map(tuple, mixing.mix(docs, most_repeats=1.7).collect())) == want
+    totals = Counter()
+    for _, source, text in rows:
+        totals[source] += len(text.split()) + 1
+    weights = dict(zip(totals, mixing.solve(list(totals.values()), most_repeats=1.7)[1]))
+    assert {r[1]: r[2] for r in want} == pytest.approx(weights)
+
+
 def test_mix_edges(edge, none):
     rows = mixing.mix(edge, most_repeats=2.0).collect()
     assert {r["source"] for r in rows} == {"s", "big", None}
