@@ -20,4 +20,28 @@ s AS (
 r AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_block_rotation": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS body, sha256('1:' || doc_id::VARCHAR) AS hash FROM documents),
+u AS (
+  SELECT *, regexp_extract_all(body, '[A-Za-z]+|[^A-Za-z]') AS units,
+         ('0x' || hash[1:8])::BIGINT AS h1, ('0x' || hash[9:16])::BIGINT AS h2,
+         ('0x' || hash[17:24])::BIGINT AS h3, ('0x' || hash[25:32])::BIGINT AS h4 FROM d),
+c AS (
+  SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                   OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM p""",
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemotab.llm import brown, exact_dedup, jaccard, knn, mixing, packing, quality, secrets, suffix_dedup, toxicity
+from hemotab.llm import brown, exact_dedup, fim, jaccard, knn, mixing, packing, quality, secrets, suffix_dedup, toxicity
 from hemotab.llm.common import documents, fold
 
 
@@ -57,6 +57,12 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op11_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.restore(fim.transform(documents(spark, sf_dir), seed=1, plain_percent=10, spm_percent=20))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_factorisation_machine": op1_factorisation_machine,
     "op2_secret_ledger": op2_secret_ledger,
@@ -68,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_complement_packing": op9_complement_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_block_rotation": op11_block_rotation,
 }
