@@ -44,4 +44,30 @@ SELECT doc_id, n::BIGINT AS n, form,
                         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
        sha256(body) AS restored_sha256
 FROM p""",
+    "op12_blocked_search": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+s AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total FROM t WHERE len(terms) > 0),
+f AS (
+  SELECT row, doc_id, len(terms) AS n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, terms, unnest(terms) AS term FROM t) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+i AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS item, item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+r AS (
+  SELECT item, item_id, row, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term), s GROUP BY ALL),
+k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM r WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10""",
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemotab.llm import brown, cutstock, exact_dedup, fim, jaccard, knn, mixing, packing, quality, secrets, suffix_dedup, toxicity
+from hemotab.llm import brown, cutstock, exact_dedup, fim, jaccard, knn, lexical, mixing, packing, quality, secrets, suffix_dedup, toxicity
 from hemotab.llm.common import documents, fold
 
 
@@ -63,6 +63,10 @@ def op11_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op13_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutstock.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -79,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_complement_packing": op9_complement_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_block_rotation": op11_block_rotation,
+    "op12_blocked_search": op12_blocked_search,
     "op13_cutting_stock": op13_cutting_stock,
 }
