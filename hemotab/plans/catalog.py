@@ -22,13 +22,15 @@ from hemotab.operators import crosstab as X
 from hemotab.operators.dedupe import latest_counselling
 from hemotab.operators.period import closed_dates, timestamp_period
 from hemotab.operators.results import positive_flags
+from hemotab.plans import incremental as I
 from hemotab.plans import materialize as M
+from hemotab.plans import partials as PA
 from hemotab.plans import reports as RP
 from hemotab.plans import views as V
 from hemotab.profile import PROFILES, fixture_profile
 from hemotab.session import checkpoint_dir, stored
 from hemotab.sources import sinks
-from hemotab.sources.fixtures import fixture_tables, odd_labels
+from hemotab.sources.fixtures import earlier_state, fixture_tables, odd_labels
 
 AS_OF = "2001-12-31"          # ages
 EXPIRY_AS_OF = "1998-06-01"   # component expiry
@@ -38,6 +40,9 @@ DONATION_PERIOD = ("1996-01-01", "2000-12-31")
 PERIODS = {name: DONATION_PERIOD for name in RP.REPORTS}
 PERIODS["deferral"] = ("2024-01-02", "2024-01-29")
 MONTH = ("1997-03-01", "1997-03-31")   # the period of a monthly report
+# Periods that begin and end within a month, and a reporting date of their own.
+YEARS = {name: ("1996-01-15", "2000-12-10") for name in RP.REPORTS} | {"deferral": ("2023-12-15", "2024-02-10")}
+YEARS_AS_OF = "2004-02-29"
 
 VIEW_QUERIES = {
     "view_donation_summary": "donationSummaryView",
@@ -208,6 +213,54 @@ def report_batch_month_stored(tables) -> DataFrame:
     return _month(M.use_all_bases(tables, M.write_all_bases(tables, p), p))
 
 
+def _updated_base(tables) -> I.DonationBase:
+    """A base built on an earlier state of the tables and brought up to date by what changed since."""
+    before, base = earlier_state(tables), I.DonationBase(tables, fixture_profile())
+    base.build(before)
+    base.update(tables, I.changed_keys(before, tables))
+    return base
+
+
+def base_updated_donation(tables) -> DataFrame:
+    """V1 from a base kept up to date (inserts, deletions, moved dates, re-pointed numbers, donors, results)."""
+    return view_frame(_updated_base(tables).use(tables), "donationSummaryView")
+
+
+def base_updated_testing(tables) -> DataFrame:
+    """V7 from a base kept up to date."""
+    return view_frame(_updated_base(tables).use(tables), "testingSummaryView")
+
+
+def _years(tables) -> DataFrame:
+    """All 12 reports over years."""
+    p = fixture_profile()
+    parts = [RP.run_reports(tables, [n for n in RP.REPORTS if YEARS[n] == period], *period, as_of=YEARS_AS_OF, profile=p)
+             for period in dict.fromkeys(YEARS.values())]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+def report_years_from_months(tables) -> DataFrame:
+    """Reports over years, added up from stored monthly counts; days around whole months from the views."""
+    p = fixture_profile()
+    M.use_donation_base(tables, M.write_donation_base(tables, p), p)
+    counts = PA.MonthlyCounts(tables, p)
+    counts.build(tables)
+    return _years(counts.use(tables))
+
+
+def report_years_after_update(tables) -> DataFrame:
+    """The donation views' reports over years, from a base and counts built earlier and both updated by what changed since."""
+    p, before, views = fixture_profile(), earlier_state(tables), ("donationSummaryView", "testingSummaryView")
+    base = I.DonationBase(before, p)
+    base.build(before)
+    counts = PA.MonthlyCounts(base.use(before), p, views=views)
+    counts.build(before)
+    done = base.update(tables, I.changed_keys(before, tables))
+    for view in views:
+        counts.update(base.use(tables), view, done.months_changed)
+    return RP.run_reports(counts.use(tables), BATCH_REPORTS, *YEARS["donation"], as_of=YEARS_AS_OF, profile=p)
+
+
 def sink_round_trip(tables) -> DataFrame:
     """K1: the monthly reports written report by report, and read back."""
     root = f"{checkpoint_dir(tables.spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
@@ -299,6 +352,10 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "report_batch_donation_views": report_batch_donation_views,
     "report_batch_month": report_batch_month,
     "report_batch_month_stored": report_batch_month_stored,
+    "base_updated_donation": base_updated_donation,
+    "base_updated_testing": base_updated_testing,
+    "report_years_from_months": report_years_from_months,
+    "report_years_after_update": report_years_after_update,
     "sink_round_trip": sink_round_trip,
     "order_donation_by_site": order_donation_by_site,
     "order_views": order_views,

@@ -162,36 +162,86 @@ def _view_frame(tables: Tables, spec: ReportSpec, columns: Sequence[str], as_of,
     return fn(tables, profile=profile, columns=columns, period=period, **mine)
 
 
+def _last_day(spec: ReportSpec, end: DateLike, profile: Profile) -> dt.date:
+    """Last day of the period, the closing day of a timestamp period aside."""
+    plus_one = spec.period == "date" and profile.donation_period_plus_one_day
+    return dt.date.fromisoformat(str(end)) + dt.timedelta(days=1 if plus_one else 0)
+
+
 def dataset(tables: Tables, report: str | ReportSpec, start: DateLike, end: DateLike,
             as_of=None, profile: Profile = DEFAULT_PROFILE, columns: Sequence[str] | None = None,
-            half_open: bool = False, **options) -> DataFrame:
+            half_open: bool = False, since: dt.date | None = None, before: dt.date | None = None, **options) -> DataFrame:
     """The report's dataset: its view, filtered by the period, declared fields only.
 
     Catalyst pushes the period to the scan.  For the donation views that is
     the scan of the chosen donations; the choice itself reads all of them.
+    ``since`` (included) and ``before`` (not included) narrow the period down.
     """
     spec = REPORTS[report] if isinstance(report, str) else report
     cols = list(columns) if columns is not None else list(spec.fields)
     if spec.date_field not in cols:
         cols.append(spec.date_field)
     # Inclusive date bounds covering the period: they prune stored months.
-    plus_one = spec.period == "timestamp" or profile.donation_period_plus_one_day
-    last = dt.date.fromisoformat(str(end)) + dt.timedelta(days=1 if plus_one else 0)
-    df = _view_frame(tables, spec, cols, as_of, profile, period=(str(start), str(last)), **options)
+    first = dt.date.fromisoformat(str(start))
+    last = _last_day(spec, end, profile) + dt.timedelta(days=1 if spec.period == "timestamp" else 0)
+    bounds = (max(first, since or first), min(last, before - dt.timedelta(days=1) if before else last))
+    df = _view_frame(tables, spec, cols, as_of, profile, period=(str(bounds[0]), str(bounds[1])), **options)
     if spec.period == "date":
         cond = closed_dates(spec.date_field, start, end, plus_one_day=profile.donation_period_plus_one_day)
     else:
         cond = timestamp_period(spec.date_field, start, end, half_open=half_open)
+    kind = "date" if spec.period == "date" else "timestamp_ntz"
+    if since:
+        cond = cond & (F.col(spec.date_field) >= F.lit(since).cast(kind))
+    if before:
+        cond = cond & (F.col(spec.date_field) < F.lit(before).cast(kind))
     return df.where(cond)
 
 
+def _key_counts(tables: Tables, spec: ReportSpec, keys: Sequence[str], measures: Sequence[str], start: DateLike,
+                end: DateLike, as_of, profile: Profile, **options) -> DataFrame:
+    """Counts ``n_<measure>`` per combination of ``keys`` within the period.
+
+    Where ``tables`` carries monthly counts of the view (``plans.partials``),
+    whole months are added up from them and only the days around them are read
+    from the view.  Options that change rows or labels leave them aside.
+    """
+    columns = list(dict.fromkeys([*keys, *measures]))
+    counted = [F.count(F.col(m)).alias(f"n_{m}") for m in measures]
+
+    def rows(**more) -> DataFrame:
+        ds = dataset(tables, spec, start, end, as_of, profile, columns=columns, **options, **more)
+        return ds.groupBy(*keys).agg(*counted)
+
+    stored = tables.monthly_counts.get(spec.view)
+    if stored is None or any(options.get(o) for o in VIEW_OPTIONS.get(spec.view, ())):
+        return rows()
+    from hemotab.plans.partials import merged, whole_months
+
+    if stored[1] != profile.name:
+        raise ValueError(f"stored counts of {spec.view} are for {stored[1]}, not {profile.name}")
+    first, last = dt.date.fromisoformat(str(start)), _last_day(spec, end, profile)
+    months = whole_months(first, last)
+    if months is None:
+        return rows()
+    parts = [merged(stored[0], months, keys, measures, as_of)]
+    if first < months[0]:
+        parts.append(rows(before=months[0]))
+    # A timestamp period also holds midnight after its last day.
+    if months[1] <= last or (spec.period == "timestamp" and not options.get("half_open")):
+        parts.append(rows(since=months[1]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy(*keys).agg(*[F.sum(f"n_{m}").alias(f"n_{m}") for m in measures])
+
+
 def finest(tables: Tables, report: str | ReportSpec, start: DateLike, end: DateLike, as_of=None,
            profile: Profile = DEFAULT_PROFILE, **options) -> DataFrame:
     """Finest-grain counts shared by both crosstabs of the report."""
     spec = REPORTS[report] if isinstance(report, str) else report
-    needed = list(dict.fromkeys(spec.keys + [spec.measure]))
-    ds = dataset(tables, spec, start, end, as_of, profile, columns=needed, **options)
-    return X.finest(ds, spec.keys, spec.measure)
+    counts = _key_counts(tables, spec, spec.keys, [spec.measure], start, end, as_of, profile, **options)
+    return counts.withColumnRenamed(f"n_{spec.measure}", X.COUNT)
 
 
 def crosstab(tables: Tables, name: str, start: DateLike, end: DateLike, as_of=None,
@@ -276,9 +326,7 @@ def run_reports(tables: Tables, names: Sequence[str] | None, start: DateLike, en
     for view, group in by_view.items():
         keys = list(dict.fromkeys(k for spec in group for k in spec.keys))
         measures = list(dict.fromkeys(spec.measure for spec in group))
-        ds = dataset(tables, group[0], start, end, as_of, profile,
-                     columns=list(dict.fromkeys(keys + measures)), **options)
-        shared = ds.groupBy(*keys).agg(*[F.count(F.col(m)).alias(f"n_{m}") for m in measures])
+        shared = _key_counts(tables, group[0], keys, measures, start, end, as_of, profile, **options)
         for spec in group:
             for xt in spec.crosstabs:
                 sub = shared.select(*xt.keys, F.col(f"n_{xt.measure}").alias(X.COUNT))

@@ -177,7 +177,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
     need = set(out)
     base = _donation_columns(need, diseases)
     donor_cols = [c for c in ("donorNumber", "gender") if c in need]
-    if need & {"age", "ageGroup"}:
+    if need & {"age", "ageGroup", "birthDate"}:
         donor_cols.append("birthDate")
     base |= {"donor_id"} if donor_cols else set()
     base |= {"packType_id"} if "packType" in need else set()
@@ -206,7 +206,7 @@ def _donation_base(tables: Tables, profile: Profile, out: list[str], diseases: S
 def donation_summary(tables: Tables, as_of: DateLike = None, profile: Profile = DEFAULT_PROFILE,
                      columns: Sequence[str] | None = None, period: tuple[str, str] | None = None) -> DataFrame:
     """V1: donation summary, one row per donation number (29 columns)."""
-    out = _wanted(columns, DONATION_COLUMNS)
+    out = _wanted(columns, DONATION_COLUMNS, extras=("birthDate",))
     need = set(out)
     diseases = ("hiv",) if "ttiReactiveStatus" in need else ()
     rows = _donation_base(tables, profile, out, diseases, counselling=bool(need & set(_COUNSELLING_OUT)),
@@ -225,7 +225,7 @@ def testing_summary(tables: Tables, as_of: DateLike = None, profile: Profile = D
                     columns: Sequence[str] | None = None, strict_gate: bool = False,
                     period: tuple[str, str] | None = None) -> DataFrame:
     """V7: testing summary with grouping, prevalence and co-infection labels (24 columns)."""
-    out = _wanted(columns, TESTING_COLUMNS)
+    out = _wanted(columns, TESTING_COLUMNS, extras=("birthDate",))
     need = set(out)
     if "ttiCoinfection" in need:
         diseases = DISEASES

@@ -245,3 +245,31 @@ def odd_labels(tables: Tables) -> Tables:
     reason = tables["ComponentStatusChangeReason"].withColumn(
         "statusChangeReason", F.when(k == 1, "Total").when(k == 2, "").otherwise(label))
     return tables.replaced(Donor=donor, ComponentStatusChangeReason=reason)
+
+
+def earlier_state(tables: Tables) -> Tables:
+    """The source tables before a batch of changes: donations not yet entered,
+    not yet (or still) deleted, with another date, number or venue; donors since
+    merged, restored or corrected; other results and counselling; a site since renamed."""
+    k = F.col("id")
+    d = tables["Donation"].where(k % 83 != 7)
+    d = d.withColumns({
+        "isDeleted": F.when(k % 29 == 3, ~F.col("isDeleted")).otherwise(F.col("isDeleted")),
+        "donationDate": F.when(k % 31 == 5, F.date_sub("donationDate", 40)).otherwise(F.col("donationDate")),
+        "venue_id": F.when(k % 43 == 1, (k + 3) % 25).otherwise(F.col("venue_id")),
+        "donationIdentificationNumber": F.when(k % 37 == 6, F.concat(F.lit("D"), (k + 5).cast("string")))
+         .when(k % 211 == 9, None).otherwise(F.col("donationIdentificationNumber")),
+    })
+    donor = tables["Donor"].withColumns({
+        "gender": F.when(k % 53 == 9, "female").otherwise(F.col("gender")),
+        "donorStatus": F.when(k % 47 == 11, "MERGED").when(k % 71 == 4, "NORMAL").otherwise(F.col("donorStatus")),
+        "birthDate": F.when(k % 67 == 8, F.date_sub("birthDate", 3000)).otherwise(F.col("birthDate")),
+    })
+    results = tables["BloodTestResult"].where(F.col("donation_id") % 79 != 6).withColumn(
+        "result", F.when(F.col("donation_id") % 73 == 2, "NEG").otherwise(F.col("result")))
+    counselling = tables["PostDonationCounselling"].where(k % 61 != 3).withColumns({
+        "donation_id": F.when(k % 59 == 4, F.col("donation_id") + 3).otherwise(F.col("donation_id")),
+        "counsellingStatus": F.when(k % 57 == 5, None).otherwise(F.col("counsellingStatus")),
+    })
+    site = tables["Location"].withColumn("name", F.when(k == 7, "Old name").otherwise(F.col("name")))
+    return tables.replaced(Donation=d, Donor=donor, BloodTestResult=results, PostDonationCounselling=counselling, Location=site)

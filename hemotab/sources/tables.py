@@ -35,6 +35,8 @@ class Tables(Mapping[str, DataFrame]):
         self.donation_base_profile: str | None = None
         # Optional stored event views: view name -> (frame, profile name).
         self.view_bases: dict[str, tuple[DataFrame, str]] = {}
+        # Optional stored monthly counts (plans.partials): view name -> (frame, profile name).
+        self.monthly_counts: dict[str, tuple[DataFrame, str]] = {}
 
     # Mapping protocol -------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:

@@ -85,12 +85,12 @@ def _order_views() -> str:
     return with_ctes(list(dict.fromkeys(tables)), ctes, "\nUNION ALL\n".join(parts))
 
 
-def _batch(names: list[str], period: dict | None = None) -> str:
+def _batch(names: list[str], period: dict | None = None, as_of: str = S.AGES_ON) -> str:
     """UNION ALL of the direct rollups of every crosstab of the reports."""
     ctes: list[str] = []
     tables: list[str] = []
     for view in dict.fromkeys(S.REPORTS[n][0][0] for n in names):
-        more, needed = view_sql(view, S.AGES_ON)
+        more, needed = view_sql(view, as_of)
         ctes += [c for c in more if c not in ctes]
         tables += needed
     keys = list(dict.fromkeys(k for n in names for xt in S.REPORTS[n] for k in xt[3] + xt[4]))
@@ -169,6 +169,11 @@ def _operators() -> dict[str, str]:
     out["report_batch_donation_views"] = _batch(DONATION_REPORTS)
     month = _batch([n for n in S.REPORTS], {"deferral": S.DEFERRALS})
     out["report_batch_month"] = out["report_batch_month_stored"] = out["sink_round_trip"] = month
+    periods = {n: S.ODD_YEARS for n in S.REPORTS} | {"deferral": S.ODD_DEFERRALS}
+    out["report_years_from_months"] = _batch([n for n in S.REPORTS], periods, S.YEARS_AGES_ON)
+    out["report_years_after_update"] = _batch(DONATION_REPORTS, periods, S.YEARS_AGES_ON)
+    out["base_updated_donation"] = view_query("donationSummaryView", S.AGES_ON)
+    out["base_updated_testing"] = view_query("testingSummaryView", S.AGES_ON)
     out["order_donation_by_site"] = _order_donation()
     out["order_views"] = _order_views()
     out["sql_form_100"], out["sql_form_140"] = _sql_form("1.0.0"), _sql_form("1.4.0")
@@ -186,6 +191,8 @@ def _operators() -> dict[str, str]:
 TEXT_COLUMNS = {
     "view_donation_summary": ("bleedStartTime", "bleedEndTime", "donorWeight", "haemoglobinCount"),
     "view_testing_summary": ("bleedStartTime", "bleedEndTime"),
+    "base_updated_donation": ("bleedStartTime", "bleedEndTime", "donorWeight", "haemoglobinCount"),
+    "base_updated_testing": ("bleedStartTime", "bleedEndTime"),
     "sql_form_100": ("bleedStartTime", "bleedEndTime", "donorWeight", "haemoglobinCount"),
     "sql_form_140": ("bleedStartTime", "bleedEndTime", "donorWeight", "haemoglobinCount"),
     "view_inventory_summary": ("createdOn",), "view_deferral_summary": ("deferralDate",),

@@ -39,6 +39,7 @@ CROSSTABS = {f"{name}_{part}": xt for name, pair in REPORTS.items() for part, xt
 LONG = ("1996-01-01", "2000-12-31")
 DEFERRALS = ("2024-01-02", "2024-01-29")
 MONTH = ("1997-03-01", "1997-03-31")
+ODD_YEARS, ODD_DEFERRALS, YEARS_AGES_ON = ("1996-01-15", "2000-12-10"), ("2023-12-15", "2024-02-10"), "2004-02-29"
 AGES_ON, EXPIRY_ON = "2001-12-31", "1998-06-01"
 BANDS = ("16-25", "26-35", "36-50", "51-65", "Other")
 DONATION_FIELDS = ("donationIdentificationNumber, donorNumber, gender, age, ageGroup, donationDate, venue, donationType, packType, bloodType, "
