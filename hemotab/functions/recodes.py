@@ -41,13 +41,16 @@ def as_of_midnight(as_of: DateLike) -> Column:
 def age_years(birth_date: str | Column, as_of: DateLike = None) -> Column:
     """Completed years from birth to ``as_of``, counted on anniversaries
     (``TIMESTAMPDIFF(YEAR, ..)`` on dates): a 29 February birth completes
-    a year on 1 March.  Written on date parts (year difference, minus one
-    before the month-and-day anniversary) so that no timestamp cast, and
-    hence no session time zone, is involved; the result is a bigint.
+    a year on 1 March, and a birth after the reporting date counts the completed
+    years between them as negative (0 within the first).  Written on date parts
+    (year difference, less one if the last year isn't complete) so that no
+    timestamp cast, and hence no session time zone, is involved; the result is a
+    bigint.
     """
     b, d = _col(birth_date), as_of_date(as_of)
-    before = (F.month(d) * 100 + F.dayofmonth(d)) < (F.month(b) * 100 + F.dayofmonth(b))
-    return (F.year(d) - F.year(b) - F.when(before, 1).otherwise(0)).cast("long")
+    day_b, day_d = F.month(b) * 100 + F.dayofmonth(b), F.month(d) * 100 + F.dayofmonth(d)
+    incomplete = F.when((b <= d) & (day_d < day_b), 1).when((b > d) & (day_b < day_d), -1).otherwise(0)
+    return (F.year(d) - F.year(b) - incomplete).cast("long")
 
 
 def age_band(age: str | Column) -> Column:

@@ -28,7 +28,7 @@ from hemotab.plans import partials as PA
 from hemotab.plans import reports as RP
 from hemotab.plans import views as V
 from hemotab.profile import PROFILES, fixture_profile
-from hemotab.session import checkpoint_dir, stored
+from hemotab.session import checkpoint_dir
 from hemotab.sources import sinks
 from hemotab.sources.fixtures import earlier_state, fixture_tables, odd_labels
 
@@ -103,6 +103,12 @@ def expr_age(tables) -> DataFrame:
     return d.select("id", "birthDate", R.age_years("birthDate", AS_OF).alias("age"))
 
 
+def expr_age_before_birth(tables) -> DataFrame:
+    """Ages on a date that many birth dates lie after."""
+    d = tables["Donor"]
+    return d.select("id", R.age_years("birthDate", "1960-02-29").alias("age"))
+
+
 def expr_age_band(tables) -> DataFrame:
     d = tables["Donor"].select(R.age_band(R.age_years("birthDate", AS_OF)).alias("ageGroup"))
     return d.groupBy("ageGroup").agg(F.count(F.lit(1)).alias("n"))
@@ -273,8 +279,23 @@ def sink_round_trip(tables) -> DataFrame:
     return held.select("report", "crosstab", *keys, *[f"g_{k}" for k in keys], X.COUNT)
 
 
+def sink_published(tables) -> DataFrame:
+    """K1: the monthly reports published together, one of them published again, and read back."""
+    store = sinks.ReportStore(tables.spark, f"{checkpoint_dir(tables.spark).rstrip('/')}/published/{uuid.uuid4().hex}")
+
+    def run(name: str, period: tuple[str, str]) -> tuple:
+        return name, *period, RP.run_report(tables, name, *period, as_of=AS_OF, profile=fixture_profile())
+
+    wrong = PERIODS["discard"]
+    store.publish([run(n, PERIODS["deferral"] if n == "deferral" else MONTH) for n in RP.REPORTS if n != "discard"]
+                  + [("discard", *MONTH, run("discard", wrong)[3])])
+    store.publish([run("discard", MONTH)])
+    keys = list(dict.fromkeys(k for r in RP.REPORTS.values() for k in r.keys))
+    return store.crosstabs().select("report", "crosstab", *keys, *[f"g_{k}" for k in keys], X.COUNT)
+
+
 def order_donation_by_site(tables) -> DataFrame:
-    """The place of each cell in report order."""
+    """The place of each cell in report order (aggregate cells only, numbered in one task)."""
     xt = RP.CROSSTABS["donation_by_site"][1]
     long = crosstab_frame(tables, CrosstabCheck(xt.name))
     # One row per printed cell.
@@ -282,29 +303,22 @@ def order_donation_by_site(tables) -> DataFrame:
 
 
 def order_views(tables) -> DataFrame:
-    """The order of the sort keys of each ordered view."""
+    """Each ordered view written by ``export_view``; the place of each
+    sort key in the files as they are read back."""
+    root = f"{checkpoint_dir(tables.spark).rstrip('/')}/exports/{uuid.uuid4().hex}"
     parts = []
     for view, keys in sinks.VIEW_ORDER.items():
-        groups = view_frame(tables, view).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        sinks.export_view(view_frame(tables, view), f"{root}/{view}", keys)
         key = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-        parts.append(_places(groups, keys).select(F.lit(view).alias("view"), key.alias("sort_key"), "place", "n"))
+        placed = sinks.places(tables.spark, f"{root}/{view}", keys)
+        parts.append(placed.groupBy(*keys, "place").agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit(view).alias("view"), key.alias("sort_key"), F.col("place").cast("int").alias("place"), "n"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
     return out
 
 
-def _places(groups: DataFrame, keys) -> DataFrame:
-    """Rank of distinct sort keys: ranges in order, each counted, then numbered inside."""
-    spark = groups.sparkSession
-    ranged = groups.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *[F.col(k).asc_nulls_first() for k in keys])
-    held = stored(spark, ranged.withColumn("part", F.spark_partition_id()), "view-order")
-    before = F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = held.groupBy("part").agg(F.count(F.lit(1)).alias("c")).withColumn("before", F.coalesce(before, F.lit(0)))
-    nth = F.row_number().over(Window.partitionBy("part").orderBy(*[F.col(k).asc_nulls_first() for k in keys]))
-    return held.withColumn("nth", nth).join(parts, "part").withColumn("place", (F.col("before") + F.col("nth")).cast("int"))
-
-
 def _sql_form(tables, release: str) -> DataFrame:
     """The donation dataset of a month by SQL over registered views."""
     V.register_views(tables, as_of=AS_OF, profile=PROFILES[release])
@@ -326,15 +340,14 @@ def sql_views(tables) -> DataFrame:
 
 
 def report_metadata(tables) -> DataFrame:
-    """X9 with a fixed clock, beside the number of donations of the source."""
-    now = dt.datetime(1998, 3, 9, 17, 5, 41)
-    frames = [RP.metadata(tables.spark, r, *MONTH, now=now) for r in ("donation", "discard")]
-    orders = tables["Donation"].agg(F.count(F.lit(1)).alias("orders")).withColumn("one", F.lit(1))
-    return frames[0].unionAll(frames[1]).withColumn("one", F.lit(1)).join(orders, "one").drop("one")
+    """Two monthly reports, each cell with its report's title, period and stamp (fixed clock)."""
+    rows = RP.run_reports(tables, ["donation", "discard"], *MONTH, as_of=AS_OF, profile=fixture_profile())
+    return RP.with_metadata(rows, *MONTH, now=dt.datetime(1998, 3, 9, 17, 5, 41))
 
 
 OPERATOR_QUERIES: dict[str, Callable] = {
     "expr_age": expr_age,
+    "expr_age_before_birth": expr_age_before_birth,
     "expr_age_band": expr_age_band,
     "expr_blood_type": expr_blood_type,
     "expr_expiry": expr_expiry,
@@ -357,6 +370,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "report_years_from_months": report_years_from_months,
     "report_years_after_update": report_years_after_update,
     "sink_round_trip": sink_round_trip,
+    "sink_published": sink_published,
     "order_donation_by_site": order_donation_by_site,
     "order_views": order_views,
     "sql_views": sql_views,

@@ -14,7 +14,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemotab.functions import labels as L
@@ -251,19 +251,34 @@ def crosstab(tables: Tables, name: str, start: DateLike, end: DateLike, as_of=No
     return X.crosstab(finest(tables, spec, start, end, as_of, profile, **options), xt)
 
 
+def _stamp(spec: ReportSpec, start: DateLike, end: DateLike, now: dt.datetime | None) -> dict[str, Column]:
+    """Title, period label and run stamp (P19, P20); ``now`` fixes the clock."""
+    before, between = L.PERIOD_LABEL
+    clock = F.current_timestamp() if now is None else F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    return {
+        "title": F.lit(spec.title),
+        "period": F.lit(f"{before}{start}{between}{end}"),
+        "run_time": F.date_format(clock, "HH:mm"),
+        "run_date": F.date_format(clock, "MMMM dd, yyyy"),
+    }
+
+
 def metadata(spark, report: str | ReportSpec, start: DateLike, end: DateLike,
              now: dt.datetime | None = None) -> DataFrame:
-    """Title, period label and run stamp as a one-row frame (P19, P20);
-    ``now`` fixes the clock."""
+    """Title, period label and run stamp as a one-row frame."""
     spec = REPORTS[report] if isinstance(report, str) else report
-    before, between = L.PERIOD_LABEL
-    clock = F.current_timestamp() if now is None else F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
-    return spark.range(1).select(
-        F.lit(spec.title).alias("title"),
-        F.lit(f"{before}{start}{between}{end}").alias("period"),
-        F.date_format(clock, "HH:mm").alias("run_time"),
-        F.date_format(clock, "MMMM dd, yyyy").alias("run_date"),
-    )
+    return spark.range(1).select(*[c.alias(n) for n, c in _stamp(spec, start, end, now).items()])
+
+
+def with_metadata(rows: DataFrame, start: DateLike, end: DateLike, now: dt.datetime | None = None) -> DataFrame:
+    """``run_reports`` rows with the title, period label and run stamp of their report."""
+    out = rows
+    for name in ("title", "period", "run_time", "run_date"):
+        cases = F.lit(None).cast("string")
+        for spec in reversed(REPORTS.values()):
+            cases = F.when(F.col("report") == spec.name, _stamp(spec, start, end, now)[name]).otherwise(cases)
+        out = out.withColumn(name, cases)
+    return out
 
 
 def run_report(tables: Tables, report: str, start: DateLike, end: DateLike, as_of=None,

@@ -180,10 +180,12 @@ def _operators() -> dict[str, str]:
     out["sql_views"] = " UNION ALL ".join(
         f"SELECT '{v}' AS view, n FROM ({view_query(v, S.as_of(v), select=f'SELECT count(*) AS n FROM {v}')}) q{i}"
         for i, v in enumerate(VIEW_QUERIES.values()))
-    titles = {"donation": "Donation Summary Report", "discard": "Discard Summary Report"}
-    out["report_metadata"] = " UNION ALL ".join(
-        f"SELECT '{t}' AS title, 'Date Period:  1997-03-01  to  1997-03-31' AS period, '17:05' AS run_time, "
-        f"'March 09, 1998' AS run_date, (SELECT count(*) FROM orders) AS orders" for t in titles.values())
+    out["report_metadata"] = (
+        "SELECT *, CASE report WHEN 'donation' THEN 'Donation Summary Report' ELSE 'Discard Summary Report' END AS title, "
+        "'Date Period:  1997-03-01  to  1997-03-31' AS period, '17:05' AS run_time, 'March 09, 1998' AS run_date "
+        f"FROM ({_batch(['donation', 'discard'], {})}) q")
+    out["expr_age_before_birth"] = with_ctes(["Donor"], [], f"SELECT id, {age_sql('birthDate', '1960-02-29')} AS age FROM Donor")
+    out["sink_published"] = month
     return out
 
 

@@ -43,9 +43,13 @@ RELEASES = {
 
 
 def age_sql(birth: str, as_of: str) -> str:
+    """Whole years, truncated towards zero."""
     d = f"DATE '{as_of}'"
-    return (f"(year({d}) - year({birth}) - CASE WHEN month({d}) * 100 + day({d}) "
-            f"< month({birth}) * 100 + day({birth}) THEN 1 ELSE 0 END)")
+
+    def between(a: str, b: str) -> str:
+        return f"(year({b}) - year({a}) - CASE WHEN month({b}) * 100 + day({b}) < month({a}) * 100 + day({a}) THEN 1 ELSE 0 END)"
+
+    return f"(CASE WHEN {birth} > {d} THEN -{between(d, birth)} ELSE {between(birth, d)} END)"
 
 
 def band_sql(age: str) -> str:
