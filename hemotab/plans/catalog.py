@@ -30,6 +30,7 @@ from hemotab.plans import views as V
 from hemotab.profile import PROFILES, fixture_profile
 from hemotab.session import checkpoint_dir
 from hemotab.sources import sinks
+from hemotab.sources.colocated import colocated, write_colocated
 from hemotab.sources.fixtures import earlier_state, fixture_tables, odd_labels
 
 AS_OF = "2001-12-31"          # ages
@@ -219,6 +220,13 @@ def report_batch_month_stored(tables) -> DataFrame:
     return _month(M.use_all_bases(tables, M.write_all_bases(tables, p), p))
 
 
+def report_batch_month_colocated(tables) -> DataFrame:
+    """Monthly reports from bucketed source tables, saved first."""
+    spark, database = tables.spark, f"hemotab_{uuid.uuid4().hex}"
+    write_colocated(tables, database, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _month(colocated(spark, database, T.LongType()))
+
+
 def _updated_base(tables) -> I.DonationBase:
     """A base built on an earlier state of the tables and brought up to date by what changed since."""
     before, base = earlier_state(tables), I.DonationBase(tables, fixture_profile())
@@ -365,6 +373,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "report_batch_donation_views": report_batch_donation_views,
     "report_batch_month": report_batch_month,
     "report_batch_month_stored": report_batch_month_stored,
+    "report_batch_month_colocated": report_batch_month_colocated,
     "base_updated_donation": base_updated_donation,
     "base_updated_testing": base_updated_testing,
     "report_years_from_months": report_years_from_months,

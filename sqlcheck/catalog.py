@@ -185,7 +185,7 @@ def _operators() -> dict[str, str]:
         "'Date Period:  1997-03-01  to  1997-03-31' AS period, '17:05' AS run_time, 'March 09, 1998' AS run_date "
         f"FROM ({_batch(['donation', 'discard'], {})}) q")
     out["expr_age_before_birth"] = with_ctes(["Donor"], [], f"SELECT id, {age_sql('birthDate', '1960-02-29')} AS age FROM Donor")
-    out["sink_published"] = month
+    out["sink_published"] = out["report_batch_month_colocated"] = month
     return out
 
 
