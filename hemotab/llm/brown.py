@@ -34,7 +34,9 @@ END = b" "           # no word holds a space
 SHAPES = 16
 CACHED_WORDS = 300_000
 CHUNK = 1 << 12
-HELD_SLOTS = 4_000_000     # neighbours that a task holds before it gives them out
+HELD_SLOTS = 4_000_000     # neighbours that a task holds (8 bytes each) before it gives them out
+HELD_WORDS = 400_000       # words that it holds
+GIVEN_WORDS = 20_000       # in a batch that it gives out
 ENTRIES = 1 << 15          # (word, neighbouring class) counts weighed at once
 NONE = (1 << 16) - 1
 
@@ -163,12 +165,17 @@ def contexts(training: DataFrame, own: np.ndarray, clustered: list[bytes]) -> Da
     shared = training.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(clustered)})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, found, held = _Numbers(shared.value, m), {}, 0
-
-        def out() -> pd.DataFrame:
-            pairs = [np.unique(np.array(x, np.uint16), return_counts=True) for x in found.values()]
-            return pd.DataFrame({"word": list(found), "slots": [x.tobytes() for x, _ in pairs],
-                                 "counts": [n.astype(np.int32).tobytes() for _, n in pairs]})
+        numbers, found, places, held = _Numbers(shared.value, m), {}, [], 0   # found: word -> its number here
+
+        def out() -> Iterator[pd.DataFrame]:
+            key, n = np.unique(np.concatenate(places), return_counts=True)
+            word, raw, counts = key >> 16, (key & NONE).astype(np.uint16).tobytes(), n.astype(np.int32).tobytes()
+            heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            names, ends = list(found), np.append(heads[1:], len(word))
+            for at in range(0, len(heads), GIVEN_WORDS):
+                spans = list(zip(heads[at:at + GIVEN_WORDS].tolist(), ends[at:at + GIVEN_WORDS].tolist()))
+                yield pd.DataFrame({"word": [names[word[x]] for x, _ in spans], "slots": [raw[2 * x:2 * y] for x, y in spans],
+                                    "counts": [counts[4 * x:4 * y] for x, y in spans]})
 
         for b in batches:
             for t in b["text"]:
@@ -177,20 +184,16 @@ def contexts(training: DataFrame, own: np.ndarray, clustered: list[bytes]) -> Da
                 s = np.full(len(tokens) + 2, own[-1], np.int64)
                 s[1:-1] = own[i]
                 at = np.flatnonzero(i >= m)
-                for j, after, before in zip(at.tolist(), s[at + 2].tolist(), (s[at] + g).tolist()):
-                    slots = found.get(tokens[j])
-                    if slots is None:
-                        found[tokens[j]] = [after, before]
-                    else:
-                        slots.append(after)
-                        slots.append(before)
+                if not len(at):
+                    continue
+                k = np.fromiter((found.setdefault(tokens[j], len(found)) for j in at.tolist()), np.int64, len(at)) << 16
+                places += [k + s[at + 2], k + s[at] + g]
                 held += 2 * len(at)
-                if held > HELD_SLOTS:
-                    yield out()
-                    found.clear()
-                    held = 0
+                if held > HELD_SLOTS or len(found) > HELD_WORDS:
+                    yield from out()
+                    found, places, held = {}, [], 0
         if found:
-            yield out()
+            yield from out()
 
     return training.select("text").mapInPandas(count, "word binary, slots binary, counts binary")
 
