@@ -26,6 +26,7 @@ from hemotab.plans import incremental as I
 from hemotab.plans import materialize as M
 from hemotab.plans import partials as PA
 from hemotab.plans import reports as RP
+from hemotab.plans import sqlviews as SV
 from hemotab.plans import views as V
 from hemotab.profile import PROFILES, fixture_profile
 from hemotab.session import checkpoint_dir
@@ -347,6 +348,14 @@ def sql_views(tables) -> DataFrame:
     return tables.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view, count(*) AS n FROM {v}" for v in V.VIEWS))
 
 
+def sql_views_stored(tables) -> DataFrame:
+    """Rows of the views defined as SQL text in a database, counted in another session."""
+    spark, database = tables.spark, f"hemotab_{uuid.uuid4().hex}"
+    write_colocated(tables, database, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    SV.create_views(spark, database, fixture_profile(), AS_OF)
+    return spark.newSession().sql(" UNION ALL ".join(f"SELECT '{v}' AS view, count(*) AS n FROM {database}.{v}" for v in V.VIEWS))
+
+
 def report_metadata(tables) -> DataFrame:
     """Two monthly reports, each cell with its report's title, period and stamp (fixed clock)."""
     rows = RP.run_reports(tables, ["donation", "discard"], *MONTH, as_of=AS_OF, profile=fixture_profile())
@@ -383,6 +392,7 @@ OPERATOR_QUERIES: dict[str, Callable] = {
     "order_donation_by_site": order_donation_by_site,
     "order_views": order_views,
     "sql_views": sql_views,
+    "sql_views_stored": sql_views_stored,
     "report_metadata": report_metadata,
 }
 

@@ -180,6 +180,7 @@ def _operators() -> dict[str, str]:
     out["sql_views"] = " UNION ALL ".join(
         f"SELECT '{v}' AS view, n FROM ({view_query(v, S.as_of(v), select=f'SELECT count(*) AS n FROM {v}')}) q{i}"
         for i, v in enumerate(VIEW_QUERIES.values()))
+    out["sql_views_stored"] = out["sql_views"]
     out["report_metadata"] = (
         "SELECT *, CASE report WHEN 'donation' THEN 'Donation Summary Report' ELSE 'Discard Summary Report' END AS title, "
         "'Date Period:  1997-03-01  to  1997-03-31' AS period, '17:05' AS run_time, 'March 09, 1998' AS run_date "
