@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hemotab.llm.common import store, text_bytes
+from hemotab.llm.common import slices, store, text_bytes
 from hemotab.llm.packing import Encoder
 
 CAPACITY = 2048
@@ -44,7 +44,7 @@ GAP = 0.002          # of the fewest sequences possible, at which the linear pro
 STEPS = 300          # of the simplex method at most
 COLUMNS_A_ROUND = 128
 FIRST_WEIGHT = 0.125 # of the true prices among the drawn ones
-ENCODE_TEXTS = 200   # at a time
+ENCODE_TEXTS, ENCODE_BYTES = 1000, 4 << 20   # at a time
 
 
 # --- the linear program -----------------------------------------------------------------
@@ -298,8 +298,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str, text_col
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, ranks = Encoder(tokenizer), Counter()
         for b in batches:
-            for at in range(0, len(b), ENCODE_TEXTS):
-                part, rows = b.iloc[at:at + ENCODE_TEXTS], []
+            for part in slices(b, "text", ENCODE_BYTES, ENCODE_TEXTS):
+                rows = []
                 for key, task, ids in zip(part["id"], part["task"], encoder(list(part["text"]))):
                     ids += np.array([END_ID], "<u4").tobytes()
                     n = len(ids) // 4
@@ -335,7 +335,8 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, gap: floa
     per_task = store(spark, per_task.withColumn("before", F.coalesce(before, F.lit(0))), "cutstock-counts")
     # At most ``capacity`` rows.
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = spark.sparkContext.broadcast(plan(counts, capacity, gap))
+    planned = plan(counts, capacity, gap)
+    table = spark.sparkContext.broadcast(planned)
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -364,8 +365,13 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, gap: floa
             if rows:
                 yield pd.DataFrame(rows, columns=names)
 
-    ranked = (cut.join(per_task.select("length", "task", "before"), ["length", "task"])
-              .select("id", "start", "length", "ids_crc32", "doc_tokens", "ids", (F.col("before") + F.col("nth")).alias("rank")))
+    ranked = cut.join(per_task.select("length", "task", "before"), ["length", "task"]).withColumn("rank", F.col("before") + F.col("nth"))
+    if not with_ids:
+        # Only pieces in the stream are cut again; one row a length that has any.
+        few = spark.createDataFrame(sorted(planned.streamed.items()), "length long, streamed long")
+        ranked = (ranked.join(F.broadcast(few), "length", "left")
+                  .withColumn("ids", F.when(F.col("rank") < F.col("streamed"), F.col("ids"))))
+    ranked = ranked.select("id", "start", "length", "ids_crc32", "doc_tokens", "ids", "rank")
     placed = ranked.mapInPandas(place, "id string, start long, length long, ids_crc32 long, doc_tokens long, "
                                        "sequence_id long, offset long" + ", ids binary" * with_ids)
     return placed.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)
