@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,16 +48,6 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def slices(batch: pd.DataFrame, col: str, most_bytes: int, most_rows: int = 1 << 30) -> Iterator[pd.DataFrame]:
-    """The batch in slices of about ``most_bytes`` of ``col`` and at most ``most_rows`` rows."""
-    part = np.cumsum(batch[col].map(len).to_numpy(np.int64)) // most_bytes
-    at = 0
-    while at < len(batch):
-        end = min(int(np.searchsorted(part, part[at], side="right")), at + most_rows)
-        yield batch.iloc[at:end]
-        at = end
-
-
 def sum_arrays(partial: DataFrame, size: int, chunk: int, dtype: str) -> np.ndarray:
     """Sum of the tasks' arrays of ``size`` numbers, dealt out in chunks: rows
     (chunk, part, counts), part being the task's number modulo a constant.
