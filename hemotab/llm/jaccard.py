@@ -3,10 +3,17 @@
 Documents whose sets of word shingles have a Jaccard similarity of at least
 num / den are linked; the result is the component of each document.
 
-Shingles are ordered by their estimated frequency, the rarest first (a count
-sketch of all shingles, of fixed size).  Two linked sets r and s share at
-least l shingles of their l-prefixes, the first |r| - ceil(t |r|) + l.  Each
-document chooses its own l by what its prefix is estimated to cost in
+First every shingle of every distinct set is counted, exactly but for its hash
+(``_census``): blocks of documents send their shingles, sorted and packed, to
+the shingle's bucket, and get back which of them no other set holds.  With s
+shared shingles, a set of n has an overlap of at most s with any other, so a
+document with s < t n links with none and goes no further, and a pair's overlap
+is bounded by the lesser s.
+
+Shingles of the others are ordered by frequency, the rarest first (a cell of the
+sketch holds the largest frequency among its shingles).  Two linked sets r and s
+share at least l shingles of their l-prefixes, the first |r| - ceil(t |r|) + l.
+Each document chooses its own l by what its prefix is estimated to cost in
 candidates, so a pair is verified only if it shares l = min(l of r, l of s)
 prefix shingles.  A pair's own sizes ask for an overlap of o = ceil(t (|r| + |s|)
 / (1 + t)), so only matches at places up to |r| - o + l and |s| - o + l count.
@@ -15,7 +22,9 @@ Equal sets count once.  First, in rounds, each document is verified against one
 partner of another component, which joins groups of copies by as many pairs as
 they have members.  Then all pairs that share
 enough prefix shingles and are not yet in one component are verified, so no
-link between components is missed.  Shingles are compared by 64-bit hashes.
+link between components is missed.  That last join is by shingle: its rows grow
+with the square of the documents that hold a prefix shingle, may link by their
+shared shingles, and still lie in different components.
 """
 
 from __future__ import annotations
@@ -26,16 +35,21 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hemotab.llm.common import store, sum_arrays, text_bytes, words
+from hemotab.llm.common import store, text_bytes, words
 from hemotab.llm.graph import components
 
 CACHED_WORDS = 200_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
-CHUNK_BITS = 12
+FILTER_CHUNK = 15          # bits of a filter go to the driver in chunks of 2 ** 15
 STAR_ROUNDS = 1
+BLOCK_SHINGLES = 1 << 20   # a block of documents ends at so many shingles
+BLOCK_DOCS = 1 << 16       # or documents: numbers within a block take two bytes
+BUCKET_BYTES = 1 << 22     # text whose shingles share a bucket, about
+CENSUS = ("id string, n long, digest binary, block long, number int, own int, "
+          "bucket int, keys binary, who binary, many binary, times binary, cells binary")
 
 
 @dataclass(frozen=True)
@@ -43,10 +57,10 @@ class Config:
     shingle: int = 5
     num: int = 80              # similarity of at least num / den
     den: int = 100
-    sketch_bits: int = 20      # counters of the frequency sketch: 2 ** bits
-    filter_bits: int = 23      # bits of the filter for documents to verify: 2 ** bits
-    longest: int = 4           # largest l
-    cost_step: float = 64.0    # estimated candidates per added prefix shingle
+    sketch_bits: int | None = None   # cells of the frequency sketch: 2 ** bits (None: 16 a document, 2 ** 16 to 2 ** 23)
+    filter_bits: int | None = None   # bits of the filters for documents: 2 ** bits (None: 8 a document, at most 2 ** 28)
+    longest: int | None = None       # largest l (None: no limit)
+    cost_step: float = 64.0    # l is 1, and 1 more for each doubling of the estimated candidates beyond this
     salted_from: int = 4096    # a shingle with more documents is dealt to several groups
 
 
@@ -76,51 +90,155 @@ class Shingles:
         return np.unique(out)
 
 
-def _sets(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(id, n, digest) of every document, and the partial counts of shingles."""
-    size, chunk = 1 << config.sketch_bits, 1 << CHUNK_BITS
+def _bits(n: int, least: int, most: int) -> int:
+    return min(most, max(least, (max(int(n), 1) - 1).bit_length()))
+
+
+def _aside(k: int) -> int:
+    """A number below 0, different for most k: rows under it only pass through."""
+    return -1 - (k * 0x9E3779B97F4A7C15 >> 20) % (1 << 30)
+
+
+def _packed(block: int, hashes: list[np.ndarray], bits: int) -> tuple[np.ndarray, dict[str, list]]:
+    """A block's shingles by bucket, the first ``bits`` bits; and how many of each
+    document's another document of the block holds too."""
+    h = np.concatenate(hashes)
+    who = np.repeat(np.arange(len(hashes), dtype=np.uint16), [len(x) for x in hashes])
+    order = np.argsort(h, kind="stable")
+    h, who = h[order], who[order]
+    heads = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    times = np.diff(np.append(heads, len(h)))
+    own = np.bincount(who[np.repeat(times > 1, times)], minlength=len(hashes))
+    bucket = (h[heads] >> np.uint64(64 - bits)).astype(np.int64)
+    key = (h[heads] >> np.uint64(32 - bits)).astype(np.uint32)     # the 32 bits after the bucket's
+    out = {k: [] for k in ("block", "bucket", "keys", "who", "many", "times")}
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    for at, end in zip(starts, np.append(starts[1:], len(bucket))):
+        t, k = times[at:end], key[at:end]
+        once = t == 1
+        out["block"].append(block)
+        out["bucket"].append(bucket[at])
+        out["keys"].append(k[once].tobytes())
+        out["who"].append(who[heads[at:end][once]].tobytes())
+        out["many"].append(k[~once].tobytes())
+        out["times"].append(t[~once].astype(np.uint32).tobytes())
+    return own, out
+
+
+def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(id, n, digest) of every document; (id, shared) of those that may link,
+    shared being how many of their shingles another set holds; and the frequency
+    sketch.  Equal sets of one task count once.  A shingle is known by its
+    bucket's bits and 32 more: two that agree in them count as held by two sets,
+    which can only let more documents through."""
+    spark = docs.sparkSession
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_bytes(text_col))).alias("bytes")).first()
+    bits = _bits((size["bytes"] or 0) // BUCKET_BYTES, 6, 23)
+    cell_bits = max(bits, config.sketch_bits or _bits(16 * size["n"], 16, 23))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, counts, seen, task = Shingles(config.shingle), np.zeros(size, np.uint32), set(), 0
-        shift = np.uint64(64 - config.sketch_bits)
-        for b in batches:
-            rows, new, held = [], [], 0
+        shingles, seen, block, hashes, kept, held = Shingles(config.shingle), set(), 0, [], [], 0
+
+        def close() -> Iterator[pd.DataFrame]:
+            own, packed = _packed(block, hashes, bits)
+            yield pd.DataFrame(kept, columns=["id", "n", "digest"]).assign(
+                block=block, number=range(len(kept)), own=own, bucket=_aside(block))
+            rows = pd.DataFrame(packed)
+            for at in range(0, len(rows), 1024):
+                yield rows.iloc[at:at + 1024]
+
+        for seq, b in enumerate(batches):
+            alike = []
             for key, text, task in zip(b["id"], b["text"], b["task"]):
                 s = shingles(text)
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                rows.append((key, len(s), digest))
-                if digest not in seen:
-                    seen.add(digest)
-                    new.append((s >> shift).astype(np.int32))
-                    held += len(s)
-                if held > 1 << 20:
-                    counts += np.bincount(np.concatenate(new), minlength=size).astype(np.uint32)
-                    new, held = [], 0
-            if new:
-                counts += np.bincount(np.concatenate(new), minlength=size).astype(np.uint32)
-            yield pd.DataFrame(rows, columns=["id", "n", "digest"]).assign(chunk=-1, counts=None, part=0)
-        if seen:
-            yield pd.DataFrame({"id": None, "n": 0, "digest": None, "chunk": range(size // chunk),
-                                "counts": [c.tobytes() for c in counts.reshape(-1, chunk)], "part": task % 256})
+                row = (key, len(s), xxhash.xxh3_128_digest(s.tobytes()))
+                if not len(s) or key is None or row[2] in seen:
+                    alike.append(row)
+                    continue
+                seen.add(row[2])
+                hashes.append(s)
+                kept.append(row)
+                held += len(s)
+                if held >= BLOCK_SHINGLES or len(kept) == BLOCK_DOCS:
+                    block = (int(task) << 24) + (block & 0xFFFFFF)
+                    yield from map(shaped, close())
+                    block, hashes, kept, held = block + 1, [], [], 0
+            yield shaped(pd.DataFrame(alike, columns=["id", "n", "digest"]).assign(number=-1, bucket=_aside((int(task) << 24) + seq)))
+        if kept:
+            block = (int(task) << 24) + (block & 0xFFFFFF)
+            yield from map(shaped, close())
+
+    names = [x.split()[0] for x in CENSUS.split(", ")]
+
+    def shaped(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.reindex(columns=names)
+        for c in ("id", "digest", "keys", "who", "many", "times", "cells"):
+            rows[c] = rows[c].astype(object).where(rows[c].notna(), None)
+        return rows.astype({c: "Int64" for c in ("n", "block", "number", "own", "bucket")})
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["bucket"].iloc[0] < 0:
+            return rows                              # documents only pass through
+        ones = [np.frombuffer(x, np.uint32) for x in rows["keys"]]
+        many = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["many"]])
+        key = np.concatenate([*ones, many])
+        times = np.concatenate([np.ones(len(key) - len(many), np.uint32), *(np.frombuffer(x, np.uint32) for x in rows["times"])])
+        order = np.argsort(key, kind="stable")
+        heads = np.flatnonzero(np.append(True, key[order[1:]] != key[order[:-1]]))
+        total = np.add.reduceat(times[order], heads, dtype=np.int64)
+        wide = cell_bits - bits
+        cells = np.zeros(1 << wide, np.uint32)
+        cell = (key[order[heads]] >> np.uint32(32 - wide)).astype(np.int64) if wide else np.zeros(len(heads), np.int64)
+        first = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        cells[cell[first]] = np.minimum(np.maximum.reduceat(total, first), 0xFFFFFFFF)
+        shared = np.zeros(len(key), bool)
+        shared[order] = np.repeat(total > 1, np.diff(np.append(heads, len(key))))
+        at, who = 0, []
+        for x, w in zip(ones, rows["who"]):
+            who.append(np.frombuffer(w, np.uint16)[shared[at:at + len(x)]].tobytes())
+            at += len(x)
+        head = pd.DataFrame({"bucket": rows["bucket"].iloc[:1].to_numpy(), "cells": [cells.tobytes()]})
+        return shaped(pd.concat([pd.DataFrame({"block": rows["block"].to_numpy(), "who": who}), head]))
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        mine = rows[rows["id"].notna()].sort_values("number")
+        shared = mine["own"].to_numpy(np.int64)
+        told = np.frombuffer(b"".join(x for x in rows["who"] if x is not None), np.uint16)
+        shared = shared + np.bincount(told, minlength=len(mine))
+        n = mine["n"].to_numpy(np.int64)
+        return pd.DataFrame({"id": mine["id"].to_numpy(), "shared": shared})[config.den * shared >= config.num * n]
 
     # The id travels as text: pandas would turn integers beside nulls into floats.
     rows = docs.select(F.col(id_col).cast("string").alias("id"), text_bytes(text_col).alias("text"), F.spark_partition_id().alias("task"))
-    out = store(docs.sparkSession, rows.mapInPandas(run, "id string, n long, digest binary, chunk int, counts binary, part int"),
-                "jaccard-sets")
-    return out.where("chunk = -1").select(F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "n", "digest"), out.where("chunk >= 0").select("chunk", "part", "counts")
-
-
-def _prefixes(docs: DataFrame, counts: np.ndarray, config: Config, id_col: str, text_col: str) -> DataFrame:
-    """id, n, l, token, place, groups of the l-prefix of every document; equal sets
-    of one task count once.  ``groups`` is how many groups the token is dealt to."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 4 bytes * 2 ** sketch_bits
-    mean = float(counts.mean())
-    noise = mean + 3 * np.sqrt(mean)
-    shift = np.uint64(64 - config.sketch_bits)
+    sent = rows.mapInPandas(run, CENSUS)
+    out = store(spark, sent.groupBy("bucket").applyInPandas(count, CENSUS), "jaccard-census")
+    kind = docs.schema[id_col].dataType
+    each = out.where("digest IS NOT NULL").select(F.col("id").cast(kind).alias("id"), "n", "digest")
+    able = (out.where("block IS NOT NULL").select("block", "id", "n", "number", "own", "who").groupBy("block")
+            .applyInPandas(choose, "id string, shared int").select(F.col("id").cast(kind).alias("id"), "shared"))
+    able = store(spark, able.groupBy("id").agg(F.max("shared").alias("shared")), "jaccard-able")
+    cells = np.ones(1 << cell_bits, np.uint32)       # 32 MB at most, unless set larger
+    wide = 1 << cell_bits - bits
+    for r in out.where("cells IS NOT NULL").select("bucket", "cells").toLocalIterator():
+        cells[r["bucket"] * wide:(r["bucket"] + 1) * wide] = np.frombuffer(r["cells"], np.uint32)
+    return each, able, cells
+
+
+def _prefixes(docs: DataFrame, able: DataFrame, cells: np.ndarray, config: Config, id_col: str, text_col: str) -> DataFrame:
+    """id, n, l, token, place, groups of the l-prefix of every document in ``able``;
+    equal sets of one task count once.  ``groups`` is how many groups the token is
+    dealt to.  A few other documents pass the filter too."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(cells)     # 4 bytes a cell
+    bits, members = _filter(spark, able.select("id"), config)
+    few = spark.sparkContext.broadcast(members)
+    usual = float(cells.mean())
+    shift = np.uint64(64 - int(len(cells)).bit_length() + 1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, seen, counters = Shingles(config.shingle), set(), shared.value
         for b in batches:
+            b = b[_hits(few.value, b["bit"])]
             for at in range(0, len(b), 500):
                 part, out = b.iloc[at:at + 500], []
                 ids, ns, ls, sizes = [], [], [], []
@@ -133,12 +251,12 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, config: Config, id_col: str,
                     f = counters[(s >> shift).astype(np.int64)]
                     size = len(s)
                     need = -(-config.num * size // config.den)
-                    order = np.lexsort((s, f))[:size - need + config.longest]
-                    s, f = s[order], f[order]
-                    cost = np.maximum(f[:size - need + 1] - noise, 0).sum()
-                    extra = min(config.longest, need, 1 + int(cost / config.cost_step))
-                    keep = min(size, size - need + extra)
-                    out.append((s[:keep], f[:keep]))
+                    order = np.lexsort((s, f))
+                    cost = np.maximum(f[order[:size - need + 1]] - usual, 0).sum()
+                    extra = min(need, config.longest or need, 1 + int(np.log2(1 + cost / config.cost_step)))
+                    keep = size - need + extra
+                    s, f = s[order[:keep]], f[order[:keep]]
+                    out.append((s, f))
                     ids.append(key), ns.append(size), ls.append(extra), sizes.append(keep)
                 if out:
                     f = np.concatenate([x for _, x in out])
@@ -146,35 +264,52 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, config: Config, id_col: str,
                         "id": np.repeat(np.array(ids, dtype=part["id"].dtype), sizes), "n": np.repeat(ns, sizes),
                         "l": np.repeat(ls, sizes), "token": np.concatenate([x for x, _ in out]).view(np.int64),
                         "place": np.concatenate([np.arange(1, k + 1, dtype=np.int32) for k in sizes]),
-                        "groups": np.where(f - noise > config.salted_from, np.ceil(f / config.salted_from), 1).astype(np.int32)})
+                        "groups": np.ceil(np.maximum(f / config.salted_from, 1)).astype(np.int32)})
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"), _bit(F.col(id_col), bits).alias("bit"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInPandas(run, f"id {kind}, n int, l int, token long, place int, groups int")
 
 
-def _filter_words(spark: SparkSession, ids: DataFrame, config: Config) -> np.ndarray:
-    """A bit set of hashed ids: 2 ** filter_bits bits."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(1 << config.filter_bits))
-    rows = (ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS int))")).alias("bits")).collect())
-    out = np.zeros(1 << (config.filter_bits - 5), np.uint32)
-    for r in rows:
-        out[r["word"]] = r["bits"]
-    return out
+def _bit(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << bits))
+
+
+def _hits(words: np.ndarray, bit: pd.Series) -> np.ndarray:
+    at = bit.to_numpy()
+    return ((words[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _filter(spark: SparkSession, ids: DataFrame, config: Config) -> tuple[int, np.ndarray]:
+    """Bits of the hash of ids, and the bit set of those hashes: 2 ** bits bits,
+    at most 32 MB.  Beyond that size it lets more through; nothing relies on it."""
+    bits = max(FILTER_CHUNK, config.filter_bits or _bits(8 * ids.count(), FILTER_CHUNK, 28))
+    small = 1 << FILTER_CHUNK
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(small, np.uint8)
+        flags[rows["bit"].to_numpy() % small] = 1
+        return pd.DataFrame({"chunk": rows["chunk"][:1], "flags": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    at = ids.select(_bit(F.col("id"), bits).alias("bit")).distinct()
+    packed = at.withColumn("chunk", F.shiftright("bit", FILTER_CHUNK).cast("int")).groupBy("chunk").applyInPandas(pack, "chunk int, flags binary")
+    out = np.zeros(1 << bits - 3, np.uint8)
+    for r in packed.toLocalIterator():
+        out[r["chunk"] * small // 8:(r["chunk"] + 1) * small // 8] = np.frombuffer(r["flags"], np.uint8)
+    return bits, out
 
 
 def verify(docs: DataFrame, pairs: DataFrame, config: Config, id_col: str, text_col: str) -> DataFrame:
     """The (a, b) of ``pairs`` that are similar enough, by their whole sets."""
     spark = docs.sparkSession
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
-    shared = spark.sparkContext.broadcast(_filter_words(spark, ids, config))
+    size, members = _filter(spark, ids, config)
+    shared = spark.sparkContext.broadcast(members)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, bits = Shingles(config.shingle), shared.value
+        shingles = Shingles(config.shingle)
         for b in batches:
-            at = b["bit"].to_numpy()
-            hit = b[((bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool)]
+            hit = b[_hits(shared.value, b["bit"])]
             yield pd.DataFrame({"id": hit["id"], "s": [shingles(t).tobytes() for t in hit["text"]]})
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,7 +323,7 @@ def verify(docs: DataFrame, pairs: DataFrame, config: Config, id_col: str, text_
 
     rows = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), text_bytes(text_col).alias("text"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << config.filter_bits)).alias("bit"))
+        _bit(F.col(id_col), size).alias("bit"))
     kind = rows.schema["id"].dataType.simpleString()
     held = store(spark, rows.mapInPandas(sets, f"id {kind}, s binary"), "jaccard-held")
     with_a = pairs.join(held.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
@@ -216,30 +351,30 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
     read.
     """
     spark = docs.sparkSession
-    each, partial = _sets(docs, config, id_col, text_col)
-    counts = sum_arrays(partial, 1 << config.sketch_bits, 1 << CHUNK_BITS, "uint32")
+    each, able, cells = _census(docs, config, id_col, text_col)
     smallest = store(spark, each.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "jaccard-classes")
     members = store(spark, each.join(smallest, "digest", "left").select(
         "id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")), "jaccard-members")
-    of = members.where("n > 0 AND id IS NOT NULL").select("id", "rep").distinct()
+    of = members.where("n > 0 AND id IS NOT NULL").select("id", "rep").distinct().join(able, "id")
 
     # One shuffle of the prefix shingles; those of a single document go no further.
-    prefixes = _prefixes(docs, counts, config, id_col, text_col)
+    prefixes = _prefixes(docs, able, cells, config, id_col, text_col)
     group = Window.partitionBy("token", "salt")
     met = (prefixes.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups")))
            .withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1 OR groups > 1")
            .select("token", "id", "n", "l", "place", "groups"))
     met = store(spark, met, "jaccard-met")
     by_rep = (met.join(of, "id").groupBy("token", F.col("rep").alias("id"), "n", "groups")
-              .agg(F.min("l").alias("l"), F.min("place").alias("place")))
+              .agg(F.min("l").alias("l"), F.min("place").alias("place"), F.max("shared").alias("shared")))
     shared = store(spark, by_rep, "jaccard-shared")
 
     # Stars: each document with the one of another component that most of its
     # shingles lead to, among the first of each shingle's documents.
     overlap = f"ceil({config.num} * (n + m) / {float(config.num + config.den)} - 1e-9)"
     near = F.expr(f"a <> b AND ca <> cb AND {config.den} * least(n, m) >= {config.num} * greatest(n, m) "
+                  f"AND {overlap} <= least(sa, sb) "
                   f"AND pa <= n - {overlap} + least(la, lb) AND pb <= m - {overlap} + least(la, lb)")
-    parts = ("component", "id", "n", "l", "place")
+    parts = ("component", "id", "n", "l", "place", "shared")
     links, found = None, None
     for _ in range(STAR_ROUNDS):
         lone = _labelled(shared, found).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups"))).withColumn("mine", F.struct(*parts))
@@ -247,8 +382,8 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
         across = (heads.where("groups > 1").select("token", F.col("head").alias("mine")).distinct()
                   .withColumn("head", F.min("mine").over(Window.partitionBy("token"))))
         led = (heads.select("mine", "head").unionAll(across.select("mine", "head"))
-               .select(*[F.col(f"mine.{x}").alias(y) for x, y in zip(parts, ("ca", "a", "n", "la", "pa"))],
-                       *[F.col(f"head.{x}").alias(y) for x, y in zip(parts, ("cb", "b", "m", "lb", "pb"))]))
+               .select(*[F.col(f"mine.{x}").alias(y) for x, y in zip(parts, ("ca", "a", "n", "la", "pa", "sa"))],
+                       *[F.col(f"head.{x}").alias(y) for x, y in zip(parts, ("cb", "b", "m", "lb", "pb", "sb"))]))
         tallied = led.where(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
         best = tallied.groupBy("a").agg(F.max(F.struct(F.col("hits"), F.col("b"))).alias("best")).select("a", F.col("best.b").alias("b"))
         stars = store(spark, best, "jaccard-stars")
@@ -259,9 +394,9 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
     # All other pairs: different components, enough shared prefix shingles.
     lone = _labelled(shared, found)
     spread = lone.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    open_ = store(spark, lone.join(spread, "token").select("token", "id", "n", "l", "place", "component"), "jaccard-open")
-    x = open_.toDF("token", "a", "n", "la", "pa", "ca")
-    y = open_.toDF("token", "b", "m", "lb", "pb", "cb")
+    open_ = store(spark, lone.join(spread, "token").select("token", "id", "n", "l", "place", "component", "shared"), "jaccard-open")
+    x = open_.toDF("token", "a", "n", "la", "pa", "ca", "sa")
+    y = open_.toDF("token", "b", "m", "lb", "pb", "cb", "sb")
     pairs = (x.join(y, "token").where("a < b").where(near)
              .groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.min(F.least("la", "lb")).alias("least"))
              .where("hits >= least").select("a", "b"))

@@ -171,6 +171,32 @@ def test_jaccard_chains_and_hot_shingles(spark, config):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(docs, config.shingle, config.num, config.den)
 
 
+def test_jaccard_near_copies_below_the_threshold(spark):
+    """A large group of edited copies that don't link with anything sends no
+    prefix; the same text edited less still links."""
+    import random
+
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(120)]
+    docs = []
+    for i in range(2000):
+        w = list(base)
+        for k in rng.sample(range(120), 8 if i % 2 else 1):
+            w[k] = f"e{i}_{k}"
+        docs.append((i, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    config = jaccard.Config()
+    each, able, cells = jaccard._census(df, config, "doc_id", "text")
+    sets = {i: shingles(t, 5) for i, t in docs}
+    held = Counter(g for s in sets.values() for g in s)
+    shared = {i: sum(held[g] > 1 for g in s) for i, s in sets.items()}
+    want = {i: n for i, n in shared.items() if 100 * n >= 80 * len(sets[i])}
+    assert {r["id"]: r["shared"] for r in able.collect()} == want and 900 < len(want) < 1200
+    assert each.count() == 2000 and cells.max() >= max(held.values())
+    got = rows_of(jaccard.jaccard_components(df, config))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(docs, 5, 80, 100)
+
+
 def test_jaccard_edges(edge, none):
     got = jaccard.jaccard_components(edge).collect()
     assert len(got) == edge.count() and jaccard.jaccard_components(none).count() == 0
