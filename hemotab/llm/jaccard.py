@@ -130,7 +130,8 @@ def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tupl
     shared being how many of their shingles another set holds; and the frequency
     sketch.  Equal sets of one task count once.  A shingle is known by its
     bucket's bits and 32 more: two that agree in them count as held by two sets,
-    which can only let more documents through."""
+    which can only let more documents through.  Blocks are named by task and place,
+    so ``docs`` must give a task's rows in the same order again, as files do."""
     spark = docs.sparkSession
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_bytes(text_col))).alias("bytes")).first()
     bits = _bits((size["bytes"] or 0) // BUCKET_BYTES, 6, 23)
