@@ -2,15 +2,19 @@
 
 A byte is removed if a ``length``-byte string that also starts earlier covers
 it.  Equal strings must meet in one shard, so each string is dealt by its
-*anchor*: the gram of ``gram`` bytes with the least hash in it, the leftmost of
-equals.  Neighbouring strings have the same anchor, so a shard gets a short
-stretch of text for each anchor, not each string.  Anchors that occur once in
+*anchor*, the gram of ``gram`` bytes with the least hash in it (the leftmost of
+equals), and by a second gram on the side of the anchor where the string holds
+more.  Neighbouring strings have the same two grams, so a shard gets a short
+stretch of text for each such key, not each string.  Keys that occur once in
 the corpus go no further.
 
-A shard sorts the suffixes of its distinct stretches by external induced
-sorting (``induced``), which carries common prefixes along.  Runs of
-neighbours with ``length`` bytes in common are groups of equal strings; all but
-the first of a group (by document, then start) cover their bytes.
+Stretches of a key are first compared by hash.  Where all of them are alike,
+the earliest stays and the others are covered whole.  Only keys with different
+stretches send their bytes to a shard, which sorts the suffixes of its distinct
+stretches by external induced sorting (``induced``), which carries common
+prefixes along.  Runs of neighbours with ``length`` bytes in common are groups
+of equal strings; all but the first of a group (by document, then start) cover
+their bytes.
 """
 
 from __future__ import annotations
@@ -20,17 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemotab.llm import induced
-from hemotab.llm.common import text_bytes
+from hemotab.llm.common import store, text_bytes
 
 LENGTH = 100
 GRAM = 32
-FILTER_BITS = 26
+FILTER_BITS = 30           # the largest filter: 128 MB
+FILTER_CHUNK = 15          # bits of a filter go to the driver in chunks of 2 ** 15
 HELD_STRETCHES = 150_000
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 19      # longer texts are read in windows
 TUPLES = 1 << 23           # suffix tuples that a shard's queues keep in memory
 
 
@@ -57,9 +63,17 @@ def _grams(b: np.ndarray, gram: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text number, anchor hash, first string's start, strings) of each run
-    of strings with one anchor."""
+def _mixed(a: np.ndarray, b: np.ndarray, side: np.ndarray) -> np.ndarray:
+    k = a * np.uint64(0x9E3779B97F4A7C15) + b + side.astype(np.uint64)
+    k ^= k >> np.uint64(29)
+    k *= np.uint64(0xBF58476D1CE4E5B9)
+    return k ^ (k >> np.uint64(32))
+
+
+def keyed_runs(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(text number, key, first string's start, strings) of each run of strings
+    with one key: their anchor and the gram that ends or starts with it or lies
+    next to it, on the side where the strings hold at least half of the rest."""
     sizes = np.array([len(t) for t in texts])
     none = tuple(np.zeros(0, d) for d in (np.int64, np.uint64, np.int64, np.int64))
     if not len(texts) or sizes.max() < length:
@@ -83,67 +97,95 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...
         at[open_] += 1
         open_ = open_[h[places[at[open_]]] != wanted[open_]]
     place = places[at]
-    first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (text[starts[1:]] != text[starts[:-1]])))
+    half = (length - gram) // 2
+    right = place - starts <= half                  # room for ``half`` bytes or more after the anchor, else before it
+    first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (right[1:] != right[:-1])
+                                     | (text[starts[1:]] != text[starts[:-1]])))
     strings = np.diff(np.append(first, len(starts)))
-    owner = text[starts[first]]
-    return owner, h[place[first]], starts[first] - (ends - sizes)[owner], strings
+    owner, place, right = text[starts[first]], place[first], right[first]
+    beside = place + np.where(right, 1, -1) * min(half, gram)
+    return owner, _mixed(h[place], h[beside], right), starts[first] - (ends - sizes)[owner], strings
 
 
-def _groups_of(texts: pd.Series) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive texts of about BATCH_BYTES together, with the first's number."""
-    start, held, size = 0, [], 0
+def _groups_of(texts: pd.Series, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """(text number, offset in it) and bytes of pieces of about BATCH_BYTES
+    together.  Longer texts come in windows that share ``length`` - 1 bytes, so
+    that each string lies in one window."""
+    held, owner, offset, size = [], [], [], 0
     for k, t in enumerate(texts):
-        held.append(t)
-        size += len(t)
-        if size >= BATCH_BYTES:
-            yield start, held
-            start, held, size = k + 1, [], 0
+        for at in range(0, max(len(t) - length + 1, 1), BATCH_BYTES):
+            piece = t if len(t) < BATCH_BYTES else t[at:at + BATCH_BYTES + length - 1]
+            held.append(piece), owner.append(k), offset.append(at)
+            size += len(piece)
+            if size >= BATCH_BYTES:
+                yield np.array(owner), np.array(offset), held
+                held, owner, offset, size = [], [], [], 0
     if held:
-        yield start, held
+        yield np.array(owner), np.array(offset), held
+
+
+def _bit_set(keys: DataFrame, most: int) -> np.ndarray:
+    """Bit set of the first bits of the keys (h): 8 to 16 bits a key, but at
+    most 2 ** ``most``.  Beyond that more keys pass, which changes no result."""
+    bits = min(most, max(FILTER_CHUNK, (8 * keys.count()).bit_length()))
+    chunk = min(bits, FILTER_CHUNK)
+    small = 1 << chunk
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(small, np.uint8)
+        flags[rows["bit"].to_numpy() % small] = 1
+        return pd.DataFrame({"chunk": rows["chunk"][:1], "flags": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    at = keys.select(F.shiftrightunsigned("h", 64 - bits).alias("bit")).distinct()
+    packed = at.withColumn("chunk", F.shiftright("bit", chunk).cast("int")).groupBy("chunk").applyInPandas(pack, "chunk int, flags binary")
+    out = np.zeros(1 << bits - 3, np.uint8)
+    for r in packed.toLocalIterator():
+        out[r["chunk"] * small // 8:(r["chunk"] + 1) * small // 8] = np.frombuffer(r["flags"], np.uint8)
+    return out
 
 
-def _repeated(rows: DataFrame, length: int, gram: int, bits: int) -> np.ndarray:
-    """Bit set of the anchors that occur more than once: 2 ** bits bits."""
+def _repeated(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """The keys (h) that occur more than once."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for _, texts in _groups_of(b["text"]):
-                h, n = np.unique(anchors(texts, length, gram)[1], return_counts=True)
+            for _, _, texts in _groups_of(b["text"], length):
+                h, n = np.unique(keyed_runs(texts, length, gram)[1], return_counts=True)
                 yield pd.DataFrame({"h": h.view(np.int64), "n": n})
 
     many = rows.select("text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
-    bit = F.shiftrightunsigned("h", 64 - bits)
-    words = (many.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 32 AS int))")).alias("bits")).toPandas())
-    out = np.zeros(1 << (bits - 5), np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out
+    return store(rows.sparkSession, many.select("h"), "suffix-keys")
 
 
-def _stretches(rows: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
-    """Stretches of repeated anchors (h, body), each distinct one once a task
-    for its earliest place (id, dg, at); the other places are covered: (id, dg, at, until)."""
-    shared = rows.sparkSession.sparkContext.broadcast(_repeated(rows, length, gram, bits))
-    names = ["h", "body", "id", "dg", "at", "until"]
+def _stretches(rows: DataFrame, keys: DataFrame, length: int, gram: int, bits: int, by_hash: bool) -> DataFrame:
+    """Stretches with one of ``keys`` (h, body, id, dg, at, until), each distinct
+    one once a task for its earliest place; the other places are covered: done,
+    without h and body.  ``body`` is a hash of the bytes, or the bytes."""
+    shared = rows.sparkSession.sparkContext.broadcast(_bit_set(keys, bits))
+    names = ["h", "body", "id", "dg", "at", "until", "done"]
+    nothing = 0 if by_hash else b""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple[int, bytes], tuple] = {}
-        shift = np.uint64(64 - bits)
+        held: dict[tuple, tuple] = {}
+        flags = shared.value
+        shift = np.uint64(64 - (8 * len(flags)).bit_length() + 1)
         for b in batches:
             covered = []
-            for start, texts in _groups_of(b["text"]):
-                ids, dgs = b["id"].iloc[start:start + len(texts)].tolist(), b["dg"].iloc[start:start + len(texts)].tolist()
-                owner, h, at, strings = anchors(texts, length, gram)
-                word = (h >> shift).astype(np.int64)
-                hit = np.flatnonzero((shared.value[word >> 5] >> (word & 31).astype(np.uint32)) & 1)
+            ids, dgs = b["id"].tolist(), b["dg"].tolist()
+            for of, offset, texts in _groups_of(b["text"], length):
+                owner, h, at, strings = keyed_runs(texts, length, gram)
+                bit = (h >> shift).astype(np.int64)
+                hit = np.flatnonzero((flags[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
                 for k, key, place, n in zip(owner[hit].tolist(), h[hit].view(np.int64).tolist(), at[hit].tolist(), strings[hit].tolist()):
                     size = n + length - 1
-                    known, here = (key, texts[k][place:place + size]), (ids[k], dgs[k], place)
+                    body = texts[k][place:place + size]
+                    known = key, xxhash.xxh3_64_intdigest(body) - (1 << 63) if by_hash else body
+                    here = ids[of[k]], dgs[of[k]], place + int(offset[k]), size
                     best = held.get(known)
                     if best is None or here < best:
                         held[known] = here
                         here = best
                     if here and here != held[known]:
-                        covered.append((0, None, *here, here[2] + size))
+                        covered.append((0, nothing, *here[:3], here[2] + here[3], True))
                 if len(covered) > HELD_STRETCHES:
                     yield _merged(pd.DataFrame(covered, columns=names))
                     covered = []
@@ -156,9 +198,28 @@ def _stretches(rows: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
             yield _rows(held)
 
     def _rows(held: dict) -> pd.DataFrame:
-        return pd.DataFrame([(*k, *v, None) for k, v in held.items()], columns=names).astype({"until": "Int64"})
+        return pd.DataFrame([(*k, *v[:3], v[2] + v[3], False) for k, v in held.items()], columns=names)
+
+    kind = "long" if by_hash else "binary"
+    return rows.mapInPandas(run, f"h long, body {kind}, id {rows.schema['id'].dataType.simpleString()}, dg long, at int, until int, done boolean")
+
+
+def _dealt() -> Column:
+    """Ranges that are done go along, dealt by their document."""
+    return F.when(F.col("done"), F.xxhash64("id", "at")).otherwise(F.col("h"))
+
 
-    return rows.mapInPandas(run, f"h long, body binary, id {rows.schema['id'].dataType.simpleString()}, dg long, at int, until int")
+def _compared(found: DataFrame) -> DataFrame:
+    """Of stretches by hash: the covered ranges, and the keys (h) of different
+    stretches (done false).  A key has a row a task for each of its stretches."""
+    of_key = Window.partitionBy("deal", "done")
+    alike = Window.partitionBy("deal", "done", "body").orderBy("id", "dg", "at")
+    open_ = F.col("low") != F.col("high")
+    return (found.withColumn("deal", _dealt())
+            .withColumn("low", F.min("body").over(of_key)).withColumn("high", F.max("body").over(of_key))
+            .withColumn("nth", F.dense_rank().over(alike))     # a row that repeats is one place
+            .where(F.col("done") | (open_ & (F.col("body") == F.col("low")) & (F.col("nth") == 1)) | (~open_ & (F.col("nth") > 1)))
+            .select("h", "id", "dg", "at", "until", (F.col("done") | ~open_).alias("done")))
 
 
 def _merged(ranges: pd.DataFrame) -> pd.DataFrame:
@@ -233,13 +294,14 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, f
     hash of the text, which tells rows that share an id apart."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"),
                                                         F.xxhash64(text_bytes(text_col)).alias("dg"))
-    found = _stretches(rows, length, gram, filter_bits)
+    known = store(docs.sparkSession, _compared(_stretches(rows, _repeated(rows, length, gram), length, gram, filter_bits, True)), "suffix-ranges")
+    found = _stretches(rows, known.where("NOT done").select("h"), length, gram, filter_bits, False)
     kind = rows.schema["id"].dataType.simpleString()
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = []
         for b in batches:
-            done = b["body"].isna()
+            done = b["done"].to_numpy(bool)
             if done.any():
                 yield b.loc[done, ["id", "dg", "at", "until"]]
             if not done.all():
@@ -249,9 +311,8 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, f
             if len(spans):
                 yield _merged(spans)
 
-    # Ranges that are done go along, dealt by their document.
-    dealt = found.repartition(F.when(F.col("body").isNull(), F.xxhash64("id", "at")).otherwise(F.col("h")))
-    return dealt.mapInPandas(sort, f"id {kind}, dg long, at int, until int")
+    sorted_ = found.repartition(_dealt()).mapInPandas(sort, f"id {kind}, dg long, at int, until int")
+    return sorted_.unionAll(known.where("done").select("id", "dg", "at", "until"))
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, filter_bits: int = FILTER_BITS,

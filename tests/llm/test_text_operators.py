@@ -273,6 +273,20 @@ def test_suffix_dedup_repeated_rows_apart(spark, monkeypatch, tasks, held):
     assert all((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]] for r in got)
 
 
+def test_suffix_dedup_windows(spark, monkeypatch):
+    """Long texts are read in windows; a repeat may span their edges."""
+    import random
+
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 128)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    part = word(900)
+    docs = [(1, word(300) + part + word(77)), (2, part[100:800] + word(127)), (3, word(128) + part[:227]), (4, word(227)), (5, part)]
+    got = rows_of(suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == brute_repeats(docs, 100)
+    assert got[2]["n_removed"] >= 700 and got[5]["n_removed"] == 900
+
+
 # --- Brown classes ------------------------------------------------------------------------
 def test_brown_brute_force(spark):
     got = rows_of(QUERIES["op6_brown_classes"](spark, SMALL))
