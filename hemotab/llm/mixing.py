@@ -16,6 +16,7 @@ meets with exactly one block, so every document is used at least once.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,49 +32,75 @@ def words_and_end(text_col: str) -> Column:
     return F.regexp_count(text_or_empty(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + 1
 
 
-def weights_of(shares: list[float], exponent: float, alike: list[int]) -> list[float]:
-    raw = [s ** exponent if s > 0 else 0.0 for s in shares]
-    whole = sum(r * n for r, n in zip(raw, alike))
-    return [r / whole for r in raw]
+LEVELS = 6         # steps of the bisection that one job prepares
 
 
-def entropy(weights: list[float], alike: list[int] | None = None) -> float:
-    return -sum(n * w * math.log(w) for w, n in zip(weights, alike or [1] * len(weights)) if w > 0)
-
-
-def repeats_of(tokens: list[int], weights: list[float], budget: float | None) -> list[float]:
-    ratio = [w / t if t else 0.0 for w, t in zip(weights, tokens)]
-    budget = budget if budget is not None else 1 / min(r for r in ratio if r > 0)
-    return [r * budget for r in ratio]
-
-
-def _bisect(high_ok, low: float = 0.0, high: float = 1.0) -> float:
-    """The smallest exponent in [low, high] for which ``high_ok``; ``high`` if there is none."""
+def _bisect(high_ok: Callable[[float], bool], prepare: Callable[[Iterable[float]], None] = lambda points: None) -> float:
+    """The smallest exponent in [0, 1] for which ``high_ok``; 1 if there is none.
+    ``prepare`` is told all points that the next steps may ask for."""
+    low, high = 0.0, 1.0
+    prepare([low])
     if high_ok(low):
         return low
-    for _ in range(60):
+    for step in range(60):
+        if step % LEVELS == 0:
+            ends = [(low, high)]
+            points = []
+            for _ in range(LEVELS):
+                points += [(a + b) / 2 for a, b in ends]
+                ends = [x for a, b in ends for x in ((a, (a + b) / 2), ((a + b) / 2, b))]
+            prepare(points)
         middle = (low + high) / 2
         low, high = (low, middle) if high_ok(middle) else (middle, high)
     return high
 
 
-def solve(tokens: list[int], *, target_entropy: float | None = None, most_repeats: float | None = None,
-          budget: float | None = None, alike: list[int] | None = None) -> tuple[float, list[float], list[float]]:
-    """(exponent, weights, repeats), of one source each; ``alike`` sources
-    (default 1) have the same tokens.  Of a target entropy (nats) and a limit
-    on repeats, the one that asks for the larger exponent rules."""
-    if not any(tokens):
-        return 1.0, [0.0] * len(tokens), [0.0] * len(tokens)
-    alike = alike or [1] * len(tokens)
-    whole = sum(t * n for t, n in zip(tokens, alike))
-    shares = [t / whole for t in tokens]
-    exponent = 0.0 if target_entropy is not None or most_repeats is not None else 1.0
-    if target_entropy is not None:
-        exponent = max(exponent, _bisect(lambda a: entropy(weights_of(shares, a, alike), alike) <= target_entropy))
-    if most_repeats is not None:
-        exponent = max(exponent, _bisect(lambda a: max(repeats_of(tokens, weights_of(shares, a, alike), budget)) <= most_repeats))
-    weights = weights_of(shares, exponent, alike)
-    return exponent, weights, repeats_of(tokens, weights, budget)
+class Shares:
+    """Sums over the sources with tokens, each a Spark aggregate in decimals, so
+    that the order of rows changes no digit.  The driver sees sums only."""
+
+    def __init__(self, totals: DataFrame):
+        self.same = totals.where("tokens > 0").groupBy("tokens").agg(F.count(F.lit(1)).alias("alike"))
+        size = self.same.agg(F.sum(F.col("tokens").cast("decimal(38,0)") * F.col("alike")).cast("double").alias("whole"),
+                             F.min("tokens").alias("least"), F.max("tokens").alias("most")).first()
+        self.whole, self.least, self.most = size["whole"] or 0.0, size["least"], size["most"]
+        self.sums: dict[float, tuple[float, float]] = {}
+
+    def power(self, exponent: float) -> Column:
+        return F.pow(F.col("tokens") / F.lit(self.whole), F.lit(exponent))
+
+    def prepare(self, exponents: Iterable[float]) -> None:
+        """Sum of s ** a, and of s ** a ln s, over the shares s, for each exponent a."""
+        new = [a for a in dict.fromkeys(exponents) if a not in self.sums]
+        total = lambda c: F.sum((F.col("alike") * c).cast("decimal(38,20)")).cast("double")
+        log = F.log(F.col("tokens") / F.lit(self.whole))
+        row = self.same.agg(*[x for a in new for x in (total(self.power(a)), total(self.power(a) * log))]).first() if new else ()
+        for k, a in enumerate(new):
+            self.sums[a] = row[2 * k], row[2 * k + 1]
+
+    def entropy(self, exponent: float) -> float:
+        """Of the weights, in nats."""
+        power, logs = self.sums[exponent]
+        return math.log(power) - exponent * logs / power
+
+    def most_repeats(self, exponent: float, budget: float | None) -> float:
+        """Of the source with the fewest tokens: no other one repeats more often."""
+        if budget is None:
+            return (self.most / self.least) ** (1 - exponent)
+        return (self.least / self.whole) ** exponent / self.sums[exponent][0] / self.least * budget
+
+    def solve(self, target_entropy: float | None, most_repeats: float | None, budget: float | None) -> float:
+        """The exponent.  Of a target entropy (nats) and a limit on repeats, the
+        one that asks for the larger exponent rules; without both it is 1."""
+        if not self.whole or (target_entropy is None and most_repeats is None):
+            return 1.0
+        exponent = 0.0
+        if target_entropy is not None:
+            exponent = max(exponent, _bisect(lambda a: self.entropy(a) <= target_entropy, self.prepare))
+        if most_repeats is not None:
+            ready = {"prepare": self.prepare} if budget is not None else {}
+            exponent = max(exponent, _bisect(lambda a: self.most_repeats(a, budget) <= most_repeats, **ready))
+        return exponent
 
 
 class Mix:
@@ -90,22 +117,26 @@ class Mix:
         spark = docs.sparkSession
         totals = store(spark, docs.select(self.key.alias("key"), self.tokens.alias("t")).groupBy("key")
                        .agg(F.coalesce(F.sum("t"), F.lit(0)).cast("long").alias("tokens"), F.count(F.lit(1)).alias("n")), "mixing-totals")
-        # Sources of equal totals have equal weights: the driver sees the
-        # distinct totals, fewer than the root of twice all tokens.
-        same = totals.groupBy("tokens").agg(F.count(F.lit(1)).alias("alike")).orderBy("tokens").collect()
-        self.few = sum(r["alike"] for r in same) <= BROADCAST_SOURCES
-        self.exponent, self.weights, repeats = solve([r["tokens"] for r in same], target_entropy=target_entropy, most_repeats=most_repeats,
-                                                     budget=budget, alike=[r["alike"] for r in same])
-        rows = []
-        for r, weight, times in zip(same, self.weights, repeats):
-            near = round(times)
-            times = float(near) if abs(times - near) < 1e-9 * max(near, 1) else times
-            whole = int(times)
-            rows.append((r["tokens"], weight, times, whole, int((times - whole) * r["tokens"])))
-        each = spark.createDataFrame(rows, "tokens long, weight double, times double, whole int, rest long")
+        self.few = totals.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+        shares = Shares(totals)
+        self.exponent = shares.solve(target_entropy, most_repeats, budget)
+        some = F.col("tokens") > 0
+        if not shares.whole:
+            weight = times = F.lit(0.0)
+        else:
+            shares.prepare([self.exponent])
+            weight = F.when(some, shares.power(self.exponent) / F.lit(shares.sums[self.exponent][0])).otherwise(F.lit(0.0))
+            times = (weight * F.lit(float(budget)) / F.col("tokens") if budget is not None else
+                     F.pow(F.lit(float(shares.most)) / F.col("tokens"), F.lit(1 - self.exponent)))
+            times = F.when(some, times).otherwise(F.lit(0.0))
+        near = F.rint("times")
         # One row per source.
-        self.plan = self._narrow_side(totals.join(F.broadcast(each), "tokens").select(
-            "key", "weight", "times", "whole", "rest", F.greatest(F.lit(1), F.ceil(F.col("n") / BUCKET_ROWS)).cast("long").alias("buckets")))
+        self.plan = self._narrow_side(
+            totals.withColumn("weight", weight).withColumn("times", times)
+            .withColumn("times", F.when(F.abs(F.col("times") - near) < 1e-9 * F.greatest(near, F.lit(1.0)), near).otherwise(F.col("times")))
+            .withColumn("whole", F.floor("times").cast("int"))
+            .select("key", "weight", "times", "whole", ((F.col("times") - F.col("whole")) * F.col("tokens")).cast("long").alias("rest"),
+                    F.greatest(F.lit(1), F.ceil(F.col("n") / BUCKET_ROWS)).cast("long").alias("buckets")))
 
     def _narrow_side(self, per_source: DataFrame) -> DataFrame:
         return F.broadcast(per_source) if self.few else per_source

@@ -74,14 +74,49 @@ def test_components_of_paths_stars_and_rings(spark):
 
 
 # --- mixing ------------------------------------------------------------------------------
-def test_exponent_meets_entropy_and_repeats():
-    tokens = [1000, 300, 50, 0]
-    a, w, r = mixing.solve(tokens, target_entropy=0.9)
-    assert mixing.entropy(w) == pytest.approx(0.9, abs=1e-9) and 0 < a < 1 and w[3] == 0
-    a, w, r = mixing.solve(tokens, most_repeats=3.0)
-    assert max(r) == pytest.approx(3.0) and min(x for x in r if x) == pytest.approx(1.0)
-    assert mixing.solve(tokens, most_repeats=100.0)[0] == 0.0
-    assert mixing.solve([], most_repeats=2.0)[1] == [] and mixing.solve([0, 0])[2] == [0.0, 0.0]
+def plain_solve(tokens, *, target_entropy=None, most_repeats=None, budget=None):
+    """(exponent, weights, repeats) by plain bisection over lists."""
+    def weights(a):
+        raw = [(t / sum(tokens)) ** a if t else 0.0 for t in tokens]
+        return [x / sum(raw) for x in raw]
+
+    def repeats(a):
+        ratio = [w / t if t else 0.0 for w, t in zip(weights(a), tokens)]
+        return [r * (budget or 1 / min(r for r in ratio if r > 0)) for r in ratio]
+
+    def least(ok):
+        low, high = 0.0, 1.0
+        if ok(low):
+            return low
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (low, middle) if ok(middle) else (middle, high)
+        return high
+
+    a = 1.0 if target_entropy is None and most_repeats is None else 0.0
+    if target_entropy is not None:
+        a = max(a, least(lambda x: -sum(w * math.log(w) for w in weights(x) if w > 0) <= target_entropy))
+    if most_repeats is not None:
+        a = max(a, least(lambda x: max(repeats(x)) <= most_repeats))
+    return a, weights(a), repeats(a)
+
+
+@pytest.mark.parametrize("options", [{"target_entropy": 0.9}, {"most_repeats": 3.0}, {"most_repeats": 100.0}, {},
+                                     {"target_entropy": 0.9, "most_repeats": 2.0, "budget": 1500.0}, {"most_repeats": 1.5, "budget": 2000.0}])
+def test_exponent_meets_entropy_and_repeats(spark, options):
+    tokens = [1000, 300, 10, 0, 10]
+    totals = spark.createDataFrame([(t,) for t in tokens], "tokens long")
+    shares = mixing.Shares(totals)
+    full = {"target_entropy": None, "most_repeats": None, "budget": None} | options
+    a = shares.solve(**full)
+    assert a == pytest.approx(plain_solve(tokens, **options)[0], abs=1e-12)
+    shares.prepare([a])
+    if full["target_entropy"] and not full["most_repeats"]:
+        assert shares.entropy(a) == pytest.approx(0.9, abs=1e-9)
+    if full["most_repeats"] == 3.0:
+        assert shares.most_repeats(a, None) == pytest.approx(3.0)
+    nothing = mixing.Shares(totals.where("tokens = 0"))
+    assert nothing.solve(**full) == 1.0 and nothing.whole == 0
 
 
 @pytest.mark.parametrize("rows_per_bucket", [3, 4096])
@@ -95,7 +130,7 @@ def test_mix_brute_force(spark, monkeypatch, rows_per_bucket):
     for i, r in text.items():
         totals[r["source"]] += size[i]
     names = sorted(totals, key=str)
-    _, weights, repeats = mixing.solve([totals[s] for s in names], most_repeats=1.7)
+    _, weights, repeats = plain_solve([totals[s] for s in names], most_repeats=1.7)
     by = defaultdict(list)
     for r in rows:
         assert r["n_tokens"] == size[r["doc_id"]] and r["source"] == text[r["doc_id"]]["source"]
@@ -128,7 +163,7 @@ def test_mix_more_sources_than_are_broadcast(spark, monkeypatch):
     totals = Counter()
     for _, source, text in rows:
         totals[source] += len(text.split()) + 1
-    weights = dict(zip(totals, mixing.solve(list(totals.values()), most_repeats=1.7)[1]))
+    weights = dict(zip(totals, plain_solve(list(totals.values()), most_repeats=1.7)[1]))
     assert {r[1]: r[2] for r in want} == pytest.approx(weights)
 
 
