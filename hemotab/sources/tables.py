@@ -8,7 +8,8 @@ ever see ``tables["Donation"]`` and so on.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,23 @@ def declared(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def balanced_edges(keys: DataFrame, column: str, parts: int, error: float = 0.001) -> list[int]:
+    """Keys that split the rows of ``keys`` into about ``parts`` ranges of equal
+    size, by approximate quantiles; fewer where keys repeat.  A summary of fixed
+    size reaches the driver."""
+    shares = [k / parts for k in range(1, parts)]
+    found = keys.approxQuantile(column, shares, min(error, 0.1 / parts)) if shares else []
+    return sorted({math.ceil(x) for x in found})
+
+
+def range_predicates(column: str, edges: Sequence[int]) -> list[str]:
+    """Conditions of which each row meets exactly one; null keys meet the first."""
+    if not edges:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"{column} < {edges[0]} OR {column} IS NULL", *inner, f"{column} >= {edges[-1]}"]
+
+
 class Tables(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, loaders: Mapping[str, Loader | DataFrame]):
         self.spark = spark
@@ -88,12 +106,15 @@ class Tables(Mapping[str, DataFrame]):
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str],
                   partitioning: Mapping[str, tuple[str, int, int, int]],
-                  test_id_type: T.DataType = T.BinaryType()) -> "Tables":
+                  test_id_type: T.DataType = T.BinaryType(), balanced: bool = False) -> "Tables":
         """Operational database as the source (S4), cast to the declared schema.
 
         ``partitioning`` gives (column, lower, upper, partitions) for every
         table that is not a code list, so that no large table is read through
-        one connection in one task; a missing entry is an error.
+        one connection in one task; a missing entry is an error.  With
+        ``balanced`` the bounds split the key alone, which is read once for its
+        quantiles, and the table is read in ranges of about equal row counts, so
+        that gaps in the keys leave no range with most rows.
         """
         lacking = [n for n in TABLE_NAMES if n not in DIMENSIONS and n not in partitioning]
         if lacking:
@@ -106,6 +127,9 @@ class Tables(Mapping[str, DataFrame]):
                     col, lo, hi, parts = partitioning[n]
                     df = spark.read.jdbc(url, n, column=col, lowerBound=lo, upperBound=hi,
                                          numPartitions=parts, properties=properties)
+                    if balanced:
+                        edges = balanced_edges(df.select(col), col, parts)
+                        df = spark.read.jdbc(url, n, predicates=range_predicates(col, edges), properties=properties)
                 else:
                     df = spark.read.jdbc(url, n, properties=properties)
                 return declared(df, sch[n])

@@ -9,7 +9,7 @@ import pytest
 from hemotab.plans import catalog as C
 from hemotab.plans import reports as RP
 from hemotab.profile import fixture_profile
-from hemotab.sources.tables import Tables
+from hemotab.sources.tables import Tables, balanced_edges, range_predicates
 
 P = fixture_profile()
 
@@ -62,3 +62,22 @@ def test_flags_kept_as_numbers_or_text_are_cast(spark, small_tables):
 def test_unpartitioned_facts_are_refused(spark):
     with pytest.raises(ValueError, match="Donation"):
         Tables.from_jdbc(spark, "jdbc:x:y", {}, {"Donor": ("id", 0, 10, 2)})
+
+
+def test_jdbc_ranges_are_balanced(spark):
+    """Keys with a gap: even strides would leave one range with most rows."""
+    keys = spark.range(9_000).select(F.col("id")).unionAll(spark.range(10**9, 10**9 + 1_000)).unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    edges = balanced_edges(keys, "id", 8)
+    assert len(edges) == 7
+    found = keys.select(*[F.expr(p).alias(f"p{k}") for k, p in enumerate(range_predicates("id", edges))])
+    held = [F.coalesce(F.col(c), F.lit(False)).cast("int") for c in found.columns]
+    sizes = found.agg(*[F.sum(h) for h in held]).first()
+    assert found.where(sum(held) != 1).isEmpty() and sum(sizes) == 10_001 and max(sizes) < 1_500 and min(sizes) > 1_000
+
+
+def test_jdbc_ranges_of_few_keys(spark):
+    same = spark.range(100).select(F.lit(5).cast("long").alias("id"))
+    assert balanced_edges(same, "id", 4) == [5]
+    assert range_predicates("id", [5]) == ["id < 5 OR id IS NULL", "id >= 5"]
+    assert balanced_edges(same.limit(0), "id", 4) == [] and range_predicates("id", []) == ["1 = 1"]
+    assert balanced_edges(same, "id", 1) == []
