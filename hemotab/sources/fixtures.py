@@ -134,7 +134,8 @@ def fixture_tables(spark: SparkSession, sf_dir: str, profile: Profile | None = N
 
     def component() -> DataFrame:
         li = read("lineitem")
-        g = li.groupBy("l_orderkey", "l_linenumber").agg(
+        # Dealt by order: the lines of an order and its donation then meet without another shuffle.
+        g = li.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
             F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"), F.min("l_shipdate").alias("d"))
         p, s, d = F.col("p"), F.col("s"), F.col("d")
         return typed("Component", g.select(
