@@ -76,3 +76,61 @@ def test_inventory_rows_move_once(spark, small_tables, tmp_path):
         assert plan.count("Exchange hashpartitioning(componentBatch_id") == plan.count("Exchange hashpartitioning(__key") == 0
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def _plan_of_stored(spark, tables, tmp_path, build) -> str:
+    for name in tables:
+        tables[name].write.parquet(str(tmp_path / name))
+    stored = Tables.from_files(spark, str(tmp_path), test_id_type=T.LongType())
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return build(stored)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_donation_rows_stay_with_their_id(spark, small_tables, tmp_path):
+    plan = _plan_of_stored(spark, small_tables, tmp_path, lambda t: V.donation_summary(t, as_of="2001-12-31", profile=P)).splitlines()
+    dealt = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(donor_id#" in line]
+    assert dealt and not any("bleedStartTime" in plan[i + 1] for i in dealt)
+
+
+def test_donors_of_repeated_donations(spark):
+    """Alike ids with other donors, alike donors, and no donor."""
+    rows = [{"id": i, "donationIdentificationNumber": f"D{i}", "donor_id": d, "packType_id": 0, "isDeleted": False, "donorPulse": p}
+            for i, d, p in [(1, 10, 1), (1, 11, 2), (1, 11, 2), (2, 10, 3), (3, 12, 4), (4, None, 5), (5, 99, 6)]]
+    t = _tables(spark, Donation=rows, PackType=[{"id": 0, "packType": "Single", "countAsDonation": True}],
+                Donor=[{"id": d, "donorNumber": n, "isDeleted": False, "donorStatus": "NORMAL"}
+                       for d, n in [(10, "a"), (11, "b"), (12, "c"), (12, "d")]])
+    found = V.donation_summary(t, as_of="2001-12-31", profile=P).select("donationIdentificationNumber", "donorNumber", "donorPulse").collect()
+    assert sorted(map(tuple, found)) == [("D1", "a", 1), ("D1", "b", 2), ("D1", "b", 2), ("D2", "a", 3), ("D3", "c", 4), ("D3", "d", 4)]
+
+
+def test_changed_keys_are_summed_as_longs(spark):
+    from hemotab.plans.incremental import CHANGE_KEYS, changed_keys
+
+    def results(*rows):
+        return _tables(spark, BloodTestResult=[{"donation_id": k, "bloodTest_id": b, "result": r} for k, b, r in rows])
+
+    before = results((1, 1, "POS"), (2, 1, "POS"), (2, 1, "POS"), (3, 1, "NEG"), (3, 2, "POS"), (4, 1, "POS"), (None, 1, "POS"), (5, 1, None))
+    after = results((1, 1, "POS"), (2, 1, "NEG"), (2, 1, "NEG"), (3, 2, "POS"), (3, 1, "NEG"), (4, 1, "POS"), (4, 1, "POS"), (6, 1, "NEG"))
+    found = changed_keys(before, after)
+    assert set(found) == set(CHANGE_KEYS)
+    assert sorted(r[0] for r in found["BloodTestResult"].collect()) == [2, 4, 5, 6]
+    assert "decimal" not in found["BloodTestResult"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_export_moves_few_bytes_beside_the_rows(spark, tmp_path, monkeypatch):
+    from hemotab.sources import sinks
+
+    seen = []
+    kind = type(spark.range(1))
+    sort = kind.orderBy
+    monkeypatch.setattr(kind, "orderBy", lambda df, *c, **k: (seen.append(df.schema), sort(df, *c, **k))[1])
+    rows = spark.range(5000).selectExpr("DATE'2000-01-01' AS day", "id % 2 AS x")
+    sinks.export_view(rows, str(tmp_path / "out"), ["day"])
+    extra = [f.dataType for f in seen[0].fields if f.name not in rows.columns]
+    assert extra == [T.IntegerType(), T.ShortType()]
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == rows.columns and back.groupBy("x").count().collect() and back.count() == 5000
