@@ -40,18 +40,18 @@ _CODE_COLUMNS = {"PackType": "packType_id", "Location": "venue_id", "DonationTyp
 def changed_keys(before: Tables, after: Tables) -> dict[str, DataFrame]:
     """The keys whose rows differ between two states of the source tables, for
     sources that keep no list of changes: one aggregate per table over (key,
-    64-bit digest of the row), partial on the map side."""
+    64-bit digest of the row), partial on the map side.  Rows before count
+    against rows after; the digest's halves are summed apart, as longs that
+    cannot overflow."""
     out = {}
     for table, key in CHANGE_KEYS.items():
         columns = sorted(after[table].columns)
-        digest = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(20,0)")
-        sides = [t[table].select(F.col(key).alias("key"), digest.alias("digest"), F.lit(side).alias("side"))
-                 for side, t in enumerate((before, after))]
-        of = [F.when(F.col("side") == s, F.col("digest")) for s in (0, 1)]
-        rows = sides[0].unionAll(sides[1]).where(F.col("key").isNotNull()).groupBy("key").agg(
-            *[F.sum(c).alias(f"sum{s}") for s, c in enumerate(of)], *[F.count(c).alias(f"n{s}") for s, c in enumerate(of)])
-        same = F.col("sum0").eqNullSafe(F.col("sum1")) & (F.col("n0") == F.col("n1"))
-        out[table] = rows.where(~same).select(F.col("key").alias(key))
+        digest = F.xxhash64(*[F.col(c) for c in columns])
+        halves = {"high": F.shiftright(digest, 32), "low": digest.bitwiseAND(F.lit(0xFFFFFFFF)), "n": F.lit(1).cast("long")}
+        sides = [t[table].where(F.col(key).isNotNull()).select(F.col(key).alias("key"), *[(sign * c).alias(n) for n, c in halves.items()])
+                 for sign, t in ((-1, before), (1, after))]
+        rows = sides[0].unionAll(sides[1]).groupBy("key").agg(*[F.sum(n).alias(n) for n in halves])
+        out[table] = rows.where("high <> 0 OR low <> 0 OR n <> 0").select(F.col("key").alias(key))
     return out
 
 
