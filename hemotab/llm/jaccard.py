@@ -19,12 +19,15 @@ prefix shingles.  A pair's own sizes ask for an overlap of o = ceil(t (|r| + |s|
 / (1 + t)), so only matches at places up to |r| - o + l and |s| - o + l count.
 
 Equal sets count once.  First, in rounds, each document is verified against one
-partner of another component, which joins groups of copies by as many pairs as
-they have members.  Then all pairs that share
-enough prefix shingles and are not yet in one component are verified, so no
-link between components is missed.  That last join is by shingle: its rows grow
-with the square of the documents that hold a prefix shingle, may link by their
-shared shingles, and still lie in different components.
+partner of another component, the one most of its l-prefix leads to, which joins
+groups of copies by as many pairs as they have members.  Then all other pairs that
+may link and are not yet in one component are verified, so no link between
+components is missed.  That last join is by shingle, and the l-prefixes' common
+shingles would make it grow with the square of a group of unlinked near copies: it
+takes only the places that l = 1 asks for, and a pair only if its sets' parities
+agree enough.  Parities are BITS bits a set, each telling whether an even or odd
+number of its shingles fall there; sets that differ in d shingles differ in d bits
+at most.
 """
 
 from __future__ import annotations
@@ -45,10 +48,13 @@ CACHED_WORDS = 200_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 FILTER_CHUNK = 15          # bits of a filter go to the driver in chunks of 2 ** 15
 STAR_ROUNDS = 1
+OPEN = ("id", "n", "place", "component", "shared", "parity")
+STAR_ORDERS = 4            # partners a round for a document, at most
 BLOCK_SHINGLES = 1 << 20   # a block of documents ends at so many shingles
 BLOCK_DOCS = 1 << 16       # or documents: numbers within a block take two bytes
 BUCKET_BYTES = 1 << 22     # text whose shingles share a bucket, about
-CENSUS = ("id string, n long, digest binary, block long, number int, own int, "
+BITS = 1024                # parities of a set
+CENSUS = ("id string, n long, digest binary, parity binary, block long, number int, own int, "
           "bucket int, keys binary, who binary, many binary, times binary, cells binary")
 
 
@@ -99,6 +105,13 @@ def _aside(k: int) -> int:
     return -1 - (k * 0x9E3779B97F4A7C15 >> 20) % (1 << 30)
 
 
+def _parities(hashes: list[np.ndarray]) -> list[bytes]:
+    """Of each set, whether an odd number of its shingles fall to each of BITS bits."""
+    at = np.concatenate([(s & np.uint64(BITS - 1)).astype(np.int64) + k * BITS for k, s in enumerate(hashes)])
+    odd = (np.bincount(at, minlength=BITS * len(hashes)) & 1).astype(bool)
+    return [x.tobytes() for x in np.packbits(odd.reshape(-1, BITS), axis=1)]
+
+
 def _packed(block: int, hashes: list[np.ndarray], bits: int) -> tuple[np.ndarray, dict[str, list]]:
     """A block's shingles by bucket, the first ``bits`` bits; and how many of each
     document's another document of the block holds too."""
@@ -126,9 +139,9 @@ def _packed(block: int, hashes: list[np.ndarray], bits: int) -> tuple[np.ndarray
 
 
 def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(id, n, digest) of every document; (id, shared) of those that may link,
-    shared being how many of their shingles another set holds; and the frequency
-    sketch.  Equal sets of one task count once.  A shingle is known by its
+    """(id, n, digest) of every document; (id, shared, parity) of those that may link,
+    shared being how many of their shingles another set holds, parity null where
+    rows of one id differ in it; and the frequency sketch.  Equal sets of one task count once.  A shingle is known by its
     bucket's bits and 32 more: two that agree in them count as held by two sets,
     which can only let more documents through.  Blocks are named by task and place,
     so ``docs`` must give a task's rows in the same order again, as files do."""
@@ -143,7 +156,7 @@ def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tupl
         def close() -> Iterator[pd.DataFrame]:
             own, packed = _packed(block, hashes, bits)
             yield pd.DataFrame(kept, columns=["id", "n", "digest"]).assign(
-                block=block, number=range(len(kept)), own=own, bucket=_aside(block))
+                parity=_parities(hashes), block=block, number=range(len(kept)), own=own, bucket=_aside(block))
             rows = pd.DataFrame(packed)
             for at in range(0, len(rows), 1024):
                 yield rows.iloc[at:at + 1024]
@@ -173,7 +186,7 @@ def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tupl
 
     def shaped(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.reindex(columns=names)
-        for c in ("id", "digest", "keys", "who", "many", "times", "cells"):
+        for c in ("id", "digest", "parity", "keys", "who", "many", "times", "cells"):
             rows[c] = rows[c].astype(object).where(rows[c].notna(), None)
         return rows.astype({c: "Int64" for c in ("n", "block", "number", "own", "bucket")})
 
@@ -207,7 +220,8 @@ def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tupl
         told = np.frombuffer(b"".join(x for x in rows["who"] if x is not None), np.uint16)
         shared = shared + np.bincount(told, minlength=len(mine))
         n = mine["n"].to_numpy(np.int64)
-        return pd.DataFrame({"id": mine["id"].to_numpy(), "shared": shared})[config.den * shared >= config.num * n]
+        parity = [np.frombuffer(x, np.int64) for x in mine["parity"]]
+        return pd.DataFrame({"id": mine["id"].to_numpy(), "shared": shared, "parity": parity})[config.den * shared >= config.num * n]
 
     # The id travels as text: pandas would turn integers beside nulls into floats.
     rows = docs.select(F.col(id_col).cast("string").alias("id"), text_bytes(text_col).alias("text"), F.spark_partition_id().alias("task"))
@@ -215,9 +229,9 @@ def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tupl
     out = store(spark, sent.groupBy("bucket").applyInPandas(count, CENSUS), "jaccard-census")
     kind = docs.schema[id_col].dataType
     each = out.where("digest IS NOT NULL").select(F.col("id").cast(kind).alias("id"), "n", "digest")
-    able = (out.where("block IS NOT NULL").select("block", "id", "n", "number", "own", "who").groupBy("block")
-            .applyInPandas(choose, "id string, shared int").select(F.col("id").cast(kind).alias("id"), "shared"))
-    able = store(spark, able.groupBy("id").agg(F.max("shared").alias("shared")), "jaccard-able")
+    able = (out.where("block IS NOT NULL").select("block", "id", "n", "number", "own", "who", "parity").groupBy("block")
+            .applyInPandas(choose, "id string, shared int, parity array<long>").select(F.col("id").cast(kind).alias("id"), "shared", "parity"))
+    able = store(spark, able.groupBy("id").agg(F.max("shared").alias("shared"), _same("parity").alias("parity")), "jaccard-able")
     cells = np.ones(1 << cell_bits, np.uint32)       # 32 MB at most, unless set larger
     wide = 1 << cell_bits - bits
     for r in out.where("cells IS NOT NULL").select("bucket", "cells").toLocalIterator():
@@ -272,6 +286,11 @@ def _prefixes(docs: DataFrame, able: DataFrame, cells: np.ndarray, config: Confi
     return rows.mapInPandas(run, f"id {kind}, n int, l int, token long, place int, groups int")
 
 
+def _same(col: str) -> Column:
+    """The value of all rows of a group; null where one differs or is null."""
+    return F.when((F.count(col) == F.count(F.lit(1))) & (F.min(col) == F.max(col)), F.max(col))
+
+
 def _bit(key: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << bits))
 
@@ -340,6 +359,25 @@ def _labelled(rows: DataFrame, found: DataFrame | None) -> DataFrame:
             .withColumn("component", F.coalesce("component", "id")))
 
 
+def _conditions(config: Config) -> tuple[str, str, str]:
+    """What sets of n and m must meet to be linked: by their sizes and shared
+    shingles, and by their parities; and the overlap they need."""
+    overlap = f"ceil({config.num} * (n + m) / {float(config.num + config.den)} - 1e-9)"
+    able_to = (f"a <> b AND ca <> cb AND {config.den} * least(n, m) >= {config.num} * greatest(n, m) "
+               f"AND {overlap} <= least(sa, sb)")
+    apart = " + ".join(f"bit_count(xa[{k}] ^ xb[{k}])" for k in range(BITS // 64))
+    return able_to, f"coalesce({apart}, 0) <= n + m - 2 * {overlap}", overlap
+
+
+def _meetings(open_: DataFrame, config: Config) -> DataFrame:
+    """(a, b) that may link, a row for each shingle at which they meet."""
+    able_to, agree, overlap = _conditions(config)
+    x = open_.select("token", *[F.col(c).alias(d) for c, d in zip(OPEN, ("a", "n", "pa", "ca", "sa", "xa"))])
+    y = open_.select("token", *[F.col(c).alias(d) for c, d in zip(OPEN, ("b", "m", "pb", "cb", "sb", "xb"))])
+    alike = F.expr(f"{able_to} AND pa <= n - {overlap} + 1 AND pb <= m - {overlap} + 1 AND {agree}")
+    return x.join(y, "token").where("a < b").where(alike).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """``id_col``, n_shingles, component_id of every row.
@@ -369,38 +407,39 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
               .agg(F.min("l").alias("l"), F.min("place").alias("place"), F.max("shared").alias("shared")))
     shared = store(spark, by_rep, "jaccard-shared")
 
-    # Stars: each document with the one of another component that most of its
-    # shingles lead to, among the first of each shingle's documents.
-    overlap = f"ceil({config.num} * (n + m) / {float(config.num + config.den)} - 1e-9)"
-    near = F.expr(f"a <> b AND ca <> cb AND {config.den} * least(n, m) >= {config.num} * greatest(n, m) "
-                  f"AND {overlap} <= least(sa, sb) "
-                  f"AND pa <= n - {overlap} + least(la, lb) AND pb <= m - {overlap} + least(la, lb)")
-    parts = ("component", "id", "n", "l", "place", "shared")
+    # Stars: each document with those of other components that most of its shingles
+    # lead to and whose parities agree enough, among the first of each shingle's
+    # documents in a few orders, so that near copies meet several of their kind.
+    parity = store(spark, of.groupBy(F.col("rep").alias("id")).agg(_same("parity").alias("parity")), "jaccard-parity")
+    able_to, agree, overlap = _conditions(config)
+    near = F.expr(f"{able_to} AND pa <= n - {overlap} + least(la, lb) AND pb <= m - {overlap} + least(la, lb)")
+    parts = ("nth", "component", "id", "n", "l", "place", "shared")
     links, found = None, None
     for _ in range(STAR_ROUNDS):
-        lone = _labelled(shared, found).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups"))).withColumn("mine", F.struct(*parts))
+        lone = (_labelled(shared, found).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups")))
+                .withColumn("nth", F.xxhash64("id", F.pmod("token", F.lit(STAR_ORDERS)))).withColumn("mine", F.struct(*parts)))
         heads = lone.withColumn("head", F.min("mine").over(group))
         across = (heads.where("groups > 1").select("token", F.col("head").alias("mine")).distinct()
                   .withColumn("head", F.min("mine").over(Window.partitionBy("token"))))
         led = (heads.select("mine", "head").unionAll(across.select("mine", "head"))
-               .select(*[F.col(f"mine.{x}").alias(y) for x, y in zip(parts, ("ca", "a", "n", "la", "pa", "sa"))],
-                       *[F.col(f"head.{x}").alias(y) for x, y in zip(parts, ("cb", "b", "m", "lb", "pb", "sb"))]))
-        tallied = led.where(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"))
-        best = tallied.groupBy("a").agg(F.max(F.struct(F.col("hits"), F.col("b"))).alias("best")).select("a", F.col("best.b").alias("b"))
+               .select(*[F.col(f"mine.{x}").alias(y) for x, y in zip(parts[1:], ("ca", "a", "n", "la", "pa", "sa"))],
+                       *[F.col(f"head.{x}").alias(y) for x, y in zip(parts[1:], ("cb", "b", "m", "lb", "pb", "sb"))]))
+        tallied = (led.where(near).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("hits"))
+                   .join(parity.toDF("a", "xa"), "a").join(parity.toDF("b", "xb"), "b").where(agree))
+        nearest = Window.partitionBy("a").orderBy(F.desc("hits"), "b")
+        best = tallied.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= STAR_ORDERS).select("a", "b").distinct()
         stars = store(spark, best, "jaccard-stars")
         new = store(spark, verify(docs, stars, config, id_col, text_col), "jaccard-links")
         links = new if links is None else links.unionAll(new)
         found = store(spark, components(spark, links), "jaccard-components")
 
-    # All other pairs: different components, enough shared prefix shingles.
-    lone = _labelled(shared, found)
-    spread = lone.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-    open_ = store(spark, lone.join(spread, "token").select("token", "id", "n", "l", "place", "component", "shared"), "jaccard-open")
-    x = open_.toDF("token", "a", "n", "la", "pa", "ca", "sa")
-    y = open_.toDF("token", "b", "m", "lb", "pb", "cb", "sb")
-    pairs = (x.join(y, "token").where("a < b").where(near)
-             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.min(F.least("la", "lb")).alias("least"))
-             .where("hits >= least").select("a", "b"))
+    # All other pairs: different components, a shingle shared at the places that l = 1
+    # asks for, parities that differ no more than linked sets may.
+    first = _labelled(shared, found).where(f"place <= n - ceil({config.num} * n / {float(config.den)} - 1e-9) + 1")
+    spread = first.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
+    open_ = first.join(spread, "token").join(parity, "id").select("token", *OPEN)
+    open_ = store(spark, open_, "jaccard-open")
+    pairs = _meetings(open_, config).distinct()
     pairs = store(spark, pairs, "jaccard-pairs")
     more = store(spark, verify(docs, pairs, config, id_col, text_col), "jaccard-links")
     last = found if more.isEmpty() else store(spark, components(spark, links.unionAll(more)), "jaccard-components")

@@ -197,6 +197,57 @@ def test_jaccard_near_copies_below_the_threshold(spark):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(docs, 5, 80, 100)
 
 
+def edited_copies(n):
+    """Copies of one text with edits that many of them have: few are linked, and
+    each shingle is held by many."""
+    import random
+
+    rng = random.Random(3)
+    docs = []
+    for i in range(n):
+        w = [f"b{k}" for k in range(120)]
+        for slot in rng.sample(range(12), 6 if i % 40 else 1):
+            w[slot * 10 + 4] = f"e{slot}_{rng.randrange(3)}"
+        docs.append((i, " ".join(w)))
+    return docs
+
+
+def test_jaccard_last_join_does_not_meet_unlinked_copies(spark, monkeypatch):
+    """The rows of the last join grow with the links, not with the square of a
+    group of edited copies that are not linked."""
+    met = {}
+    config = jaccard.Config()
+    meetings = jaccard._meetings
+    for n in (200, 800):
+        def counted(open_, config):
+            met[n] = meetings(open_, config).count(), open_.count()
+            return meetings(open_, config)
+
+        monkeypatch.setattr(jaccard, "_meetings", counted)
+        docs = edited_copies(n)
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+        got = rows_of(jaccard.jaccard_components(df, config))
+        want = brute_components(docs, 5, 80, 100)
+        assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+    assert met[800][1] > 800 and met[800][0] < 8 * 800
+
+
+def test_jaccard_one_id_of_several_texts(spark):
+    """Parities never part texts that share an id."""
+    docs = edited_copies(60)
+    docs += [(i, docs[(i * 7 + 3) % 60][1] + f" tail{i % 4}") for i in range(0, 60, 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(df).collect()}
+    sets = [(i, shingles(t, 5)) for i, t in docs]
+    root = {i: i for i, _ in docs}
+    for i, s in sets:
+        for j, t in sets:
+            if 100 * len(s & t) >= 80 * len(s | t):
+                a, b = root[i], root[j]
+                root = {k: min(a, b) if v in (a, b) else v for k, v in root.items()}
+    assert got == set(root.items())
+
+
 def test_jaccard_edges(edge, none):
     got = jaccard.jaccard_components(edge).collect()
     assert len(got) == edge.count() and jaccard.jaccard_components(none).count() == 0
