@@ -11,9 +11,10 @@ words seen once.  A text's probability is the product of smoothed class
 transitions and, within the classes, of word emissions.
 
 The vocabulary, its neighbours and classes are tables, counted and joined by
-Spark.  Only bounded parts reach the driver: ``Config.known`` frequent words,
-which tasks look up themselves, and the bigram counts of ``Config.clustered``
-words.
+Spark.  Texts are cut into words twice, to count the vocabulary and to store
+them as numbers; all later passes read the numbers.  Only bounded parts reach
+the driver: ``Config.known`` frequent words, which tasks look up themselves,
+and the bigram counts of ``Config.clustered`` words.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +38,11 @@ SHAPES = 16
 CACHED_WORDS = 300_000
 CHUNK = 1 << 12
 HELD_SLOTS = 4_000_000     # neighbours that a task holds (8 bytes each) before it gives them out
-HELD_WORDS = 400_000       # words that it holds
+HELD_WORDS = 400_000       # words that it holds, repeats included
+HELD_BYTES = 1 << 26       # their bytes
 GIVEN_WORDS = 20_000       # in a batch that it gives out
+BLOCK = 1 << 8             # known words whose neighbours go together
+FEW = 8
 ENTRIES = 1 << 15          # (word, neighbouring class) counts weighed at once
 NONE = (1 << 16) - 1
 
@@ -54,26 +60,21 @@ def shape(word: bytes) -> int:
     return 8 * (len(word) > 6) + 4 * (not word[-1:].isalnum() and word[-1] < 128) + 2 * (not word.isascii()) + (not word.isalpha())
 
 
-def _training(docs: DataFrame, held_out, text_col: str) -> DataFrame:
-    return docs.where(~held_out).select(text_bytes(text_col).alias("text"), F.spark_partition_id().alias("task"))
-
-
 def vocabulary(training: DataFrame) -> DataFrame:
-    """word, shape, c: every training word and the end, counted in the tasks first."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """word, c: every training word and the end, counted in the tasks first."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter()
-        out = lambda: pd.DataFrame({"word": list(found), "shape": list(map(shape, found)), "c": list(found.values())})
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], ["word", "c"])
         for b in batches:
             for t in b["text"]:
-                found.update(words(t))
-                found[END] += 1
-                if len(found) > 1_000_000:
-                    yield out()
-                    found.clear()
+                found.update(words(t.as_py()))
+            found[END] += b.num_rows
+            if len(found) > 1_000_000:
+                yield out()
+                found.clear()
         yield out()
 
-    return (training.mapInPandas(count, "word binary, shape int, c long")
-            .groupBy("word", "shape").agg(F.sum("c").alias("c")))
+    return training.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class _Numbers(dict):
@@ -91,25 +92,96 @@ class _Numbers(dict):
         return k
 
 
-def bigrams(training: DataFrame, clustered: list[bytes]) -> np.ndarray:
-    """Counts of neighbours over clustered words, shapes and the end (last)."""
-    m = len(clustered)
-    side = m + SHAPES + 1
+def _values(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column of bytes, row after row, and where each row begins
+    and the last one ends.  (Rows without any come with one offset or none.)"""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    _, at, raw = column.buffers()
+    at = np.frombuffer(at, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset:column.offset + len(column) + 1]
+    raw = np.frombuffer(raw or b"", np.uint8)[at[0]:at[-1]]
+    return raw.view(kind), (at.astype(np.int64) - at[0]) // np.dtype(kind).itemsize
+
+
+def _bytes(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A column of bytes: row r holds ``values[at[r]:at[r + 1]]``."""
+    raw = np.ascontiguousarray(values[at[0]:at[-1]])
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [
+        None, pa.py_buffer(((at - at[0]) * values.itemsize).astype(np.int32)), pa.py_buffer(raw)])
+
+
+def encoded(docs: DataFrame, known: list[bytes], held_out, id_col: str, text_col: str) -> DataFrame:
+    """row, id, held_out, codes, words: the texts as int32 numbers.  A word of
+    ``known`` is its place there, the end (once, last) is ``len(known)``, and
+    others are above by their shape and their place in ``words``, which holds
+    each once."""
+    k = len(known)
+    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(known)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, nth = _Numbers(shared.value, k + 1), 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                b, codes, others = whole.slice(at, 200), [], []
+                for text in b["text"]:
+                    tokens = words(text.as_py())
+                    i = np.full(len(tokens) + 1, k, np.int32)
+                    i[:-1] = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
+                    rare = {}
+                    which = np.flatnonzero(i > k)
+                    if len(which):
+                        i[which] += SHAPES * np.fromiter((rare.setdefault(tokens[j], len(rare)) for j in which.tolist()), np.int32, len(which))
+                    codes.append(i.tobytes())
+                    others.append(list(rare))
+                row = (b["task"].to_numpy().astype(np.int64) << 33) + np.arange(nth, nth + b.num_rows)
+                nth += b.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row), b["id"], b["held_out"], pa.array(codes, pa.binary()), pa.array(others, pa.list_(pa.binary()))],
+                    ["row", "id", "held_out", "codes", "words"])
+
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), held_out.alias("held_out"), text_bytes(text_col).alias("text"),
+                       F.spark_partition_id().alias("task"))
+    return rows.mapInArrow(run, "row long, id string, held_out boolean, codes binary, words array<binary>")
+
+
+def _look_up(codes: np.ndarray, table: np.ndarray, first_shape: int) -> np.ndarray:
+    """``table``, of the known words and the end, at the codes; numbers by shape for other words."""
+    k = len(table) - 1
+    out = table[np.minimum(codes, k)]
+    others = codes > k
+    out[others] = first_shape + (codes[others] - k - 1) % SHAPES
+    return out
+
+
+def _summed(rows: DataFrame, count, side: int) -> np.ndarray:
+    """Sum of ``count(batch)``, numbers below ``side`` squared with how often each came, over all batches."""
     size = -(-side * side // CHUNK) * CHUNK
-    shared = training.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(clustered)})
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, total, task = _Numbers(shared.value, m), np.zeros(size, np.int64), None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        total, task = np.zeros(size, np.int64), None
         for b in batches:
-            for t, task in zip(b["text"], b["task"]):
-                tokens = words(t)
-                s = np.full(len(tokens) + 2, side - 1, np.int64)
-                s[1:-1] = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                np.add.at(total, s[:-1] * side + s[1:], 1)
+            if b.num_rows:
+                task = b["task"][0].as_py()
+                total += np.bincount(count(b), minlength=size)
         if task is not None:
-            yield pd.DataFrame({"chunk": range(size // CHUNK), "part": task % 256, "counts": [c.tobytes() for c in total.reshape(-1, CHUNK)]})
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({
+                "chunk": np.arange(size // CHUNK, dtype=np.int32), "part": np.int32(task % 256), "counts": [c.tobytes() for c in total.reshape(-1, CHUNK)]}))
+
+    partial = rows.withColumn("task", F.spark_partition_id()).mapInArrow(run, "chunk int, part int, counts binary")
+    return sum_arrays(partial, size, CHUNK, "int64")[:side * side].reshape(side, side)
+
 
-    return sum_arrays(training.mapInPandas(count, "chunk int, part int, counts binary"), size, CHUNK, "int64")[:side * side].reshape(side, side)
+def bigrams(training: DataFrame, slots: np.ndarray, m: int) -> np.ndarray:
+    """Counts of neighbours over ``m`` clustered words, shapes and the end (last).
+    ``slots``: each known word's number among these, and the end's."""
+    side = m + SHAPES + 1
+    shared = training.sparkSession.sparkContext.broadcast(slots)
+
+    def count(b: pa.RecordBatch) -> np.ndarray:
+        s = np.append(side - 1, _look_up(_values(b["codes"], np.int32)[0], shared.value, m))
+        return s[:-1] * side + s[1:]
+
+    return _summed(training.select("codes"), count, side)
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -158,44 +230,64 @@ def exchange(b: np.ndarray, config: Config) -> np.ndarray:
     return own
 
 
-def contexts(training: DataFrame, own: np.ndarray, clustered: list[bytes]) -> DataFrame:
-    """word, slots, counts: how often each word outside ``clustered`` stands
-    before (slot = class) and after (slot = classes + class) each class."""
-    m, g = len(clustered), int(own[-1]) + 1
-    shared = training.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(clustered)})
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, found, places, held = _Numbers(shared.value, m), {}, [], 0   # found: word -> its number here
-
-        def out() -> Iterator[pd.DataFrame]:
-            key, n = np.unique(np.concatenate(places), return_counts=True)
-            word, raw, counts = key >> 16, (key & NONE).astype(np.uint16).tobytes(), n.astype(np.int32).tobytes()
-            heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            names, ends = list(found), np.append(heads[1:], len(word))
-            for at in range(0, len(heads), GIVEN_WORDS):
-                spans = list(zip(heads[at:at + GIVEN_WORDS].tolist(), ends[at:at + GIVEN_WORDS].tolist()))
-                yield pd.DataFrame({"word": [names[word[x]] for x, _ in spans], "slots": [raw[2 * x:2 * y] for x, y in spans],
-                                    "counts": [counts[4 * x:4 * y] for x, y in spans]})
+def contexts(training: DataFrame, own: np.ndarray, slots: np.ndarray, m: int) -> DataFrame:
+    """word, slots, counts: how often each word outside the clustered ones
+    stands before (slot = class) and after (slot = classes + class) each class.
+
+    Known words come in blocks, so that a task gives out few rows for them: a
+    row named by the end and the block's number (no word holds a space) holds
+    place in the block * 2 * classes + slot instead."""
+    g, k = int(own[-1]) + 1, len(slots) - 1
+    shared = training.sparkSession.sparkContext.broadcast(own[slots])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        known, places, found, held, named, size = [], [], [], 0, 0, 0
+
+        def give(names, at, places, counts) -> Iterator[pa.RecordBatch]:
+            for x in range(0, len(names), GIVEN_WORDS):
+                cut = at[x:x + GIVEN_WORDS + 1]
+                yield pa.RecordBatch.from_arrays([names[x:x + GIVEN_WORDS], _bytes(places, cut), _bytes(counts, cut)], ["word", "slots", "counts"])
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if known:
+                key, n = np.unique(np.concatenate(known), return_counts=True)
+                block, key = key // (BLOCK * 2 * g), (key % (BLOCK * 2 * g)).astype(np.int32)
+                heads = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                names = pa.array([END + b"%d" % x for x in block[heads].tolist()], pa.binary())
+                yield from give(names, np.append(heads, len(key)), key, n.astype(np.int32))
+            if places:
+                names = pa.concat_arrays(found).dictionary_encode()
+                at = np.concatenate(places)
+                key, n = np.unique((names.indices.to_numpy().astype(np.int64)[at >> 16] << 16) + (at & NONE), return_counts=True)
+                word = key >> 16      # every one of the dictionary, in its order
+                heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                yield from give(names.dictionary, np.append(heads, len(key)), (key & NONE).astype(np.uint16), n.astype(np.int32))
 
         for b in batches:
-            for t in b["text"]:
-                tokens = words(t)
-                i = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                s = np.full(len(tokens) + 2, own[-1], np.int64)
-                s[1:-1] = own[i]
-                at = np.flatnonzero(i >= m)
-                if not len(at):
-                    continue
-                k = np.fromiter((found.setdefault(tokens[j], len(found)) for j in at.tolist()), np.int64, len(at)) << 16
-                places += [k + s[at + 2], k + s[at] + g]
-                held += 2 * len(at)
-                if held > HELD_SLOTS or len(found) > HELD_WORDS:
-                    yield from out()
-                    found, places, held = {}, [], 0
-        if found:
-            yield from out()
-
-    return training.select("text").mapInPandas(count, "word binary, slots binary, counts binary")
+            if not b.num_rows:
+                continue
+            codes, at = _values(b["codes"], np.int32)
+            s = np.append(own[-1], _look_up(codes, table, int(own[-1]) - SHAPES))
+            mine = np.flatnonzero((codes >= m) & (codes < k))
+            if len(mine):
+                i = codes[mine].astype(np.int64) * 2 * g
+                known += [i + s[mine + 2], i + s[mine] + g]
+                held += 2 * len(mine)
+            theirs = np.flatnonzero(codes > k)
+            if len(theirs):
+                lists = b["words"]
+                first = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+                i = (named + np.repeat(first[:-1], np.diff(at))[theirs] + (codes[theirs] - k - 1) // SHAPES) << 16
+                places += [i + s[theirs + 2], i + s[theirs] + g]
+                found.append(lists.flatten())
+                held, named, size = held + 2 * len(theirs), named + int(first[-1]), size + found[-1].nbytes
+            if held > HELD_SLOTS or named > HELD_WORDS or size > HELD_BYTES:
+                yield from out()
+                known, places, found, held, named, size = [], [], [], 0, 0, 0
+        yield from out()
+
+    return training.select("codes", "words").mapInArrow(count, "word binary, slots binary, counts binary")
 
 
 def best_classes(word: np.ndarray, slot: np.ndarray, count: np.ndarray, n: np.ndarray, classes: int) -> np.ndarray:
@@ -206,10 +298,16 @@ def best_classes(word: np.ndarray, slot: np.ndarray, count: np.ndarray, n: np.nd
     kept = _f(table)
     heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
     left, right = n[:classes].sum(1), n[:, :classes].sum(0)
-    after = np.add.reduceat(np.where(slot < g, count, 0), heads)[:, None]
-    before = np.add.reduceat(np.where(slot < g, 0, count), heads)[:, None]
-    gain = np.add.reduceat(_f(table[slot] + count[:, None]) - kept[slot], heads, axis=0)
-    gain -= _f(left + after) - _f(left) + _f(right + before) - _f(right)
+    after = np.add.reduceat(np.where(slot < g, count, 0), heads)
+    before = np.add.reduceat(np.where(slot < g, 0, count), heads)
+    moved = np.empty((len(count), classes))
+    few = count <= FEW      # most counts: what they change is looked up
+    moved[few] = (_f(table + np.arange(FEW + 1)[:, None, None]) - kept)[count[few].astype(np.int64), slot[few]]
+    moved[~few] = _f(table[slot[~few]] + count[~few][:, None]) - kept[slot[~few]]
+    gain = np.add.reduceat(moved, heads, axis=0)
+    for margin, more in ((left, after), (right, before)):
+        more, where = np.unique(more, return_inverse=True)
+        gain -= (_f(margin + more[:, None]) - _f(margin))[where.ravel()]
     nth = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(word))))
     out, into = np.zeros((len(heads), classes)), np.zeros((len(heads), classes))
     ours, theirs = slot < classes, (slot >= g) & (slot < g + classes)
@@ -222,60 +320,88 @@ def best_classes(word: np.ndarray, slot: np.ndarray, count: np.ndarray, n: np.nd
 
 
 def assign(found: DataFrame, n: np.ndarray, classes: int) -> DataFrame:
-    """word, class, c of every word of ``contexts``, given the class bigrams."""
+    """word, number, class, c of every word of ``contexts``, given the class
+    bigrams: known words by their number, others by the word."""
     shared = found.sparkSession.sparkContext.broadcast(n)
     g = len(n)
+    names = ["word", "number", "class", "c"]
 
-    def weigh(rows: list[tuple[bytes, bytes, bytes]]) -> pd.DataFrame:
-        n = shared.value
-        nth, names = np.zeros(len(rows), np.int64), [rows[0][0]]
-        for k, (word, _, _) in enumerate(rows):
-            if word != names[-1]:
-                names.append(word)
-            nth[k] = len(names) - 1
-        slots = np.frombuffer(b"".join(r[1] for r in rows), np.uint16).astype(np.int64)
-        counts = np.frombuffer(b"".join(r[2] for r in rows), np.int32).astype(float)
-        key, where = np.unique(np.repeat(nth, [len(r[1]) // 2 for r in rows]) * 2 * g + slots, return_inverse=True)
-        count = np.bincount(where, counts, len(key))
-        word, slot = key // (2 * g), key % (2 * g)
-        c = np.bincount(word, np.where(slot < g, count, 0), len(names)).astype(np.int64)
-        return pd.DataFrame({"word": names, "class": best_classes(word, slot, count, n, classes), "c": c})
+    def batch(word: pa.Array, number: pa.Array, of: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([word, number, pa.array(of.astype(np.int32)), pa.array(c.astype(np.int64))], names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, size = [], 0
+    def weigh(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Classes and counts of words, given distinct ``key`` = word * 2 * classes + slot in order."""
+        word, slot = key // (2 * g), key % (2 * g)
+        heads = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        return best_classes(word, slot, count, shared.value, classes), np.add.reduceat(np.where(slot < g, count, 0), heads)
+
+    def known(block: int, total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key = np.flatnonzero(total)
+        number = block * BLOCK + np.unique(key // (2 * g))
+        yield batch(pa.nulls(len(number), pa.binary()), pa.array(number.astype(np.int32)), *weigh(key, total[key].astype(float)))
+
+    def others(b: pa.RecordBatch, new: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """``new``: whether a row's word is another than the row's before."""
+        slots, at = _values(b["slots"], np.uint16)
+        counts, _ = _values(b["counts"], np.int32)
+        heads = np.flatnonzero(new)
+        begins, x = at[heads], 0
+        while x < len(heads):
+            y = int(np.searchsorted(begins, begins[x] + ENTRIES))
+            first, last = heads[x], heads[y] if y < len(heads) else len(new)
+            nth = np.cumsum(new[first:last]) - 1
+            key, where = np.unique(np.repeat(nth, np.diff(at[first:last + 1])) * 2 * g + slots[at[first]:at[last]], return_inverse=True)
+            count = np.bincount(where, counts[at[first]:at[last]], len(key))
+            yield batch(b["word"].take(pa.array(heads[x:y])), pa.nulls(y - x, pa.int32()), *weigh(key, count))
+            x = y
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total, open_ = None, None, []     # open_: rows of the last word so far
         for b in batches:   # sorted by word
-            for row in zip(map(bytes, b["word"]), b["slots"], b["counts"]):
-                if size > ENTRIES and row[0] != rows[-1][0]:
-                    yield weigh(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[1]) // 2
-        if rows:
-            yield weigh(rows)
+            if not b.num_rows:
+                continue
+            raw, at = _values(b["word"], np.uint8)
+            mine = raw[at[:-1]] == END[0]
+            for r in np.flatnonzero(mine).tolist():
+                name = int(b["word"][r].as_py()[1:])
+                if name != block:
+                    if block is not None:
+                        yield from known(block, total)
+                    block, total = name, np.zeros(BLOCK * 2 * g, np.int64)
+                total[np.frombuffer(b["slots"][r].as_py(), np.int32)] += np.frombuffer(b["counts"][r].as_py(), np.int32)
+            if mine.any():
+                b = b.filter(pa.array(~mine))
+            if not b.num_rows:
+                continue
+            if open_ and open_[-1]["word"][-1] == b["word"][0] == b["word"][-1]:
+                open_.append(b)
+                continue
+            b = pa.Table.from_batches([*open_, b]).combine_chunks().to_batches()[0]
+            new = np.append(True, pc.not_equal(b["word"][1:], b["word"][:-1]).to_numpy(zero_copy_only=False))
+            last = int(np.flatnonzero(new)[-1])
+            if last:
+                yield from others(b[:last], new[:last])
+            open_ = [b[last:]]
+        if block is not None:
+            yield from known(block, total)
+        if open_:
+            b = pa.Table.from_batches(open_).combine_chunks().to_batches()[0]
+            yield from others(b, np.arange(b.num_rows) == 0)
 
     return (found.repartition("word").sortWithinPartitions("word")
-            .mapInPandas(run, "word binary, class int, c long"))
+            .mapInArrow(run, "word binary, number int, class int, c long"))
 
 
 def class_bigrams(sequences: DataFrame, g: int) -> np.ndarray:
     """Class bigrams of the training texts; words seen once also count as
     unseen ones, in their shape's class (``other``)."""
-    size = -(-g * g // CHUNK) * CHUNK
-    rows = sequences.where("not held_out").select("s", "other", F.spark_partition_id().alias("task"))
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, task = np.zeros(size, np.int64), None
-        for b in batches:
-            for s, other, task in zip(b["s"], b["other"], b["task"]):
-                s, other = np.frombuffer(s, np.uint16).astype(np.int64), np.frombuffer(other, np.uint16).astype(np.int64)
-                np.add.at(total, s[:-1] * g + s[1:], 1)
-                at = np.flatnonzero(other != NONE)
-                np.add.at(total, s[at] * g + other[at], 1)
-                np.add.at(total, other[at] * g + s[at + 2], 1)
-        if task is not None:
-            yield pd.DataFrame({"chunk": range(size // CHUNK), "part": task % 256, "counts": [c.tobytes() for c in total.reshape(-1, CHUNK)]})
+    def count(b: pa.RecordBatch) -> np.ndarray:
+        s = np.append(g - 1, _values(b["s"], np.uint16)[0].astype(np.int64))     # the end is the last class
+        other = _values(b["other"], np.uint16)[0].astype(np.int64)
+        at = np.flatnonzero(other != NONE)
+        return np.concatenate([s[:-1] * g + s[1:], s[at] * g + other[at], other[at] * g + s[at + 2]])
 
-    return sum_arrays(rows.mapInPandas(count, "chunk int, part int, counts binary"), size, CHUNK, "int64")[:g * g].reshape(g, g)
+    return _summed(sequences.where("not held_out").select("s", "other"), count, g)
 
 
 def _by_class(b: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -292,8 +418,8 @@ def _transitions(n: np.ndarray, pull: float) -> np.ndarray:
     return np.log10((n + pull * unigram[None]) / (n.sum(1)[:, None] + pull))
 
 
-def _frequent(vocab: DataFrame, most: int) -> tuple[pd.DataFrame, int]:
-    """The words from a count upwards that are ``most`` at most, and that count's bin."""
+def _frequent(vocab: DataFrame, most: int) -> pd.DataFrame:
+    """The words from a count upwards that are ``most`` at most."""
     fine = F.floor(F.log2("c") * 16).cast("int")
     bins = {r["bin"]: r["n"] for r in vocab.groupBy(fine.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}  # under 1024
     total, least = 0, 1024
@@ -301,7 +427,7 @@ def _frequent(vocab: DataFrame, most: int) -> tuple[pd.DataFrame, int]:
         if total + bins[k] > most:
             break
         total, least = total + bins[k], k
-    return vocab.where(fine >= least).select("word", "shape", "c").toPandas(), least
+    return vocab.where(fine >= least).select("word", "c").toPandas()
 
 
 def score(docs: DataFrame, held_out, *, config: Config = Config(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -315,109 +441,92 @@ def score(docs: DataFrame, held_out, *, config: Config = Config(), id_col: str =
     read.
     """
     spark = docs.sparkSession
-    training = _training(docs, held_out, text_col)
-    vocab = store(spark, vocabulary(training), "brown-vocabulary")
+    vocab = store(spark, vocabulary(docs.where(~held_out).select(text_bytes(text_col).alias("text"))), "brown-vocabulary")
     totals = vocab.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
-    top, least = _frequent(vocab, config.known)
+    top = _frequent(vocab, config.known)
     top["word"] = [bytes(w) for w in top["word"]]
     top = top.sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
     end_count = int(top.loc[top["word"] == END, "c"].sum())
     if not end_count:  # the end is rarer than the known words
         end_count = (vocab.where(F.col("word") == F.lit(END)).agg(F.sum("c")).first()[0]) or 0
     top = top[top["word"] != END].reset_index(drop=True)
-    clustered = top["word"][:config.clustered].tolist()
-    m, k = len(clustered), len(top)
-    b = bigrams(training, clustered)
+    counts, shapes = top["c"].to_numpy(float), np.array([shape(w) for w in top["word"]], np.int64)
+    k = len(top)
+    m = min(config.clustered, k)
+    mine = store(spark, encoded(docs, top["word"].tolist(), held_out, id_col, text_col), "brown-codes")
+    training = mine.where("not held_out")
+    slots = np.concatenate([np.arange(m), m + shapes[m:], [m + SHAPES]])
+    b = bigrams(training, slots, m)
     own = exchange(b, config)
     first_shape, g = int(own[m]), int(own[-1]) + 1
-    rest = store(spark, assign(contexts(training, own, clustered), _by_class(b, own), first_shape), "brown-classes")
+    rest = store(spark, assign(contexts(training, own, slots, m), _by_class(b, own), first_shape), "brown-classes")
 
-    # Words that tasks look up themselves: at least as frequent as the least of ``top``.
-    place = {w: i for i, w in enumerate(top["word"])}
-    classes = np.concatenate([own[:m], np.zeros(k - m, np.int64), first_shape + np.arange(SHAPES)]).astype(np.int64)
-    fine = F.floor(F.log2("c") * 16).cast("int")
-    found = rest.where(fine >= least).select("word", "class").toPandas()     # config.known words at most
-    classes[[place[bytes(w)] for w in found["word"]]] = found["class"]
+    classes = np.concatenate([own[:m], np.zeros(k - m, np.int64), own[-1:]])     # of the known words and the end
+    found = rest.where("number IS NOT NULL").select("number", "class").toPandas()     # config.known words at most
+    classes[found["number"].to_numpy(np.int64)] = found["class"].to_numpy(np.int64)
     # Emissions: all classes' totals over the whole vocabulary.
-    counts = top["c"].to_numpy(float)
     within = np.bincount(own[:m], counts[:m], first_shape) if m else np.zeros(first_shape)
     for r in rest.groupBy("class").agg(F.sum("c").alias("n")).collect():
         within[r["class"]] += r["n"]
     whole = math.log10(n + 0.5 * (v + 1))
-    emit = np.concatenate([np.log10(counts / within[classes[:k]]), np.zeros(SHAPES)])
-    base = np.concatenate([np.log10(counts + 0.5) - whole, np.full(SHAPES, -whole)])
-    shapes = top["shape"].to_numpy(np.int64) if k else np.zeros(0, np.int64)
-    other = np.concatenate([np.where(counts == 1, first_shape + shapes, NONE), np.full(SHAPES, NONE)]).astype(np.int64)
-    shared = spark.sparkContext.broadcast({  # config.known words and four numbers each
-        "numbers": place, "classes": classes, "emit": emit, "base": base, "other": other})
-    end_class, end_base, end_known = int(own[-1]), math.log10(end_count + 0.5) - whole, int(end_count > 0)
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = shared.value
-        numbers, nth = _Numbers(held["numbers"], k), 0
-        for batch in batches:
-            for at in range(0, len(batch), 200):
-                part, out = batch.iloc[at:at + 200], []
-                for key, fold, text, task in zip(part["id"], part["held_out"], part["text"], part["task"]):
-                    tokens = words(text)
-                    i = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-                    s = np.full(len(tokens) + 2, end_class, np.uint16)
-                    s[1:-1] = held["classes"][i]
-                    rare, which = {}, []
-                    for j in np.flatnonzero(i >= k).tolist():
-                        which.append(rare.setdefault(tokens[j], len(rare)))
-                    out.append(((int(task) << 33) + nth, key, fold, len(tokens) + 1, int((i < k).sum()) + end_known,
-                                float(held["base"][i].sum()) + end_base, float(held["emit"][i].sum()), s.tobytes(),
-                                held["other"][i].astype(np.uint16).tobytes(), np.array(which, np.int32).tobytes(), list(rare)))
-                    nth += 1
-                yield pd.DataFrame(out, columns=["row", "id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other", "which", "words"])
-
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), held_out.alias("held_out"), text_bytes(text_col).alias("text"),
-                       F.spark_partition_id().alias("task"))
-    mine = store(spark, rows.mapInPandas(local, "row long, id string, held_out boolean, n_tokens long, n_known long, base double, "
-                                         "emit double, s binary, other binary, which binary, words array<binary>"), "brown-local")
+    shared = spark.sparkContext.broadcast({  # four numbers of each known word and of the end
+        "classes": classes, "emit": np.append(np.log10(counts / within[classes[:k]]), 0.0),
+        "base": np.append(np.log10(counts + 0.5), math.log10(end_count + 0.5)) - whole,
+        "other": np.append(np.where(counts == 1, first_shape + shapes, NONE), NONE)})
+    end_known = int(end_count > 0)
     # The words that tasks can't look up: their classes and counts come by a join.
-    others = rest.where(fine < least)
+    others = rest.where("number IS NULL").select("word", "class", "c")
     each = mine.select("row", F.posexplode("words").alias("nth", "word"))
     known = (each.join(others, "word").groupBy("row")
              .agg(F.collect_list(F.struct("nth", "class", "c")).alias("x"))
              .select("row", F.col("x.nth").alias("nth"), F.col("x.class").alias("class"), F.col("x.c").alias("c")))
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                s, other, which = (np.frombuffer(x, kind).copy() for x, kind in ((r.s, np.uint16), (r.other, np.uint16), (r.which, np.int32)))
-                n_known, base, emit = r.n_known, r.base, r.emit
-                if len(which):
-                    c, own = np.zeros(len(r.words), np.int64), np.zeros(len(r.words), np.int64)
-                    if r.nth is not None:
-                        c[r.nth], own[r.nth] = r.c, r[-2]
-                    c, own = c[which], own[which]
-                    at = np.flatnonzero(s[1:-1] >= first_shape)      # the tokens of ``which``, in order
-                    seen = c > 0
-                    n_known += int(seen.sum())
-                    base += float(np.log10(c[seen] + 0.5).sum() + np.log10(0.5) * (~seen).sum())
-                    emit += float(np.log10(c[seen] / within[own[seen]]).sum())
-                    once = np.flatnonzero(c == 1)
-                    other[at[once]] = s[at[once] + 1]                # so far their shape's class
-                    s[at[seen] + 1] = own[seen]
-                out.append((r.id, r.held_out, r.n_tokens, n_known, base, emit, s.tobytes(), other.tobytes()))
-            yield pd.DataFrame(out, columns=["id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other"])
-
-    wide = mine.join(known, "row", "left").select("id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other", "which", "words",
-                                                  "nth", "class", "c")
-    sequences = store(spark, wide.mapInPandas(fill, "id string, held_out boolean, n_tokens long, n_known long, base double, emit double, "
-                                              "s binary, other binary"), "brown-sequences")
+            if not batch.num_rows:
+                continue
+            codes, at = _values(batch["codes"], np.int32)
+            place, starts = np.minimum(codes, k), at[:-1]
+            s, base, emit, other = (held[x][place] for x in ("classes", "base", "emit", "other"))
+            n_known = (codes < k).astype(np.int64)
+            theirs = np.flatnonzero(codes > k)
+            if len(theirs):
+                which, form = np.divmod(codes[theirs] - k - 1, SHAPES)
+                first = np.append(0, np.cumsum(batch["n_words"].to_numpy()))
+                c, of = np.zeros(first[-1], np.int64), np.zeros(first[-1], np.int64)
+                joined = pc.fill_null(pc.list_value_length(batch["nth"]), 0).to_numpy(zero_copy_only=False)
+                into = np.repeat(first[:-1], joined) + batch["nth"].flatten().to_numpy()
+                c[into], of[into] = batch["c"].flatten().to_numpy(), batch["class"].flatten().to_numpy()
+                which = which + np.repeat(first[:-1], np.diff(at))[theirs]
+                c, of = c[which], of[which]
+                seen, once, form = c > 0, c == 1, first_shape + form
+                n_known[theirs] = seen
+                base[theirs] = np.log10(c + 0.5) - whole
+                emit[theirs[seen]] = np.log10(c[seen] / within[of[seen]])
+                other[theirs[once]] = form[once]
+                s[theirs] = np.where(seen, of, form)
+            sums = [pa.array(x) for x in (np.diff(at), np.add.reduceat(n_known, starts) + end_known, np.add.reduceat(base, starts), np.add.reduceat(emit, starts))]
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["held_out"], *sums, _bytes(s.astype(np.uint16), at), _bytes(other.astype(np.uint16), at)],
+                                             ["id", "held_out", "n_tokens", "n_known", "base", "emit", "s", "other"])
+
+    wide = (mine.select("row", "id", "held_out", "codes", F.size("words").alias("n_words")).join(known, "row", "left")
+            .select("id", "held_out", "codes", "n_words", "nth", "class", "c"))
+    sequences = store(spark, wide.mapInArrow(fill, "id string, held_out boolean, n_tokens long, n_known long, base double, emit double, "
+                                             "s binary, other binary"), "brown-sequences")
     step = spark.sparkContext.broadcast(_transitions(class_bigrams(sequences, g), config.pull))
 
-    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seq = [np.frombuffer(s, np.uint16) for s in b["s"]]
-            yield b.drop(columns="s").assign(emit=b["emit"] + np.array([float(step.value[s[:-1], s[1:]].sum()) for s in seq], float))
-
-    scored = (sequences.drop("other").mapInPandas(total, "id string, held_out boolean, n_tokens long, n_known long, base double, emit double"))
+            if b.num_rows:
+                s, at = _values(b["s"], np.uint16)
+                steps = np.add.reduceat(step.value[np.append(g - 1, s[:-1]), s], at[:-1])
+                yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(b["emit"].to_numpy() + steps)],
+                                                 ["id", "held_out", "n_tokens", "n_known", "base", "emit"])
+
+    scored = sequences.select("id", "held_out", "n_tokens", "n_known", "base", "emit", "s").mapInArrow(
+        total, "id string, held_out boolean, n_tokens long, n_known long, base double, emit double")
     result = scored.select(
         F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "held_out", "n_tokens", "n_known",
         F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), F.col("emit").alias("score"))

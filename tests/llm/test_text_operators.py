@@ -394,6 +394,57 @@ def test_brown_classes_of_rare_words(spark, known):
     assert min(gaps) > 0.5
 
 
+def test_brown_cuts_each_text_twice(spark, monkeypatch):
+    """Once for the vocabulary, once into numbers; later passes read those.
+    (Cutting took most of the time when every pass did it.)"""
+    cut = spark.sparkContext.accumulator(0)
+
+    def words(text):
+        cut.add(1)
+        return text.lower().split()
+
+    monkeypatch.setattr(brown, "words", words)
+    df = spark.createDataFrame([(i, f"a b{i} c a b{i % 3}") for i in range(40)], "doc_id long, text string").repartition(2)
+    assert len(brown.score(df, F.col("doc_id") % 5 == 1, config=brown.Config(clustered=4, classes=2, known=6)).collect()) == 40
+    assert 40 <= cut.value <= 80
+
+
+@pytest.mark.parametrize("few", [None, 50])
+def test_brown_word_classes_brute_force(spark, monkeypatch, few):
+    """Every word outside the clustered ones gets its count and best class,
+    also where tasks give out neighbours often and weigh few words at once."""
+    import numpy as np
+
+    if few:
+        monkeypatch.setattr(brown, "HELD_SLOTS", few)
+        monkeypatch.setattr(brown, "ENTRIES", few)
+    rng = np.random.default_rng(5)
+    texts = [[b"w%d" % w for w in rng.integers(0, 1 + 3 * i, 12)] for i in range(150)]
+    c = Counter(w for t in texts for w in t)
+    known = [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:300]]
+    m = 20
+    df = spark.createDataFrame([(i, b" ".join(t).decode()) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    codes = brown.encoded(df, known, F.lit(False), "doc_id", "text")
+    slots = np.concatenate([np.arange(m), m + np.array([brown.shape(w) for w in known[m:]]), [m + brown.SHAPES]])
+    b = brown.bigrams(codes, slots, m)
+    assert b.sum() == sum(len(t) + 1 for t in texts)
+    own = brown.exchange(b, brown.Config(clustered=m, classes=4))
+    n = brown._by_class(b, own)
+    rows = brown.assign(brown.contexts(codes, own, slots, m), n, 4).collect()
+    got = {bytes(r["word"]) if r["number"] is None else known[r["number"]]: (r["class"], r["c"]) for r in rows}
+    assert len(rows) == len(got) and {w: x[1] for w, x in got.items()} == {w: c[w] for w in c if w not in known[:m]}
+    place = {w: i for i, w in enumerate(known[:m])}
+    near = {w: Counter() for w in got}
+    for t in texts:
+        s = [int(own[-1])] + [int(own[place.get(w, m + brown.shape(w))]) for w in t] + [int(own[-1])]
+        for j, w in enumerate(t):
+            if w in near:
+                near[w].update([s[j + 2], s[j] + len(n)])
+    for w, found in near.items():
+        slot = np.array(sorted(found))
+        assert got[w][0] == brown.best_classes(np.zeros(len(slot), int), slot, np.array([found[x] for x in slot.tolist()], float), n, 4)[0]
+
+
 def test_best_classes_brute_force():
     import numpy as np
 
