@@ -160,6 +160,40 @@ def test_months_add_up(small_tables, counted, start, end, half_open):
         assert _cells(a) == _cells(b), report
 
 
+def test_days_around_months_are_one_pass(small_tables, counted, monkeypatch):
+    """A view without a stored base is computed once for the days before and after the whole months."""
+    calls = []
+    dataset = RP.dataset
+    monkeypatch.setattr(RP, "dataset", lambda *a, **k: calls.append(k) or dataset(*a, **k))
+    a = RP.run_report(counted, "discard", "1996-01-15", "2000-12-10", as_of="2003-02-28", profile=P)["combined"]
+    assert len(calls) == 1
+    assert _cells(a) == _cells(RP.run_report(small_tables, "discard", "1996-01-15", "2000-12-10", as_of="2003-02-28", profile=P)["combined"])
+
+
+def test_stored_base_is_read_by_its_own_months(spark, counted):
+    """Where the view's rows are stored by month, the days around are read from their months alone."""
+    from hemotab.plans import materialize as M
+    from hemotab.sources.fixtures import fixture_tables
+
+    tables = fixture_tables(spark, "/root/testdata/sf0.001")
+    M.use_donation_base(tables, M.write_donation_base(tables, P), P)
+    tables.monthly_counts = counted.monthly_counts
+    a, b = (RP.crosstab(t, "donation_by_site", "1996-01-15", "1999-12-10", as_of="2001-01-01", profile=P) for t in (tables, counted))
+    assert _cells(a) == _cells(b)
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("(donationMonth#") >= 4     # bounds of two months, apart
+
+
+def test_held_table_is_not_derived_again(spark, small_tables):
+    from hemotab.sources.fixtures import fixture_tables
+
+    tables = fixture_tables(spark, "/root/testdata/sf0.001").hold("Component")
+    for name in ("Component", "OrderForm_Component", "ReturnForm_Component"):
+        assert not any("lineitem" in f for f in tables[name].inputFiles()), name
+        assert tables[name].dtypes == small_tables[name].dtypes
+        assert sorted(map(str, tables[name].collect())) == sorted(map(str, small_tables[name].collect()))
+
+
 @pytest.mark.parametrize("as_of", ["2000-02-29", "2001-03-01"])
 def test_ages_of_any_reporting_date(small_tables, counted, as_of):
     a, b = (RP.crosstab(t, "donation_by_site", "1996-01-01", "1999-12-31", as_of=as_of, profile=P) for t in (counted, small_tables))
