@@ -9,11 +9,13 @@ plans only the choice per number and the step to the donors still move rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hemotab.session import checkpoint_dir
+from hemotab.session import at_once, checkpoint_dir
 from hemotab.sources.schema import schemas
 from hemotab.sources.tables import Tables
 from hemotab.sources.versions import new_run
@@ -28,7 +30,7 @@ def write_colocated(tables: Tables, database: str, buckets: int, root: str | Non
     ``keys`` bucketed; files go to a new folder below ``root`` (default: the
     shared checkpoint folder).
 
-    Each bucket is written by one task as one file: choose ``buckets`` so that a
+    Tables are written side by side.  Each bucket is written by one task as one file: choose ``buckets`` so that a
     bucket of the largest table fits a task (input bytes / 200 MB or so).  Rows
     whose key is null match no donation and are left out of the results and
     counselling tables, so that they don't fill one bucket.
@@ -36,15 +38,15 @@ def write_colocated(tables: Tables, database: str, buckets: int, root: str | Non
     spark = tables.spark
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     folder = f"{(root or checkpoint_dir(spark)).rstrip('/')}/colocated/{new_run()}"
-    for name in tables:
-        rows, key = tables[name], keys.get(name)
-        if key is None:
-            rows.write.option("path", f"{folder}/{name}").saveAsTable(f"`{database}`.`{name}`")
-            continue
-        if key != "id":
+
+    def save(name: str, rows: DataFrame) -> None:
+        key = keys.get(name)
+        if key is not None and key != "id":
             rows = rows.where(F.col(key).isNotNull())
-        (rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-             .option("path", f"{folder}/{name}").saveAsTable(f"`{database}`.`{name}`"))
+        writer = rows.write if key is None else rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        writer.option("path", f"{folder}/{name}").saveAsTable(f"`{database}`.`{name}`")
+
+    at_once(spark, [partial(save, name, tables[name]) for name in tables])
 
 
 def colocated(spark, database: str, test_id_type: T.DataType = T.BinaryType()) -> Tables:

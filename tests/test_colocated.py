@@ -71,3 +71,27 @@ def test_no_exchange_below_flags_counselling_and_donation_joins(both, at_scale):
         assert not [x for x in above[:join] if "Exchange" in x], (table, above)
     moved = [x for x in lines if "Exchange hashpartitioning" in x]
     assert len(moved) == 3 and sum("donationIdentificationNumber" in x for x in moved) == 1, moved
+
+
+def test_tables_are_written_side_by_side(spark, small_tables, tmp_path, monkeypatch):
+    from hemotab.sources import colocated as CO
+
+    asked = []
+    at_once = CO.at_once
+    monkeypatch.setattr(CO, "at_once", lambda s, steps: asked.append(len(steps)) or at_once(s, steps))
+    database = f"buckets_{uuid.uuid4().hex[:8]}"
+    write_colocated(small_tables, database, 2, str(tmp_path))
+    assert asked == [len(small_tables)] and len(spark.sql(f"SHOW TABLES IN {database}").collect()) == len(small_tables)
+
+
+def test_steps_at_once(spark):
+    """Two steps wait for each other; an error comes out."""
+    import threading
+
+    from hemotab.session import at_once
+
+    meet = threading.Barrier(2)
+    assert sorted(at_once(spark, [lambda: meet.wait(20), lambda: meet.wait(20)])) == [0, 1]
+    with pytest.raises(ZeroDivisionError):
+        at_once(spark, [lambda: 1, lambda: 1 / 0])
+    assert at_once(spark, []) == []
