@@ -53,14 +53,16 @@ def _grams(b: np.ndarray, gram: int) -> np.ndarray:
     """Hashes of all grams; ``gram`` is a power of two."""
     h, factor, size = b.astype(np.uint64) + np.uint64(1), 0x100000001B3, 1
     while size < gram:
-        h = h[:-size] * np.uint64(factor) + h[size:]
+        left = h[:-size] * np.uint64(factor)
+        h = np.add(left, h[size:], out=left)
         factor = factor * factor % (1 << 64)
         size *= 2
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _mixed(a: np.ndarray, b: np.ndarray, side: np.ndarray) -> np.ndarray:
@@ -80,31 +82,25 @@ def keyed_runs(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
         return none
     b = np.frombuffer(b"".join(texts), np.uint8)
     h, width = _grams(b, gram), length - gram + 1
-    least = _least(h, width)                        # of the string at each position
-    text = np.repeat(np.arange(len(texts)), sizes)
+    # The place in the hash's last bits: the least of a window tells its anchor, and
+    # grams alike in the others are taken by place, as in any equal string.
+    low = np.uint64((1 << len(h).bit_length()) - 1)
+    least = _least((h & ~low) | np.arange(len(h), dtype=np.uint64), width)     # of the string at each position
+    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    place = (least[first] & low).astype(np.int64)
     ends = np.cumsum(sizes)
-    valid = np.arange(len(least)) + length <= ends[text[:len(least)]]
-    # A gram is an anchor if it equals the least of some string that holds it.
-    reach = np.full(len(h) + width - 1, ~np.uint64(0))
-    reach[width - 1:width - 1 + len(least)] = np.where(valid, ~least, ~np.uint64(0))
-    top = ~_least(reach, width)                     # largest valid least among the strings that hold the gram
-    places = np.flatnonzero(h == top)
-    starts = np.flatnonzero(valid)
-    at = np.searchsorted(places, starts)
-    wanted = least[starts]
-    open_ = np.flatnonzero(h[places[at]] != wanted)
-    while len(open_):
-        at[open_] += 1
-        open_ = open_[h[places[at[open_]]] != wanted[open_]]
-    place = places[at]
+    owner = np.searchsorted(ends, place, side="right")
+    begin = np.maximum(first, (ends - sizes)[owner])
+    end = np.minimum(np.append(first[1:], len(least)), ends[owner] - length + 1)
     half = (length - gram) // 2
-    right = place - starts <= half                  # room for ``half`` bytes or more after the anchor, else before it
-    first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (right[1:] != right[:-1])
-                                     | (text[starts[1:]] != text[starts[:-1]])))
-    strings = np.diff(np.append(first, len(starts)))
-    owner, place, right = text[starts[first]], place[first], right[first]
+    turn = np.clip(place - half, begin, np.maximum(begin, end))     # from here: room for ``half`` bytes or more after the anchor, else before it
+    starts = np.column_stack([begin, turn]).ravel()
+    strings = np.column_stack([turn, end]).ravel() - starts
+    some = np.flatnonzero(strings > 0)
+    right, at = (some & 1).astype(bool), some >> 1
+    owner, place, starts = owner[at], place[at], starts[some]
     beside = place + np.where(right, 1, -1) * min(half, gram)
-    return owner, _mixed(h[place], h[beside], right), starts[first] - (ends - sizes)[owner], strings
+    return owner, _mixed(h[place], h[beside], right), starts - (ends - sizes)[owner], strings[some]
 
 
 def _groups_of(texts: pd.Series, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
@@ -166,39 +162,49 @@ def _stretches(rows: DataFrame, keys: DataFrame, length: int, gram: int, bits: i
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, tuple] = {}
-        flags = shared.value
+        flags, digest = shared.value, xxhash.xxh3_64_intdigest
         shift = np.uint64(64 - (8 * len(flags)).bit_length() + 1)
         for b in batches:
             covered = []
-            ids, dgs = b["id"].tolist(), b["dg"].tolist()
+            ids, dgs = b["id"].astype(object).to_numpy(), b["dg"].to_numpy()
             for of, offset, texts in _groups_of(b["text"], length):
                 owner, h, at, strings = keyed_runs(texts, length, gram)
                 bit = (h >> shift).astype(np.int64)
                 hit = np.flatnonzero((flags[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
-                for k, key, place, n in zip(owner[hit].tolist(), h[hit].view(np.int64).tolist(), at[hit].tolist(), strings[hit].tolist()):
-                    size = n + length - 1
-                    body = texts[k][place:place + size]
-                    known = key, xxhash.xxh3_64_intdigest(body) - (1 << 63) if by_hash else body
-                    here = ids[of[k]], dgs[of[k]], place + int(offset[k]), size
-                    best = held.get(known)
-                    if best is None or here < best:
-                        held[known] = here
-                        here = best
-                    if here and here != held[known]:
-                        covered.append((0, nothing, *here[:3], here[2] + here[3], True))
+                owner, at, size = owner[hit], at[hit], strings[hit] + length - 1
+                row = of[owner]
+                places = zip(ids[row].tolist(), dgs[row].tolist(), (at + offset[owner]).tolist(), size.tolist())
+                for k, key, a, z, here in zip(owner.tolist(), h[hit].view(np.int64).tolist(), at.tolist(), (at + size).tolist(), places):
+                    body = texts[k][a:z]
+                    known = key, digest(body) - (1 << 63) if by_hash else body
+                    best = held.setdefault(known, here)
+                    if best is here or best == here:
+                        continue
+                    if here < best:
+                        held[known], here = here, best
+                    covered.append(here)
                 if len(covered) > HELD_STRETCHES:
-                    yield _merged(pd.DataFrame(covered, columns=names))
+                    yield _covered(covered)
                     covered = []
             if covered:
-                yield _merged(pd.DataFrame(covered, columns=names))
+                yield _covered(covered)
             if len(held) > HELD_STRETCHES:
                 yield _rows(held)
                 held.clear()
         if held:
             yield _rows(held)
 
+    def _places(places: list[tuple], done: bool) -> pd.DataFrame:
+        key, dg, at, size = zip(*places)
+        at = np.array(at, np.int64)
+        return pd.DataFrame({"id": pd.Series(key), "dg": np.array(dg, np.int64), "at": at, "until": at + np.array(size, np.int64), "done": done})
+
+    def _covered(places: list[tuple]) -> pd.DataFrame:
+        return _merged(_places(places, True)).assign(h=0, body=nothing)[names]
+
     def _rows(held: dict) -> pd.DataFrame:
-        return pd.DataFrame([(*k, *v[:3], v[2] + v[3], False) for k, v in held.items()], columns=names)
+        h, body = zip(*held)
+        return _places(list(held.values()), False).assign(h=h, body=body)[names]
 
     kind = "long" if by_hash else "binary"
     return rows.mapInPandas(run, f"h long, body {kind}, id {rows.schema['id'].dataType.simpleString()}, dg long, at int, until int, done boolean")
@@ -272,6 +278,9 @@ def solve(shard: pd.DataFrame, length: int) -> pd.DataFrame:
     left = left.reset_index(drop=True)
     sizes = left["body"].map(len).to_numpy()
     group, position = equal_strings(left["body"].tolist(), length)
+    alike = group[1:] == group[:-1]                # groups come in order; those of one string cover nothing
+    several = np.append(False, alike) | np.append(alike, False)
+    group, position = group[several], position[several]
     order = np.lexsort((position, group))          # in a group, the earliest place first
     group, position = group[order], position[order]
     later = position[np.append(False, group[1:] == group[:-1])]

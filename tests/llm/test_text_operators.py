@@ -324,6 +324,43 @@ def test_suffix_dedup_repeated_rows_apart(spark, monkeypatch, tasks, held):
     assert all((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]] for r in got)
 
 
+def test_suffix_dedup_runs_of_strings():
+    """Runs hold each string once, in order, and equal strings have one key."""
+    import random
+
+    rng = random.Random(17)
+    for length, gram in ((12, 4), (33, 32), (8, 8)):
+        texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(90))).encode() * rng.choice([1, 2]) for _ in range(40)]
+        keys, met = defaultdict(set), []
+        for k, h, at, n in zip(*(x.tolist() for x in suffix_dedup.keyed_runs(texts, length, gram))):
+            for start in range(at, at + n):
+                met.append((k, start))
+                keys[texts[k][start:start + length]].add(h)
+        assert met == [(k, start) for k, t in enumerate(texts) for start in range(len(t) - length + 1)]
+        assert {len(x) for x in keys.values()} == {1}
+
+
+def test_suffix_dedup_reads_texts_at_a_few_times_the_cost_of_their_grams():
+    """Every pass over the texts takes the anchors of all strings: twice the time of
+    hashing their grams, and six times before windows told the anchor's place."""
+    import time
+
+    import numpy as np
+
+    text = np.random.default_rng(1).integers(97, 123, 1 << 19).astype(np.uint8)
+
+    def least(f):
+        took = []
+        for _ in range(9):
+            began = time.thread_time()
+            f()
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    texts = [text[at:at + 2048].tobytes() for at in range(0, len(text), 2048)]
+    assert least(lambda: suffix_dedup.keyed_runs(texts, 100, 32)) < 4 * least(lambda: suffix_dedup._grams(text, 32))
+
+
 def test_suffix_dedup_windows(spark, monkeypatch):
     """Long texts are read in windows; a repeat may span their edges."""
     import random
