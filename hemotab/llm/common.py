@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -30,14 +32,32 @@ def fold(id_col: str, folds: int = FOLDS) -> Column:
     return (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds).cast("int")
 
 
-def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def store(spark: SparkSession, df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` to a new folder below the shared ``spark.checkpoint.dir``
-    and read it back: lineage ends there, and a lost executor loses nothing."""
+    and read it back: lineage ends there, and a lost executor loses nothing.
+    ``batch``: rows that go to Python at a time meanwhile, where the session allows more."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with batches(spark, batch):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Within it, actions send Python at most so many rows at a time: both sides
+    hold a few such batches, which are large where rows are wide."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows is None or 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

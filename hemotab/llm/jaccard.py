@@ -54,6 +54,8 @@ BLOCK_SHINGLES = 1 << 20   # a block of documents ends at so many shingles
 BLOCK_DOCS = 1 << 16       # or documents: numbers within a block take two bytes
 BUCKET_BYTES = 1 << 22     # text whose shingles share a bucket, about
 BITS = 1024                # parities of a set
+PARITY_DOCS = 1024         # sets whose parities are counted at a time
+BATCH_ROWS = 500           # texts, or pairs of sets, that go to Python at a time
 CENSUS = ("id string, n long, digest binary, parity binary, block long, number int, own int, "
           "bucket int, keys binary, who binary, many binary, times binary, cells binary")
 
@@ -107,9 +109,13 @@ def _aside(k: int) -> int:
 
 def _parities(hashes: list[np.ndarray]) -> list[bytes]:
     """Of each set, whether an odd number of its shingles fall to each of BITS bits."""
-    at = np.concatenate([(s & np.uint64(BITS - 1)).astype(np.int64) + k * BITS for k, s in enumerate(hashes)])
-    odd = (np.bincount(at, minlength=BITS * len(hashes)) & 1).astype(bool)
-    return [x.tobytes() for x in np.packbits(odd.reshape(-1, BITS), axis=1)]
+    out = []
+    for first in range(0, len(hashes), PARITY_DOCS):
+        part = hashes[first:first + PARITY_DOCS]
+        at = np.concatenate([(s & np.uint64(BITS - 1)).astype(np.int64) + k * BITS for k, s in enumerate(part)])
+        odd = (np.bincount(at, minlength=BITS * len(part)) & 1).astype(bool)
+        out += [x.tobytes() for x in np.packbits(odd.reshape(-1, BITS), axis=1)]
+    return out
 
 
 def _packed(block: int, hashes: list[np.ndarray], bits: int) -> tuple[np.ndarray, dict[str, list]]:
@@ -226,7 +232,7 @@ def _census(docs: DataFrame, config: Config, id_col: str, text_col: str) -> tupl
     # The id travels as text: pandas would turn integers beside nulls into floats.
     rows = docs.select(F.col(id_col).cast("string").alias("id"), text_bytes(text_col).alias("text"), F.spark_partition_id().alias("task"))
     sent = rows.mapInPandas(run, CENSUS)
-    out = store(spark, sent.groupBy("bucket").applyInPandas(count, CENSUS), "jaccard-census")
+    out = store(spark, sent.groupBy("bucket").applyInPandas(count, CENSUS), "jaccard-census", BATCH_ROWS)
     kind = docs.schema[id_col].dataType
     each = out.where("digest IS NOT NULL").select(F.col("id").cast(kind).alias("id"), "n", "digest")
     able = (out.where("block IS NOT NULL").select("block", "id", "n", "number", "own", "who", "parity").groupBy("block")
@@ -345,7 +351,7 @@ def verify(docs: DataFrame, pairs: DataFrame, config: Config, id_col: str, text_
         F.col(id_col).alias("id"), text_bytes(text_col).alias("text"),
         _bit(F.col(id_col), size).alias("bit"))
     kind = rows.schema["id"].dataType.simpleString()
-    held = store(spark, rows.mapInPandas(sets, f"id {kind}, s binary"), "jaccard-held")
+    held = store(spark, rows.mapInPandas(sets, f"id {kind}, s binary"), "jaccard-held", BATCH_ROWS)
     with_a = pairs.join(held.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
     with_both = with_a.join(held.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
     return with_both.select("a", "b", "x", "y").mapInPandas(similar, f"a {kind}, b {kind}")
@@ -402,7 +408,7 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
     met = (prefixes.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("groups")))
            .withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1 OR groups > 1")
            .select("token", "id", "n", "l", "place", "groups"))
-    met = store(spark, met, "jaccard-met")
+    met = store(spark, met, "jaccard-met", BATCH_ROWS)
     by_rep = (met.join(of, "id").groupBy("token", F.col("rep").alias("id"), "n", "groups")
               .agg(F.min("l").alias("l"), F.min("place").alias("place"), F.max("shared").alias("shared")))
     shared = store(spark, by_rep, "jaccard-shared")
@@ -429,7 +435,7 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
         nearest = Window.partitionBy("a").orderBy(F.desc("hits"), "b")
         best = tallied.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= STAR_ORDERS).select("a", "b").distinct()
         stars = store(spark, best, "jaccard-stars")
-        new = store(spark, verify(docs, stars, config, id_col, text_col), "jaccard-links")
+        new = store(spark, verify(docs, stars, config, id_col, text_col), "jaccard-links", BATCH_ROWS)
         links = new if links is None else links.unionAll(new)
         found = store(spark, components(spark, links), "jaccard-components")
 
@@ -441,7 +447,7 @@ def jaccard_components(docs: DataFrame, config: Config = Config(), *, id_col: st
     open_ = store(spark, open_, "jaccard-open")
     pairs = _meetings(open_, config).distinct()
     pairs = store(spark, pairs, "jaccard-pairs")
-    more = store(spark, verify(docs, pairs, config, id_col, text_col), "jaccard-links")
+    more = store(spark, verify(docs, pairs, config, id_col, text_col), "jaccard-links", BATCH_ROWS)
     last = found if more.isEmpty() else store(spark, components(spark, links.unionAll(more)), "jaccard-components")
     return (members.join(last.withColumnsRenamed({"node": "rep"}), "rep", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),

@@ -13,7 +13,7 @@ from llm_fixtures import edge, none, small_documents, tiny_labels  # noqa: F401
 from pyspark.sql import functions as F
 
 from hemotab.llm import brown, exact_dedup, jaccard, quality, secrets, suffix_dedup, toxicity
-from hemotab.llm.common import fold
+from hemotab.llm.common import batches, fold
 from hemotab.llm.queries import QUERIES
 
 SMALL, CHECK = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -257,6 +257,49 @@ def test_jaccard_edges(edge, none):
     assert rest.columns == edge.columns and 10 not in {r["doc_id"] for r in rest.collect()}
 
 
+def test_jaccard_sends_python_few_wide_rows_at_a_time(spark, monkeypatch):
+    """Texts and pairs of sets go to tasks in small batches, whatever the session
+    allows; before, 10,000 of them stood in memory on both sides."""
+    key, stored, wide = "spark.sql.execution.arrow.maxRecordsPerBatch", jaccard.store, []
+
+    def spied(spark, df, name, batch=None):
+        if "MapInPandas" in df._jdf.queryExecution().executedPlan().toString():
+            wide.append((name, batch))
+        return stored(spark, df, name, batch)
+
+    monkeypatch.setattr(jaccard, "store", spied)
+    before = spark.conf.get(key)
+    docs = [(i, " ".join(f"w{k}" for k in range(i % 3 * 50, i % 3 * 50 + 40)) + f" end{i}") for i in range(9)]
+    got = rows_of(jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {i: r["component_id"] for i, r in got.items()} == {i: i % 3 for i in range(9)}
+    assert {n for n, _ in wide} == {"jaccard-census", "jaccard-met", "jaccard-held", "jaccard-links"}
+    assert {b for _, b in wide} == {jaccard.BATCH_ROWS} and spark.conf.get(key) == before
+
+    sizes = spark.range(100).coalesce(1).mapInPandas(lambda rows: (b.assign(id=len(b)) for b in rows), "id long")
+    assert stored(spark, sizes, "sizes", 7).agg(F.max("id")).first()[0] == 7 and spark.conf.get(key) == before
+    with pytest.raises(Exception, match="division"), batches(spark, 7):
+        spark.range(3).mapInPandas(lambda rows: (b / 0 if 1 / 0 else b for b in rows), "id long").collect()
+    assert spark.conf.get(key) == before
+
+
+def test_jaccard_parities_of_many_short_sets():
+    """A block of short texts has many sets: their parities are counted some at a time."""
+    import tracemalloc
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 1 << 63, 5).astype(np.uint64)) for _ in range(20_000)]
+    tracemalloc.start()
+    got = jaccard._parities(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == len(sets) and peak < 40e6          # 160 MB of counts before
+    for k in range(0, len(sets), 997):
+        bits = np.unpackbits(np.frombuffer(got[k], np.uint8))
+        assert bits.tolist() == [sum(int(x) % jaccard.BITS == b for x in sets[k]) % 2 for b in range(jaccard.BITS)]
+
+
 # --- suffix dedup ------------------------------------------------------------------------
 def brute_repeats(docs, length):
     seen, out = set(), {}
